@@ -145,33 +145,22 @@ def priority_windows(
     furthest wins (then the larger payload).
     """
     keys = _names(keys)
-    reach = F.struct(F.col(END).alias("until"), *payload)
-    spans = (
-        df.select(
-            *keys,
-            priority,
-            day_number(start).alias(START),
-            day_number(end).alias(END),
-            *payload,
-        )
-        .groupBy(*keys, START, priority)
-        .agg(F.max(reach).alias("_reach"))
-    )
+    reach = F.struct(day_number(end).alias("until"), *payload)
     # One row per (key, day): what starts there on each level, plus bare end edges.
     edges = (
-        spans.select(
+        df.select(
             *keys,
             F.inline(
                 F.array(
                     F.struct(
-                        F.col(START).alias("_day"),
+                        day_number(start).alias("_day"),
                         F.col(priority).alias("_level"),
-                        F.col("_reach").alias("_reach"),
+                        reach.alias("_reach"),
                     ),
                     F.struct(
-                        (F.col("_reach.until") + 1).alias("_day"),
+                        (day_number(end) + 1).alias("_day"),
                         F.lit(None).cast("int").alias("_level"),
-                        F.col("_reach").alias("_reach"),
+                        reach.alias("_reach"),
                     ),
                 )
             ),

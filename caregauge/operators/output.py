@@ -21,11 +21,6 @@ RESULT_COLUMNS = (
 )
 
 
-def yes_no(condition: Column) -> Column:
-    """1 when the condition holds, else 0 (null counts as no)."""
-    return F.when(condition, 1).otherwise(0)
-
-
 def measure_rows(
     members: DataFrame,
     rows: Sequence[tuple[Column | str, Column, Column]],
@@ -37,18 +32,19 @@ def measure_rows(
     of a single pass over its plan.
     """
     entries = [
-        F.struct(
-            (F.lit(name) if isinstance(name, str) else name).alias("comp_quality_short"),
-            yes_no(numerator).alias("comp_quality_numerator"),
-            yes_no(denominator).alias("comp_quality_denominator"),
-        )
+        F.struct(F.lit(name) if isinstance(name, str) else name, numerator, denominator)
         for name, numerator, denominator in rows
     ]
-    return members.select("member_id", F.inline(F.array(*entries))).select(
-        "*",
-        F.lit(None).cast(date_type).alias("comp_quality_date_last"),
-        F.lit(None).cast(date_type).alias("comp_quality_date_actionable"),
-        F.lit(None).cast("string").alias("comp_quality_comments"),
+    return members.select(
+        "member_id", F.explode(F.array(*entries)).alias("_row")
+    ).selectExpr(
+        "member_id",
+        "_row.col1 AS comp_quality_short",
+        "CASE WHEN _row.col2 THEN 1 ELSE 0 END AS comp_quality_numerator",
+        "CASE WHEN _row.col3 THEN 1 ELSE 0 END AS comp_quality_denominator",
+        f"CAST(NULL AS {date_type}) AS comp_quality_date_last",
+        f"CAST(NULL AS {date_type}) AS comp_quality_date_actionable",
+        "CAST(NULL AS string) AS comp_quality_comments",
     )
 
 

@@ -53,8 +53,8 @@ def split_value_sets(reference: DataFrame) -> Mapping[str, DataFrame]:
 def value_set_coverage(reference: DataFrame, required: Iterable[str]) -> DataFrame:
     """Number of codes of every required value set; zero when it is missing."""
     names = sorted(set(required))
-    wanted = reference.sparkSession.createDataFrame(
-        [(name,) for name in names], "value_set_name string"
+    wanted = reference.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(name) for name in names])).alias("value_set_name")
     )
     found = (
         reference.where(F.col("value_set_name").isin(names))
@@ -145,22 +145,34 @@ class CodeRule:
     def is_icd(self) -> bool:
         return self.channel.startswith("icd")
 
-    def selects(self) -> Column:
-        """Condition on the code table."""
-        name = F.col("value_set_name")
-        chosen = name.rlike(self.pattern) if self.pattern else name.isin(*self.value_sets)
+    def selects(self) -> str:
+        """SQL condition on the code table."""
+        if self.pattern:
+            chosen = f"value_set_name RLIKE {_texts(self.pattern)}"
+        else:
+            chosen = f"value_set_name IN ({_texts(*self.value_sets)})"
         if self.systems is not None:
-            chosen = chosen & F.col("code_system").isin(*self.systems)
+            chosen += f" AND code_system IN ({_texts(*self.systems)})"
         if self.is_icd and self.versioned:
-            chosen = chosen & F.col("icdversion").isNotNull()
+            chosen += " AND icdversion IS NOT NULL"
         return chosen
 
-    def version(self) -> Column:
-        return F.col("icdversion") if self.is_icd and self.versioned else F.lit("")
+    def version(self) -> str:
+        return "icdversion" if self.is_icd and self.versioned else "''"
+
+
+def _texts(*values: str) -> str:
+    """SQL string literals."""
+    escaped = (value.replace("\\", "\\\\").replace("'", "\\'") for value in values)
+    return ", ".join(f"'{value}'" for value in escaped)
 
 
 class CodeBook:
-    """The code rules of a measure, each tag being one bit of a mask."""
+    """The code rules of a measure, each tag being one bit of a mask.
+
+    Its many small expressions are written as SQL text: each one then costs a
+    single call into the JVM while the plan is built.
+    """
 
     def __init__(self, *rules: CodeRule, version: str = "icd") -> None:
         self.rules = rules
@@ -171,26 +183,24 @@ class CodeBook:
         if len(self._bits) > 62:
             raise ValueError("a code book holds at most 62 tags")
 
+    def sql(self, tag: str) -> str:
+        """SQL condition: the tagged row satisfies ``tag``."""
+        return f"({MASK} & {self._bits[tag]}L) != 0"
+
     def has(self, tag: str) -> Column:
         """The tagged row satisfies ``tag``."""
-        return F.col(MASK).bitwiseAND(F.lit(self._bits[tag])) != 0
+        return F.expr(self.sql(tag))
 
     def lookup(self, reference: DataFrame) -> DataFrame:
         """(channel, version, code) → mask, one row each."""
-        entries = [
-            F.when(
-                rule.selects(),
-                F.struct(
-                    F.lit(rule.channel).alias("channel"),
-                    rule.version().alias("version"),
-                    F.lit(self._bits[rule.tag]).cast("long").alias("mask"),
-                ),
-            )
+        entries = ", ".join(
+            f"CASE WHEN {rule.selects()} THEN named_struct('channel', '{rule.channel}', "
+            f"'version', {rule.version()}, 'mask', {self._bits[rule.tag]}L) END"
             for rule in self.rules
-        ]
+        )
         return (
             normalise_value_sets(reference, self.version)
-            .select("code", F.inline(F.array_compact(F.array(*entries))))
+            .selectExpr("code", f"inline(array_compact(array({entries})))")
             .groupBy("channel", "version", "code")
             .agg(F.bit_or("mask").alias("mask"))
         )
@@ -208,62 +218,50 @@ class CodeBook:
         along, so conditions across columns of one row stay testable), plus once
         without any ICD code (position 0). ``also`` keeps further rows.
         """
-        wanted = F.col(MASK) != 0
+        wanted = F.expr(f"{MASK} != 0")
         if also is not None:
             wanted = wanted | also
         lookup = self.lookup(reference)
         tagged = claims
         masks = []
         for channel in dict.fromkeys(r.channel for r in self.rules if not r.is_icd):
-            name = f"_{channel}_mask"
-            side = lookup.where(F.col("channel") == channel).select(
-                F.col("code").alias(channel), F.col("mask").alias(name)
+            side = lookup.where(f"channel = '{channel}'").selectExpr(
+                f"code AS {channel}", f"mask AS _{channel}_mask"
             )
             tagged = tagged.join(side, channel, "left")
-            masks.append(F.coalesce(F.col(name), F.lit(0).cast("long")))
-        row_mask = (
-            reduce(lambda a, b: a.bitwiseOR(b), masks) if masks else F.lit(0).cast("long")
-        )
+            masks.append(f"coalesce(_{channel}_mask, 0L)")
+        row_mask = " | ".join(masks) or "0L"
         entries = self._icd_entries(claims)
         if not entries:
-            return tagged.select(
-                *keep, row_mask.alias(MASK), F.lit(0).alias(ORDINAL)
-            ).where(wanted)
-        no_code = F.struct(
-            F.lit(None).cast("string").alias("channel"),
-            F.lit(None).cast("string").alias("version"),
-            F.lit(None).cast("string").alias("code"),
-            F.lit(0).alias(ORDINAL),
+            return tagged.selectExpr(*keep, f"{row_mask} AS {MASK}", f"0 AS {ORDINAL}").where(
+                wanted
+            )
+        # A code is matched on (channel, version, code).
+        no_code = (
+            f"named_struct('channel', CAST(NULL AS STRING), 'version', CAST(NULL AS STRING), "
+            f"'code', CAST(NULL AS STRING), '{ORDINAL}', 0)"
         )
-        present = F.filter(F.array(*entries), lambda entry: entry["code"].isNotNull())
-        icd = lookup.where(F.col("channel").startswith("icd"))
-        exploded = tagged.select(
-            *keep, row_mask.alias("_row_mask"), F.inline(F.concat(F.array(no_code), present))
+        present = f"filter(array({', '.join(entries)}), entry -> entry.code IS NOT NULL)"
+        exploded = tagged.selectExpr(
+            *keep, f"{row_mask} AS _row_mask", f"inline(concat(array({no_code}), {present}))"
         )
         return (
-            exploded.join(icd, ["channel", "version", "code"], "left")
-            .withColumn(
-                MASK,
-                F.col("_row_mask").bitwiseOR(F.coalesce("mask", F.lit(0).cast("long"))),
+            exploded.join(
+                lookup.where("channel LIKE 'icd%'"), ["channel", "version", "code"], "left"
             )
+            .selectExpr(*keep, f"_row_mask | coalesce(mask, 0L) AS {MASK}", ORDINAL)
             .where(wanted)
-            .select(*keep, MASK, ORDINAL)
         )
 
-    def _icd_entries(self, claims: DataFrame) -> list[Column]:
-        entries = []
+    def _icd_entries(self, claims: DataFrame) -> list[str]:
         kinds = dict.fromkeys((r.channel, r.versioned) for r in self.rules if r.is_icd)
-        for channel, versioned in kinds:
-            for ordinal, name in enumerate(code_columns(claims, channel), start=1):
-                entries.append(
-                    F.struct(
-                        F.lit(channel).alias("channel"),
-                        (F.col("icdversion") if versioned else F.lit("")).alias("version"),
-                        F.col(name).alias("code"),
-                        F.lit(ordinal).alias(ORDINAL),
-                    )
-                )
-        return entries
+        return [
+            f"named_struct('channel', '{channel}', 'version', "
+            f"{'icdversion' if versioned else chr(39) * 2}, 'code', {name}, "
+            f"'{ORDINAL}', {ordinal})"
+            for channel, versioned in kinds
+            for ordinal, name in enumerate(code_columns(claims, channel), start=1)
+        ]
 
 
 def claim_value_sets(
@@ -284,10 +282,10 @@ def claim_value_sets(
     found = (
         book.tag(claims, reference, list(key)).groupBy(*key).agg(F.bit_or(MASK).alias(MASK))
     )
-    names = F.array_compact(
-        F.array(*[F.when(book.has(name), F.lit(name)) for name in sorted(value_sets)])
+    names = ", ".join(
+        f"CASE WHEN {book.sql(name)} THEN {_texts(name)} END" for name in sorted(value_sets)
     )
-    return found.select(*key, names.alias("value_set_names"))
+    return found.selectExpr(*key, f"array_compact(array({names})) AS value_set_names")
 
 
 def codes_unique_to(reference: DataFrame, wanted: str, other: str) -> DataFrame:

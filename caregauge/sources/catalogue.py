@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Name, title, category, target of every reported measure.
 MEASURES = [
@@ -51,11 +53,21 @@ MEDICARE_WELLNESS = [
 ]
 
 
+def local_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A few driver rows of text columns as a table whose size Spark knows.
+
+    The size lets Spark decide on its own whether to broadcast the table.
+    """
+    names = columns.split()
+    arrays = [pa.array([row[i] for row in rows], pa.string()) for i in range(len(names))]
+    return spark.createDataFrame(pa.table(arrays, names=names))
+
+
 def measure_catalogue(spark: SparkSession) -> DataFrame:
     """One row per reported measure; the target is text, as in a reference file."""
     rows = [
         (
-            number,
+            str(number),
             short,
             title,
             category,
@@ -66,18 +78,18 @@ def measure_catalogue(spark: SparkSession) -> DataFrame:
         )
         for number, (short, title, category, target) in enumerate(MEASURES, start=1)
     ]
-    return spark.createDataFrame(
+    return local_table(
+        spark,
         rows,
-        "comp_quality_dual int, comp_quality_short string, comp_quality string, "
-        "comp_quality_category string, comp_quality_direction string, "
-        "comp_quality_target_value string, comp_quality_format_code string, "
-        "comp_quality_calculation_type string",
-    )
+        "comp_quality_dual comp_quality_short comp_quality comp_quality_category "
+        "comp_quality_direction comp_quality_target_value comp_quality_format_code "
+        "comp_quality_calculation_type",
+    ).withColumn("comp_quality_dual", F.col("comp_quality_dual").cast("int"))
 
 
 def medicare_wellness_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return local_table(
+        spark,
         [("Well-Care-Custom", code, text, "HCPCS", None) for code, text in MEDICARE_WELLNESS],
-        "value_set_name string, code string, definition string, code_system string, "
-        "code_system_oid string",
+        "value_set_name code definition code_system code_system_oid",
     )

@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caregauge.sources.catalogue import local_table
 from checks.claim_rows import ndc_rows, reference_rows
 
 PY = datetime.date(1998, 1, 1)
@@ -23,10 +24,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _code(prefix: str, number: Column, size: int) -> Column:
-    return F.concat(F.lit(prefix), (number % size).cast("string"))
-
-
 def _birth(key: Column) -> Column:
     return F.date_add(F.lit(datetime.date(1930, 1, 1)), (key * 7919 % 25000).cast("int"))
 
@@ -85,63 +82,65 @@ def member_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        F.col("l_partkey").alias("p"),
-        F.col("l_suppkey").alias("s"),
-        F.col("l_linenumber").alias("n"),
-        F.col("l_quantity").cast("int").alias("q"),
-        F.to_date("l_shipdate").alias("fromdate"),
+    lines = read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS o_orderkey",
+        "l_partkey AS p",
+        "l_suppkey AS s",
+        "l_linenumber AS n",
+        "int(l_quantity) AS q",
+        "date(l_shipdate) AS fromdate",
     )
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_custkey").alias("k"),
-        F.col("o_custkey").cast("string").alias("member_id"),
-        F.concat_ws(
-            "-", "l_orderkey", F.floor(F.unix_date("fromdate") / 15).cast("string")
-        ).alias("claimid"),
+    return lines.join(orders, "o_orderkey").selectExpr(
+        "o_custkey AS k",
+        "string(o_custkey) AS member_id",
+        "concat_ws('-', o_orderkey, floor(unix_date(fromdate) / 15)) AS claimid",
         "p", "s", "n", "q", "fromdate",
     )
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, s, n, q, k = (F.col(name) for name in "psnqk")
-    return _lines(spark, sf_dir).select(
+    lines = _lines(spark, sf_dir)
+    return lines.select(
         "member_id",
         "claimid",
         "fromdate",
-        F.date_add("fromdate", (s % 3).cast("int")).alias("todate"),
-        F.col("fromdate").alias("admitdate"),
-        F.date_add("fromdate", q % 7).alias("dischdate"),
-        _code("H", p, 97).alias("hcpcs"),
-        _code("R", p * 7 + s, 31).alias("revcode"),
-        _code("B", p, 11).alias("billtype"),
-        _code("P", s, 13).alias("pos"),
-        _code("", p + s, 45).alias("specialty"),
-        _code("", s, 60).alias("modifier"),
-        _code("", p, 60).alias("modifier2"),
-        _code("", p * 3 + s, 25).alias("dischargestatus"),
-        F.when(n == 7, "09").when(n == 6, "9").otherwise("10").alias("icdversion"),
-        _code("D", p * 5 + s, 89).alias("icddiag1"),
-        _code("D", p * 3 + s * 2, 89).alias("icddiag2"),
-        F.when(n % 2 == 1, _code("D", s * 5 + n + p, 89)).alias("icddiag3"),
-        _code("Q", p * 11 + s, 53).alias("icdproc1"),
-        F.when(n % 3 == 0, _code("Q", p + s * 3, 53)).alias("icdproc2"),
-        _gender(k).alias("gender"),
-        _birth(k).alias("dob"),
+        _gender(F.col("k")).alias("gender"),
+        _birth(F.col("k")).alias("dob"),
+        *[
+            F.expr(f"{text} AS {name}")
+            for name, text in {
+                "todate": "date_add(fromdate, int(s % 3))",
+                "admitdate": "fromdate",
+                "dischdate": "date_add(fromdate, q % 7)",
+                "hcpcs": "concat('H', p % 97)",
+                "revcode": "concat('R', (p * 7 + s) % 31)",
+                "billtype": "concat('B', p % 11)",
+                "pos": "concat('P', s % 13)",
+                "specialty": "string((p + s) % 45)",
+                "modifier": "string(s % 60)",
+                "modifier2": "string(p % 60)",
+                "dischargestatus": "string((p * 3 + s) % 25)",
+                "icdversion": "CASE n WHEN 7 THEN '09' WHEN 6 THEN '9' ELSE '10' END",
+                "icddiag1": "concat('D', (p * 5 + s) % 89)",
+                "icddiag2": "concat('D', (p * 3 + s * 2) % 89)",
+                "icddiag3": "CASE WHEN n % 2 = 1 THEN concat('D', (s * 5 + n + p) % 89) END",
+                "icdproc1": "concat('Q', (p * 11 + s) % 53)",
+                "icdproc2": "CASE WHEN n % 3 = 0 THEN concat('Q', (p + s * 3) % 53) END",
+            }.items()
+        ],
     )
 
 
 def rx_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, n, q = F.col("p"), F.col("n"), F.col("q")
     return (
         _lines(spark, sf_dir)
-        .where(n >= 4)
-        .select(
+        .where("n >= 4")
+        .selectExpr(
             "member_id",
             "claimid",
             "fromdate",
-            (q * (1 + p % 4)).cast("double").alias("dayssupply"),
-            _code("N", p, 60).alias("ndc"),
+            "double(q * (1 + p % 4)) AS dayssupply",
+            "concat('N', p % 60) AS ndc",
         )
     )
 
@@ -164,36 +163,54 @@ def followup_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reference(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        reference_rows(), "value_set_name string, code string, code_system string"
-    )
+    return local_table(spark, reference_rows(), "value_set_name code code_system")
 
 
 def reference_awv(spark: SparkSession) -> DataFrame:
     """Medicare wellness codes of the claim model (its procedure codes are H0 … H96)."""
-    return spark.createDataFrame(
+    return local_table(
+        spark,
         [("Well-Care-Custom", f"H{n}", "HCPCS") for n in (40, 41)],
-        "value_set_name string, code string, code_system string",
+        "value_set_name code code_system",
     )
 
 
 def ndc(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        ndc_rows(),
-        "medication_list string, ndc_code string, route string, description string, "
-        "drug_id string",
+    return local_table(
+        spark, ndc_rows(), "medication_list ndc_code route description drug_id"
     )
 
 
-def tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    """Every input table of the measures."""
-    return {
-        "member": member(spark, sf_dir),
-        "member_time": member_time(spark, sf_dir),
-        "claims": claims(spark, sf_dir),
-        "rx_claims": rx_claims(spark, sf_dir),
-        "followup_claims": followup_claims(spark, sf_dir),
-        "reference": reference(spark),
-        "reference_awv": reference_awv(spark),
-        "ndc": ndc(spark),
-    }
+class ClaimTables(Mapping[str, DataFrame]):
+    """Every input table of the measures, built when it is asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._builders = {
+            "member": lambda: member(spark, sf_dir),
+            "member_time": lambda: member_time(spark, sf_dir),
+            "claims": lambda: claims(spark, sf_dir),
+            "rx_claims": lambda: rx_claims(spark, sf_dir),
+            "followup_claims": lambda: followup_claims(spark, sf_dir),
+            "reference": lambda: reference(spark),
+            "reference_awv": lambda: reference_awv(spark),
+            "ndc": lambda: ndc(spark),
+        }
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
+
+def tables(spark: SparkSession, sf_dir: str) -> ClaimTables:
+    return ClaimTables(spark, sf_dir)
