@@ -161,6 +161,16 @@ class CodeRule:
         return "icdversion" if self.is_icd and self.versioned else "''"
 
 
+@dataclass(frozen=True)
+class IcdSlot:
+    """One ICD column of a claim row and how its code is matched."""
+
+    channel: str
+    column: str
+    version: str
+    ordinal: int
+
+
 def _texts(*values: str) -> str:
     """SQL string literals."""
     escaped = (value.replace("\\", "\\\\").replace("'", "\\'") for value in values)
@@ -231,34 +241,45 @@ class CodeBook:
             tagged = tagged.join(side, channel, "left")
             masks.append(f"coalesce(_{channel}_mask, 0L)")
         row_mask = " | ".join(masks) or "0L"
-        entries = self._icd_entries(claims)
-        if not entries:
+        slots = self._icd_slots(claims)
+        if not slots:
             return tagged.selectExpr(*keep, f"{row_mask} AS {MASK}", f"0 AS {ORDINAL}").where(
                 wanted
             )
-        # A code is matched on (channel, version, code).
-        no_code = (
-            f"named_struct('channel', CAST(NULL AS STRING), 'version', CAST(NULL AS STRING), "
-            f"'code', CAST(NULL AS STRING), '{ORDINAL}', 0)"
-        )
-        present = f"filter(array({', '.join(entries)}), entry -> entry.code IS NOT NULL)"
-        exploded = tagged.selectExpr(
-            *keep, f"{row_mask} AS _row_mask", f"inline(concat(array({no_code}), {present}))"
+        # Slot 0 is the row itself; each further slot is one ICD column, matched on
+        # (channel, version, code).
+        columns = ", ".join(slot.column for slot in slots)
+        codes = tagged.selectExpr(
+            *keep,
+            "icdversion AS _version",
+            f"{row_mask} AS _row_mask",
+            f"posexplode(array(CAST(NULL AS STRING), {columns})) AS (_slot, code)",
+        ).where("code IS NOT NULL OR _slot = 0")
+
+        def per_slot(values: Iterable[str], otherwise: str) -> str:
+            branches = (f"WHEN {i} THEN {value}" for i, value in enumerate(values, start=1))
+            return f"CASE _slot {' '.join(branches)} ELSE {otherwise} END"
+
+        keyed = codes.selectExpr(
+            *keep,
+            "_row_mask",
+            "code",
+            per_slot((f"'{slot.channel}'" for slot in slots), "NULL") + " AS channel",
+            per_slot((slot.version for slot in slots), "NULL") + " AS version",
+            per_slot((str(slot.ordinal) for slot in slots), "0") + f" AS {ORDINAL}",
         )
         return (
-            exploded.join(
+            keyed.join(
                 lookup.where("channel LIKE 'icd%'"), ["channel", "version", "code"], "left"
             )
             .selectExpr(*keep, f"_row_mask | coalesce(mask, 0L) AS {MASK}", ORDINAL)
             .where(wanted)
         )
 
-    def _icd_entries(self, claims: DataFrame) -> list[str]:
+    def _icd_slots(self, claims: DataFrame) -> list[IcdSlot]:
         kinds = dict.fromkeys((r.channel, r.versioned) for r in self.rules if r.is_icd)
         return [
-            f"named_struct('channel', '{channel}', 'version', "
-            f"{'icdversion' if versioned else chr(39) * 2}, 'code', {name}, "
-            f"'{ORDINAL}', {ordinal})"
+            IcdSlot(channel, name, "_version" if versioned else "''", ordinal)
             for channel, versioned in kinds
             for ordinal, name in enumerate(code_columns(claims, channel), start=1)
         ]
