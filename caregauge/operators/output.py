@@ -32,16 +32,20 @@ def measure_rows(
     of a single pass over its plan.
     """
     entries = [
-        F.struct(F.lit(name) if isinstance(name, str) else name, numerator, denominator)
+        F.struct(
+            (F.lit(name) if isinstance(name, str) else name).alias("name"),
+            numerator.alias("met"),
+            denominator.alias("counted"),
+        )
         for name, numerator, denominator in rows
     ]
     return members.select(
         "member_id", F.explode(F.array(*entries)).alias("_row")
     ).selectExpr(
         "member_id",
-        "_row.col1 AS comp_quality_short",
-        "CASE WHEN _row.col2 THEN 1 ELSE 0 END AS comp_quality_numerator",
-        "CASE WHEN _row.col3 THEN 1 ELSE 0 END AS comp_quality_denominator",
+        "_row.name AS comp_quality_short",
+        "CASE WHEN _row.met THEN 1 ELSE 0 END AS comp_quality_numerator",
+        "CASE WHEN _row.counted THEN 1 ELSE 0 END AS comp_quality_denominator",
         f"CAST(NULL AS {date_type}) AS comp_quality_date_last",
         f"CAST(NULL AS {date_type}) AS comp_quality_date_actionable",
         "CAST(NULL AS string) AS comp_quality_comments",
