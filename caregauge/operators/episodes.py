@@ -11,8 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caregauge.functions import day_number
@@ -158,28 +157,46 @@ def far_apart(
 
 
 def direct_transfers(
-    episodes: DataFrame, transfers: DataFrame, veto: DataFrame, key: str = "member_id"
+    lines: DataFrame,
+    episode: Column,
+    transfer: Column,
+    veto: Column,
+    key: str = "member_id",
+    episode_id: str = "claimid",
 ) -> DataFrame:
-    """Move the discharge date of episodes that continue with a direct transfer.
+    """Episodes with their discharge date moved along a direct transfer.
+
+    ``lines`` has key, episode id, ``admitdate`` and ``dischdate``; the conditions
+    say which lines are episodes, which are stays an episode can be transferred to,
+    and which rule it out. A transfer begins the day after the episode's discharge.
+    The result has one row per (key, discharge day): the smallest episode id and the
+    earliest discharge of the transfers, if any.
 
-    ``transfers`` (key, admitdate, dischdate) and ``veto`` (key, admitdate) begin the
-    day after the episode's ``dischdate``. A vetoed episode is dropped, a
-    transferred one takes the earliest discharge of the transfers.
+    Discharges and the days before admissions meet on one (key, day) grouping, so
+    the lines are read once and never joined with themselves.
     """
-    blocked = veto.select(key, F.date_sub("admitdate", 1).alias("dischdate")).distinct()
-    onward = (
-        transfers.select(
-            key,
-            F.date_sub("admitdate", 1).alias("_transfer"),
-            F.coalesce("dischdate", F.date_sub("admitdate", 1)).alias("_moved"),
-        )
-        .groupBy(key, "_transfer")
-        .agg(F.min("_moved").alias("_moved"))
-        .withColumnRenamed("_transfer", "dischdate")
+    before = F.date_sub("admitdate", 1)
+    discharged = F.struct(
+        F.col("dischdate").alias("day"),
+        F.when(episode, F.col(episode_id)).alias("episode"),
+        F.lit(None).cast("date").alias("moved"),
+        F.lit(False).alias("vetoed"),
+    )
+    admitted = F.struct(
+        before.alias("day"),
+        F.lit(None).cast("string").alias("episode"),
+        F.when(transfer, F.coalesce("dischdate", before)).alias("moved"),
+        veto.alias("vetoed"),
     )
     return (
-        episodes.join(blocked, [key, "dischdate"], "left_anti")
-        .join(onward, [key, "dischdate"], "left")
-        .withColumn("dischdate", F.coalesce("_moved", "dischdate"))
-        .drop("_moved")
+        lines.select(key, F.inline(F.array(discharged, admitted)))
+        .where("episode IS NOT NULL OR moved IS NOT NULL OR vetoed")
+        .groupBy(key, "day")
+        .agg(
+            F.min("episode").alias(episode_id),
+            F.coalesce(F.min("moved"), F.col("day")).alias("dischdate"),
+            F.bool_or("vetoed").alias("_vetoed"),
+        )
+        .where(F.col(episode_id).isNotNull() & ~F.col("_vetoed"))
+        .select(key, episode_id, "dischdate")
     )

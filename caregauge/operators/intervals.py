@@ -13,8 +13,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caregauge.functions import as_date, day_number
@@ -48,6 +47,26 @@ def with_reach(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     return df.withColumn("_reach", F.max(END).over(earlier))
 
 
+def enrolled_holes(
+    df: DataFrame, keys: str | Sequence[str] = "member_id", start: str = "date_start",
+    end: str = "date_end",
+) -> DataFrame:
+    """Every key of ``df`` with the uncovered windows between its spans.
+
+    One row per span start of the key; ``hole_start``, ``hole_end`` and ``hole_days``
+    (inclusive) are null where no hole precedes it. Counting ``hole_start`` counts
+    the holes, and keys without any hole are still there.
+    """
+    keys = _names(keys)
+    hole = F.col(START) - F.col("_reach") - 1
+    return with_reach(furthest_end_per_start(df, keys, start, end), keys).select(
+        *keys,
+        F.when(hole > 0, as_date(F.col("_reach") + 1)).alias("hole_start"),
+        F.when(hole > 0, as_date(F.col(START) - 1)).alias("hole_end"),
+        F.when(hole > 0, hole).alias("hole_days"),
+    )
+
+
 def coverage_holes(
     df: DataFrame, keys: str | Sequence[str], start: str = "date_start", end: str = "date_end"
 ) -> DataFrame:
@@ -55,18 +74,7 @@ def coverage_holes(
 
     Columns: keys, ``hole_start``, ``hole_end``, ``hole_days`` (inclusive).
     """
-    keys = _names(keys)
-    hole = F.col(START) - F.col("_reach") - 1
-    return (
-        with_reach(furthest_end_per_start(df, keys, start, end), keys)
-        .where(hole > 0)
-        .select(
-            *keys,
-            as_date(F.col("_reach") + 1).alias("hole_start"),
-            as_date(F.col(START) - 1).alias("hole_end"),
-            hole.alias("hole_days"),
-        )
-    )
+    return enrolled_holes(df, keys, start, end).where("hole_start IS NOT NULL")
 
 
 def merge_windows(

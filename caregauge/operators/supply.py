@@ -11,12 +11,11 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caregauge.functions import add_days, as_date, day_number
-from caregauge.operators.intervals import START, END, merge_windows, with_reach
+from caregauge.operators.intervals import END, START, with_reach
 
 COPIES_PER_TASK_ROW = 10_000
 
@@ -205,28 +204,41 @@ def covered_days_after_index(
 ) -> DataFrame:
     """Days covered by supply from an index date on, ``days`` days at most.
 
-    Fills are first reduced to the furthest end per (member, first day), then
-    clipped to the member's index window, merged, and summed as date differences.
+    ``index`` has one row per key; each comes back with its ``covered_days``, 0 when
+    no fill reaches the window. Fills are first reduced to the furthest end per
+    (key, first day), then clipped to the index window, merged, and summed as date
+    differences.
     """
     reach = (
         fills.withColumn("_until", add_days(start, F.col(supply)))
         .groupBy(key, start)
         .agg(F.max("_until").alias("_until"))
     )
+    begin = day_number(F.greatest(index_date, start))
+    finish = day_number(F.least(F.date_add(index_date, days - 1), "_until"))
+    usable = (F.col(START) < F.col(END)) & (
+        (F.col("_until") >= F.col(index_date)) | (F.col(start) >= F.col(index_date))
+    )
     clipped = (
-        reach.join(index.select(key, index_date), key)
-        .where((F.col("_until") >= F.col(index_date)) | (F.col(start) >= F.col(index_date)))
+        index.select(key, index_date)
+        .join(reach, key, "left")
+        .select(key, index_date, start, "_until", begin.alias(START), finish.alias(END))
         .select(
             key,
-            F.greatest(index_date, start).alias("coverage_start"),
-            F.least(F.date_add(index_date, days - 1), "_until").alias("coverage_end"),
+            F.when(usable, F.col(START)).alias(START),
+            F.when(usable, F.col(END)).alias(END),
         )
-        .where(F.col("coverage_start") < F.col("coverage_end"))
+        .groupBy(key, START)
+        .agg(F.max(END).alias(END))
+    )
+    # Overlapping spans share their days; a span that only touches does not gain one.
+    new_days = F.greatest(
+        F.col(END) - F.greatest(F.coalesce(F.col("_reach"), F.col(START)), F.col(START)), F.lit(0)
     )
     return (
-        merge_windows(clipped, key, "coverage_start", "coverage_end", touching=False)
+        with_reach(clipped, key)
         .groupBy(key)
-        .agg(F.sum(F.datediff("coverage_end", "coverage_start")).alias("covered_days"))
+        .agg(F.coalesce(F.sum(new_days), F.lit(0)).cast("long").alias("covered_days"))
     )
 
 

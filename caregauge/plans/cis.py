@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from caregauge.functions import year_end
-from caregauge.operators.intervals import coverage_holes
+from caregauge.operators.intervals import enrolled_holes
 from caregauge.operators.output import RESULT_COLUMNS, measure_rows
 from caregauge.operators.valuesets import CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
@@ -83,18 +83,14 @@ class CIS(QualityMeasure):
         early_hole = F.col("hole_start").between(F.date_sub("dob", 365), F.col("dob")) & (
             F.col("hole_days") - 1 >= 45
         )
-        gapped = (
-            coverage_holes(spans, "member_id")
-            .join(children, "member_id")
-            .groupBy("member_id")
-            .agg(F.bool_or(early_hole).alias("early"), F.count("*").alias("holes"))
-            .where(F.col("early") | (F.col("holes") > 1))
-            .select("member_id")
-        )
-        keep = "left_anti" if "cis_exclusion" in self.fixes else "left_semi"
+        gapped = F.coalesce(F.col("early"), F.lit(False)) | (F.col("holes") > 1)
         eligible = (
-            children.join(spans.select("member_id").distinct(), "member_id", "left_semi")
-            .join(gapped, "member_id", keep)
+            enrolled_holes(spans)
+            .join(children, "member_id")
+            .groupBy("member_id", "dob", "second_birthday")
+            .agg(F.bool_or(early_hole).alias("early"), F.count("hole_start").alias("holes"))
+            .where(~gapped if "cis_exclusion" in self.fixes else gapped)
+            .select("member_id", "dob", "second_birthday")
         )
         # One row per child, day and code group, then only the children's rows.
         tagged = (
@@ -107,18 +103,21 @@ class CIS(QualityMeasure):
             )
             .groupBy("member_id", "fromdate")
             .agg(F.bit_or("tags").alias("tags"))
-            .join(eligible, "member_id")
-            .where(F.col("fromdate") <= F.col("second_birthday"))
         )
+        # Every eligible child stays, with or without claims.
+        tagged = eligible.join(tagged, "member_id", "left")
+        seen = F.col("fromdate") <= F.col("second_birthday")
         age = F.datediff("fromdate", "dob")
-        newborn = CHILD_BOOK.has(NEWBORN_HEP_B) & (age < NEWBORN_DAYS)
-        doses = tagged.groupBy("member_id").agg(
+        newborn = seen & CHILD_BOOK.has(NEWBORN_HEP_B) & (age < NEWBORN_DAYS)
+        doses = tagged.groupBy("member_id", "second_birthday").agg(
             F.bool_or(newborn).alias("newborn"),
             *[
-                F.count_if(CHILD_BOOK.has(v.value_set) & (age >= v.min_days)).alias(v.value_set)
+                F.count_if(seen & CHILD_BOOK.has(v.value_set) & (age >= v.min_days)).alias(
+                    v.value_set
+                )
                 for v in VACCINES
             ],
-            *[F.bool_or(CHILD_BOOK.has(name)).alias(name) for name in HISTORIES],
+            *[F.bool_or(seen & CHILD_BOOK.has(name)).alias(name) for name in HISTORIES],
         )
 
         def given(vaccine: Vaccine, count: int = 1) -> Column:
@@ -148,11 +147,7 @@ class CIS(QualityMeasure):
             "CIS - Rotavirus": rotavirus,
             "CIS - Influenza": given(INFLUENZA, 2),
         }
-        facts = attach(
-            member.select("member_id"),
-            eligible.select("member_id", "second_birthday"),
-            doses,
-        )
+        facts = attach(member.select("member_id"), doses)
         return measure_rows(
             facts, [(name, met, in_denominator) for name, met in numerators.items()]
         ).select(*RESULT_COLUMNS)

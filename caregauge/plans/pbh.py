@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 
 from caregauge.functions import age_on, year_end
 from caregauge.operators.episodes import direct_transfers, first_episode
-from caregauge.operators.intervals import coverage_holes
+from caregauge.operators.intervals import enrolled_holes
 from caregauge.operators.output import measure_rows
 from caregauge.operators.supply import covered_days_after_index
 from caregauge.operators.valuesets import CodeBook, CodeRule, codes_unique_to
 from caregauge.plans.base import QualityMeasure
-from caregauge.plans.common import attach, fills_of, flag, marked, on_list
+from caregauge.plans.common import attach, fills_of, on_list
 from caregauge.sources.tables import table
 
 FOLLOW_UP_DAYS = 180
-HEART_ATTACK = CodeBook(CodeRule("ami", "icddiag", ("AMI",)), version="digits")
+ACUTE_STAY = "Acute Inpatient Stay"
+STAY_BOOK = CodeBook(
+    CodeRule("acute", "revcode", (ACUTE_STAY,)),
+    CodeRule("nonacute", "revcode", ("Nonacute Inpatient Stay",)),
+    CodeRule("ami", "icddiag", ("AMI",)),
+    version="digits",
+)
 
 
 class PBH(QualityMeasure):
@@ -32,65 +38,51 @@ class PBH(QualityMeasure):
         claims = table(dfs_input, "claims")
         member = table(dfs_input, "member")
 
+        # A stay is acute when its code belongs to the acute set alone.
         acute_codes = codes_unique_to(reference, "Inpatient Stay", "Nonacute Inpatient Stay")
-        nonacute_codes = reference.where(F.col("value_set_name") == "Nonacute Inpatient Stay")
-        acute = claims.join(
-            acute_codes.select(F.col("code").alias("revcode")).distinct(), "revcode", "left_semi"
-        )
-        nonacute = claims.join(
-            nonacute_codes.select(F.col("code").alias("revcode")).distinct(),
-            "revcode",
-            "left_semi",
-        )
-        discharged = acute.where(
-            F.col("dischdate").between(
-                F.lit(datetime.date(year - 1, 7, 1)), F.lit(datetime.date(year, 6, 30))
-            )
-        )
-        attacks = (
-            HEART_ATTACK.tag(discharged, reference, ["member_id", "claimid", "dischdate"])
-            .select("member_id", "claimid", "dischdate")
-            .distinct()
+        codes = acute_codes.withColumn("value_set_name", F.lit(ACUTE_STAY)).unionByName(reference)
+        lines = STAY_BOOK.tag(claims, codes, ["member_id", "claimid", "admitdate", "dischdate"])
+        in_window = F.col("dischdate").between(
+            F.lit(datetime.date(year - 1, 7, 1)), F.lit(datetime.date(year, 6, 30))
         )
         index = first_episode(
-            direct_transfers(attacks, acute, nonacute), "member_id", ["dischdate", "claimid"]
+            direct_transfers(
+                lines,
+                episode=STAY_BOOK.has("acute") & STAY_BOOK.has("ami") & in_window,
+                transfer=STAY_BOOK.has("acute"),
+                veto=STAY_BOOK.has("nonacute"),
+            ),
+            "member_id",
+            ["dischdate", "claimid"],
         )
 
         spans = table(dfs_input, "member_time").where(
             (F.col("cover_medical") == "Y") & (F.col("cover_rx") == "Y")
         )
-        # Hole rows are at most one per day of a member, so joining them to the
-        # member's single index row stays small.
-        late_hole = (
-            F.col("hole_start").between(
-                F.col("dischdate"), F.date_add("dischdate", FOLLOW_UP_DAYS - 1)
-            )
-            & (F.col("hole_days") - 1 >= 45)
-        )
-        gapped = (
-            coverage_holes(spans, "member_id")
-            .join(index, "member_id")
-            .groupBy("member_id")
-            .agg(F.bool_or(late_hole).alias("late"), F.count("*").alias("holes"))
-            .where(F.col("late") | (F.col("holes") > 1))
-        )
         adults = member.where(age_on(year_end(performance_yearstart)) >= 18).select("member_id")
+        late_hole = F.col("hole_start").between(
+            F.col("dischdate"), F.date_add("dischdate", FOLLOW_UP_DAYS - 1)
+        ) & (F.col("hole_days") - 1 >= 45)
+        # Each input is used once: a member has one index row, and hole rows are at
+        # most one per day.
         eligible = (
-            index.join(spans.select("member_id").distinct(), "member_id", "left_semi")
-            .join(adults.distinct(), "member_id", "left_semi")
-            .join(gapped, "member_id", "left_anti")
+            index.join(adults.distinct(), "member_id", "left_semi")
+            .join(enrolled_holes(spans), "member_id")
+            .groupBy("member_id", "dischdate")
+            .agg(
+                F.coalesce(F.bool_or(late_hole), F.lit(False)).alias("late"),
+                F.count("hole_start").alias("holes"),
+            )
+            .where(~F.col("late") & (F.col("holes") <= 1))
         )
         fills = fills_of(
             table(dfs_input, "rx_claims"),
             table(dfs_input, "ndc"),
             on_list("Beta-Blocker Medications"),
         )
-        persistent = covered_days_after_index(fills, eligible, FOLLOW_UP_DAYS).where(
-            "covered_days >= 135"
-        )
-        facts = attach(
-            member.select("member_id").distinct(),
-            marked(eligible, "eligible"),
-            marked(persistent, "persistent"),
+        covered = covered_days_after_index(fills, eligible, FOLLOW_UP_DAYS)
+        facts = attach(member.select("member_id").distinct(), covered)
+        return measure_rows(
+            facts,
+            [("PBH", F.col("covered_days") >= 135, F.col("covered_days").isNotNull())],
         )
-        return measure_rows(facts, [("PBH", flag("persistent"), flag("eligible"))])

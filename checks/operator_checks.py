@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from caregauge import functions as cf
 from caregauge.operators import episodes, intervals, output, supply, valuesets
 from caregauge.plans import AAB, CDC, PCR, PCPFollowup
-from caregauge.plans.common import fills_of, member_flags, on_list, two_or_more, visit_rules
+from caregauge.plans.common import fills_of, member_flags, on_list, visit_rules
 from caregauge.sources import catalogue, reference, tables
 from caregauge.sources.scratch import scratch_folder
 from checks import claim_model as model
@@ -516,18 +516,20 @@ def pair_min_days_apart(spark, sf_dir):
 
 @check(
     "direct_transfer",
-    f"""WITH {ORDER_STAYS} SELECT e.member_id, e.transfer_claimid, CAST(coalesce(min(t.dischdate), e.dischdate) AS VARCHAR) AS dischdate
+    f"""WITH {ORDER_STAYS} SELECT e.member_id, min(e.transfer_claimid) AS transfer_claimid, CAST(coalesce(min(t.dischdate), e.dischdate) AS VARCHAR) AS dischdate
 FROM order_stays e LEFT JOIN order_stays t ON t.member_id = e.member_id AND t.status = 'O' AND t.admitdate - 1 = e.dischdate
 WHERE e.status = 'F' AND NOT EXISTS (SELECT 1 FROM order_stays v WHERE v.member_id = e.member_id AND v.status = 'P'
-  AND v.admitdate - 1 = e.dischdate) GROUP BY e.member_id, e.transfer_claimid, e.dischdate""",
+  AND v.admitdate - 1 = e.dischdate) GROUP BY e.member_id, e.dischdate""",
 )
 def direct_transfer(spark, sf_dir):
-    stays = order_stays(spark, sf_dir)
+    status = F.col("status")
     return episodes.direct_transfers(
-        stays.where("status = 'F'").select("member_id", "transfer_claimid", "dischdate"),
-        stays.where("status = 'O'"),
-        stays.where("status = 'P'"),
-    ).select("member_id", "transfer_claimid", "dischdate")
+        order_stays(spark, sf_dir),
+        episode=status == "F",
+        transfer=status == "O",
+        veto=status == "P",
+        episode_id="transfer_claimid",
+    )
 
 
 # --------------------------------------------------------------------------
@@ -576,7 +578,6 @@ def agg_conditional(spark, sf_dir):
 count(DISTINCT (o_orderstatus, o_orderpriority)) >= 2 AS mixed FROM orders GROUP BY o_custkey""",
 )
 def agg_count_distinct(spark, sf_dir):
-    mixed = two_or_more(F.col("o_orderstatus"), F.col("o_orderpriority"))
     # Reduced to distinct (customer, day, status) first: a hot customer is combined
     # on the map side and counted from at most a few rows per day.
     days = (
@@ -589,7 +590,6 @@ def agg_count_distinct(spark, sf_dir):
         .groupBy("o_custkey", "o_orderdate")
         .agg(F.count("*").alias("states"), F.min("low").alias("low"), F.max("high").alias("high"))
     )
-    del mixed
     return days.groupBy("o_custkey").agg(
         F.count("*").alias("n_days"),
         F.sum("states").alias("n_day_states"),
@@ -979,7 +979,9 @@ def covered_days_after_index(spark, sf_dir):
         .groupBy(F.col("o_custkey").alias("member_id"))
         .agg(F.min(F.to_date("o_orderdate")).alias("dischdate"))
     )
-    return supply.covered_days_after_index(line_fills(spark, sf_dir), index, 180)
+    return supply.covered_days_after_index(line_fills(spark, sf_dir), index, 180).where(
+        "covered_days > 0"
+    )
 
 
 @check(
