@@ -140,6 +140,7 @@ class CodeRule:
     systems: tuple[str, ...] | None = None
     versioned: bool = True
     pattern: str | None = None
+    principal: bool = False
 
     @property
     def is_icd(self) -> bool:
@@ -192,6 +193,7 @@ class CodeBook:
         }
         if len(self._bits) > 62:
             raise ValueError("a code book holds at most 62 tags")
+        self._principal = sum({self._bits[rule.tag] for rule in rules if rule.principal})
 
     def sql(self, tag: str) -> str:
         """SQL condition: the tagged row satisfies ``tag``."""
@@ -268,11 +270,17 @@ class CodeBook:
             per_slot((slot.version for slot in slots), "NULL") + " AS version",
             per_slot((str(slot.ordinal) for slot in slots), "0") + f" AS {ORDINAL}",
         )
+        code_mask = "coalesce(mask, 0L)"
+        if self._principal:
+            code_mask = (
+                f"(CASE WHEN {ORDINAL} = 1 THEN {code_mask} "
+                f"ELSE {code_mask} & ~{self._principal}L END)"
+            )
         return (
             keyed.join(
                 lookup.where("channel LIKE 'icd%'"), ["channel", "version", "code"], "left"
             )
-            .selectExpr(*keep, f"_row_mask | coalesce(mask, 0L) AS {MASK}", ORDINAL)
+            .selectExpr(*keep, f"_row_mask | {code_mask} AS {MASK}", ORDINAL)
             .where(wanted)
         )
 

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caregauge.functions import year_end
 from caregauge.operators.intervals import enrollment_gaps, flag_gaps
-from caregauge.operators.output import RESULT_COLUMNS
+from caregauge.operators.output import RESULT_COLUMNS, check_result
 from caregauge.operators.valuesets import CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
 from caregauge.plans.common import HCPCS
@@ -19,20 +21,116 @@ from caregauge.sources.tables import table
 WELL_CARE = "Well-Care"
 MEDICARE = "Well-Care-Custom"
 
-# Value sets of each reference filter.
+# Rules of each reference filter.
 FILTERS = {
-    "refs_well_care_core": (WELL_CARE,),
-    "refs_well_care_whole": (WELL_CARE, MEDICARE),
-    "reference_awv": (MEDICARE,),
+    "refs_well_care_core": ("core",),
+    "refs_well_care_whole": ("core", "medicare"),
+    "reference_awv": ("medicare",),
 }
+ICD = ("ICD9CM", "ICD10CM")
+VISIT_BOOK = CodeBook(
+    CodeRule("core", "hcpcs", (WELL_CARE,), HCPCS),
+    CodeRule("core", "icddiag", (WELL_CARE,), ICD),
+    CodeRule("medicare", "hcpcs", (MEDICARE,), HCPCS),
+    CodeRule("medicare", "icddiag", (MEDICARE,), ICD),
+    version="padded",
+)
+
+
+@dataclass(frozen=True)
+class Variant:
+    """One reported rate: which codes, from when to when, and the gap rule."""
+
+    codes: str
+    first: datetime.date
+    last: datetime.date
+    known_until: datetime.date
+    max_gaps: int = 1
+    max_gap_length: int = 45
+
+    @property
+    def period(self) -> tuple[datetime.date, datetime.date]:
+        """Days for which enrollment is required."""
+        return self.first, min(self.last, self.known_until)
+
+
+def wellness(dfs_input, variants: Mapping[str, Variant]) -> DataFrame:
+    """Result rows of several variants from one pass over the claims.
+
+    The table ``reference_awv`` is optional; without it the built-in Medicare codes
+    are used.
+    """
+    covered = table(dfs_input, "member_time").where(F.col("cover_medical") == "Y")
+    columns = ["value_set_name", "code", "code_system"]
+    core = table(dfs_input, "reference").select(*columns)
+    medicare = dfs_input.get("reference_awv")
+    if medicare is None:
+        medicare = medicare_wellness_codes(core.sparkSession)
+    codes = core.where(F.col("value_set_name") == WELL_CARE).unionByName(
+        medicare.select(*columns)
+    )
+    claims = table(dfs_input, "claims").where(
+        F.col("fromdate").between(
+            F.lit(min(v.first for v in variants.values())),
+            F.lit(max(v.last for v in variants.values())),
+        )
+    )
+    last_visits = {
+        f"last_{i}": F.max(
+            F.expr(
+                f"CASE WHEN fromdate BETWEEN DATE'{v.first}' AND DATE'{v.last}' AND "
+                f"({' OR '.join(VISIT_BOOK.sql(tag) for tag in FILTERS[v.codes])}) "
+                "THEN fromdate END"
+            )
+        )
+        for i, v in enumerate(variants.values())
+    }
+    visits = (
+        VISIT_BOOK.tag(claims, codes, ["member_id", "fromdate"])
+        .groupBy("member_id")
+        .agg(*[value.alias(name) for name, value in last_visits.items()])
+    )
+    members = table(dfs_input, "member").select("member_id")
+    rules = dict.fromkeys((v.period, v.max_gaps, v.max_gap_length) for v in variants.values())
+    for number, (period, gaps, length) in enumerate(rules):
+        flags = flag_gaps(enrollment_gaps(covered, *period), length, gaps)
+        members = members.join(
+            flags.withColumnRenamed("enrollment_gap_excluded", f"gap_{number}"), "member_id"
+        )
+    numbers = {rule: i for i, rule in enumerate(rules)}
+    rows = ", ".join(
+        f"named_struct('comp_quality_short', '{name}', "
+        f"'excluded', gap_{numbers[v.period, v.max_gaps, v.max_gap_length]} = 'Y', "
+        # An excluded member's visits are not looked at.
+        f"'last', CASE WHEN gap_{numbers[v.period, v.max_gaps, v.max_gap_length]} = 'N' "
+        f"THEN last_{i} END, 'period_end', DATE'{v.last}', 'since', '{v.first:%m/%d/%Y}')"
+        for i, (name, v) in enumerate(variants.items())
+    )
+    return (
+        members.join(visits, "member_id", "left")
+        .selectExpr("member_id", f"inline(array({rows}))")
+        .selectExpr(
+            "member_id",
+            "comp_quality_short",
+            "int(last IS NOT NULL) AS comp_quality_numerator",
+            "CASE WHEN excluded THEN 0 ELSE 1 END AS comp_quality_denominator",
+            "last AS comp_quality_date_last",
+            "CASE WHEN NOT excluded AND last IS NULL THEN period_end END "
+            "AS comp_quality_date_actionable",
+            "CASE WHEN excluded THEN 'Member is excluded due to gaps in eligibility' "
+            "WHEN last IS NOT NULL THEN "
+            "concat('Most Recent Service: ', date_format(last, 'MM/dd/yyyy')) "
+            "ELSE concat('No related services observed since: ', since) END "
+            "AS comp_quality_comments",
+        )
+    )
 
 
 class AWV(QualityMeasure):
     """Members with continuous medical cover and at least one wellness visit.
 
-    ``filter_reference`` picks the codes: the core set, the Medicare set
-    (``reference_awv``) or both. The table ``reference_awv`` is optional; without it
-    the built-in Medicare codes are used.
+    ``filter_reference`` picks the codes: the core set (``refs_well_care_core``), the
+    Medicare set (``reference_awv``) or both (``refs_well_care_whole``, the default).
     """
 
     def _calc_measure(
@@ -46,97 +144,32 @@ class AWV(QualityMeasure):
         allowable_gap_length: int = 45,
         date_latestpaid: datetime.date | None = None,
     ) -> DataFrame:
-        final = datetime_end or year_end(performance_yearstart)
-        paid = date_latestpaid or year_end(performance_yearstart)
-        value_sets = FILTERS[filter_reference or "refs_well_care_whole"]
-        covered = table(dfs_input, "member_time").where(F.col("cover_medical") == "Y")
-
-        gaps = enrollment_gaps(covered, performance_yearstart, min(final, paid))
-        eligibility = flag_gaps(gaps, allowable_gap_length, allowable_gaps).join(
-            table(dfs_input, "member").select("member_id"), "member_id"
-        )
-        columns = ["value_set_name", "code", "code_system"]
-        core = table(dfs_input, "reference").select(*columns)
-        medicare = dfs_input.get("reference_awv")
-        if medicare is None:
-            medicare = medicare_wellness_codes(core.sparkSession)
-        codes = core.where(F.col("value_set_name") == WELL_CARE).unionByName(
-            medicare.select(*columns)
-        )
-        book = CodeBook(
-            CodeRule("visit", "hcpcs", value_sets, HCPCS),
-            CodeRule("visit", "icddiag", value_sets, ("ICD9CM", "ICD10CM")),
-            version="padded",
-        )
-        claims = table(dfs_input, "claims").where(
-            F.col("fromdate").between(F.lit(performance_yearstart), F.lit(final))
-        )
-        visits = (
-            book.tag(claims, codes, ["member_id", "fromdate"])
-            .groupBy("member_id")
-            .agg(F.max("fromdate").alias("_last"))
-        )
-        excluded = F.col("enrollment_gap_excluded") == "Y"
-        # An excluded member's visits are not looked at.
-        last = F.when(~excluded, F.col("_last"))
-        since = F.date_format(F.lit(performance_yearstart), "MM/dd/yyyy")
-        comment = (
-            F.when(excluded, "Member is excluded due to gaps in eligibility")
-            .when(
-                F.col("comp_quality_date_last").isNotNull(),
-                F.concat(
-                    F.lit("Most Recent Service: "),
-                    F.date_format("comp_quality_date_last", "MM/dd/yyyy"),
-                ),
-            )
-            .otherwise(F.concat(F.lit("No related services observed since: "), since))
-        )
-        return (
-            eligibility.join(visits, "member_id", "left")
-            .withColumn("comp_quality_date_last", last)
-            .select(
-                "member_id",
-                F.col("comp_quality_date_last").isNotNull().cast("int").alias(
-                    "comp_quality_numerator"
-                ),
-                F.when(excluded, 0).otherwise(1).alias("comp_quality_denominator"),
-                "comp_quality_date_last",
-                F.when(
-                    ~excluded & F.col("comp_quality_date_last").isNull(), F.lit(final)
-                ).alias("comp_quality_date_actionable"),
-                comment.alias("comp_quality_comments"),
-            )
+        variant = Variant(
+            filter_reference or "refs_well_care_whole",
+            performance_yearstart,
+            datetime_end or year_end(performance_yearstart),
+            date_latestpaid or year_end(performance_yearstart),
+            allowable_gaps,
+            allowable_gap_length,
         )
+        return wellness(dfs_input, {"AWV": variant}).drop("comp_quality_short")
 
 
 def wellness_results(
     dfs_input, performance_yearstart: datetime.date, date_latestpaid: datetime.date
 ) -> DataFrame:
     """The four reported variants: both code sets by calendar year and by rolling year."""
-    rolling_start = date_latestpaid.replace(year=date_latestpaid.year - 1)
-    final = year_end(performance_yearstart)
-    # name, codes, first day, last day, day up to which enrollment is known
-    variants = [
-        ("AWV: Combined", "refs_well_care_whole", performance_yearstart, final, None),
-        ("AWV: Combined Rolling", "refs_well_care_whole", rolling_start, date_latestpaid,
-         date_latestpaid),
-        ("AWV: Medicare", "reference_awv", performance_yearstart, final, date_latestpaid),
-        ("AWV: Medicare Rolling", "reference_awv", rolling_start, date_latestpaid,
-         date_latestpaid),
-    ]
-    stacked = None
-    for name, codes, first, last, paid in variants:
-        rows = (
-            AWV()
-            .calc_measure(
-                dfs_input,
-                first,
-                datetime_end=last,
-                filter_reference=codes,
-                date_latestpaid=paid,
-            )
-            .withColumn("comp_quality_short", F.lit(name))
-            .select(*RESULT_COLUMNS)
+    year = (performance_yearstart, year_end(performance_yearstart))
+    rolling = (date_latestpaid.replace(year=date_latestpaid.year - 1), date_latestpaid)
+    whole, medicare = "refs_well_care_whole", "reference_awv"
+    return check_result(
+        wellness(
+            dfs_input,
+            {
+                "AWV: Combined": Variant(whole, *year, year_end(performance_yearstart)),
+                "AWV: Combined Rolling": Variant(whole, *rolling, date_latestpaid),
+                "AWV: Medicare": Variant(medicare, *year, date_latestpaid),
+                "AWV: Medicare Rolling": Variant(medicare, *rolling, date_latestpaid),
+            },
         )
-        stacked = rows if stacked is None else stacked.unionByName(rows)
-    return stacked
+    ).select(*RESULT_COLUMNS)

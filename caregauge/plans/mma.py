@@ -11,7 +11,7 @@ from caregauge.functions import in_year, in_years, year_end
 from caregauge.operators.intervals import enrollment_gaps
 from caregauge.operators.output import measure_rows
 from caregauge.operators.supply import dispensing_events, proportion_days_covered
-from caregauge.operators.valuesets import ORDINAL, CodeBook, CodeRule
+from caregauge.operators.valuesets import CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
 from caregauge.plans.common import attach, flag, marked
 from caregauge.sources.tables import table
@@ -39,7 +39,7 @@ ASTHMA_BOOK = CodeBook(
     CodeRule("acute", "revcode", systems=("UBREV",), pattern="Acute Inpatient"),
     CodeRule("ambulatory", "revcode", systems=("UBREV",), pattern="Outpatient|Observation"),
     CodeRule("asthma", "icddiag", pattern="Asthma", versioned=False),
-    CodeRule("asthma_version", "icddiag", pattern="Asthma"),
+    CodeRule("principal_asthma", "icddiag", pattern="Asthma", principal=True),
     CodeRule("excluded", "icddiag", pattern=EXCLUDED_DIAGNOSES, versioned=False),
     version="digits",
 )
@@ -126,7 +126,6 @@ class MMA(QualityMeasure):
     def _claim_facts(self, dfs_input, py: datetime.date) -> DataFrame:
         """Member-level facts from one pass over the claims (reduced per day first)."""
         has = ASTHMA_BOOK.has
-        principal = has("asthma_version") & (F.col(ORDINAL) == 1)
         seen = has("asthma") & (has("ed") | has("acute") | has("ambulatory"))
         rows = ASTHMA_BOOK.tag(
             table(dfs_input, "claims"), table(dfs_input, "reference"), ["member_id", "fromdate"]
@@ -134,7 +133,7 @@ class MMA(QualityMeasure):
         daily = rows.groupBy("member_id", "fromdate").agg(
             F.bool_or(seen).alias("asthma_visit"),
             F.bool_or(has("asthma") & has("ambulatory")).alias("ambulatory_visit"),
-            F.bool_or(principal & (has("ed") | has("acute"))).alias("urgent_visit"),
+            F.bool_or(has("principal_asthma") & (has("ed") | has("acute"))).alias("urgent_visit"),
             F.bool_or(has("excluded")).alias("excluded"),
         )
         return daily.groupBy("member_id").agg(

@@ -17,6 +17,7 @@ from caregauge.operators.intervals import coverage_around
 from caregauge.operators.output import RESULT_COLUMNS
 from caregauge.operators.valuesets import (
     CHANNEL_SYSTEMS,
+    MASK,
     ORDINAL,
     CodeBook,
     CodeRule,
@@ -40,24 +41,23 @@ REQUIRED = (
     "Acute Condition",
 )
 DIED = "20"
-PRINCIPAL = " (diagnosis)"
-
-STAY_BOOK = CodeBook(
-    *[
-        CodeRule(name + (PRINCIPAL if channel == "icddiag" else ""), channel, (name,), systems)
-        for name in REQUIRED
-        for channel, systems in CHANNEL_SYSTEMS.items()
-    ],
-    version="padded",
-)
+DIAGNOSIS = " (diagnosis)"
+TRANSPLANTS = ("Kidney Transplant", "Bone Marrow Transplant")
 
 
-def _touches(name: str, any_position: bool) -> Column:
-    """A row carries the value set; diagnoses count in first position only."""
-    diagnosis = STAY_BOOK.has(name + PRINCIPAL)
-    if not any_position:
-        diagnosis = diagnosis & (F.col(ORDINAL) == 1)
-    return STAY_BOOK.has(name) | diagnosis
+def stay_book(any_position: tuple[str, ...]) -> CodeBook:
+    """Rules of a stay's lines; diagnoses count in first position unless listed."""
+    rules = []
+    for name in REQUIRED:
+        for channel, systems in CHANNEL_SYSTEMS.items():
+            if channel == "icddiag":
+                first_only = name not in any_position
+                rules.append(
+                    CodeRule(name + DIAGNOSIS, channel, (name,), systems, principal=first_only)
+                )
+            else:
+                rules.append(CodeRule(name, channel, (name,), systems))
+    return CodeBook(*rules, version="padded")
 
 
 class PCR(QualityMeasure):
@@ -73,13 +73,13 @@ class PCR(QualityMeasure):
     def stays(self, dfs_input, performance_yearstart) -> DataFrame:
         """Acute stays after merging transfers, with exclusion flags."""
         repaired = "value_set_names" in self.fixes
-        anywhere = {"Organ Transplant Other Than Kidney"}
-        if repaired:
-            anywhere |= {"Kidney Transplant", "Bone Marrow Transplant"}
+        book = stay_book(
+            ("Organ Transplant Other Than Kidney", *(TRANSPLANTS if repaired else ()))
+        )
         claims = table(dfs_input, "claims").where(
             F.col("dischdate") >= F.lit(performance_yearstart)
         )
-        rows = STAY_BOOK.tag(
+        rows = book.tag(
             claims,
             table(dfs_input, "reference"),
             ["member_id", "claimid", "admitdate", "dischdate", "dischargestatus"],
@@ -89,27 +89,30 @@ class PCR(QualityMeasure):
             F.min("admitdate").alias("admitdate"),
             F.max("dischdate").alias("dischdate"),
             F.bool_or(F.coalesce(F.col("dischargestatus") == DIED, F.lit(False))).alias("died"),
-            *[F.bool_or(_touches(name, name in anywhere)).alias(name) for name in REQUIRED],
+            F.bit_or(MASK).alias(MASK),
+        )
+
+        def any_of(*names: str) -> Column:
+            return F.expr(
+                " OR ".join(
+                    f"({book.sql(name)} OR {book.sql(name + DIAGNOSIS)})" for name in names
+                )
+            )
+
+        always_planned = ["Chemotherapy", *TRANSPLANTS, "Organ Transplant Other Than Kidney"]
+        if repaired:
+            always_planned.append("Rehabilitation")
+        planned = any_of(*always_planned) | (
+            any_of("Potentially Planned Procedures") & ~any_of("Acute Condition")
         )
-        always_planned = [
-            "Chemotherapy",
-            "Kidney Transplant",
-            "Bone Marrow Transplant",
-            "Organ Transplant Other Than Kidney",
-        ] + (["Rehabilitation"] if repaired else [])
-        planned = F.col("Potentially Planned Procedures") & ~F.col("Acute Condition")
-        for name in always_planned:
-            planned = planned | F.col(name)
         stays = (
-            per_claim.where(F.col("Inpatient Stay") & ~F.col("Nonacute Inpatient Stay"))
+            per_claim.where(any_of("Inpatient Stay") & ~any_of("Nonacute Inpatient Stay"))
             .select(
                 "member_id",
                 "claimid",
                 "admitdate",
                 "dischdate",
-                (F.col("died") | F.col("Pregnancy") | F.col("Perinatal Conditions")).alias(
-                    "exclude_base"
-                ),
+                (F.col("died") | any_of("Pregnancy", "Perinatal Conditions")).alias("exclude_base"),
                 planned.alias("planned_flag"),
             )
             .groupBy("member_id", "admitdate", "dischdate")
