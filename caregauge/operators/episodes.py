@@ -114,6 +114,10 @@ def flag_readmissions(
 ) -> DataFrame:
     """Add ``has_readmit``: another counted stay begins 0 … ``days`` after discharge.
 
+    ``stays`` has one row per stay, as ``merge_transfers`` or a grouping by admission
+    and discharge leaves them: a member then has no more stays than the calendar has
+    pairs of days, whatever the number of claims.
+
     Admissions and discharges share one timeline; the smallest and largest stay id
     admitted in the frame tell whether any of them is a different stay.
     """

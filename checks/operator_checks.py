@@ -490,16 +490,30 @@ def join_point_in_interval(spark, sf_dir):
     )
 
 
+def merged_stays(spark, sf_dir):
+    """Orders as stays, one per (customer, admission, discharge)."""
+    return (
+        order_stays(spark, sf_dir)
+        .groupBy("member_id", "admitdate", "dischdate")
+        .agg(
+            F.max("transfer_claimid").alias("transfer_claimid"),
+            F.bool_or("planned_flag").alias("planned_flag"),
+        )
+    )
+
+
 @check(
     "readmit_30d",
-    f"""WITH {ORDER_STAYS} SELECT member_id, transfer_claimid, EXISTS (SELECT 1 FROM order_stays r
-  WHERE r.member_id = s.member_id AND r.transfer_claimid <> s.transfer_claimid AND r.status <> 'P'
-    AND r.admitdate BETWEEN s.dischdate AND s.dischdate + 30) AS has_readmit FROM order_stays s""",
+    f"""WITH {ORDER_STAYS}, stays AS (SELECT member_id, admitdate, dischdate, max(transfer_claimid) AS transfer_claimid,
+  bool_or(planned_flag) AS planned_flag FROM order_stays GROUP BY member_id, admitdate, dischdate)
+SELECT member_id, transfer_claimid, EXISTS (SELECT 1 FROM stays r
+  WHERE r.member_id = s.member_id AND r.transfer_claimid <> s.transfer_claimid AND NOT r.planned_flag
+    AND r.admitdate BETWEEN s.dischdate AND s.dischdate + 30) AS has_readmit FROM stays s""",
 )
 def readmit_30d(spark, sf_dir):
-    return episodes.flag_readmissions(order_stays(spark, sf_dir), F.col("status") != "P").select(
-        "member_id", "transfer_claimid", "has_readmit"
-    )
+    return episodes.flag_readmissions(
+        merged_stays(spark, sf_dir), ~F.col("planned_flag")
+    ).select("member_id", "transfer_claimid", "has_readmit")
 
 
 @check(
