@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from caregauge.functions import add_days, as_date, day_number
 from caregauge.operators.intervals import END, START, with_reach
 
-COPIES_PER_TASK_ROW = 10_000
+# Longest array that a count is expanded through.
+COPIES_PER_ROW = 10_000
 
 
 def stockpile_runs(
@@ -74,7 +75,7 @@ def spread_copies(runs: DataFrame, first: Column, last: Column) -> DataFrame:
     Large counts are cut into blocks which are shuffled before the final explode,
     so that one key with very many copies is expanded by many tasks.
     """
-    size = COPIES_PER_TASK_ROW
+    size = COPIES_PER_ROW
     blocks = (
         runs.withColumn("_low", first)
         .withColumn("_high", last)
@@ -133,44 +134,59 @@ def proportion_days_covered(
     very last, takes ``e - period_end - 1`` days off. ``clamp=True`` counts them
     as zero instead. ``pdc`` is null when the treatment period is empty.
     """
-    final = day_number(period_end)
+    final = (period_end - datetime.date(1970, 1, 1)).days
     runs = stockpile_runs(fills, [key, drug], start, supply, copies)
 
-    overlaid = (
-        runs.where(F.col("_first") <= final)
-        .select(key, F.col("_first").alias(START), F.least("_last", final).alias(END))
+    # Every run gives one row for the days it covers up to the period end (copy -1)
+    # and, unless clamped, one for each of its edges beyond it. Edges are dates, so a
+    # drug has at most one per day of the calendar.
+    low = f"greatest({final + 1} - _first + _length - 1, 0) div _length"
+    blocks = f"CASE WHEN _last > {final} THEN (_copies - {low}) div {COPIES_PER_ROW} ELSE -1 END"
+    marks = (
+        runs.withColumn("_low", F.expr(low))
+        .withColumn(
+            "_block", F.explode(F.array(F.lit(-1))) if clamp
+            else F.expr(f"explode(sequence(-1L, {blocks}))")
+        )
+        .withColumn(
+            "_copy",
+            F.expr(
+                "explode(CASE WHEN _block < 0 THEN array(-1L) ELSE "
+                f"sequence(_low + _block * {COPIES_PER_ROW}, "
+                f"least(_low + (_block + 1) * {COPIES_PER_ROW} - 1, _copies)) END)"
+            ),
+        )
+        .where(f"_copy >= 0 OR _first <= {final}")
+        .selectExpr(
+            key,
+            f"CASE WHEN _copy < 0 THEN _first ELSE _first + _copy * _length END AS {START}",
+            f"CASE WHEN _copy < 0 THEN least(_last, {final}) END AS {END}",
+        )
         .groupBy(key, START)
         .agg(F.max(END).alias(END))
     )
-    new_days = F.greatest(
-        F.col(END) - F.greatest(F.coalesce(F.col("_reach"), F.col(START) - 1), F.col(START) - 1),
-        F.lit(0),
+    new_days = F.expr(
+        f"CASE WHEN {END} IS NOT NULL THEN "
+        f"greatest({END} - greatest(coalesce(_reach, {START} - 1), {START} - 1), 0) END"
     )
+    deduction = F.expr(f"CASE WHEN {END} IS NULL THEN {final + 1} - {START} END")
     covered = (
-        with_reach(overlaid, key)
+        with_reach(marks, key)
         .groupBy(key)
-        .agg(F.min(START).alias("_ipsd"), F.sum(new_days).alias("_days"))
-    )
-    if not clamp:
-        skipped = F.floor((final - F.col("_first")) / F.col("_length")) + 1
-        edges = spread_copies(
-            runs.where(F.col("_last") > final), F.greatest(skipped, F.lit(0)), F.col("_copies")
-        ).select(key, (F.col("_first") + F.col("_copy") * F.col("_length")).alias("_edge"))
-        deduction = final + 1 - F.col("_edge")
-        beyond = (
-            edges.distinct()
-            .groupBy(key)
-            .agg((F.sum(deduction) - F.min(deduction)).alias("_beyond"))
-        )
-        covered = covered.join(beyond, key, "left").withColumn(
-            "_days", F.col("_days") + F.coalesce("_beyond", F.lit(0))
+        .agg(
+            F.min(START).alias("_ipsd"),
+            (
+                F.sum(new_days)
+                + F.coalesce(F.sum(deduction) - F.min(deduction), F.lit(0))
+            ).alias("_days"),
         )
+    )
     return (
         covered.select(
             key,
             as_date("_ipsd").alias("ipsd"),
             F.col("_days").alias("days_covered"),
-            (final - F.col("_ipsd")).alias("treatment_period"),
+            (F.lit(final) - F.col("_ipsd")).alias("treatment_period"),
         )
         .withColumn("days_covered", F.least("days_covered", "treatment_period").cast("long"))
         .withColumn("pdc", F.round(F.try_divide("days_covered", "treatment_period"), 2))
