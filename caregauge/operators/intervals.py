@@ -317,39 +317,30 @@ def coverage_around(
         "n_opened", "n_closed", "n_open_days", "n_close_days",
     ]
 
-    def step(day: Column, **values: Column) -> Column:
-        return F.struct(
-            day.alias("_day"),
-            *[
-                values.get(name, F.lit(0)).cast("long").alias(name)
-                for name in fields
-            ],
+    def steps(*rows: dict[str, str]) -> str:
+        """SQL: one timeline row per entry, absent fields being zero."""
+        made = (
+            f"named_struct('_day', {row['day']}, "
+            + ", ".join(f"'{name}', bigint({row.get(name, '0')})" for name in fields)
+            + ")"
+            for row in rows
         )
+        return f"inline(array({', '.join(made)}))"
 
-    one = F.lit(1)
-    marks = (
-        islands.select(
+    marks = islands.selectExpr(
+        key,
+        steps(
+            {"day": START, "opened": "1", "hole_in": "_before"},
+            {"day": END, "closed": "1", "hole_out": "_after"},
+        ),
+    ).unionByName(
+        uncovered.selectExpr(
             key,
-            F.inline(
-                F.array(
-                    step(F.col(START), opened=one, hole_in=F.col("_before")),
-                    step(F.col(END), closed=one, hole_out=F.col("_after")),
-                )
+            steps(
+                {"day": START, "n_opened": "1", "n_open_days": START},
+                {"day": END, "n_closed": "1", "n_close_days": END},
             ),
         )
-        .unionByName(
-            uncovered.select(
-                key,
-                F.inline(
-                    F.array(
-                        step(F.col(START), n_opened=one, n_open_days=F.col(START)),
-                        step(F.col(END), n_closed=one, n_close_days=F.col(END)),
-                    )
-                ),
-            )
-        )
-        .groupBy(key, "_day")
-        .agg(*[F.sum(name).alias(name) for name in fields])
     )
     probes = events.select(
         key,
