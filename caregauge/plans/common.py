@@ -59,15 +59,6 @@ def marked(members: DataFrame, name: str) -> DataFrame:
     return members.select("member_id").distinct().withColumn(name, F.lit(True))
 
 
-def with_gender(claims: DataFrame, member: DataFrame) -> DataFrame:
-    """Claims with the member's gender, taken from the claim itself when it has it."""
-    if "gender" in claims.columns:
-        return claims
-    return claims.join(
-        member.select("member_id", "gender").dropDuplicates(["member_id"]), "member_id", "left"
-    )
-
-
 def visit_rules(
     tag: str, hcpcs_sets: Sequence[str], revcode_sets: Sequence[str], hcpcs_systems=HCPCS
 ) -> list[CodeRule]:

@@ -14,6 +14,7 @@ from caregauge.plans.statins import (
     cardiovascular,
     claim_facts,
     drug_facts,
+    excluded_by_claims,
     statin_adherence,
     two_year_spans,
 )
@@ -57,7 +58,7 @@ class SPC(QualityMeasure):
                 dfs_input, performance_yearstart, statins, "pdc_clamp" in self.fixes
             ),
         )
-        excluded = flag("claims_excluded") | flag("drug_excluded")
+        excluded = excluded_by_claims(dfs_input) | flag("drug_excluded")
         denominator = flag("of_age") & flag("enrolled") & cardiovascular() & ~excluded
         treated = denominator & flag("statin")
         adherent = treated & (F.col("pdc") >= 0.8)

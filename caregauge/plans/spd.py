@@ -15,6 +15,7 @@ from caregauge.plans.statins import (
     cardiovascular,
     claim_facts,
     drug_facts,
+    excluded_by_claims,
     statin_adherence,
     two_year_spans,
 )
@@ -34,6 +35,7 @@ class SPD(QualityMeasure):
         statins = (HIGH_MODERATE, LOW)
         members = table(dfs_input, "member").select(
             "member_id",
+            F.col("gender").alias("member_gender"),
             age_on(year_end(performance_yearstart)).between(40, 75).alias("of_age"),
         )
         facts = attach(
@@ -49,7 +51,7 @@ class SPD(QualityMeasure):
             ),
         )
         diabetic = flag("diabetes_acute") | flag("diabetes_visits") | flag("diabetes_drug")
-        excluded = cardiovascular() | flag("claims_excluded") | flag("drug_excluded")
+        excluded = cardiovascular() | excluded_by_claims(dfs_input) | flag("drug_excluded")
         denominator = flag("of_age") & flag("enrolled") & diabetic & ~excluded
         treated = denominator & flag("statin")
         return measure_rows(

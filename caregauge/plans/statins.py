@@ -18,7 +18,6 @@ from caregauge.plans.common import (
     on_list,
     two_or_more,
     visit_rules,
-    with_gender,
 )
 from caregauge.sources.tables import table
 
@@ -59,12 +58,14 @@ def claim_facts(
     """
     py = performance_yearstart
     has = STATIN_BOOK.has
-    claims = with_gender(
-        table(dfs_input, "claims").where(in_years("fromdate", py)), table(dfs_input, "member")
-    )
+    claims = table(dfs_input, "claims").where(in_years("fromdate", py))
+    gender = ["gender"] if "gender" in claims.columns else []
     rows = STATIN_BOOK.tag(
-        claims, table(dfs_input, "reference"), ["member_id", "gender", "fromdate", "todate"]
+        claims, table(dfs_input, "reference"), ["member_id", *gender, "fromdate", "todate"]
     )
+    pregnancy = has("pregnancy")
+    if gender:
+        pregnancy = pregnancy & (F.col("gender") == "F")
     in_both = inside_years("fromdate", "todate", py)
     this_year = inside_years("fromdate", "todate", py, 0, 0)
     last_year = inside_years("fromdate", "todate", py, -1, -1)
@@ -80,9 +81,8 @@ def claim_facts(
         F.bool_or(this_year & ivd).alias("ivd_this_year"),
         F.bool_or(last_year & ivd).alias("ivd_last_year"),
         F.bool_or(last_year & event).alias("event_last_year"),
-        F.bool_or(has("excluded") | (has("pregnancy") & (F.col("gender") == "F"))).alias(
-            "claims_excluded"
-        ),
+        F.bool_or(has("excluded")).alias("excluded_by_code"),
+        F.bool_or(pregnancy).alias("pregnancy"),
     )
 
 
@@ -123,6 +123,18 @@ def cardiovascular() -> Column:
     return (flag("ivd_this_year") & flag("ivd_last_year")) | flag("event_last_year")
 
 
+def excluded_by_claims(dfs_input) -> Column:
+    """Excluding codes, or a pregnancy of a female member.
+
+    The gender stands on the claim; where it does not, the member's gender
+    (``member_gender``) decides.
+    """
+    pregnant = flag("pregnancy")
+    if "gender" not in table(dfs_input, "claims").columns:
+        pregnant = pregnant & (F.col("member_gender") == "F")
+    return flag("excluded_by_code") | pregnant
+
+
 def two_year_spans(dfs_input, performance_yearstart: datetime.date) -> DataFrame:
     """Enrollment spans inside the two years with medical and pharmacy cover."""
     return table(dfs_input, "member_time").where(
