@@ -294,22 +294,6 @@ def coverage_around(
     end and just before the beginning of a window give its gaps by subtraction,
     so the work is linear in events plus spans.
     """
-    in_order = Window.partitionBy(key).orderBy(START)
-    islands = merge_windows(spans, key).select(
-        key, day_number("date_start").alias(START), day_number("date_end").alias(END)
-    )
-    islands = islands.select(
-        key,
-        START,
-        END,
-        F.coalesce(F.col(START) - F.lag(END).over(in_order) - 1, F.lit(0)).alias("_before"),
-        F.coalesce(F.lead(START).over(in_order) - F.col(END) - 1, F.lit(0)).alias("_after"),
-    )
-    uncovered = (
-        spans.where(F.col("cover_medical") == "N")
-        .select(key, day_number("date_start").alias(START), day_number("date_end").alias(END))
-        .distinct()
-    )
     # opened/closed: islands by first/last day; hole_in/hole_out: length of the hole
     # in front of / behind an island; n_*: the same for N spans, with their day sums.
     fields = [
@@ -317,29 +301,49 @@ def coverage_around(
         "n_opened", "n_closed", "n_open_days", "n_close_days",
     ]
 
-    def steps(*rows: dict[str, str]) -> str:
-        """SQL: one timeline row per entry, absent fields being zero."""
-        made = (
-            f"named_struct('_day', {row['day']}, "
-            + ", ".join(f"'{name}', bigint({row.get(name, '0')})" for name in fields)
-            + ")"
-            for row in rows
-        )
-        return f"inline(array({', '.join(made)}))"
+    def step(day: str, **values: str) -> str:
+        """SQL: one timeline row; absent fields are zero."""
+        made = ", ".join(f"'{name}', bigint({values.get(name, '0')})" for name in fields)
+        return f"named_struct('_day', {day}, {made})"
 
-    marks = islands.selectExpr(
-        key,
-        steps(
-            {"day": START, "opened": "1", "hole_in": "_before"},
-            {"day": END, "closed": "1", "hole_out": "_after"},
-        ),
-    ).unionByName(
-        uncovered.selectExpr(
+    per_start = (
+        spans.select(
             key,
-            steps(
-                {"day": START, "n_opened": "1", "n_open_days": START},
-                {"day": END, "n_closed": "1", "n_close_days": END},
-            ),
+            day_number("date_start").alias(START),
+            day_number("date_end").alias(END),
+            F.col("cover_medical"),
+        )
+        .groupBy(key, START)
+        .agg(
+            F.max(END).alias(END),
+            # At most one end per day of the calendar.
+            F.collect_set(F.expr(f"CASE WHEN cover_medical = 'N' THEN {END} END")).alias("_n_ends"),
+        )
+    )
+    in_order = Window.partitionBy(key).orderBy(START)
+    # A row that begins beyond the reach of all earlier ones opens an island and
+    # closes the one before it; the last row closes the last island.
+    opens, hole = f"coalesce({START} > _reach + 1, true)", f"{START} - _reach - 1"
+    islands = ", ".join(
+        [
+            f"CASE WHEN {opens} THEN {step(START, opened='1', hole_in=f'coalesce({hole}, 0)')} END",
+            f"CASE WHEN {START} > _reach + 1 THEN {step('_reach', closed='1', hole_out=hole)} END",
+            f"CASE WHEN _is_last THEN {step(f'greatest({END}, _reach)', closed='1')} END",
+        ]
+    )
+    n_steps = ", ".join(
+        [
+            step(START, n_opened="1", n_open_days=START),
+            step("n_end", n_closed="1", n_close_days="n_end"),
+        ]
+    )
+    marks = (
+        with_reach(per_start, key)
+        .withColumn("_is_last", F.lead(START).over(in_order).isNull())
+        .selectExpr(
+            key,
+            f"inline(concat(array_compact(array({islands})), "
+            f"flatten(transform(_n_ends, n_end -> array({n_steps})))))",
         )
     )
     probes = events.select(
