@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``.
 
-    Only where the session names none (local runs and tests) a temporary folder of
-    this machine is used.
+    A session that names no such folder gets one below its warehouse
+    (``spark.sql.warehouse.dir``), which driver and executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="caregauge-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written below the shared scratch folder and read back.
+
+    Cuts the lineage: a lost executor costs at most the work done since.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark, purpose)}.parquet"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
