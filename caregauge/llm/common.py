@@ -7,7 +7,7 @@ import types
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch: bounds what a Python worker holds at once.
@@ -61,3 +61,21 @@ def codepoints(texts: Sequence[str]) -> np.ndarray:
 def text_starts(texts: Sequence[str]) -> np.ndarray:
     """Where each text begins in :func:`codepoints`, and the end of all."""
     return np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
+
+
+def labelled_ids(labels: DataFrame, label: str, parts: int, held_out: int, per_class: int) -> dict[int, int]:
+    """Label by id of a bounded sample: the ``per_class`` rows of each label with the smallest hashes
+    among those whose fold isn't ``held_out``. Of repeated ids the largest label counts."""
+    once = (
+        labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold("doc_id", parts) != held_out))
+        .groupBy("doc_id")
+        .agg(F.max(label).cast("int").alias("y"))
+    )
+    order = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = once.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= per_class)
+    return {row["doc_id"]: row["y"] for row in chosen.collect()}
+
+
+def sample_rows(documents: DataFrame, label_of: dict[int, int]) -> DataFrame:
+    """(doc_id, text) of the documents of a sample."""
+    return documents.where(F.col("doc_id").isin(list(label_of))).select("doc_id", "text")
