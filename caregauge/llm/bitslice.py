@@ -25,7 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caregauge.llm.common import bounded_batches
-from caregauge.llm.vectors import block_of, candidates, parts_for, ranked, valid_vectors
+from caregauge.llm.vectors import (
+    block_of,
+    by_block,
+    candidates,
+    found_rows,
+    parts_for,
+    ranked,
+    sides,
+    valid_vectors,
+)
 from caregauge.sources.scratch import stored
 
 #: Candidates and queries that meet in one task.
@@ -150,36 +159,11 @@ def top_k(
     dealt = right.unionByName(left).repartition(max(1, blocks * query_blocks), "b", "q").sortWithinPartitions("b", "q", "vec_id")
 
     def block(rows: pa.Table) -> pa.RecordBatch:
-        vs = rows.column("v").combine_chunks()
-        sizes = vs.value_lengths().to_numpy()
-        flat, begin = vs.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sizes)))
-        of_query = rows.column("qkey").is_valid().to_numpy()
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for width in np.unique(sizes[of_query]):
-            q, c = (np.flatnonzero((sizes == width) & is_) for is_ in (of_query, ~of_query))
-            if not len(c):
-                continue
-            take = lambda at: flat[begin[at][:, None] + np.arange(width)]
-            keys, ids = rows.column("qkey").take(pa.array(q)).to_numpy(), rows.column("vec_id").take(pa.array(c)).to_numpy()
-            for nth, (best, score) in enumerate(best_of_block(take(c), take(q), k + 1)):
-                out.append((np.full(len(best), keys[nth]), ids[best], score))
-        merged = [np.concatenate(x) if out else np.zeros(0, np.int64) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in merged], ["qkey", "vec_id", "score"])
-
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        at = None
-        for part in parts:
-            b, q = part.column(0).to_numpy(), part.column(1).to_numpy()
-            cuts = np.flatnonzero((np.diff(b) != 0) | (np.diff(q) != 0)) + 1
-            for low, high in zip([0, *cuts], [*cuts, len(b)], strict=True):
-                if held and (b[low], q[low]) != at:
-                    yield block(pa.Table.from_batches(held))
-                    held = []
-                at = (b[low], q[low])
-                held.append(part.slice(low, high - low))
-        if held:
-            yield block(pa.Table.from_batches(held))
-
-    found = dealt.mapInArrow(batches, "qkey long, vec_id long, score long")
+        out = []
+        for keys, asked_for, ids, values in sides(rows):
+            for key, (best, score) in zip(keys, best_of_block(values, asked_for, k + 1), strict=True):
+                out.append((np.full(len(best), key), ids[best], score))
+        return found_rows(out, pa.int64())
+
+    found = dealt.mapInArrow(by_block(block), "qkey long, vec_id long, score long")
     return ranked(queries, found, k, F.col("score").desc())

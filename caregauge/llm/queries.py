@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caregauge.llm import bitslice, chat, html_text, langid, packing, quality, simhash, toxicity
+from caregauge.llm import ann, bitslice, chat, html_text, langid, packing, quality, simhash, toxicity
 from caregauge.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query
+def op6_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)

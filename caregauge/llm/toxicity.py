@@ -1,8 +1,8 @@
 """Toxicity by a weighted lexicon matched with Aho-Corasick on folded text.
 
-Folding: lower case, accents and look-alike letters of other scripts to plain letters, digits and
-signs that stand for letters to those letters, invisible characters removed, everything else a
-blank. The lexicon holds word beginnings (a stem covers its endings) with log-odds weights, and
+Folding: lower case, compatibility forms and look-alike letters of other scripts to plain letters,
+digits and signs that stand for letters to those letters, invisible characters removed, everything
+else a blank. Accents stay: they tell words apart. The lexicon holds word beginnings (a stem covers its endings) with log-odds weights, and
 exception phrases (a word, or a word with the next or the one before it) that cancel a match.
 The summed weights and their share of the text's words go through a logistic curve.
 
@@ -23,7 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caregauge.llm.common import bounded_batches, codepoints, groups_of, labelled_ids, sample_rows, worker_state
+from caregauge.llm.common import (
+    bounded_batches,
+    codepoints,
+    groups_of,
+    labelled_ids,
+    sample_rows,
+    worker_state,
+)
 
 #: Bounds of the learned sample and of the lexicon.
 SAMPLE_DOCUMENTS = 4000
@@ -38,7 +45,7 @@ STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b
 LOOK_ALIKES = {
     **dict(zip("авекмнорстухіѕјԁһԛԝ", "abekmhopctyxisjdhqw", strict=True)),
     **dict(zip("αβεικνορτυχγ", "abeiknoptuxy", strict=True)),
-    "ß": "s", "æ": "a", "ø": "o", "đ": "d", "ł": "l", "ı": "i", "œ": "o", "ð": "d", "þ": "p",
+    "ı": "i", "ł": "l", "đ": "d", "ø": "o", "þ": "p",
 }
 INVISIBLE = (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)
 
@@ -53,10 +60,10 @@ def _folding() -> np.ndarray:
         if unicodedata.combining(c) or k in INVISIBLE:
             out[k] = 1
             continue
-        plain = unicodedata.normalize("NFKD", c)[0].lower()[:1]
+        plain = unicodedata.normalize("NFKC", c).lower()
         plain = LOOK_ALIKES.get(plain, plain)
         plain = STAND_INS.get(plain, plain)
-        if plain.isalnum():
+        if len(plain) == 1 and plain.isalnum():
             out[k] = ord(plain)
     out[0] = 0
     return out
@@ -193,8 +200,16 @@ def learned(documents: DataFrame, labels: DataFrame, parts: int, held_out: int)
         shorter = max((weight[stem[:n]] for n in range(SHORTEST, len(stem)) if stem[:n] in weight), default=-math.inf)
         if evidence >= need and rate >= 0.8 and odds > shorter + 0.7 and len(weight) < MAX_STEMS:
             weight[stem] = round(odds, 4)
-    # a stem that a longer one of greater weight mostly explains stays; the heaviest of a word counts
-    model = {"stems": weight, "exceptions": frozenset(), "curve": empty["curve"]}
+    # as long as possible: a stem goes on as long as one letter follows in nearly all its documents
+    onward: dict[str, tuple[int, str]] = {}
+    for stem, n in hits.items():
+        onward[stem[:-1]] = max(onward.get(stem[:-1], (0, "")), (n, stem))
+    stems: dict[str, float] = {}
+    for stem, odds in weight.items():
+        while onward.get(stem, (0, ""))[0] >= 0.9 * hits[stem]:
+            stem = onward[stem][1]
+        stems[stem] = max(odds, stems.get(stem, odds))
+    model = {"stems": stems, "exceptions": frozenset(), "curve": empty["curve"]}
 
     def matched(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _matcher(model)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,3 +61,44 @@ def ranked(queries: DataFrame, found: DataFrame, k: int, best_first: Column) ->
         .where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
     )
+
+
+def by_block(compute: Callable[[pa.Table], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Calls ``compute`` for the rows of each value pair of the first two columns; rows come in their order."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        at = None
+        for part in parts:
+            b, q = part.column(0).to_numpy(), part.column(1).to_numpy()
+            cuts = np.flatnonzero((np.diff(b) != 0) | (np.diff(q) != 0)) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(b)], strict=True):
+                if held and (b[low], q[low]) != at:
+                    yield compute(pa.Table.from_batches(held))
+                    held = []
+                at = (b[low], q[low])
+                held.append(part.slice(low, high - low))
+        if held:
+            yield compute(pa.Table.from_batches(held))
+
+    return batches
+
+
+def sides(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys and vectors of the queries, ids and vectors of the candidates) of a block, for each vector length."""
+    vs = rows.column("v").combine_chunks()
+    sizes = vs.value_lengths().to_numpy()
+    flat, begin = vs.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sizes)))
+    of_query = rows.column("qkey").is_valid().to_numpy()
+    for width in np.unique(sizes[of_query]):
+        q, c = (np.flatnonzero((sizes == width) & is_) for is_ in (of_query, ~of_query))
+        if len(c):
+            keys, ids = rows.column("qkey").take(pa.array(q)).to_numpy(), rows.column("vec_id").take(pa.array(c)).to_numpy()
+            at = np.arange(width)
+            yield keys, flat[begin[q][:, None] + at], ids, flat[begin[c][:, None] + at]
+
+
+def found_rows(out: list[tuple[np.ndarray, np.ndarray, np.ndarray]], kind: pa.DataType) -> pa.RecordBatch:
+    """(qkey, vec_id, score) of all parts; ``kind``: type of the score."""
+    key, ids, score = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids), pa.array(score, kind)], ["qkey", "vec_id", "score"])
