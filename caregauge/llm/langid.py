@@ -21,10 +21,18 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caregauge.llm.common import bounded_batches, codepoints, fold, groups_of, text_starts, worker_state
+from caregauge.llm.common import (
+    bounded_batches,
+    codepoints,
+    fold,
+    groups_of,
+    smallest_hashes,
+    text_starts,
+    worker_state,
+)
 
 #: Bounds of the learned sample: code points and documents for each language, and languages.
 SAMPLE_CHARS = 16_000
@@ -165,15 +173,8 @@ def learned(documents: DataFrame, parts: int, held_out: int) -> dict[str, str]:
     the texts of at most SAMPLE_DOCUMENTS rows a language are read.
     """
     rows = documents.where(F.col("lang").isNotNull() & (fold("doc_id", parts) != held_out))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        rows.where("text is not null")
-        .select("doc_id", "lang")
-        .withColumn("_nth", F.row_number().over(order))
-        .where(F.col("_nth") <= SAMPLE_DOCUMENTS)
-        .limit(SAMPLE_DOCUMENTS * MAX_LANGUAGES + 1)
-        .collect()
-    )
+    narrow = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
+    chosen = smallest_hashes(narrow, "lang", SAMPLE_DOCUMENTS).limit(SAMPLE_DOCUMENTS * MAX_LANGUAGES + 1).collect()
     if len(chosen) > SAMPLE_DOCUMENTS * MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     ids = sorted({row["doc_id"] for row in chosen})
@@ -190,6 +191,11 @@ def learned(documents: DataFrame, parts: int, held_out: int) -> dict[str, str]:
     return {k: v for k, v in samples.items() if v.strip()}
 
 
+def random_cost(samples: dict[str, str]) -> float:
+    """Bits for each letter of a text whose letters are drawn evenly from those of the samples."""
+    return float(np.log2(max(2, len(np.unique(letters(list(samples.values()))[0])) - 1)))
+
+
 def has_letter(text: str | None) -> bool:
     found = _LETTER.search(text) if text else None
     return bool(found) and (found.group().isalpha() or any(map(str.isalpha, text)))
@@ -197,7 +203,8 @@ def has_letter(text: str | None) -> bool:
 
 def predicted(documents: DataFrame, samples: dict[str, str], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns with ``lang_pred``, ``score`` (probability of that language) and
-    ``bits_per_char`` (cost of the text under it) for the whole text of every row."""
+    ``bits_per_char`` (cost under it of all phrases but one, by the text's length) for the whole
+    text of every row."""
     bounded_batches(documents.sparkSession)
     rows = documents.select(*keep, F.col("text").alias("_text"))
     more = "lang_pred string, score double, bits_per_char double"
@@ -218,7 +225,7 @@ def predicted(documents: DataFrame, samples: dict[str, str], keep: tuple[str, ..
             for k, b, row in zip(some, best, bits, strict=True):
                 lang[k] = parser.languages[b]
                 score[k] = float(1.0 / np.exp2(np.maximum(row[b] - row, -1000.0)).sum())
-                rate[k] = float(row[b] / len(texts[k]))
+                rate[k] = float((row[b] - parser.cost[b]) / len(texts[k]))
             new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=names)
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caregauge.llm import ann, bitslice, chat, html_text, langid, packing, quality, simhash, toxicity
+from caregauge.llm import ann, bitslice, chat, html_text, langid, packing, pieces, quality, simhash, toxicity
 from caregauge.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +107,30 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every text, decodes the ids again and compares."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    kept = ("doc_id", "n_ids", "ids_crc32")
+    ids = pieces.encoded(documents, model, ("doc_id", "text")).select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.replace("text", F.lit(pieces.BLANK), F.lit(" ")).alias("said"),
+        "ids",
+    )
+    back = pieces.decoded(ids, model, (*kept, "said"))
+    same = F.col("said") == F.col("text")
+    return back.select(*kept, F.char_length("text").cast("long").alias("decoded_chars"), same.alias("lossless"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the packed sequences that the corpus pipeline makes of the documents."""
+    pieces_of = corpus_pipeline.run(spark, sf_dir)
+    return pieces_of.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
