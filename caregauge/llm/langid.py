@@ -109,12 +109,16 @@ def automaton(symbols: Sequence[int], width: int) -> np.ndarray:
 
 
 def parse_table(table: np.ndarray) -> np.ndarray:
-    """(state, symbol) -> 2 * next state + 1 where a phrase ended. The last column pads: it changes nothing."""
+    """(state, symbol) -> 4 * next state + phrases that ended. The last column pads: it changes nothing.
+
+    Where no transition goes on, the phrase ends and the symbol begins the next one; a symbol that
+    the sample lacks is a phrase of its own.
+    """
     first = table[0]
-    ends = np.where(first >= 0, 2 * first + 1, 1)  # begin anew with the symbol; an unseen symbol is a phrase
-    walk = np.where(table >= 0, 2 * table, ends[None, :])
-    walk[0] = np.where(first >= 0, 2 * first, 1)
-    walk[:, -1] = 2 * np.arange(len(table))
+    anew = np.where(first >= 0, 4 * first + 1, 2)
+    walk = np.where(table >= 0, 4 * table, anew[None, :])
+    walk[0] = np.where(first >= 0, 4 * first, 1)
+    walk[:, -1] = 4 * np.arange(len(table))
     return walk.astype(np.int32)
 
 
@@ -133,7 +137,7 @@ class CrossParser:
         self.cost = np.array([np.log2(len(x) + 1.0) for x in folded.values()])
         begins = np.cumsum([0, *[len(t) for t in tables]])
         self.begin = begins[:-1].astype(np.int32)
-        self.table = np.concatenate([t + 2 * b for t, b in zip(tables, begins, strict=False)]).ravel() if tables else None
+        self.table = np.concatenate([t + 4 * b for t, b in zip(tables, begins, strict=False)]).ravel() if tables else None
 
     def bits(self, texts: Sequence[str]) -> np.ndarray:
         """Bits of every text under every language (texts by languages)."""
@@ -160,8 +164,8 @@ class CrossParser:
         width = self.pad + 1
         for t, n in enumerate(walking):
             moved = self.table[state[:, :n] * width + symbols[begin[:n] + t]]
-            count[:, :n] += moved & 1
-            state[:, :n] = moved >> 1
+            count[:, :n] += moved & 3
+            state[:, :n] = moved >> 2
         count += state != self.begin[:, None]  # the phrase under way
         return np.stack([np.bincount(owner, weights=row, minlength=len(texts)) for row in count], axis=1)
 

@@ -94,6 +94,7 @@ def line_features(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndar
     final = kind[np.maximum(ends - 1, 0)]
     whole = np.bincount(of, weights=(word >> np.uint64(11)).astype(np.float64), minlength=n)
     same = np.concatenate(([False], (whole[1:] == whole[:-1]) & (size[1:] == size[:-1]) & (size[1:] > 0)))
+    same[np.cumsum(lines_of) - lines_of] = False  # a text's first line has none before
     return (
         np.stack(
             [
