@@ -3,9 +3,10 @@
 A bounded sample is halved again and again at the median of its main direction, which gives
 clusters of equal size; their means are the centroids. A graph joins each centroid to its nearest
 ones and is searched best-first. Every vector goes to its nearest centroid's list and, when it
-lies near the boundary, also to the lists of other centroids that are hardly farther (unless one
-already chosen lies nearer to that centroid than the vector does). A query reads the lists whose
-centroids are within a distance ratio of the nearest one, and takes exact distances there.
+lies near the boundary, also to the lists of other centroids that are hardly farther. A query reads
+the lists whose centroids are within a distance ratio of the nearest one, and takes exact distances
+there. The ratio is fitted: for a bounded sample of queries the true neighbours among all vectors are
+found by brute force, and the ratio is the one within which the wanted share of them lies.
 
 Every vector is in a list. Long lists are cut into blocks read by tasks of their own. Sample,
 centroids and graph are bounded by parameters, not by the data.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caregauge.llm.common import bounded_batches
@@ -36,14 +37,16 @@ from caregauge.sources.scratch import stored
 LIST_ROWS = 128
 MAX_CENTROIDS = 4096
 SAMPLE_PER_CENTROID = 32
-#: Edges of a centroid; centroids that a search looks for.
+#: Edges of a centroid; nearest centroids that a search looks for, for a vector to place and for a query.
 DEGREE = 24
-BEAM = 96
+BEAM = 24
+QUERY_BEAM = 128
 #: A vector is also put to lists whose centroid is up to this much farther, to so many lists at most.
-REPLICA_RATIO = 1.15
-REPLICAS = 6
-#: A query reads lists whose centroid is up to this much farther.
-PROBE_RATIO = 1.35
+REPLICA_RATIO = 1.1
+REPLICAS = 4
+#: Share of the true neighbours that the fitted ratio reaches, and queries that it is fitted on.
+RECALL = 0.95
+FIT_QUERIES = 128
 #: Rows of a list that one task reads.
 LIST_BLOCK = 8192
 
@@ -82,7 +85,7 @@ def nearest_graph(centroids: np.ndarray, degree: int = DEGREE) -> np.ndarray:
     return out
 
 
-def search_graph(x: np.ndarray, centroids: np.ndarray, graph: np.ndarray, beam: int = BEAM) -> np.ndarray:
+def search_graph(x: np.ndarray, centroids: np.ndarray, graph: np.ndarray, beam: int) -> np.ndarray:
     """Squared distances of every vector to the centroids that its search met, infinite elsewhere.
 
     Best-first: each round expands the nearest centroids not yet expanded, and a search ends when
@@ -120,29 +123,25 @@ def search_graph(x: np.ndarray, centroids: np.ndarray, graph: np.ndarray, beam:
     return distance
 
 
-def _chosen_lists(distance: np.ndarray, centroids: np.ndarray) -> list[np.ndarray]:
-    """Lists of every vector, the nearest first."""
-    order = np.argsort(distance, axis=1, kind="stable")[:, : 4 * REPLICAS]
-    near = np.take_along_axis(distance, order, axis=1)
-    close = near <= near[:, :1] * REPLICA_RATIO**2
-    out = []
-    for row, d, ok in zip(order, near, close, strict=True):
-        taken = [row[0]]
-        for c, dc in zip(row[1 : ok.sum()], d[1:], strict=False):
-            if len(taken) == REPLICAS:
-                break
-            if ((centroids[taken] - centroids[c]) ** 2).sum(axis=1).min() > dc:
-                taken.append(c)
-        out.append(np.array(taken))
-    return out
+def chosen_lists(distance: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(vector number, list, is it the vector's nearest) of every list that a vector goes to."""
+    most = min(REPLICAS, distance.shape[1])
+    near = np.argsort(distance, axis=1, kind="stable")[:, :most]
+    d = np.take_along_axis(distance, near, axis=1)
+    close = d <= d[:, :1] * REPLICA_RATIO**2
+    close[:, 0] = True
+    row, nth = np.nonzero(close)
+    return row, near[row, nth], nth == 0
 
 
-def probed_lists(distance: np.ndarray, centroids: np.ndarray, x: np.ndarray, firsts: np.ndarray, k: int) -> list[np.ndarray]:
-    """Lists that every query reads: within PROBE_RATIO of the nearest, and enough to hold ``k`` + 1 vectors."""
+def probed_lists(
+    distance: np.ndarray, centroids: np.ndarray, x: np.ndarray, firsts: np.ndarray, k: int, ratio: float
+) -> list[np.ndarray]:
+    """Lists that every query reads: within ``ratio`` of the nearest, and enough to hold ``k`` + 1 vectors."""
     out = []
     for row, q in zip(distance, x, strict=True):
         order = np.argsort(row, kind="stable")
-        use = int((row[order] <= row[order[0]] * PROBE_RATIO**2).sum())
+        use = int((row[order] <= row[order[0]] * ratio**2).sum())
         held = np.cumsum(firsts[order[: int(np.isfinite(row).sum())]])
         if not len(held) or held[-1] < k + 1:  # the search met too few: all centroids in order
             order = np.argsort(((centroids - q) ** 2).sum(axis=1), kind="stable")
@@ -152,6 +151,55 @@ def probed_lists(distance: np.ndarray, centroids: np.ndarray, x: np.ndarray, fir
     return out
 
 
+def fitted_ratio(pool: DataFrame, asked: list[tuple[int, list[float]]], k: int, centroids: np.ndarray, graph: np.ndarray) -> float:
+    """Distance ratio within which the lists hold RECALL of the true neighbours of the queries ``asked``."""
+    if not asked:
+        return 1.0
+    keys, q = np.array([a for a, _ in asked]), np.array([v for _, v in asked])
+    width = q.shape[1]
+
+    def closest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The task's k + 1 nearest of every query; no more than that is held."""
+        d, ids, near = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0, width))
+        for part in parts:
+            x, at = _matrix(part.column(1), width)
+            if not len(x):
+                continue
+            rough = (x**2).sum(axis=1)[None, :] - 2 * q @ x.T
+            best = np.argpartition(rough, min(k, len(x) - 1), axis=1)[:, : k + 1]
+            d = np.concatenate((d, np.sqrt(((x[best] - q[:, None]) ** 2).sum(axis=2))), axis=1)
+            ids = np.concatenate((ids, part.column(0).to_numpy()[at][best]), axis=1)
+            near = np.concatenate((near, x[best]), axis=1)
+            keep = np.argsort(d, axis=1, kind="stable")[:, : k + 1]
+            d, ids = np.take_along_axis(d, keep, axis=1), np.take_along_axis(ids, keep, axis=1)
+            near = np.take_along_axis(near, keep[:, :, None], axis=1)
+        vs = pa.ListArray.from_arrays(pa.array(np.arange(d.size + 1, dtype=np.int32) * width), pa.array(near.ravel()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(keys, d.shape[1])), pa.array(ids.ravel()), vs, pa.array(d.ravel())], ["qkey", "vec_id", "v", "d"]
+        )
+
+    order = Window.partitionBy("qkey").orderBy("d", "vec_id")
+    true = (
+        pool.select("vec_id", "v")
+        .mapInArrow(closest, "qkey long, vec_id long, v array<double>, d double")
+        .where("qkey <> vec_id")
+        .withColumn("_nth", F.row_number().over(order))
+        .where(F.col("_nth") <= k)
+        .select("qkey", "v")
+        .collect()
+    )
+    if not true:
+        return 1.0
+    of = {key: n for n, key in enumerate(keys.tolist())}
+    distance = search_graph(q, centroids, graph, QUERY_BEAM)
+    row, to, _ = chosen_lists(search_graph(np.array([r["v"] for r in true]), centroids, graph, BEAM))
+    query = np.array([of[r["qkey"]] for r in true])[row]
+    nearest_one = np.maximum(distance.min(axis=1), 1e-300)
+    needed = np.full(len(true), np.inf)
+    np.minimum.at(needed, row, np.sqrt(distance[query, to] / nearest_one[query]))
+    return max(1.0, float(np.quantile(needed, RECALL, method="higher")))
+
+
 def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of that many components, and their numbers."""
     sizes = column.value_lengths().to_numpy()
@@ -171,20 +219,18 @@ def nearest(df: DataFrame, is_query, k: int, key: str = "vec_id", vector: str =
     sample = [r["v"] for r in pool.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(SAMPLE_PER_CENTROID * lists).select("v").collect()]
     width = min((-n, w) for w, n in Counter(map(len, sample)).items())[1] if sample else 1
     centroids = balanced_centroids(np.array([v for v in sample if len(v) == width] or [[0.0]]), lists)
-    given = spark.sparkContext.broadcast((centroids, nearest_graph(centroids)))
+    edges = nearest_graph(centroids)
+    given = spark.sparkContext.broadcast((centroids, edges))
 
     def dealt(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, graph = given.value
         for part in parts:
             x, at = _matrix(part.column(1), width)
             for low in range(0, len(x), 512):
-                chosen = _chosen_lists(search_graph(x[low : low + 512], centres, graph), centres)
-                many = [len(c) for c in chosen]
-                source = np.repeat(at[low : low + 512], many)
-                first = np.concatenate([np.arange(n) == 0 for n in many])
-                took = part.take(pa.array(source))
+                row, to, first = chosen_lists(search_graph(x[low : low + 512], centres, graph, BEAM))
+                took = part.take(pa.array(at[low : low + 512][row]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(chosen).astype(np.int32)), pa.array(first), *took.columns], ["list", "first", "vec_id", "v"]
+                    [pa.array(to.astype(np.int32)), pa.array(first), *took.columns], ["list", "first", "vec_id", "v"]
                 )
 
     postings = stored(pool.select("vec_id", "v").repartition("vec_id").mapInArrow(dealt, "list int, first boolean, vec_id long, v array<double>"), "postings")
@@ -196,6 +242,8 @@ def nearest(df: DataFrame, is_query, k: int, key: str = "vec_id", vector: str =
     asked = vectors.where(is_query).where(F.size("v") == width).distinct()
     prints = stored(asked.groupBy("v").agg(F.min("vec_id").alias("qkey")), "queries")
     queries = asked.join(prints, "v").select(F.col("vec_id").alias("query_id"), "qkey")
+    few = prints.orderBy(F.xxhash64("qkey"), "qkey").limit(FIT_QUERIES).collect()
+    ratio = fitted_ratio(pool, [(r["qkey"], r["v"]) for r in few], k, centroids, edges)
 
     def probed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, graph = given.value
@@ -203,7 +251,7 @@ def nearest(df: DataFrame, is_query, k: int, key: str = "vec_id", vector: str =
             x, at = _matrix(part.column(1), width)
             for low in range(0, len(x), 512):
                 q = x[low : low + 512]
-                chosen = probed_lists(search_graph(q, centres, graph), centres, q, firsts, k)
+                chosen = probed_lists(search_graph(q, centres, graph, QUERY_BEAM), centres, q, firsts, k, ratio)
                 source, target = np.repeat(at[low : low + 512], [len(c) for c in chosen]), np.concatenate(chosen)
                 source, target = np.repeat(source, blocks[target]), np.repeat(target, blocks[target])
                 block = np.arange(len(target)) - np.maximum.accumulate(

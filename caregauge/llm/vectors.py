@@ -53,6 +53,9 @@ def parts_for(rows: int, size: int) -> int:
 
 def ranked(queries: DataFrame, found: DataFrame, k: int, best_first: Column) -> DataFrame:
     """(query_id, rank, vec_id, score) from ``found`` (qkey, vec_id, score) and ``queries`` (query_id, qkey)."""
+    # of a query's vector k + 1 rows suffice, as only the query's own id falls away
+    best = Window.partitionBy("qkey").orderBy(best_first, F.col("vec_id"))
+    found = found.withColumn("_nth", F.row_number().over(best)).where(F.col("_nth") <= k + 1).drop("_nth")
     joined = queries.join(found, "qkey").where("query_id <> vec_id")
     order = Window.partitionBy("query_id").orderBy(best_first, F.col("vec_id"))
     rank = F.row_number().over(order)
