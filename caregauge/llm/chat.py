@@ -110,6 +110,10 @@ def _canonical(turns: Column) -> Column:
     )
 
 
+def _pairs(messages: Column, role: str, text: str) -> Column:
+    return F.transform(messages, lambda m: F.struct(m[role].alias("role"), m[text].alias("text")))
+
+
 def turns_of_table(df: DataFrame, key: str) -> DataFrame:
     """(key, position, role, text) of every turn of a table in any layout."""
     layout = layout_of(df.schema)
@@ -146,7 +150,7 @@ def turns_of_records(df: DataFrame, key: str, record: str) -> DataFrame:
         if any(struct.values()):
             (head, leaves) = next(iter(struct.items()))
             role, text = (p.partition("[].")[2] for p in layout.paths)
-            made = F.transform(fields[head], lambda m, r=role, t=text: F.struct(m[r].alias("role"), m[t].alias("text")))
+            made = _pairs(fields[head], role, text)
         else:
             question, answer, *more = layout.paths
             asked = F.concat_ws("\n\n", fields[question], F.nullif(fields[more[0]], F.lit(""))) if more else fields[question]
