@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -142,62 +144,44 @@ def priority_windows(
     keys: str | Sequence[str],
     payload: Sequence[str],
     priority: str,
-    levels: Sequence[int],
     start: str = "date_start",
     end: str = "date_end",
 ) -> DataFrame:
     """Disjoint windows in which the span of the lowest priority number wins.
 
-    ``levels`` lists the priority numbers in use, lowest first. The columns of
-    ``payload`` come from the winning span; among equals the one that reaches
-    furthest wins (then the larger payload).
+    Any priority numbers may occur; a null one comes last. The columns of ``payload``
+    come from the winning span; among equals the one that reaches furthest wins (then
+    the larger payload).
     """
     keys = _names(keys)
     reach = F.struct(day_number(end).alias("until"), *payload)
-    # One row per (key, day): what starts there on each level, plus bare end edges.
-    edges = (
-        df.select(
-            *keys,
-            F.inline(
-                F.array(
-                    F.struct(
-                        day_number(start).alias("_day"),
-                        F.col(priority).alias("_level"),
-                        reach.alias("_reach"),
-                    ),
-                    F.struct(
-                        (day_number(end) + 1).alias("_day"),
-                        F.lit(None).cast("int").alias("_level"),
-                        reach.alias("_reach"),
-                    ),
-                )
-            ),
-        )
-        .groupBy(*keys, "_day")
-        .agg(
-            *[
-                F.max(F.when(F.col("_level") == level, F.col("_reach"))).alias(f"_l{i}")
-                for i, level in enumerate(levels)
-            ]
-        )
+    # One row per (key, day, priority) with the best reach; a group per day of the calendar.
+    starts = (
+        df.select(*keys, day_number(start).alias("_day"), F.col(priority).alias("_level"), reach.alias("_reach"))
+        .groupBy(*keys, "_day", "_level")
+        .agg(F.max("_reach").alias("_reach"))
     )
     ordered = Window.partitionBy(*keys).orderBy("_day")
-    active = edges.select(
-        *keys,
-        "_day",
-        (F.lead("_day").over(ordered) - 1).alias("_last"),
-        *[F.max(f"_l{i}").over(ordered).alias(f"_l{i}") for i in range(len(levels))],
+    fragments = (
+        df.select(*keys, F.explode(F.array(day_number(start), day_number(end) + 1)).alias("_day"))
+        .distinct()
+        .withColumn("_last", F.lead("_day").over(ordered) - 1)
     )
-    winner = F.coalesce(
-        *[
-            F.when(F.col(f"_l{i}.until") >= F.col("_day"), F.col(f"_l{i}"))
-            for i in range(len(levels))
-        ]
+    # Each level of a key looks at each fragment of the key: its furthest reach so far.
+    levels = starts.select(*[F.col(name).alias(f"_k{i}") for i, name in enumerate(keys)], "_level").distinct()
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_k{i}")) for i, name in enumerate(keys)))
+    grid = fragments.join(levels, same).select(
+        *keys, "_day", "_last", "_level", F.lit(None).cast(starts.schema["_reach"].dataType).alias("_reach")
     )
+    by_level = Window.partitionBy(*keys, "_level").orderBy("_day")
     return (
-        active.where(F.col("_last").isNotNull())
-        .withColumn("_winner", winner)
-        .where(F.col("_winner").isNotNull())
+        grid.unionByName(starts.withColumn("_last", F.lit(None).cast("int")))
+        .groupBy(*keys, "_level", "_day")
+        .agg(F.max("_last").alias("_last"), F.max("_reach").alias("_reach"))
+        .withColumn("_reach", F.max("_reach").over(by_level))
+        .where(F.col("_last").isNotNull() & (F.col("_reach.until") >= F.col("_day")))
+        .groupBy(*keys, "_day", "_last")
+        .agg(F.min_by("_reach", F.struct(F.col("_level").isNull(), "_level")).alias("_winner"))
         .select(
             *keys,
             as_date("_day").alias(start),

@@ -112,7 +112,7 @@ def overall_rate(results: DataFrame) -> DataFrame:
 
 
 def rates_against_target(rates: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Rates of the catalogued measures next to their targets."""
+    """Every rate next to its target; null where the catalogue has none."""
     lower = F.col("comp_quality_direction") == "Lower_Better"
     rate, target = F.col("comp_quality_rate"), F.col("comp_quality_target_value")
     return rates.join(
@@ -120,4 +120,5 @@ def rates_against_target(rates: DataFrame, catalogue: DataFrame) -> DataFrame:
             "comp_quality_short", "comp_quality_direction", "comp_quality_target_value"
         ),
         "comp_quality_short",
+        "left",
     ).withColumn("comp_quality_target_met", F.when(lower, rate <= target).otherwise(rate >= target))

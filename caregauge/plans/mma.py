@@ -49,41 +49,41 @@ class MMA(QualityMeasure):
     """Members aged 5–64 with persistent asthma; numerator: 75% of days covered.
 
     Fixes: ``pdc_clamp`` as in the statin measures; ``duplicate_fills`` counts every
-    controller fill once (as published, identical fills multiply each other and an
-    oral fill of 60 days or more is counted once per month of supply).
+    controller fill once (as published, identical fills multiply each other, a fill
+    counts once per event of its claim and day, and identical injected fills are one).
     """
 
     FIXES = frozenset({"pdc_clamp", "duplicate_fills"})
 
     def _fills(self, dfs_input) -> DataFrame:
-        """Asthma fills, identical ones as one row with their number ``same``.
+        """Asthma fills, those of one drug code, day and supply as one row.
 
-        ``rows`` is how often such a fill stands in the event table: by route, and
-        once per inhaled fill of the same member, day and drug.
+        ``same`` is their number in the fill table, ``rows`` how many rows of the event
+        table they stand for. Events are joined back to all fills of their group, of any
+        route: the oral events of a (day, supply, drug, claim) and one inhaled event of a
+        (day, drug) each repeat every fill there. Injected fills count once for each
+        distinct row of the fill table.
         """
-        ndc = table(dfs_input, "ndc").where(
-            F.col("description").isin(*CONTROLLERS, *RELIEVERS)
-        )
+        ndc = table(dfs_input, "ndc").where(F.col("description").isin(*CONTROLLERS, *RELIEVERS))
+        listed = ndc.groupBy(*ndc.columns).agg(F.count("*").alias("_listed"))
         rx = table(dfs_input, "rx_claims")
-        keys = ["member_id", "ndc", "fromdate", "dayssupply"]
+        code = F.col("ndc") == F.col("ndc_code")
         fills = (
-            rx.join(ndc.select(F.col("ndc_code").alias("ndc")).distinct(), "ndc", "left_semi")
-            .groupBy(*keys)
-            .agg(F.count("*").alias("same"))
-            .join(
-                ndc.select(
-                    F.col("ndc_code").alias("ndc"), "route", "drug_id", "description"
-                ),
-                "ndc",
-            )
+            rx.groupBy(*rx.columns)
+            .agg(F.count("*").alias("_copies"))
+            .join(listed.drop(*(set(rx.columns) & set(ndc.columns) - {"ndc_code"})), code)
         )
+        claim = Window.partitionBy("member_id", "fromdate", "dayssupply", "drug_id", "claimid")
         same_day = Window.partitionBy("member_id", "fromdate", "drug_id")
-        with_inhaled = F.max(F.col("route") == "inhalation").over(same_day)
-        own = F.when(F.col("route") == "inhalation", 0).otherwise(
-            F.coalesce(dispensing_events(), F.lit(0))
-        )
+        oral = F.when(F.col("route") == "oral", dispensing_events())
+        times = F.coalesce(F.max(oral).over(claim), F.lit(0)) + F.coalesce(
+            F.max(F.col("route") == "inhalation").over(same_day), F.lit(False)
+        ).cast("int")
+        injected = (F.coalesce("route", F.lit("")) == "subcutaneous").cast("int")
         return (
-            fills.withColumn("rows", own + F.coalesce(with_inhaled, F.lit(False)).cast("int"))
+            fills.withColumn("rows", F.col("_copies") * F.col("_listed") * times + injected)
+            .groupBy("member_id", "ndc", "fromdate", "dayssupply", *sorted(set(ndc.columns) - set(rx.columns)))
+            .agg(F.sum("rows").alias("rows"), F.sum("_copies").alias("same"))
             .where(F.col("rows") > 0)
             .withColumn("controller", F.col("description").isin(*CONTROLLERS))
         )
@@ -96,7 +96,7 @@ class MMA(QualityMeasure):
         """
         kind = F.col("description")
         events = fills.groupBy("member_id", "ndc", "fromdate", "controller").agg(
-            F.sum(F.col("rows") * F.col("same")).alias("rows"),
+            F.sum("rows").alias("rows"),
             F.bool_or(kind == LEUKOTRIENE).alias("leukotriene"),
             F.bool_or(kind == ANTIBODY).alias("antibody"),
             F.bool_or(~kind.isin(LEUKOTRIENE, ANTIBODY)).alias("third"),
@@ -151,7 +151,7 @@ class MMA(QualityMeasure):
         if "duplicate_fills" in self.fixes:
             copies = F.col("same")
         else:
-            copies = F.col("rows") * F.col("same") * F.col("same")
+            copies = F.col("rows") * F.col("same")
         window = F.col("fromdate").between(F.lit(year_end(py, -1)), F.lit(year_end(py)))
         return proportion_days_covered(
             fills.where(F.col("controller") & window),

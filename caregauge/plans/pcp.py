@@ -2,51 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
 from pyspark.sql import functions as F
 
 from caregauge.operators.output import RESULT_COLUMNS
 from caregauge.plans.base import QualityMeasure
+from caregauge.sources.tables import table
 
 # Inpatient service lines that call for a follow-up.
 INPATIENT_LINES = ("i11a", "i12", "i13a", "i13b", "i14a", "i14b")
 
 
-def _column_ending(df: DataFrame, ending: str) -> str:
-    """The one column with this ending; sources put their own prefix in front."""
-    found = [name for name in df.columns if name.endswith(ending)]
-    if len(found) != 1:
-        raise ValueError(f"expected one column ending in {ending!r}, found {found}")
-    return found[0]
+# Usual names of the input columns.
+COLUMNS = {
+    "line": "service_line",
+    "success": "pcp_followup_success_yn",
+    "potential": "pcp_followup_potential_yn",
+    "days_since": "pcp_followup_days_since",
+}
 
 
 class PCPFollowup(QualityMeasure):
     """Stays with a follow-up visit within ``cutoff`` days, per member.
 
-    Input table: the one named ``followup_claims``, or else the one whose name
-    starts with ``outclaims``; columns ``claimid``, ``member_id`` and those ending in
-    ``_line``, ``pcp_followup_success_yn``, ``_potential_yn`` and ``_days_since``.
+    ``source`` names the input table, ``columns`` its columns where they are not called as
+    in ``COLUMNS``; ``claimid`` and ``member_id`` keep their names.
     """
 
-    def _calc_measure(self, dfs_input, performance_yearstart, *, cutoff: int):
-        name = (
-            "followup_claims"
-            if "followup_claims" in dfs_input
-            else next(key for key in dfs_input if key.startswith("outclaims"))
-        )
-        claims = dfs_input[name]
+    def _calc_measure(
+        self,
+        dfs_input,
+        performance_yearstart,
+        *,
+        cutoff: int,
+        source: str = "followup_claims",
+        columns: Mapping[str, str] | None = None,
+    ):
+        unknown = set(columns or ()) - set(COLUMNS)
+        if unknown:
+            raise ValueError(f"unknown columns {sorted(unknown)}; known are {sorted(COLUMNS)}")
+        names = {**COLUMNS, **(columns or {})}
         potential = F.col("potential") == "Y"
         success = (F.col("success") == "Y") & F.col("days_since").between(0, cutoff)
         return (
-            claims.where(
-                F.lower(_column_ending(claims, "_line")).isin(*INPATIENT_LINES)
-            )
+            table(dfs_input, source)
+            .where(F.lower(names["line"]).isin(*INPATIENT_LINES))
             .select(
                 "member_id",
                 "claimid",
-                F.col(_column_ending(claims, "pcp_followup_success_yn")).alias("success"),
-                F.col(_column_ending(claims, "pcp_followup_potential_yn")).alias("potential"),
-                F.col(_column_ending(claims, "pcp_followup_days_since")).alias("days_since"),
+                *[F.col(names[name]).alias(name) for name in ("success", "potential", "days_since")],
             )
             .distinct()
             .groupBy("member_id")

@@ -29,15 +29,19 @@ def measure_results(
     dfs_input: Mapping[str, DataFrame],
     performance_yearstart: datetime.date,
     date_latestpaid: datetime.date,
+    follow_up: Mapping[str, object] | None = None,
 ) -> Mapping[str, DataFrame]:
-    """Lazy result of every measure by name."""
+    """Lazy result of every measure by name.
+
+    ``follow_up``: ``source`` and ``columns`` of the follow-up measure.
+    """
     results = {
         measure.__name__: measure().calc_measure(dfs_input, performance_yearstart)
         for measure in ANNUAL_MEASURES
     }
     for cutoff in FOLLOW_UP_CUTOFFS:
         results[f"PCP{cutoff}"] = PCPFollowup().calc_measure(
-            dfs_input, performance_yearstart, cutoff=cutoff
+            dfs_input, performance_yearstart, cutoff=cutoff, **(follow_up or {})
         )
     results["AWV"] = wellness_results(dfs_input, performance_yearstart, date_latestpaid)
     return results
@@ -47,6 +51,7 @@ def run_all(
     dfs_input: Mapping[str, DataFrame],
     performance_yearstart: datetime.date,
     date_latestpaid: datetime.date,
+    follow_up: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """One stacked result of all measures, rows with a denominator only.
 
@@ -54,5 +59,5 @@ def run_all(
     the files; a lost executor then costs one measure's work at most.
     """
     return combine_results(
-        list(measure_results(dfs_input, performance_yearstart, date_latestpaid).values())
+        list(measure_results(dfs_input, performance_yearstart, date_latestpaid, follow_up).values())
     )

@@ -132,9 +132,10 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rx_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fill from every order line; those of drug N21 stand in the table twice."""
     return (
         _lines(spark, sf_dir)
-        .where("n >= 4")
+        .withColumn("copy", F.expr("explode(sequence(1, CASE p % 60 WHEN 21 THEN 2 ELSE 1 END))"))
         .selectExpr(
             "member_id",
             "claimid",

@@ -169,4 +169,10 @@ def ndc_rows() -> list[tuple[str, str, str, str, str]]:
     for i in range(32):
         name, route = ASTHMA_DRUGS[i % len(ASTHMA_DRUGS)]
         rows.append(("Asthma Medications", f"N{i + 20}", route, name, f"a{i % 5}"))
+    # The same drug by another route: fills of N20, N28 and N45 are oral and inhaled or injected.
+    rows += [
+        ("Asthma Medications", "N20", "inhalation", "Inhaled corticosteroids", "a0"),
+        ("Asthma Medications", "N28", "subcutaneous", "Antibody inhibitor", "a3"),
+        ("Asthma Medications", "N45", "oral", "Methylxanthines", "a0"),
+    ]
     return rows

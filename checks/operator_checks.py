@@ -905,7 +905,25 @@ SELECT member_id, CAST(date_start AS VARCHAR) AS date_start, CAST(date_end AS VA
 )
 def priority_windows(spark, sf_dir):
     return intervals.priority_windows(
-        order_spans(spark, sf_dir), "member_id", ["status"], "priority", [1, 2, 3, 4, 5]
+        order_spans(spark, sf_dir), "member_id", ["status"], "priority"
+    )
+
+
+@check(
+    "priority_windows_any_level",
+    f"""WITH {ORDER_SPANS}, levelled AS (SELECT *, CASE WHEN priority = 2 THEN NULL ELSE priority * 37 - 60 END AS level FROM order_spans),
+cuts AS (SELECT member_id, date_start AS x FROM levelled UNION SELECT member_id, date_end + 1 FROM levelled),
+pieces AS (SELECT member_id, x AS date_start, lead(x) OVER (PARTITION BY member_id ORDER BY x) - 1 AS date_end FROM cuts),
+ranked AS (SELECT p.member_id, p.date_start, p.date_end, s.status, row_number() OVER (PARTITION BY p.member_id, p.date_start
+    ORDER BY s.level NULLS LAST, s.date_end DESC, s.status DESC) AS i
+  FROM pieces p JOIN levelled s ON s.member_id = p.member_id AND s.date_start <= p.date_start AND s.date_end >= p.date_end)
+SELECT member_id, CAST(date_start AS VARCHAR) AS date_start, CAST(date_end AS VARCHAR) AS date_end, status FROM ranked WHERE i = 1""",
+)
+def priority_windows_any_level(spark, sf_dir):
+    """Negative, sparse and null priorities."""
+    level = F.when(F.col("priority") != 2, F.col("priority") * 37 - 60)
+    return intervals.priority_windows(
+        order_spans(spark, sf_dir).withColumn("level", level), "member_id", ["status"], "level"
     )
 
 
@@ -985,7 +1003,7 @@ def treatment_days(spark, sf_dir):
 clipped AS (SELECT member_id, greatest(dischdate, fromdate) AS s, least(dischdate + 179, fromdate + days) AS e
   FROM line_fills JOIN idx USING (member_id) WHERE fromdate + days >= dischdate OR fromdate >= dischdate),
 days AS (SELECT DISTINCT member_id, unnest(generate_series(s, e - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS day FROM clipped WHERE s < e)
-SELECT member_id, count(*) AS covered_days FROM days GROUP BY member_id""",
+SELECT member_id, count(day) AS covered_days FROM idx LEFT JOIN days USING (member_id) GROUP BY member_id""",
 )
 def covered_days_after_index(spark, sf_dir):
     index = (
@@ -993,9 +1011,7 @@ def covered_days_after_index(spark, sf_dir):
         .groupBy(F.col("o_custkey").alias("member_id"))
         .agg(F.min(F.to_date("o_orderdate")).alias("dischdate"))
     )
-    return supply.covered_days_after_index(line_fills(spark, sf_dir), index, 180).where(
-        "covered_days > 0"
-    )
+    return supply.covered_days_after_index(line_fills(spark, sf_dir), index, 180)
 
 
 @check(

@@ -70,7 +70,7 @@ FROM ({LINES})
     "rx_claims": f"""
 SELECT member_id, claimid, fromdate, CAST(q * (1 + p % 4) AS DOUBLE) AS dayssupply,
        'N' || (p % 60) AS ndc
-FROM ({LINES}) WHERE n >= 4
+FROM ({LINES}) CROSS JOIN (VALUES (1), (2)) AS t(copy) WHERE copy = 1 OR p % 60 = 21
 """,
     "followup_claims": """
 SELECT CAST(o_custkey AS VARCHAR) AS member_id, CAST(o_orderkey AS VARCHAR) AS claimid,

@@ -7,6 +7,7 @@ import datetime
 import pytest
 
 from caregauge.plans import AWV, MMA, PBH, PCPFollowup
+from caregauge.plans.pcp import COLUMNS
 from tests.helpers import rows, scores, table
 
 PCP_ROWS = """
@@ -58,8 +59,12 @@ def test_pcp_followup(spark, cutoff, column, prefix):
         f"{prefix}pcp_followup_days_since int",
         PCP_ROWS,
     )
+    # Another table with a similar name and further columns of the same endings don't matter.
+    claims = claims.selectExpr("*", "'O10' AS other_line")
+    named = {name: prefix + usual for name, usual in COLUMNS.items()}
     result = PCPFollowup().calc_measure(
-        {"followup_claims": claims}, datetime.date(2018, 1, 1), cutoff=cutoff
+        {"outclaims": claims.select("claimid", "member_id"), "outclaims_prm": claims},
+        datetime.date(2018, 1, 1), cutoff=cutoff, source="outclaims_prm", columns=named,
     )
     assert scores(result) == {m: (e[column], e[2]) for m, e in PCP_EXPECTED.items()}
     assert {r["comp_quality_short"] for r in result.collect()} == {f"PCP Followup: {cutoff}-Day"}

@@ -77,12 +77,28 @@ def test_priority_windows(spans, groups):
                 best = min(active, key=lambda m: (m[2], -m[1], -ord(m[3])))
                 expected.append((key, at(a), at(b), best[3]))
     found = rows(
-        priority_windows(spans, "k", ["payload"], "level", [0, 1, 2]),
+        priority_windows(spans, "k", ["payload"], "level"),
         "k", "date_start", "date_end", "payload",
     )
     assert found == sorted(expected, key=repr)
 
 
+def test_priority_windows_take_any_level(spark):
+    spans = spark.sql(
+        "SELECT k, level, payload, date'2020-01-01' + s AS date_start, date'2020-01-01' + e AS date_end FROM VALUES "
+        "('a', 7, 'x', 0, 9), ('a', 1, 'y', 3, 4), ('a', NULL, 'z', 8, 12), (NULL, -5, 'n', 0, 1), ('b', NULL, 'u', 0, 0) "
+        "AS t(k, level, payload, s, e)"
+    )
+    found = rows(priority_windows(spans, "k", ["payload"], "level"), "k", "date_start", "date_end", "payload")
+    assert found == sorted(
+        [
+            ("a", at(0), at(2), "x"), ("a", at(3), at(4), "y"), ("a", at(5), at(7), "x"), ("a", at(8), at(9), "x"),
+            ("a", at(10), at(12), "z"), (None, at(0), at(1), "n"), ("b", at(0), at(0), "u"),
+        ],
+        key=repr,
+    )
+
+
 @pytest.mark.parametrize("touching", [True, False])
 def test_merge_windows(spans, groups, touching):
     expected = []
