@@ -142,13 +142,14 @@ def proportion_days_covered(
     # drug has at most one per day of the calendar.
     low = f"greatest({final + 1} - _first + _length - 1, 0) div _length"
     blocks = f"CASE WHEN _last > {final} THEN (_copies - {low}) div {COPIES_PER_ROW} ELSE -1 END"
+    blocked = runs.withColumn("_low", F.expr(low))
+    if clamp:
+        blocked = blocked.withColumn("_block", F.lit(-1))
+    else:  # a long run's blocks are dealt out before they become copies
+        blocked = blocked.withColumn("_block", F.expr(f"explode(sequence(-1L, {blocks}))"))
+        blocked = blocked.repartition(key, drug, "_first", "_block")
     marks = (
-        runs.withColumn("_low", F.expr(low))
-        .withColumn(
-            "_block", F.explode(F.array(F.lit(-1))) if clamp
-            else F.expr(f"explode(sequence(-1L, {blocks}))")
-        )
-        .withColumn(
+        blocked.withColumn(
             "_copy",
             F.expr(
                 "explode(CASE WHEN _block < 0 THEN array(-1L) ELSE "

@@ -27,6 +27,8 @@ CHANNEL_SYSTEMS = {
     "billtype": ("UBTOB",),
 }
 
+#: Tags that one mask word holds.
+WORD_BITS = 62
 MASK = "tags"
 ORDINAL = "icd_ordinal"
 
@@ -68,25 +70,12 @@ def value_set_coverage(reference: DataFrame, required: Iterable[str]) -> DataFra
 
 def require_one_code_system(reference: DataFrame, value_set: str) -> None:
     """Fail when a value set mixes code systems or has none."""
-    systems = (
-        reference.where(F.col("value_set_name") == value_set)
-        .select("code_system")
-        .distinct()
-        .limit(2)
-        .count()
-    )
-    if systems != 1:
-        raise ValueError(f"value set {value_set!r} must use one code system")
+    require(reference, one_system=(value_set,))
 
 
 def require_value_sets(reference: DataFrame, required: Iterable[str]) -> None:
-    """Fail when a required value set has no code (one small aggregate)."""
-    missing = [
-        row["value_set_name"]
-        for row in value_set_coverage(reference, required).where("n_codes = 0").collect()
-    ]
-    if missing:
-        raise ValueError(f"value sets without codes: {sorted(missing)}")
+    """Fail when a required value set has no code."""
+    require(reference, present=required)
 
 
 def unaccounted_code_systems(
@@ -111,9 +100,41 @@ def require_code_systems(
     reference: DataFrame, accounted: Mapping[str, Sequence[str]]
 ) -> None:
     """Fail when a value set uses a code system that would be ignored."""
-    ignored = unaccounted_code_systems(reference, accounted).collect()
-    if ignored:
-        raise ValueError(f"code systems not accounted for: {sorted(map(tuple, ignored))}")
+    require(reference, accounted=accounted)
+
+
+def require(
+    reference: DataFrame,
+    present: Iterable[str] = (),
+    one_system: Iterable[str] = (),
+    accounted: Mapping[str, Sequence[str]] | None = None,
+) -> None:
+    """All of these checks from one aggregate over the code table.
+
+    ``present`` must have codes, ``one_system`` must use one code system each, and
+    ``accounted`` must use no other systems than those listed. At most one row for each
+    named value set and code system comes back.
+    """
+    present, one_system, accounted = set(present), set(one_system), dict(accounted or {})
+    names = sorted(present | one_system | set(accounted))
+    rows = (
+        reference.where(F.col("value_set_name").isin(names))
+        .select("value_set_name", *[c for c in ("code_system",) if one_system or accounted])
+        .distinct()
+        .collect()
+    )
+    systems: dict[str, set] = {}
+    for row in rows:
+        systems.setdefault(row[0], set()).update(row[1:])
+    if missing := sorted(present - set(systems)):
+        raise ValueError(f"value sets without codes: {missing}")
+    for name, known in accounted.items():
+        ignored = systems.get(name, set()) - {None} - set(known)
+        if ignored:
+            raise ValueError(f"code systems not accounted for: {sorted((name, x) for x in ignored)}")
+    for name in sorted(one_system):
+        if len(systems.get(name, ())) != 1:
+            raise ValueError(f"value set {name!r} must use one code system")
 
 
 def unpivot_codes(claims: DataFrame, stem: str, keep: Sequence[str]) -> DataFrame:
@@ -191,8 +212,8 @@ class CodeBook:
         self._bits = {
             tag: 1 << i for i, tag in enumerate(dict.fromkeys(rule.tag for rule in rules))
         }
-        if len(self._bits) > 62:
-            raise ValueError("a code book holds at most 62 tags")
+        if len(self._bits) > WORD_BITS:
+            raise ValueError(f"a code book holds at most {WORD_BITS} tags; use several books")
         self._principal = sum({self._bits[rule.tag] for rule in rules if rule.principal})
 
     def sql(self, tag: str) -> str:
@@ -210,8 +231,11 @@ class CodeBook:
             f"'version', {rule.version()}, 'mask', {self._bits[rule.tag]}L) END"
             for rule in self.rules
         )
+        # The condition outside of the CASE reaches the scan of the code table.
+        used = " OR ".join(dict.fromkeys(f"({rule.selects()})" for rule in self.rules))
         return (
             normalise_value_sets(reference, self.version)
+            .where(used)
             .selectExpr("code", f"inline(array_compact(array({entries})))")
             .groupBy("channel", "version", "code")
             .agg(F.bit_or("mask").alias("mask"))
@@ -249,14 +273,16 @@ class CodeBook:
                 wanted
             )
         # Slot 0 is the row itself; each further slot is one ICD column, matched on
-        # (channel, version, code).
+        # (channel, version, code). Slot 0 matches nothing: its code is a hash that spreads
+        # these rows evenly, should the join be shuffled.
+        spread = f"concat('-', xxhash64({', '.join(keep)}))"
         columns = ", ".join(slot.column for slot in slots)
         codes = tagged.selectExpr(
             *keep,
             "icdversion AS _version",
             f"{row_mask} AS _row_mask",
-            f"posexplode(array(CAST(NULL AS STRING), {columns})) AS (_slot, code)",
-        ).where("code IS NOT NULL OR _slot = 0")
+            f"posexplode(array({spread}, {columns})) AS (_slot, code)",
+        ).where("code IS NOT NULL")
 
         def per_slot(values: Iterable[str], otherwise: str) -> str:
             branches = (f"WHEN {i} THEN {value}" for i, value in enumerate(values, start=1))
@@ -266,8 +292,8 @@ class CodeBook:
             *keep,
             "_row_mask",
             "code",
-            per_slot((f"'{slot.channel}'" for slot in slots), "NULL") + " AS channel",
-            per_slot((slot.version for slot in slots), "NULL") + " AS version",
+            per_slot((f"'{slot.channel}'" for slot in slots), "'-'") + " AS channel",
+            per_slot((slot.version for slot in slots), "'-'") + " AS version",
             per_slot((str(slot.ordinal) for slot in slots), "0") + f" AS {ORDINAL}",
         )
         code_mask = "coalesce(mask, 0L)"
@@ -300,21 +326,28 @@ def claim_value_sets(
     key: Sequence[str] = ("member_id", "claimid"),
 ) -> DataFrame:
     """Sorted names of the value sets each claim touches, over all code columns."""
-    book = CodeBook(
-        *[
-            CodeRule(name, channel, (name,), systems)
-            for name in value_sets
-            for channel, systems in CHANNEL_SYSTEMS.items()
-        ],
-        version="padded",
-    )
-    found = (
-        book.tag(claims, reference, list(key)).groupBy(*key).agg(F.bit_or(MASK).alias(MASK))
-    )
-    names = ", ".join(
-        f"CASE WHEN {book.sql(name)} THEN {_texts(name)} END" for name in sorted(value_sets)
+    wanted = sorted(set(value_sets))
+    parts = []
+    for low in range(0, len(wanted), WORD_BITS):  # one word of tags at a time
+        some = wanted[low : low + WORD_BITS]
+        book = CodeBook(
+            *[
+                CodeRule(name, channel, (name,), systems)
+                for name in some
+                for channel, systems in CHANNEL_SYSTEMS.items()
+            ],
+            version="padded",
+        )
+        found = book.tag(claims, reference, list(key)).groupBy(*key).agg(F.bit_or(MASK).alias(MASK))
+        names = ", ".join(f"CASE WHEN {book.sql(name)} THEN {_texts(name)} END" for name in some)
+        parts.append(found.selectExpr(*key, f"array_compact(array({names})) AS value_set_names"))
+    if len(parts) == 1:
+        return parts[0]
+    # One row a word and claim: a handful to bring together.
+    stacked = reduce(DataFrame.unionByName, parts)
+    return stacked.groupBy(*key).agg(
+        F.sort_array(F.flatten(F.collect_list("value_set_names"))).alias("value_set_names")
     )
-    return found.selectExpr(*key, f"array_compact(array({names})) AS value_set_names")
 
 
 def codes_unique_to(reference: DataFrame, wanted: str, other: str) -> DataFrame:

@@ -14,9 +14,7 @@ from caregauge.operators.output import measure_rows
 from caregauge.operators.valuesets import (
     CodeBook,
     CodeRule,
-    require_code_systems,
-    require_one_code_system,
-    require_value_sets,
+    require,
 )
 from caregauge.plans.base import QualityMeasure
 from caregauge.plans.common import fills_of, on_list, visit_rules
@@ -71,22 +69,19 @@ BRONCHITIS_BOOK = CodeBook(
 
 def check_references(reference: DataFrame, ndc: DataFrame) -> None:
     """Every value set and drug group has codes, in code systems the rules read."""
-    require_value_sets(
-        reference, (*VISITS, BRONCHITIS, ADMISSION, *NEGATIVE_CONDITIONS, *COMPETING)
-    )
-    require_value_sets(
-        ndc.where(on_list(ANTIBIOTIC_LIST)).withColumnRenamed("description", "value_set_name"),
-        ANTIBIOTICS,
-    )
-    require_code_systems(
+    require(
         reference,
-        {
+        present=(*VISITS, BRONCHITIS, ADMISSION, *NEGATIVE_CONDITIONS, *COMPETING),
+        one_system=(BRONCHITIS, ADMISSION),
+        accounted={
             **{name: ("CPT", "HCPCS", "UBREV") for name in VISITS},
             **{name: ICD for name in (*NEGATIVE_CONDITIONS, *COMPETING)},
         },
     )
-    require_one_code_system(reference, BRONCHITIS)
-    require_one_code_system(reference, ADMISSION)
+    require(
+        ndc.where(on_list(ANTIBIOTIC_LIST)).withColumnRenamed("description", "value_set_name"),
+        present=ANTIBIOTICS,
+    )
 
 
 class AAB(QualityMeasure):
@@ -124,7 +119,12 @@ class AAB(QualityMeasure):
         )
         fills = fills_of(
             table(dfs_input, "rx_claims").where(
-                F.col("fromdate") <= F.date_add(F.lit(last), 3)
+                # Filled in reach of the frames, or supplied until the first visit day.
+                (F.col("fromdate") <= F.date_add(F.lit(last), 3))
+                & (
+                    (F.col("fromdate") >= F.date_sub(F.lit(first), 30))
+                    | (add_days("fromdate", F.col("dayssupply")) >= F.lit(first))
+                )
             ),
             table(dfs_input, "ndc"),
             on_list(ANTIBIOTIC_LIST) & F.col("description").isin(*ANTIBIOTICS),
@@ -194,7 +194,14 @@ class AAB(QualityMeasure):
             & F.col("of_age")
         )
         episodes = (
-            coverage_around(events, table(dfs_input, "member_time"))
+            coverage_around(
+                events,
+                # Only spans that touch a window count: from a year before the first day on.
+                table(dfs_input, "member_time").where(
+                    (F.col("date_end") >= F.date_sub(F.lit(py), 366))
+                    & (F.col("date_start") <= F.date_add(F.lit(last), 8))
+                ),
+            )
             .join(members, "member_id")
             .select(
                 "member_id",

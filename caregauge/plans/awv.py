@@ -160,7 +160,11 @@ def wellness_results(
 ) -> DataFrame:
     """The four reported variants: both code sets by calendar year and by rolling year."""
     year = (performance_yearstart, year_end(performance_yearstart))
-    rolling = (date_latestpaid.replace(year=date_latestpaid.year - 1), date_latestpaid)
+    leap_day = (date_latestpaid.month, date_latestpaid.day) == (2, 29)
+    year_before = date_latestpaid.replace(
+        year=date_latestpaid.year - 1, day=28 if leap_day else date_latestpaid.day
+    )
+    rolling = (year_before, date_latestpaid)
     whole, medicare = "refs_well_care_whole", "reference_awv"
     return check_result(
         wellness(

@@ -41,9 +41,14 @@ class PBH(QualityMeasure):
         # A stay is acute when its code belongs to the acute set alone.
         acute_codes = codes_unique_to(reference, "Inpatient Stay", "Nonacute Inpatient Stay")
         codes = acute_codes.withColumn("value_set_name", F.lit(ACUTE_STAY)).unionByName(reference)
-        lines = STAY_BOOK.tag(claims, codes, ["member_id", "claimid", "admitdate", "dischdate"])
-        in_window = F.col("dischdate").between(
-            F.lit(datetime.date(year - 1, 7, 1)), F.lit(datetime.date(year, 6, 30))
+        window = F.lit(datetime.date(year - 1, 7, 1)), F.lit(datetime.date(year, 6, 30))
+        in_window = F.col("dischdate").between(*window)
+        # A stay matters when it ends in the window or begins the day after an end there.
+        near = in_window | F.col("admitdate").between(
+            F.date_add(window[0], 1), F.date_add(window[1], 1)
+        )
+        lines = STAY_BOOK.tag(
+            claims.where(near), codes, ["member_id", "claimid", "admitdate", "dischdate"]
         )
         index = first_episode(
             direct_transfers(

@@ -153,7 +153,14 @@ class PCR(QualityMeasure):
             (F.col("gap_count") > 1) | (F.col("gap_days") > 45),
         ).otherwise(F.col("gap_count") > 0)
         return (
-            coverage_around(events, table(dfs_input, "member_time"))
+            coverage_around(
+                events,
+                # Only spans that touch a window count: a year before to a month after discharge.
+                table(dfs_input, "member_time").where(
+                    (F.col("date_end") >= F.date_sub(F.lit(performance_yearstart), 366))
+                    & (F.col("date_start") <= F.date_add(F.lit(last_discharge), 31))
+                ),
+            )
             .groupBy("member_id", F.col("event.transfer_claimid").alias("transfer_claimid"))
             .agg(
                 F.bool_or(lapsed).alias("lapsed"),
@@ -163,8 +170,9 @@ class PCR(QualityMeasure):
             .drop("lapsed")
         )
 
-    def _calc_measure(self, dfs_input, performance_yearstart):
-        require_value_sets(table(dfs_input, "reference"), REQUIRED)
+    def _calc_measure(self, dfs_input, performance_yearstart, *, check: bool = True):
+        if check:
+            require_value_sets(table(dfs_input, "reference"), REQUIRED)
         of_age = (
             table(dfs_input, "member")
             .where(age_on(year_end(performance_yearstart)).between(18, 64))

@@ -44,3 +44,20 @@ def measure_pcp_14(spark, sf_dir):
 @check("measure_awv", SQL["measure_awv"])
 def measure_awv(spark, sf_dir):
     return plans.wellness_results(model.tables(spark, sf_dir), model.PY, model.LATEST_PAID)
+
+
+# What the stacked result keeps: rows with a denominator, of the wellness variants those that the
+# measure reports.
+STACKED = " UNION ALL ".join(
+    "SELECT member_id, comp_quality_short, CAST(comp_quality_numerator AS BIGINT) AS comp_quality_numerator, "
+    "CAST(comp_quality_denominator AS BIGINT) AS comp_quality_denominator, CAST(comp_quality_date_last AS VARCHAR) AS comp_quality_date_last, "
+    "CAST(comp_quality_date_actionable AS VARCHAR) AS comp_quality_date_actionable, CAST(comp_quality_comments AS VARCHAR) AS comp_quality_comments "
+    f"FROM ({SQL[name]})"
+    for name in (*ANNUAL, "measure_pcp_7", "measure_pcp_14", "measure_awv")
+)
+
+
+@check("run_all", f"SELECT * FROM ({STACKED}) WHERE comp_quality_denominator <> 0")
+def run_all(spark, sf_dir):
+    """Every measure over one set of tables, stacked."""
+    return plans.run_all(model.tables(spark, sf_dir), model.PY, model.LATEST_PAID)

@@ -163,7 +163,7 @@ fills AS (SELECT member_id, dischdate, fromdate, fromdate + CAST(dayssupply AS I
   WHERE medication_list = 'Beta-Blocker Medications'),
 clipped AS (SELECT member_id, greatest(dischdate, fromdate) AS date_start, least(dischdate + 179, until) AS date_end
   FROM fills WHERE until >= dischdate OR fromdate >= dischdate),
-used AS (SELECT * FROM clipped WHERE date_start < date_end),
+used AS (SELECT DISTINCT * FROM clipped WHERE date_start < date_end),
 opened AS (SELECT *, CASE WHEN date_start <= max(date_end) OVER (PARTITION BY member_id ORDER BY date_start, date_end
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM used),
 islands AS (SELECT *, sum(opens) OVER (PARTITION BY member_id ORDER BY date_start, date_end

@@ -280,10 +280,12 @@ pill oral Leukotriene_modifiers d1
 anti subcutaneous Antibody_inhibitor d2
 puff inhalation Inhaled_corticosteroids d3
 help inhalation Short-acting_inhaled_beta-2_agonists d4
+mist inhalation Inhaled_corticosteroids d1
+shot subcutaneous Antibody_inhibitor d1
 """
 
 
-def mma_result(spark, claims: str, fills: str, born: str = "1980-01-01", fixes=()):
+def mma_result(spark, claims: str, fills: str, born: str = "1980-01-01", fixes=(), claimid: str = "uuid()"):
     """Result over one-span members; claims: member day revcode diagnosis; fills: member day ndc supply."""
     reference = table(
         spark, "value_set_name string, code string, code_system string", ASTHMA_REFERENCE
@@ -298,7 +300,7 @@ def mma_result(spark, claims: str, fills: str, born: str = "1980-01-01", fixes=(
     ).selectExpr("*", "'10' AS icdversion", "CAST(NULL AS STRING) AS icddiag2", "'c' AS claimid")
     rx = table(
         spark, "member_id string, fromdate date, ndc string, dayssupply double", fills
-    ).selectExpr("*", "uuid() AS claimid")
+    ).selectExpr("*", f"{claimid} AS claimid")
     people = med.select("member_id").union(rx.select("member_id")).distinct()
     tables = {
         "reference": reference,
@@ -362,6 +364,23 @@ def test_mma_long_oral_fill_counts_per_month(spark):
     assert mma_result(spark, claims, "m 2018-01-10 pill 15") == {}
 
 
+def test_mma_oral_events_repeat_all_fills_of_their_claim(spark):
+    """An oral and an inhaled fill of one drug and claim stand for two event rows each: 120 of 159 days."""
+    claims, fills = "m 2018-01-05 0450 J45901", "m 2018-07-25 pill 30\n m 2018-07-25 mist 30"
+    assert mma_result(spark, claims, fills, claimid="'r'") == {"m": (1, 1)}
+    assert mma_result(spark, claims, fills, claimid="ndc") == {"m": (0, 1)}  # apart: one row of the pill, two of the day
+    # 90 days oral and injected: three events on both, one more for the injection.
+    assert mma_result(spark, claims, "m 2018-07-25 pill 30\n m 2018-07-25 shot 30", claimid="'r'") == {"m": (0, 1)}
+
+
+def test_mma_identical_injected_fills_are_one_event(spark):
+    claims, fills = "m 2018-01-05 0450 J45901", "m 2018-07-25 anti 30\n m 2018-07-25 anti 30"
+    # One event row, joined to two fills: 60 of 159 days.
+    assert mma_result(spark, claims, fills, claimid="'r'") == {"m": (0, 1)}
+    assert mma_result(spark, claims, fills.replace("30", "38"), claimid="'r'") == {"m": (0, 1)}
+    assert mma_result(spark, claims, fills, claimid="CAST(monotonically_increasing_id() AS STRING)") == {"m": (1, 1)}
+
+
 def test_mma_fills_only_member_has_no_denominator(spark):
     claims = "other 2018-01-05 0510 J06"
     fills = """

@@ -85,7 +85,7 @@ def test_priority_windows(spans, groups):
 
 def test_priority_windows_take_any_level(spark):
     spans = spark.sql(
-        "SELECT k, level, payload, date'2020-01-01' + s AS date_start, date'2020-01-01' + e AS date_end FROM VALUES "
+        "SELECT k, level, payload, date'2018-01-01' + s AS date_start, date'2018-01-01' + e AS date_end FROM VALUES "
         "('a', 7, 'x', 0, 9), ('a', 1, 'y', 3, 4), ('a', NULL, 'z', 8, 12), (NULL, -5, 'n', 0, 1), ('b', NULL, 'u', 0, 0) "
         "AS t(k, level, payload, s, e)"
     )

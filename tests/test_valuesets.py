@@ -1,6 +1,7 @@
 """Value-set tagging."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from caregauge.operators.valuesets import (
     CodeBook,
@@ -8,6 +9,7 @@ from caregauge.operators.valuesets import (
     claim_value_sets,
     codes_unique_to,
     normalise_value_sets,
+    require,
     require_code_systems,
     require_one_code_system,
     require_value_sets,
@@ -138,6 +140,49 @@ def test_requirements(reference):
         require_code_systems(reference, accounted)
 
 
+def test_requirements_together(reference):
+    require(reference, ["Visit"], ["Kidney"], {"Visit": ("CPT", "UBREV"), "Kidney": ("ICD10PCS",)})
+    with pytest.raises(ValueError, match="Kidney"):
+        require(reference, ["Visit"], accounted={"Kidney": ("CPT",)})
+
+
+def test_many_value_sets_at_once(spark):
+    """More sets than one word of tags holds; every claim carries the code of some."""
+    names = [f"Set {k:03}" for k in range(130)]
+    reference = spark.createDataFrame([(n, f"V{k}", "CPT") for k, n in enumerate(names)], "value_set_name string, code string, code_system string")
+    claims = spark.createDataFrame(
+        [(f"m{k % 7}", f"V{k}", f"c{k % 13}") for k in range(140)], "member_id string, hcpcs string, claimid string"
+    )
+    claims = claims.selectExpr("*", "CAST(NULL AS STRING) AS revcode", "CAST(NULL AS STRING) AS billtype", "'10' AS icdversion", "CAST(NULL AS STRING) AS icddiag1", "CAST(NULL AS STRING) AS icdproc1")
+    found = {(r[0], r[1]): r[2] for r in claim_value_sets(claims, reference, names).collect()}
+    expected = {}
+    for k in range(130):
+        expected.setdefault((f"m{k % 7}", f"c{k % 13}"), []).append(names[k])
+    assert {key: value for key, value in found.items() if value} == expected
+
+
+def test_shuffled_tagging_spreads_a_hot_code(spark):
+    """Without broadcast no partition gets a share of the rows that match nothing."""
+    claims = spark.range(20_000).selectExpr(
+        "CAST(id AS STRING) AS member_id", "CAST(NULL AS STRING) AS hcpcs", "'10' AS icdversion",
+        "CAST(NULL AS STRING) AS icddiag1", "IF(id % 3 = 0, 'E119', NULL) AS icddiag2",
+    )
+    reference = spark.createDataFrame([("Diabetes", "E11.9", "ICD10CM")], "value_set_name string, code string, code_system string")
+    book = CodeBook(CodeRule("diabetes", "icddiag", ("Diabetes",)), version="digits")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        tagged = book.tag(claims, reference, ["member_id"], also=F.lit(True))
+        share = tagged.where("icd_ordinal = 0").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert tagged.where(book.has("diabetes")).count() == 6667
+        assert share < 2 * 20_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_unpivot_keeps_the_position(claims):
     found = unpivot_codes(claims, "icddiag", ["member_id"]).where("member_id = 'second_position'")
     assert rows(found, "ordinal", "code") == [(1, "I10"), (2, "E119")]
