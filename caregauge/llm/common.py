@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch: bounds what a Python worker holds at once.
 BATCH_ROWS = 2000
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

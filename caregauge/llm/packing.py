@@ -34,7 +34,7 @@ from caregauge.sources.scratch import stored
 CAPACITY = 2048
 END_ID = 1
 #: Encoded pieces that a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 _UNUSUAL = re.compile("[^\n -~¡-¬®-ɏ]")
 

@@ -30,7 +30,7 @@ from caregauge.llm.common import bounded_batches, worker_state
 
 BLANK = "▁"
 #: Words that a worker remembers, and code points segmented at once.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 BATCH_CHARS = 400_000
 #: Words longer than this are cut where no piece can lie across, if such places exist.
 LONG = 48

@@ -33,7 +33,7 @@ from caregauge.llm.common import (
 SAMPLE_DOCUMENTS = 1500
 SAMPLE_LINES = 64
 #: Code points whose features are computed at once.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 STEPS = 150
 
 FEATURES = 13

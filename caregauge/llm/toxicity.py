@@ -38,7 +38,7 @@ MAX_STEMS = 20_000
 MAX_EXCEPTIONS = 5_000
 #: Word beginnings of these lengths are tried.
 SHORTEST, LONGEST = 3, 12
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
 
 # Digits and signs that are read as letters, and look-alikes of other scripts.
 STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "€": "e"}
