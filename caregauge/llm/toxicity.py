@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -157,8 +158,10 @@ def _beginnings(text: str) -> set[str]:
 def learned(documents: DataFrame, labels: DataFrame, parts: int, held_out: int) -> dict:
     """Lexicon, exceptions and curve from a bounded sample of labelled rows outside the held-out fold.
 
-    Beginnings of toxic documents are counted over documents of both labels; one is taken where its
-    binomial evidence outweighs the number of beginnings tried and no shorter one says the same.
+    Beginnings of toxic documents are counted over documents of both labels. Candidates are those
+    whose binomial evidence outweighs the number of beginnings tried, also when toxic documents
+    with the same word before count once, so that copies of a document are no evidence of their
+    own; of those, ones for which no shorter one says the same are taken.
     """
     label_of = labelled_ids(labels, "toxic", parts, held_out, SAMPLE_DOCUMENTS)
     toxic = {k: v for k, v in label_of.items() if v == 1}
@@ -189,16 +192,41 @@ def learned(documents: DataFrame, labels: DataFrame, parts: int, held_out: int)
     misses = {r["stem"]: r["n"] for r in counted(sample_rows(documents, clean), frozenset(hits)).collect()}
     base = n_toxic / (n_toxic + n_clean)
     need = math.log(len(hits) + 1) + 1
+
+    def evidence(t: int, c: int) -> float:
+        rate = t / (t + c)
+        if rate <= max(base, 0.8):
+            return -math.inf
+        return t * math.log(rate / base) + (c * math.log((1 - rate) / (1 - base)) if c else 0.0)
+
+    passed = {stem: evidence(t, misses.get(stem, 0)) for stem, t in hits.items()}
+    tried_stems = frozenset(sorted((x for x, e in passed.items() if e >= need), key=lambda x: (-passed[x], x))[:MAX_STEMS])
+
+    def standing(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Candidates of toxic documents with a hash of the word before their first place."""
+        seen: set[tuple[str, int]] = set()
+        for piece in pieces:
+            for text in piece.column(1).to_pylist():
+                words, here = folded_words(text or ""), {}
+                for before, word in zip(["", *words], words, strict=False):
+                    for n in range(SHORTEST, min(LONGEST, len(word)) + 1):
+                        if word[:n] in tried_stems:
+                            here.setdefault(word[:n], zlib.crc32(before.encode()))
+                seen.update(here.items())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x for x, _ in seen], pa.string()), pa.array([h for _, h in seen], pa.int64())], ["stem", "before"]
+        )
+
+    contexts = sample_rows(documents, toxic).mapInArrow(standing, "stem string, before long").groupBy("stem")
+    apart = {r["stem"]: r["n"] for r in contexts.agg(F.count_distinct("before").alias("n")).collect()}
     weight: dict[str, float] = {}
-    for stem in sorted(hits, key=lambda s: (len(s), s)):
+    for stem in sorted(tried_stems, key=lambda x: (len(x), x)):
         t, c = hits[stem], misses.get(stem, 0)
-        rate = t / (t + c)
-        if rate <= base:
+        if evidence(apart.get(stem, 1), c) < need:
             continue
-        evidence = t * math.log(rate / base) + (c * math.log((1 - rate) / (1 - base)) if c else 0.0)
         odds = math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
         shorter = max((weight[stem[:n]] for n in range(SHORTEST, len(stem)) if stem[:n] in weight), default=-math.inf)
-        if evidence >= need and rate >= 0.8 and odds > shorter + 0.7 and len(weight) < MAX_STEMS:
+        if odds > shorter + 0.7:
             weight[stem] = round(odds, 4)
     # as long as possible: a stem goes on as long as one letter follows in nearly all its documents
     onward: dict[str, tuple[int, str]] = {}
