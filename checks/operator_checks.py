@@ -1016,23 +1016,21 @@ def covered_days_after_index(spark, sf_dir):
 
 @check(
     "rx_dispensing_events",
-    """WITH fills AS (SELECT CASE l_linenumber % 4 WHEN 0 THEN 'oral' WHEN 1 THEN 'inhalation' WHEN 2 THEN 'subcutaneous' ELSE 'topical' END AS route,
+    """WITH fills AS (SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'oral' WHEN 1 THEN 'inhalation' WHEN 2 THEN 'subcutaneous' ELSE 'topical' END AS route,
   l_quantity * 5 AS d FROM lineitem),
-counted AS (SELECT route, d, CAST(CASE route WHEN 'oral' THEN CASE WHEN d <= 30 THEN round_even(d / 30, 0) ELSE floor(d / 30) END
+counted AS (SELECT *, CAST(CASE route WHEN 'oral' THEN CASE WHEN d <= 30 THEN round_even(d / 30, 0) ELSE floor(d / 30) END
   WHEN 'topical' THEN 0 ELSE 1 END AS INTEGER) AS n FROM fills)
-SELECT route, CAST(i AS INTEGER) AS rx_event_number, count(*) AS n_events FROM counted JOIN (SELECT unnest(range(1, 100)) AS i) ON i <= n GROUP BY ALL""",
+SELECT l_orderkey, l_linenumber, route, CAST(i AS INTEGER) AS rx_event_number FROM counted JOIN (SELECT unnest(range(1, 100)) AS i) ON i <= n""",
 )
 def rx_dispensing_events(spark, sf_dir):
     routes = F.array(*[F.lit(x) for x in ("oral", "inhalation", "subcutaneous", "topical")])
     fills = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
         F.get(routes, F.col("l_linenumber") % 4).alias("route"),
         (F.col("l_quantity") * 5).alias("dayssupply"),
     )
-    return (
-        supply.expand_dispensing_events(fills)
-        .groupBy("route", "rx_event_number")
-        .agg(F.count("*").alias("n_events"))
-    )
+    return supply.expand_dispensing_events(fills).drop("dayssupply")
 
 
 # --------------------------------------------------------------------------
