@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caregauge.llm.common import bounded_batches, worker_state
+from caregauge.llm.common import bounded_batches, groups_of, worker_state
 
 BLANK = "▁"
 #: Words that a worker remembers, and code points segmented at once.
 REMEMBERED = 300_000
 BATCH_CHARS = 400_000
+#: Code points of texts that are cut into words at once.
+TEXT_CHARS = 1_000_000
 #: Words longer than this are cut where no piece can lie across, if such places exist.
 LONG = 48
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -72,34 +74,57 @@ def _trainer_kind(proto: bytes) -> int:
     return next((v for k, v in fields(spec) if k == 3), 1)
 
 
-class Segmenter:
+class Decoder:
+    """The bytes of every piece."""
+
+    def __init__(self, model):
+        self.raw: list[bytes] = []
+        for k in range(model.get_piece_size()):
+            piece = model.id_to_piece(k)
+            if model.is_byte(k):
+                self.raw.append(bytes([int(piece[3:5], 16)]))
+            elif model.is_unknown(k):
+                self.raw.append(" ⁇ ".encode())
+            else:
+                plain = not (model.is_control(k) or model.is_unused(k))
+                self.raw.append(piece.replace(BLANK, " ").encode() if plain else b"")
+
+    def decode(self, ids: bytes | None) -> str:
+        """Text of little-endian uint32 ids; the blank that encoding puts in front is taken off."""
+        raw = self.raw
+        text = b"".join([raw[k] for k in np.frombuffer(ids or b"", "<u4").tolist()]).decode("utf-8", "replace")
+        return text[1:] if text[:1] == " " else text
+
+
+def _model(path: str):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
+class Segmenter(Decoder):
     """A SentencePiece model as sorted arrays."""
 
     def __init__(self, path: str):
-        import sentencepiece
-
-        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = _model(path)
+        super().__init__(model)
         size = model.get_piece_size()
         self.merging = _trainer_kind(model.serialized_model_proto()) == 2
         self.unknown = model.unk_id()
         self.byte_id = np.full(256, -1, np.int64)
         plain: list[tuple[float, int, str]] = []
-        self.raw: list[bytes] = [b""] * size
         for k in range(size):
             piece = model.id_to_piece(k)
             if model.is_byte(k):
                 self.byte_id[int(piece[3:5], 16)] = k
-                self.raw[k] = bytes([int(piece[3:5], 16)])
-            elif model.is_unknown(k):
-                self.raw[k] = " ⁇ ".encode()
-            elif not (model.is_control(k) or model.is_unused(k)):
+            elif not (model.is_unknown(k) or model.is_control(k) or model.is_unused(k)):
                 plain.append((-model.get_score(k), k, piece))
-                self.raw[k] = piece.replace(BLANK, " ").encode()
         plain.sort()
         # rank: single characters first, then by score; -1 stands for a character without a piece
         ordered = [p for p in plain if len(p[2]) == 1] + [p for p in plain if len(p[2]) > 1]
         self.text = [p[2] for p in ordered]
         self.ids = np.array([p[1] for p in ordered], np.int64)
+        self.id_bytes = [i.tobytes() for i in self.ids.astype(self.kind).reshape(-1, 1)]
         self.score = np.array([-p[0] for p in ordered], np.float64)
         self.longest = max(map(len, self.text), default=1)
         self.crosses = any(BLANK in p[1:].lstrip(BLANK) for p in self.text)  # a blank after other characters
@@ -237,33 +262,32 @@ class Segmenter:
         back = np.zeros((length + 1, n), np.int32)
         worst = (self.score.min() if len(self.score) else 0.0) - 10
         for end in range(1, length + 1):
-            for begin in range(max(0, end - self.longest), end):
-                h = _mix(prefix[:, end] - prefix[:, begin] * self.powers[end - begin])
-                at = np.minimum(np.searchsorted(self.keys, h), max(len(self.keys) - 1, 0))
-                hit = np.flatnonzero(self.keys[at] == h) if len(self.keys) else np.zeros(0, np.int64)
-                rank = self.rank_of_key[at[hit]]
-                if self.merging and len(hit):
-                    ok = self.built[rank]
-                    hit, rank = hit[ok], rank[ok]
-                    if begin and len(hit):
-                        ok = self.compatible(last[begin, hit], rank)
-                        hit, rank = hit[ok], rank[ok]
-                value = total[begin, hit] + self.score[rank]
-                if self.merging:  # one way only is possible; unreached beginnings stay so
-                    value = np.where(np.isfinite(total[begin, hit]), 0.0, -np.inf)
-                better = value > total[end, hit]
-                hit = hit[better]
-                total[end, hit], last[end, hit], back[end, hit] = value[better], rank[better], begin
-                if begin == end - 1:  # a character without a piece
-                    none = np.flatnonzero(~(self.keys[at] == h)) if len(self.keys) else np.arange(n)
-                    value = total[begin, none] + (0.0 if self.merging else worst)
-                    better = value > total[end, none]
-                    none = none[better]
-                    total[end, none], last[end, none], back[end, none] = value[better], -1, begin
+            begins = np.arange(max(0, end - self.longest), end)
+            h = _mix(prefix[:, end, None] - prefix[:, begins] * self.powers[end - begins]).ravel()
+            at = np.minimum(np.searchsorted(self.keys, h), max(len(self.keys) - 1, 0))
+            found = self.keys[at] == h if len(self.keys) else np.zeros(len(h), bool)
+            flat = np.flatnonzero(found)
+            row, rank, begin = flat // len(begins), self.rank_of_key[at[flat]], begins[flat % len(begins)]
+            ok = np.isfinite(total[begin, row])
+            if self.merging:
+                ok &= self.built[rank]
+                some = np.flatnonzero(ok & (begin > 0))
+                ok[some] = self.compatible(last[begin[some], row[some]], rank[some])
+            row, rank, begin = row[ok], rank[ok], begin[ok]
+            value = total[begin, row] + (0.0 if self.merging else self.score[rank])  # when merging one way only is possible
+            order = np.lexsort((begin, -value, row))  # a word's best way first, of equal ones the longest piece
+            row, rank, begin, value = row[order], rank[order], begin[order], value[order]
+            best = np.flatnonzero(np.diff(row, prepend=-1) != 0)
+            row = row[best]
+            total[end, row], last[end, row], back[end, row] = value[best], rank[best], begin[best]
+            none = np.flatnonzero(~found.reshape(n, -1)[:, -1])  # a character without a piece
+            value = total[end - 1, none] + (0.0 if self.merging else worst)
+            better = value > total[end, none]
+            none = none[better]
+            total[end, none], last[end, none], back[end, none] = value[better], -1, end - 1
         out: list[list[bytes]] = [[] for _ in range(n)]
-        kind = self.kind
         place = np.full(n, length)
-        shown = [i.astype(kind).tobytes() for i in self.ids.reshape(-1, 1)]
+        shown = self.id_bytes
         while True:
             at = np.flatnonzero(place > 0)
             if not len(at):
@@ -284,6 +308,12 @@ class Segmenter:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of every text, little-endian uint32."""
+        out: list[bytes] = []
+        for low, high in groups_of(texts, [len(t or "") for t in texts], TEXT_CHARS):
+            out += self._encode(texts[low:high])
+        return out
+
+    def _encode(self, texts: Sequence[str | None]) -> list[bytes]:
         known: dict[str, bytes] = self.__dict__.setdefault("known", {})
         split = [self.words(t) if t else [] for t in texts]
         new = list(set().union(*split).difference(known)) if split else []
@@ -296,12 +326,6 @@ class Segmenter:
         get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, ws)), self.kind).astype("<u4").tobytes() for ws in split]
 
-    def decode(self, ids: bytes | None) -> str:
-        """Text of little-endian uint32 ids; the blank that encoding puts in front is taken off."""
-        raw = self.raw
-        text = b"".join([raw[k] for k in np.frombuffer(ids or b"", "<u4").tolist()]).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
-
 
 def _segmenter(path: str) -> Segmenter:
     return worker_state(f"segmenter {path}", lambda: Segmenter(path))
@@ -331,9 +355,9 @@ def decoded(df: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), ids:
     names = schema.names
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = _segmenter(path)
+        decoder = worker_state(f"decoder {path}", lambda: Decoder(_model(path)))
         for part in parts:
-            texts = [segmenter.decode(x) for x in part.column(part.num_columns - 1).to_pylist()]
+            texts = [decoder.decode(x) for x in part.column(part.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())], names=names)
 
     return rows.mapInArrow(batches, schema)
