@@ -9,14 +9,13 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from checks.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
