@@ -7,7 +7,7 @@ import types
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch: bounds what a Python worker holds at once.
@@ -63,20 +63,28 @@ def text_starts(texts: Sequence[str]) -> np.ndarray:
     return np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)))
 
 
-def smallest_hashes(rows: DataFrame, group: str, most: int) -> DataFrame:
-    """Of each ``group`` value the ``most`` rows whose ``doc_id`` has the smallest hash.
+def smallest_hashes(rows: DataFrame, group: str, most: int, groups: int) -> list[tuple]:
+    """(group, doc_id) of the ``most`` rows of each ``group`` value whose ``doc_id`` has the smallest hash.
 
-    ``group`` has few values. A count of each gives a hash bound that about twice as many rows pass,
-    so that the ranking, which meets in one task a value, is bounded whatever the table's size.
+    A count of each value gives a hash bound that about twice as many rows pass; only these come to
+    the driver, which ranks them. So what moves is bounded by ``most`` and ``groups`` (an error if
+    there are more), whatever the table's size.
     """
-    sizes = {r[0]: r[1] for r in rows.groupBy(group).agg(F.count("*")).collect()}
+    sizes = rows.groupBy(group).agg(F.count("*")).limit(groups + 1).collect()
+    if len(sizes) > groups:
+        raise ValueError(f"more than {groups} values of {group}")
     h = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
-    bounds = [x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(2**63 - 1, (2**63 - 1) * (2 * most + 100) // n)))]
+    bounds = [x for k, n in sizes for x in (F.lit(k), F.lit(min(2**63 - 1, (2**63 - 1) * (2 * most + 100) // n)))]
     if not bounds:
-        return rows.limit(0)
-    order = Window.partitionBy(group).orderBy(h, "doc_id")
-    near = rows.where(h <= F.create_map(*bounds)[F.col(group)])
-    return near.withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= most).drop("_nth")
+        return []
+    near = rows.where(h <= F.create_map(*bounds)[F.col(group)]).select(group, h.alias("h"), "doc_id").distinct().collect()
+    taken: dict[object, int] = {}
+    out = []
+    for value, _, doc_id in sorted(map(tuple, near)):
+        taken[value] = taken.get(value, 0) + 1
+        if taken[value] <= most:
+            out.append((value, doc_id))
+    return out
 
 
 def labelled_ids(labels: DataFrame, label: str, parts: int, held_out: int, per_class: int) -> dict[int, int]:
@@ -87,7 +95,7 @@ def labelled_ids(labels: DataFrame, label: str, parts: int, held_out: int, per_c
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("y"))
     )
-    return {row["doc_id"]: row["y"] for row in smallest_hashes(once, "y", per_class).collect()}
+    return {doc_id: y for y, doc_id in smallest_hashes(once, "y", per_class, 2)}
 
 
 def sample_rows(documents: DataFrame, label_of: dict[int, int]) -> DataFrame:

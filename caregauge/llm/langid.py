@@ -178,10 +178,7 @@ def learned(documents: DataFrame, parts: int, held_out: int) -> dict[str, str]:
     """
     rows = documents.where(F.col("lang").isNotNull() & (fold("doc_id", parts) != held_out))
     narrow = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    chosen = smallest_hashes(narrow, "lang", SAMPLE_DOCUMENTS).limit(SAMPLE_DOCUMENTS * MAX_LANGUAGES + 1).collect()
-    if len(chosen) > SAMPLE_DOCUMENTS * MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    ids = sorted({row["doc_id"] for row in chosen})
+    ids = sorted({doc_id for _, doc_id in smallest_hashes(narrow, "lang", SAMPLE_DOCUMENTS, MAX_LANGUAGES)})
     cut = F.substring("text", 1, SAMPLE_CHARS).alias("text")  # of the sample only
     texts = (
         rows.where(F.col("doc_id").isin(ids) & F.col("text").isNotNull())
