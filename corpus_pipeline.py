@@ -42,8 +42,10 @@ def near_unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: one document of each group of near-duplicates, that of the smallest id.
 
     Rows are told apart by their place in the table read, so repeated ids are copies like others.
+    The places are written once: how files are split, and so a place worked out again, can change
+    with the executors alive.
     """
-    rows = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    rows = stored(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
     place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.col("_row").alias("row"))
     placed = rows.select(place.alias("_place"), "text")
     groups = simhash.near_duplicates(placed, ("_place",))

@@ -150,6 +150,33 @@ def test_stages_with_odd_rows(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
 
 
+def test_near_unique_when_files_are_split_anew(spark, tmp_path, monkeypatch):
+    """The table's files go to one task when fingerprints are made, and to a task each afterwards."""
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(k // 2, f"text {k // 2} of pair {k // 2 * 7919} stands twice", "en", "s", 1) for k in range(40)]
+    spark.createDataFrame(rows, columns).repartition(8).write.parquet(f"{tmp_path}/docs.parquet")
+    splits = {"spark.sql.files.maxPartitionBytes": "1", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in splits}
+    plain = simhash.near_duplicates
+
+    def then_split(*given):
+        found = plain(*given)
+        for k, v in splits.items():
+            spark.conf.set(k, v)
+        return found
+
+    monkeypatch.setattr(simhash, "near_duplicates", then_split)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = corpus_pipeline.near_unique(spark, spark.read.parquet(f"{tmp_path}/docs.parquet"), SF).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r["doc_id"] for r in got) == list(range(20))
+
+
 def test_pipeline_packs_what_the_stages_keep(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
