@@ -4,7 +4,9 @@ A page is read as blocks of text, each at the end of a path of tags from the roo
 the length of its text (link text counts against it) and its punctuation are summed and divided by
 its number of blocks. Both ratios are laid along the page, smoothed with a Gaussian, multiplied,
 and averaged over the blocks of each path; paths above a share of the page's mean are content.
-Parts whose tag, class, id or role says that they are navigation, advertising and so on never are.
+Parts whose tag says that they are navigation, footer and so on never are. Forms, and parts whose
+class, id or role says so, aren't as long as they hold little of the page's plain text, or
+stand outside a main or article that has text.
 
 Defined results: null and empty pages, and pages without text, give an empty text; unclosed and
 misplaced tags are tolerated; whole pages are read, however long; repeated rows give the same text;
@@ -27,6 +29,8 @@ from caregauge.llm.common import bounded_batches
 #: Width of the smoothing in blocks, and the share of the page's mean that a path must reach.
 SIGMA = 1.0
 SHARE = 0.1
+#: Share of the page's plain text that named parts of one path, and all named parts, may hold.
+NAMED_PATH, NAMED_ALL = 0.25, 0.5
 
 # Fixed values of HTML: elements without an end tag, elements that are part of a line, elements
 # whose content is not markup, and which open elements a start tag closes.
@@ -42,7 +46,7 @@ CLOSES = {
 }
 
 # What the names of parts beside the article say.
-BESIDE_TAGS = frozenset("nav header footer aside form button menu dialog head".split())
+BESIDE_TAGS = frozenset("nav header footer aside button menu dialog head".split())
 BESIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
     "gdpr notice notices alert sidebar widget widgets nav navbar navigation menu menubar breadcrumb breadcrumbs footer "
@@ -61,20 +65,55 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
-def _beside(name: str, attributes: str) -> tuple[bool, str]:
-    """Does the element hold something beside the article; its class names."""
-    if name in BESIDE_TAGS:
-        return True, ""
-    if not attributes or name in KEPT_TAGS:
-        return False, ""
-    named = " ".join(x for m in _NAMES.findall(attributes) for x in m if x)
-    return any(w.lower() in BESIDE_WORDS for w in _WORDS.findall(named)), named
+#: What an element's names say: nothing, one word of a name, a whole name.
+PLAIN, PART, WHOLE = 0, 1, 2
 
 
-def blocks(page: str) -> list[tuple[str, str, int]]:
-    """(path, text, characters of links) of every block outside the parts beside the article."""
-    out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, str, bool]] = [("", "", False)]  # name, path, beside
+def _named(name: str, attributes: str) -> tuple[int, str]:
+    """Do the element's names say that it holds something beside the article; its class names."""
+    mark = PART if name == "form" else PLAIN
+    if not attributes or name in KEPT_TAGS:
+        return mark, ""
+    named = " ".join(x for m in _NAMES.findall(attributes) for x in m if x)
+    if any(w.lower() in BESIDE_WORDS for w in _WORDS.findall(named)):
+        mark = WHOLE if any(x.lower() in BESIDE_WORDS for x in named.split()) else PART
+    return mark, named
+
+
+class Elements:
+    """Elements of a page in the order of their start tags; 0 is the page. Paths are numbers."""
+
+    def __init__(self) -> None:
+        self.name, self.path, self.parent, self.mark = [""], [0], [-1], [PLAIN]
+        self.paths: dict[tuple[int, str, str], int] = {(-1, "", ""): 0}
+
+    def add(self, name: str, named: str, parent: int, mark: int) -> int:
+        self.name.append(name)
+        self.path.append(self.paths.setdefault((self.path[parent], name, named), len(self.paths)))
+        self.parent.append(parent)
+        self.mark.append(mark)
+        return len(self.name) - 1
+
+    def totals(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """Sum of the values in each element and all within it."""
+        out = np.bincount(at, weights=values, minlength=len(self.name)).tolist()
+        for k in range(len(out) - 1, 0, -1):
+            out[self.parent[k]] += out[k]
+        return np.array(out)
+
+    def within(self, chosen: set[int]) -> np.ndarray:
+        """Is the element one of the chosen or within one."""
+        out = [0 in chosen]
+        for k in range(1, len(self.name)):
+            out.append(out[self.parent[k]] or k in chosen)
+        return np.array(out)
+
+
+def blocks(page: str) -> tuple[list[tuple[int, str, int]], Elements]:
+    """(element, text, characters of links) of every block outside the tags beside the article."""
+    out: list[tuple[int, str, int]] = []
+    elements = Elements()
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, element, beside
     words: list[str] = []
     link, linked, at = False, 0, 0
 
@@ -121,13 +160,50 @@ def blocks(page: str) -> list[tuple[str, str, int]]:
             stack.pop()
         if name == "hr" or rest.endswith("/"):
             continue
-        beside, named = _beside(name, rest)
-        _, path, within = stack[-1]
-        stack.append((name, f"{path}/{name}" + (f"[{named}]" if named else ""), beside or within))
+        mark, named = _named(name, rest)
+        _, parent, within = stack[-1]
+        stack.append((name, elements.add(name, named, parent, mark), within or name in BESIDE_TAGS))
     if at < len(page) and not stack[-1][2]:
         words.append(page[at:])
     end_block()
-    return out
+    return out, elements
+
+
+def _beside(elements: Elements, at: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """Elements that their names put beside the article, and those within them.
+
+    A name counts where the parts of its path hold little of the page's plain text; together,
+    smallest first, they take no more than half, so a wrapper or all of an article's sections stay.
+    """
+    marked = [k for k, mark in enumerate(elements.mark) if mark]
+    if not marked:
+        return np.zeros(len(elements.name), bool)
+    text = elements.totals(at, plain)
+    main = np.array([x in ("main", "article") for x in elements.name]) & (text > 0)
+    mains = elements.totals(np.flatnonzero(main), np.ones(int(main.sum())))
+    in_main = elements.within(set(np.flatnonzero(main).tolist()))
+    share: dict[int, float] = {}
+    for k in marked:
+        share[elements.path[k]] = share.get(elements.path[k], 0.0) + text[k]
+    outright, little = set(), set()
+    for k in marked:
+        if elements.mark[k] == WHOLE and mains[0] and not mains[k] and not in_main[k]:
+            outright.add(k)
+        elif text[0] and share[elements.path[k]] <= NAMED_PATH * text[0]:
+            little.add(k)
+    gone = elements.within(outright)
+    inner = elements.within(little)
+    sizes: dict[int, float] = {}
+    outer = [k for k in little if not gone[k] and not inner[elements.parent[k]]]
+    for k in outer:
+        sizes[elements.path[k]] = sizes.get(elements.path[k], 0.0) + text[k]
+    taken, total = set(), 0.0
+    for path, size in sorted(sizes.items(), key=lambda x: (x[1], x[0])):
+        total += size
+        if total > NAMED_ALL * text[0]:
+            break
+        taken.add(path)
+    return elements.within(outright | {k for k in outer if elements.path[k] in taken})
 
 
 def _smoothed(x: np.ndarray) -> np.ndarray:
@@ -140,13 +216,19 @@ def _smoothed(x: np.ndarray) -> np.ndarray:
 
 def main_text(page: str | None) -> str:
     """Text of the content blocks in page order, joined by one space."""
-    found = blocks(page or "")
+    found, elements = blocks(page or "")
     if not found:
         return ""
-    paths = {p: k for k, p in enumerate(dict.fromkeys(p for p, _, _ in found))}
-    of = np.array([paths[p] for p, _, _ in found])
+    at = np.array([k for k, _, _ in found])
     length = np.array([len(t) for _, t, _ in found], float)
     plain = np.maximum(length - [n for _, _, n in found], 0)
+    keep = ~_beside(elements, at, plain)[at]
+    found = [x for x, kept in zip(found, keep, strict=True) if kept]
+    if not found:
+        return ""
+    at, length, plain = at[keep], length[keep], plain[keep]
+    paths: dict[int, int] = {}
+    of = np.array([paths.setdefault(elements.path[k], len(paths)) for k in at])
     marks = np.array([len(_PUNCTUATION.findall(t)) for _, t, _ in found], float)
     many = np.bincount(of)
     text_ratio = (np.bincount(of, weights=plain) / many)[of]

@@ -174,6 +174,28 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "A paragraph of the article, which goes on, and on. " * 12
+BESIDE = '<nav><a href=1>Home</a></nav><div class="sidebar"><p>Other news, of today.</p></div>'
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ['div class="content has-sidebar"', 'div class="post comments-open"', 'section id="search-results-article"', 'div class="share-price-story"', "form"],
+)
+def test_names_of_a_wrapper_don_t_empty_the_page(wrapper):
+    page = f"<body>{BESIDE}<{wrapper}><h1>The title</h1><p>{LONG}<p>{LONG}</p></{wrapper.split()[0]}></body>"
+    assert html_text.main_text(page) == f"The title {LONG}{LONG}".strip()
+
+
+def test_names_of_all_sections_don_t_empty_the_page():
+    page = "<body>" + BESIDE + "".join(f'<section class="notice"><p>{k}: {LONG}</p></section>' for k in range(10)) + "</body>"
+    assert html_text.main_text(page) == "".join(f"{k}: {LONG}" for k in range(10)).strip()
+
+
+def test_short_names_beside_a_short_article():
+    assert html_text.main_text('<div class="ad">Buy this now, it is very cheap.</div><article><p>Short.</p></article>') == "Short."
+
+
 def test_hostile_page_takes_linear_time():
     assert html_text.main_text("<p " * 200_000) is not None
     assert html_text.main_text('<a "' * 100_000) is not None
