@@ -4,6 +4,9 @@ A page is read as blocks of text, each at the end of a path of tags from the roo
 the length of its text (link text counts against it) and its punctuation are summed and divided by
 its number of blocks. Both ratios are laid along the page, smoothed with a Gaussian, multiplied,
 and averaged over the blocks of each path; paths above a share of the page's mean are content.
+Length and punctuation count up to those of a plain paragraph, so very long ones don't raise the
+bar. Everything in the deepest element that holds nearly all this text is content too, such as
+lists, tables and verse between paragraphs.
 Parts whose tag says that they are navigation, footer and so on never are. Forms, and parts whose
 class, id or role says so, aren't as long as they hold little of the page's plain text, or
 stand outside a main or article that has text.
@@ -29,6 +32,10 @@ from caregauge.llm.common import bounded_batches
 #: Width of the smoothing in blocks, and the share of the page's mean that a path must reach.
 SIGMA = 1.0
 SHARE = 0.1
+#: Characters and marks of a block beyond which a path's ratios don't grow.
+FULL_TEXT, FULL_MARKS = 200.0, 4.0
+#: Share of the passing paths' text that the content element holds.
+HELD = 0.9
 #: Share of the page's plain text that named parts of one path, and all named parts, may hold.
 NAMED_PATH, NAMED_ALL = 0.25, 0.5
 
@@ -231,12 +238,19 @@ def main_text(page: str | None) -> str:
     of = np.array([paths.setdefault(elements.path[k], len(paths)) for k in at])
     marks = np.array([len(_PUNCTUATION.findall(t)) for _, t, _ in found], float)
     many = np.bincount(of)
-    text_ratio = (np.bincount(of, weights=plain) / many)[of]
-    mark_ratio = (np.bincount(of, weights=marks) / many)[of]
+    text_ratio = np.minimum(np.bincount(of, weights=plain) / many, FULL_TEXT)[of]
+    mark_ratio = np.minimum(np.bincount(of, weights=marks) / many, FULL_MARKS)[of]
     fused = _smoothed(text_ratio) * (1 + _smoothed(mark_ratio))
     score = np.bincount(of, weights=fused) / many
-    mean = float(np.average(fused, weights=length))
-    return " ".join(t for (_, t, _), k in zip(found, of, strict=True) if score[k] >= SHARE * mean)
+    passing = score[of] >= SHARE * float(np.average(fused, weights=length))
+    if plain.any():  # links alone score by their neighbours only
+        passing &= np.bincount(of, weights=plain)[of] > 0
+    held = elements.totals(at[passing], plain[passing])
+    content = int(np.flatnonzero(held >= HELD * held[0])[-1]) if held[0] else 0
+    inside = elements.within({content})[at]
+    if elements.name[content] in ("", "html", "body"):  # no element of its own: lists of links stay out
+        inside &= 2 * np.bincount(of, weights=plain)[of] >= np.bincount(of, weights=length)[of]
+    return " ".join(t for (_, t, _), kept in zip(found, passing | inside, strict=True) if kept)
 
 
 def extracted(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

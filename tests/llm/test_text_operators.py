@@ -196,6 +196,29 @@ def test_short_names_beside_a_short_article():
     assert html_text.main_text('<div class="ad">Buy this now, it is very cheap.</div><article><p>Short.</p></article>') == "Short."
 
 
+ITEMS = [f"item number {k} of the list" for k in range(12)]
+
+
+@pytest.mark.parametrize(
+    ("part", "text"),
+    [
+        ("<ul>" + "".join(f"<li>{x}" for x in ITEMS) + "</ul>", " ".join(ITEMS)),
+        ("<table>" + "".join(f"<tr><td>cell {k}<td>{k * k}</tr>" for k in range(10)) + "</table>", " ".join(f"cell {k} {k * k}" for k in range(10))),
+        ("<pre>x = 1</pre><div><code>y = 2</code></div>", "x = 1 y = 2"),
+        ("<blockquote>" + "".join(f"<div>verse {k}</div>" for k in range(8)) + "</blockquote>", " ".join(f"verse {k}" for k in range(8))),
+    ],
+)
+def test_short_blocks_of_the_article_stay(part, text):
+    page = f"<body><div><a href=1>Home</a></div><div><h1>Title</h1>{f'<p>{LONG}' * 5}{part}{f'<p>{LONG}' * 5}</div><div><a href=2>Imprint</a></div></body>"
+    got = html_text.main_text(page)
+    assert got == f"Title {LONG * 5}{text} {LONG * 5}".strip()
+
+
+def test_heading_before_very_long_paragraphs():
+    page = f"<body><h1>Title</h1><div>{f'<p>{LONG * 20}' * 30}</div></body>"
+    assert html_text.main_text(page) == f"Title {LONG * 600}".strip()
+
+
 def test_hostile_page_takes_linear_time():
     assert html_text.main_text("<p " * 200_000) is not None
     assert html_text.main_text('<a "' * 100_000) is not None
