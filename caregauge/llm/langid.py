@@ -5,9 +5,10 @@ into phrases, each the longest piece that occurs in the sample; a phrase costs t
 the sample's length. The language that needs the fewest bits (phrases times cost) wins.
 
 Only letters tell languages apart: everything between letters counts as one blank, and case is
-folded. Each automaton is turned into a table: state and symbol give the next state, and a flag where a
-phrase ends and the symbol begins the next one. All pieces of a batch (CHUNK symbols of a text)
-walk through the tables of all languages side by side, one numpy step a symbol, over the whole text.
+folded. Every letter of every sample is a symbol of its own. Each automaton is turned into a sparse
+table, the rows of its states laid into each other's gaps: state and symbol give the next state, and
+whether a phrase ends and the symbol begins the next one. All pieces of a batch (CHUNK symbols of a
+text) walk through the tables of all languages side by side, one numpy step a symbol, over the whole text.
 
 Defined results: null texts and texts without a letter give ``und`` with score 0; so does every
 text when nothing was learned; ties go to the language that comes first in order; an empty table
@@ -16,6 +17,7 @@ gives an empty result; repeated rows are predicted alike; other columns are igno
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator, Sequence
 
@@ -38,8 +40,8 @@ from caregauge.llm.common import (
 SAMPLE_CHARS = 16_000
 SAMPLE_DOCUMENTS = 64
 MAX_LANGUAGES = 200
-#: Different symbols that the tables hold; rarer ones share one symbol.
-SYMBOLS = 96
+#: Gaps that are tried for a row of several transitions before it goes to the end.
+TRIED = 64
 #: Symbols that a walk covers; a phrase never goes beyond.
 CHUNK = 512
 #: Code points of a batch that walk side by side.
@@ -74,8 +76,8 @@ def letters(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return low[keep], np.concatenate(([0], np.cumsum(keep)))[starts]
 
 
-def automaton(symbols: Sequence[int], width: int) -> np.ndarray:
-    """Suffix automaton as a table of (state, symbol) -> next state, -1 where none."""
+def automaton(symbols: Sequence[int]) -> list[dict[int, int]]:
+    """Suffix automaton: for each state the next state by symbol."""
     step: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols:
@@ -101,25 +103,49 @@ def automaton(symbols: Sequence[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    table = np.full((len(step), width), -1, np.int32)
-    for state, moves in enumerate(step):
-        for c, to in moves.items():
-            table[state, c] = to
-    return table
+    return step
 
 
-def parse_table(table: np.ndarray) -> np.ndarray:
-    """(state, symbol) -> 4 * next state + phrases that ended. The last column pads: it changes nothing.
+def parse_table(step: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, entry) of every place of a sparse table; ``width``: number of symbols.
 
-    Where no transition goes on, the phrase ends and the symbol begins the next one; a symbol that
-    the sample lacks is a phrase of its own.
+    Each state has a place of its own where its row begins, state 0 the place 0 with a full row. The
+    entry of a state and a symbol stands at begin + symbol if the owner there is begin: 4 * begin of
+    the next state + phrases that ended. Elsewhere no transition goes on: the phrase ends and the
+    symbol begins the next one (the entry of state 0, + 1). A symbol that the sample lacks is a
+    phrase of its own.
     """
-    first = table[0]
-    anew = np.where(first >= 0, 4 * first + 1, 2)
-    walk = np.where(table >= 0, 4 * table, anew[None, :])
-    walk[0] = np.where(first >= 0, 4 * first, 1)
-    walk[:, -1] = 4 * np.arange(len(table))
-    return walk.astype(np.int32)
+    begin, begins = [0] * len(step), {0}
+    filled = bytearray(b"\1") * width
+    low = width  # places before it are filled
+
+    def free(place: int) -> int:
+        found = filled.find(0, place)
+        return found if found >= 0 else max(place, len(filled))
+
+    for state in sorted(range(1, len(step)), key=lambda k: -len(step[k])):
+        row = sorted(step[state]) or [0]
+        low = place = free(low)
+        for tried in itertools.count():
+            if tried == TRIED and len(row) > 1:
+                place = len(filled)
+            at = place - row[0]
+            if at not in begins and not any(at + c < len(filled) and filled[at + c] for c in row[1:]):
+                break
+            place = free(place + 1)
+        begin[state] = at
+        begins.add(at)
+        if step[state]:
+            filled.extend(bytes(max(0, at + row[-1] + 1 - len(filled))))
+            for c in row:
+                filled[at + c] = 1
+    size = max(begins) + width
+    owner, entry = np.full(size, -1, np.int32), np.ones(size, np.int32)
+    owner[:width] = 0
+    for state, moves in enumerate(step):
+        for c, to in moves.items():
+            owner[begin[state] + c], entry[begin[state] + c] = begin[state], 4 * begin[to]
+    return owner, entry
 
 
 class CrossParser:
@@ -129,15 +155,16 @@ class CrossParser:
         self.languages = sorted(samples)
         folded = {k: letters([samples[k]])[0][:-1] for k in self.languages}
         points, counts = np.unique(np.concatenate([np.zeros(0, np.uint32), *folded.values()]), return_counts=True)
-        common = np.sort(points[np.lexsort((points, -counts))][: SYMBOLS - 2])
-        self.symbol = np.full(0x110000, len(common), np.uint8)  # all others are one symbol
-        self.symbol[common] = np.arange(len(common), dtype=np.uint8)
-        self.pad = len(common) + 1
-        tables = [parse_table(automaton(self.symbol[x].tolist(), self.pad + 1)) for x in folded.values()]
+        often = points[np.lexsort((points, -counts))]
+        self.symbol = np.full(0x110000, len(often), np.int32)  # what no sample has
+        self.symbol[often] = np.arange(len(often), dtype=np.int32)
+        tables = [parse_table(automaton(self.symbol[x].tolist()), len(often) + 1) for x in folded.values()]
         self.cost = np.array([np.log2(len(x) + 1.0) for x in folded.values()])
-        begins = np.cumsum([0, *[len(t) for t in tables]])
+        begins = np.cumsum([0, *[len(owner) for owner, _ in tables]])
         self.begin = begins[:-1].astype(np.int32)
-        self.table = np.concatenate([t + 4 * b for t, b in zip(tables, begins, strict=False)]).ravel() if tables else None
+        none = np.zeros(0, np.int32)
+        self.owner = np.concatenate([none, *[np.where(o >= 0, o + b, -1) for (o, _), b in zip(tables, begins, strict=False)]]).astype(np.int32)
+        self.entry = np.concatenate([none, *[e + 4 * b for (_, e), b in zip(tables, begins, strict=False)]]).astype(np.int32)
 
     def bits(self, texts: Sequence[str]) -> np.ndarray:
         """Bits of every text under every language (texts by languages)."""
@@ -149,7 +176,6 @@ class CrossParser:
     def _phrases(self, texts: Sequence[str]) -> np.ndarray:
         points, starts = letters(texts)
         symbols = self.symbol[points]
-        symbols[starts[1:] - 1] = self.pad  # the separators
         lengths = np.diff(starts) - 1
         pieces = np.maximum(-(-lengths // CHUNK), 1)
         owner = np.repeat(np.arange(len(texts)), pieces)
@@ -161,9 +187,10 @@ class CrossParser:
         walking = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right") if len(size) else []
         state = np.repeat(self.begin[:, None], len(begin), axis=1)
         count = np.zeros(state.shape, np.int32)
-        width = self.pad + 1
         for t, n in enumerate(walking):
-            moved = self.table[state[:, :n] * width + symbols[begin[:n] + t]]
+            symbol, now = symbols[begin[:n] + t], state[:, :n]
+            place = now + symbol
+            moved = np.where(self.owner[place] == now, self.entry[place], self.entry[self.begin[:, None] + symbol] + 1)
             count[:, :n] += moved & 3
             state[:, :n] = moved >> 2
         count += state != self.begin[:, None]  # the phrase under way
@@ -211,7 +238,7 @@ def predicted(documents: DataFrame, samples: dict[str, str], keep: tuple[str, ..
     more = "lang_pred string, score double, bits_per_char double"
     made = rows.drop("_text").select("*", *[F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in more.split(", ")])
     names = made.columns
-    # Plain arrays; their size is bounded by SAMPLE_CHARS and SYMBOLS for each language.
+    # Plain arrays; their size is bounded by SAMPLE_CHARS for each language.
     given = documents.sparkSession.sparkContext.broadcast(vars(CrossParser(samples)))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -139,6 +139,22 @@ def test_cross_parsing_equals_search_in_the_sample():
         assert row.tolist() == [phrases(plain(text), plain(samples[k])) for k in parser.languages]
 
 
+def test_cross_parsing_of_many_scripts():
+    """Hundreds of rare letters in each sample: all are told apart, and unseen ones are phrases."""
+    rng = random.Random(12)
+    ranges = {"ja": (0x4E00, 700), "zh": (0x4E00 + 700, 900), "ko": (0xAC00, 800), "el": (0x3B1, 25), "und2": (0x561, 38)}
+    draw = lambda k, n: "".join(chr(ranges[k][0] + int(rng.random() ** 2 * ranges[k][1])) if rng.random() < 0.8 else " " for _ in range(n))
+    samples = {k: draw(k, 3000) for k in ranges}
+    parser = langid.CrossParser(samples)
+    texts = [draw(k, 200) for k in ranges] + [samples[k][500:900] for k in ranges] + ["\u0e01\u0e02 \u0e03" * 30]
+    got = parser._phrases(texts)
+    plain = lambda t: "".join(map(chr, langid.letters([t])[0][:-1]))
+    for text, row in zip(texts, got, strict=True):
+        assert row.tolist() == [phrases(plain(text), plain(samples[k])) for k in parser.languages]
+    best = [parser.languages[b] for b in parser.bits(texts).argmin(axis=1)]
+    assert best[:10] == [*ranges, *ranges]
+
+
 def test_long_texts_are_walked_in_chunks():
     parser = langid.CrossParser({"x": "abab " * 50, "y": "cdcd " * 50})
     long = "abab " * 5000
