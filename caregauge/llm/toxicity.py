@@ -1,8 +1,9 @@
 """Toxicity by a weighted lexicon matched with Aho-Corasick on folded text.
 
-Folding: lower case, compatibility forms and look-alike letters of other scripts to plain letters,
-digits and signs that stand for letters to those letters, invisible characters removed, everything
-else a blank. Accents stay: they tell words apart. The lexicon holds word beginnings (a stem covers its endings) with log-odds weights, and
+Folding: composed form, lower case, compatibility forms (styled letters, ligatures) and look-alike
+letters of other scripts to plain letters, digits and signs that stand for letters to those letters,
+invisible characters removed, everything else a blank. Accents stay, as they tell words apart; the
+text without accents is matched beside it. The lexicon holds word beginnings (a stem covers its endings) with log-odds weights, and
 exception phrases (a word, or a word with the next or the one before it) that cancel a match.
 The summed weights and their share of the text's words go through a logistic curve.
 
@@ -30,6 +31,7 @@ from caregauge.llm.common import (
     groups_of,
     labelled_ids,
     sample_rows,
+    text_starts,
     worker_state,
 )
 
@@ -48,41 +50,74 @@ LOOK_ALIKES = {
     **dict(zip("αβεικνορτυχγ", "abeiknoptuxy", strict=True)),
     "ı": "i", "ł": "l", "đ": "d", "ø": "o", "þ": "p",
 }
-INVISIBLE = (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)
-
-
-def _folding() -> np.ndarray:
-    """Folded code point of every code point of the basic plane; 1: removed, 32: a blank."""
-    out = np.full(0x10000, 32, np.uint32)
-    for k in range(0x10000):
+INVISIBLE = {0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
+#: White on black letters A to Z, which have no compatibility form.
+NEGATIVE = (0x1F150, 0x1F170)
+#: Letters end before; what lies beyond is a blank or invisible. Accents are taken off below the other.
+LAST_LETTER, LAST_ACCENTED = 0x33480, 0x2000
+MANY = 0x110000
+
+
+def _plain(c: str) -> str:
+    """Folded form of a character: some letters, or nothing."""
+    for first in NEGATIVE:
+        if first <= ord(c) < first + 26:
+            return STAND_INS.get(x := chr(ord("a") + ord(c) - first), x)
+    form = unicodedata.normalize("NFKC", c).lower()
+    form = "".join(x for x in unicodedata.normalize("NFC", form) if not unicodedata.combining(x))
+    if len(form) == 3 and form[0] == "(" and form[2] == ")":
+        form = form[1]
+    form = "".join(STAND_INS.get(x, x) for x in (LOOK_ALIKES.get(x, x) for x in form))
+    return form if form.isalnum() else ""
+
+
+def _folding() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Folded code point, and number of folded letters, of every code point; letters of those that
+    have several (they stand at the code point less MANY); every letter without its accent."""
+    out, size = np.full(0x110000, 32, np.uint32), np.ones(0x110000, np.uint8)
+    letters: list[int] = []
+    for k in range(LAST_LETTER):
         c = chr(k)
         if 0xD800 <= k < 0xE000:
             continue
-        if unicodedata.combining(c) or k in INVISIBLE:
-            out[k] = 1
-            continue
-        plain = unicodedata.normalize("NFKC", c).lower()
-        plain = LOOK_ALIKES.get(plain, plain)
-        plain = STAND_INS.get(plain, plain)
-        if len(plain) == 1 and plain.isalnum():
-            out[k] = ord(plain)
+        if unicodedata.combining(c):
+            size[k] = 0
+        elif plain := _plain(c):
+            out[k] = ord(plain) if len(plain) == 1 else MANY + len(letters)
+            if len(plain) > 1:
+                size[k] = len(plain)
+                letters += map(ord, plain)
+    size[list(INVISIBLE)] = 0
     out[0] = 0
-    return out
+    bare = np.arange(0x110000, dtype=np.uint32)
+    for k in range(LAST_ACCENTED):
+        first, *accents = unicodedata.normalize("NFD", chr(k))
+        if accents and all(map(unicodedata.combining, accents)):
+            bare[k] = ord(LOOK_ALIKES.get(first, first))
+    return out, size, np.array(letters, np.uint32), bare
 
 
 def folded(texts: Sequence[str]) -> tuple[str, np.ndarray]:
     """All folded texts, each begun and ended by a blank, in one string; where each begins, and the end."""
-    table = worker_state("toxicity folding", _folding)
-    points = codepoints([f" {t.replace(chr(0), ' ')} " for t in texts])
-    out = np.where(points < 0x10000, table[np.minimum(points, 0xFFFF)], points)
-    starts = np.concatenate(([0], np.cumsum([len(t) + 3 for t in texts], dtype=np.int64)))
-    keep = out != 1
-    if not keep.all():
-        starts = np.concatenate(([0], np.cumsum(keep)))[starts]
-        out = out[keep]
+    table, sizes, letters, _ = worker_state("toxicity folding", _folding)
+    texts = [f" {unicodedata.normalize('NFC', t.replace(chr(0), ' '))} " for t in texts]
+    points, starts = codepoints(texts), text_starts(texts)
+    out, size = table[points], sizes[points]
+    if (size != 1).any():
+        begins = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+        out, nth = np.repeat(out, size), np.arange(begins[-1]) - np.repeat(begins[:-1], size)
+        several = out >= MANY
+        out[several] = letters[out[several] - MANY + nth[several]]
+        starts = begins[starts]
     return out.astype("<u4").tobytes().decode("utf-32-le"), starts
 
 
+def without_accents(folded_text: str) -> str:
+    """Each letter without its accents, in the same place."""
+    bare = worker_state("toxicity folding", _folding)[3]
+    return bare[np.frombuffer(folded_text.encode("utf-32-le"), np.uint32)].astype("<u4").tobytes().decode("utf-32-le")
+
+
 def folded_words(text: str) -> list[str]:
     return folded([text])[0].replace("\0", " ").split()
 
@@ -107,9 +142,11 @@ def matches(texts: Sequence[str], model: dict, machine) -> tuple[list[tuple[int,
     words = np.diff(np.searchsorted(begins, starts))
     best: dict[int, float] = {}
     if model["stems"]:
-        for end, (size, weight) in machine.iter(joined):
-            begin = end - size + 1
-            best[begin] = max(best.get(begin, -math.inf), weight)
+        bare = without_accents(joined)
+        for text in (joined, bare) if bare != joined else (joined,):
+            for end, (size, weight) in machine.iter(text):
+                begin = end - size + 1
+                best[begin] = max(best.get(begin, -math.inf), weight)
     found = []
     at = np.fromiter(best, np.int64, len(best))
     owner = np.searchsorted(starts, at, side="right") - 1

@@ -98,6 +98,17 @@ def test_toxicity_folds_and_excepts():
     assert measure("idiot idiot")[0] == pytest.approx(np.log1p(10.0))
 
 
+def test_toxicity_folds_styled_letters_ligatures_and_accents():
+    model = {"stems": {"idiot": 5.0, "filth": 4.0, "übel": 3.0}, "exceptions": frozenset(), "curve": np.array([1.0, 1.0, -3.0])}
+    machine = toxicity._matcher(model)
+    measure = lambda *t: toxicity._measures(list(t), model, machine)
+    styled = ["".join(chr(first + ord(c) - ord("a")) for c in "idiot") for first in (0x1D41A, 0x1D4EA, 0x1D5BA, 0x1F130, 0x1F150, 0x1F170, 0x249C, 0x24D0)]
+    same = measure("you idiot", *(f"you {x}" for x in styled), "you \u00eddi\u00f3t", "you i\u0301dio\u0301t", "you \u0407diot", "you i\ufe0fdiot")
+    assert (same == same[0]).all() and same[0, 0] > 0
+    assert (measure("\ufb01lth, \ufb01lthy", "filth, filthy")[:, 0] == np.log1p(8.0)).all()
+    assert measure("\u00fcbel", "u\u0308bel", "ubel", "\U0001f600idiot")[:, 0].tolist() == pytest.approx([np.log1p(3.0)] * 2 + [0.0, np.log1p(5.0)])
+
+
 def test_toxicity_matches_are_those_of_every_word():
     rng = random.Random(5)
     model = {"stems": {"ab": 2.0, "abc": 3.0, "ca": 1.0}, "exceptions": frozenset(), "curve": np.zeros(3)}
