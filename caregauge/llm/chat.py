@@ -3,7 +3,7 @@
 Everything is DataFrame expressions. A layout states which nested fields it has and which
 expression makes canonical turns (role, text) of them. The sorted field paths are hashed; the
 hash selects the layout, for a whole table by its schema or for each record of a JSON column by
-the schema of its value.
+the fields that its value has.
 
 A turn is rendered as ``<|im_start|>role NEWLINE text<|im_end|>NEWLINE``. Inside texts every
 ``<|`` gets a backslash in between (``<\\|``; ``<\\|`` becomes ``<\\\\|`` and so on), so a text
@@ -13,7 +13,8 @@ of spans of code points, one for each assistant text.
 Defined results: null roles and texts count as empty; turns of equal number are put in order by
 role and text, null turn numbers first; repeated rows are turns of their own; rows with a null
 conversation id form one conversation; records of no known layout (or no JSON) have null turns
-and a null text; an empty table gives an empty result; columns of no layout are ignored.
+and a null text; a record with an empty list of messages has no turns; an empty table gives an
+empty result; columns and fields of no layout are ignored.
 """
 
 from __future__ import annotations
@@ -124,23 +125,36 @@ def turns_of_table(df: DataFrame, key: str) -> DataFrame:
     return turns.select(F.col("_key").alias(key), F.col("position").cast("long"), "t.role", "t.text")
 
 
+def _shape(value: Column, path: str) -> Column:
+    """Type name of a field of a JSON value, null where there is no such field."""
+    return F.regexp_extract(F.schema_of_variant(F.try_variant_get(value, path, "variant")), "^[A-Z]+", 0)
+
+
+def _has(value: Column, path: str) -> Column:
+    """Does the value have the field path, ending in a scalar (also null); an empty array has all of its fields."""
+    head, _, leaf = path.partition("[].")
+    if not leaf:
+        return F.coalesce(~_shape(value, f"$.{head}").isin("OBJECT", "ARRAY"), F.lit(False))
+    elements = F.try_variant_get(value, f"$.{head}", "array<variant>")
+    nested = F.exists(elements, lambda m: F.coalesce(_shape(m, f"$.{leaf}").isin("OBJECT", "ARRAY"), F.lit(False)))
+    found = F.exists(elements, lambda m: _shape(m, f"$.{leaf}").isNotNull())
+    return F.coalesce((F.size(elements) == 0) | (found & ~nested), F.lit(False))
+
+
 def turns_of_records(df: DataFrame, key: str, record: str) -> DataFrame:
     """(key, layout, turns) of a column of JSON records, each in a layout of its own."""
-    # Schema of each value, with every scalar (also null) taken as text: the record's field paths.
-    shape = F.regexp_replace(F.schema_of_variant("_value"), "(?<=[:<] ?)(?!OBJECT|ARRAY)[A-Z]+(\\([0-9, ]*\\))?", "STRING")
     rows = df.select(F.col(key).alias("_key"), F.try_parse_json(F.col(record)).alias("_value"))
-    rows = rows.withColumn("_print", F.xxhash64(shape))
+    # Those of the layouts' field paths that the record has; other fields don't matter.
+    paths = sorted({path for layout in LAYOUTS[1:] for path in layout.paths})
+    shown = F.concat_ws("\n", *[F.when(_has(F.col("_value"), path), F.lit(path)) for path in paths])
+    rows = rows.withColumn("_print", F.substring(F.sha2(shown, 256), 1, 16))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     for layout in LAYOUTS[1:]:
         struct: dict[str, list[str]] = {}
         for path in sorted(layout.paths):
             head, _, leaf = path.partition("[].")
             struct.setdefault(head, []).extend([leaf] * bool(leaf))
-        shown = ", ".join(
-            f"{head}: ARRAY<OBJECT<{', '.join(f'{x}: STRING' for x in leaves)}>>" if leaves else f"{head}: STRING"
-            for head, leaves in struct.items()
-        )
-        same = F.col("_print") == F.xxhash64(F.lit(f"OBJECT<{shown}>"))
+        same = F.col("_print") == layout.fingerprint
         cast = ", ".join(
             f"`{head}`: ARRAY<STRUCT<{', '.join(f'`{x}`: STRING' for x in leaves)}>>" if leaves else f"`{head}`: STRING"
             for head, leaves in struct.items()

@@ -71,6 +71,24 @@ def test_layouts_of_records(spark):
     assert all(got[k]["turns"] is None and got[k]["layout"] is None for k in (8, 90, 91, 92))
 
 
+def test_records_with_further_fields(spark):
+    said = [{"role": "user", "content": "q", "name": "x", "weight": 1}, {"role": "assistant", "content": "a", "tools": [{"id": 1}]}]
+    asked = [("user", "q"), ("assistant", "a")]
+    cases = [
+        ({"id": 7, "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a", "n": None}]}, "conversations", asked),
+        ({"prompt": "q", "response": "a", "source": "s", "meta": {"prompt": 1, "tags": ["x"]}}, "prompt and response", asked),
+        ({"messages": said, "id": "m"}, "messages", asked), ({"messages": [], "id": 1}, "messages", []), ({"conversations": []}, "conversations", []),
+        ({"instruction": "q", "input": None, "output": "a", "n": 1.5}, "instruction with input", asked),
+        ({"prompt": {"x": "q"}, "response": "a"}, None, None), ({"messages": ["a"]}, None, None), ({"messages": [{"role": "user", "x": 1}]}, None, None),
+        ({"prompt": "q", "response": "a", "completion": "b"}, None, None), ({"messages": [{"role": "user", "content": ["q"]}]}, None, None),
+    ]
+    rows = [(k, json.dumps(r)) for k, (r, _, _) in enumerate(cases)]
+    got = {r["id"]: r for r in chat.turns_of_records(spark.createDataFrame(rows, "id long, record string"), "id", "record").collect()}
+    for k, (record, layout, turns) in enumerate(cases):
+        found = got[k]["turns"] if got[k]["turns"] is None else [tuple(t) for t in got[k]["turns"]]
+        assert (got[k]["layout"], found) == (layout, turns), record
+
+
 def test_empty_table(turns):
     assert chat.formatted(chat.turns_of_table(turns.limit(0), "conv_id"), "conv_id").collect() == []
 
