@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caregauge.llm import ann, bitslice, chat, html_text, langid, packing, pieces, quality, simhash, toxicity
+from caregauge.llm import ann, bitslice, chat, html_text, langid, negatives, packing, pieces, quality, simhash, toxicity
 from caregauge.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +109,31 @@ def op6_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+@query
+def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 5, 10, 30, 90, moved)
+
+
+ORACLES["op13_hard_negative_mining"] = """
+WITH rows AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.v) + 1), i -> a.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM rows a JOIN rows c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 @query
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids again and compares."""
