@@ -117,11 +117,11 @@ def op13_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op13_hard_negative_mining"] = """
 WITH rows AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
-    CAST(list_sum(list_transform(range(1, len(a.v) + 1), i -> a.v[i] * c.v[i])) AS BIGINT) AS score
+    CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
   FROM rows a JOIN rows c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
 positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
