@@ -18,6 +18,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator, Sequence
 
@@ -45,6 +46,11 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _taken(values: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``values`` of all stretches, one after the other."""
+    return values[np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+
+
 def _trainer_kind(proto: bytes) -> int:
     """``trainer_spec.model_type`` of a serialised model: 1 unigram, 2 byte pairs."""
 
@@ -124,7 +130,6 @@ class Segmenter(Decoder):
         ordered = [p for p in plain if len(p[2]) == 1] + [p for p in plain if len(p[2]) > 1]
         self.text = [p[2] for p in ordered]
         self.ids = np.array([p[1] for p in ordered], np.int64)
-        self.id_bytes = [i.tobytes() for i in self.ids.astype(self.kind).reshape(-1, 1)]
         self.score = np.array([-p[0] for p in ordered], np.float64)
         self.longest = max(map(len, self.text), default=1)
         self.crosses = any(BLANK in p[1:].lstrip(BLANK) for p in self.text)  # a blank after other characters
@@ -132,9 +137,13 @@ class Segmenter(Decoder):
         keys = np.array([self._key(p) for p in self.text], np.uint64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.rank_of_key = keys[order], order.astype(np.int64)
+        self.some_key = np.zeros(1 << 20, bool)  # by a key's first 20 bits: most substrings end here
+        self.some_key[keys >> np.uint64(44)] = True
         if len(np.unique(keys)) != len(keys):
             raise ValueError("two pieces have one hash")
         self.powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(1 << 16, _R, np.uint64))))
+        self.of_character: dict[str, np.ndarray] = {}
+        self._forget()
         if self.merging:
             self._learn_merges()
 
@@ -219,43 +228,45 @@ class Segmenter(Decoder):
             return shown.split(BLANK)[1:]
         return [w[1:] if w[0] == BLANK and (len(w) == 1 or w[1] != BLANK) else BLANK + w for w in re.findall(f"{BLANK}*[^{BLANK}]+|{BLANK}+", shown)]
 
-    def _pieces_of(self, words: Sequence[str]) -> list[list[str]]:
-        """Long words cut where no piece has the two characters side by side."""
-        out = []
-        for word in words:
-            if len(word) <= LONG:
-                out.append([word])
-                continue
-            cuts = [0, *(k for k in range(1, len(word)) if (word[k - 1], word[k]) not in self.joined), len(word)]
-            out.append([word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)])
-        return out
-
-    def segment(self, words: Sequence[str]) -> list[bytes]:
-        """Ids (little-endian uint16 or uint32) of every word as it stands, without a blank sign added."""
-        cut = self._pieces_of(words)
-        flat = [p for parts in cut for p in parts]
-        unique = {p: k for k, p in enumerate(dict.fromkeys(flat))}
-        by_length: dict[int, list[str]] = {}
-        for p in unique:
-            by_length.setdefault(len(p), []).append(p)
-        done: dict[str, bytes] = {}
-        for length, same in by_length.items():
+    def _cut(self, word: str) -> list[str]:
+        """A long word cut where no piece has the two characters side by side."""
+        cuts = [0, *(k for k in range(1, len(word)) if (word[k - 1], word[k]) not in self.joined), len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def segment(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words as they stand, without a blank sign added, and where each word's begin."""
+        count = np.ones(len(words), np.int64)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        if lengths.max(initial=0) > LONG:
+            cut = [self._cut(w) if len(w) > LONG else (w,) for w in words]
+            count = np.fromiter(map(len, cut), np.int64, len(words))
+            words = list(itertools.chain.from_iterable(cut))
+            lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ids, sizes, begin, total = [], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), 0
+        for length in np.unique(lengths).tolist():
+            same = np.flatnonzero(lengths == length)
             step = max(1, BATCH_CHARS // max(length, 1))
             for low in range(0, len(same), step):
-                some = same[low : low + step]
-                done.update(zip(some, self._viterbi(some, length), strict=True))
-        return [b"".join(done[p] for p in parts) for parts in cut]
-
-    def _viterbi(self, words: Sequence[str], length: int) -> list[bytes]:
+                at = same[low : low + step]
+                found, size = self._viterbi([words[k] for k in at.tolist()], length)
+                ids.append(found)
+                sizes[at], begin[at] = size, total + np.cumsum(size) - size
+                total += len(found)
+        flat = np.concatenate(ids) if ids else np.zeros(0, self.kind)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return _taken(flat, begin, sizes), ends[np.concatenate(([0], np.cumsum(count)))]
+
+    def _viterbi(self, words: Sequence[str], length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of each word's)."""
         n = len(words)
         if not length:
-            return [b""] * n
-        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, length).astype(np.uint64)
+            return np.zeros(0, self.kind), np.zeros(n, np.int64)
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, length).T.astype(np.uint64)
         if length >= len(self.powers):
             self.powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(length + 1, _R, np.uint64))))
-        prefix = np.zeros((n, length + 1), np.uint64)
+        prefix = np.zeros((length + 1, n), np.uint64)
         for k in range(length):
-            prefix[:, k + 1] = prefix[:, k] * _R + points[:, k] + np.uint64(1)
+            prefix[k + 1] = prefix[k] * _R + points[k] + np.uint64(1)
         total = np.full((length + 1, n), -np.inf)
         total[0] = 0
         last = np.full((length + 1, n), -1, np.int64)  # rank of the last piece of the best way
@@ -263,48 +274,72 @@ class Segmenter(Decoder):
         worst = (self.score.min() if len(self.score) else 0.0) - 10
         for end in range(1, length + 1):
             begins = np.arange(max(0, end - self.longest), end)
-            h = _mix(prefix[:, end, None] - prefix[:, begins] * self.powers[end - begins]).ravel()
+            h = _mix(prefix[end] - prefix[begins] * self.powers[end - begins, None]).ravel()
+            flat = np.flatnonzero(self.some_key[h >> np.uint64(44)])
+            h = h[flat]
             at = np.minimum(np.searchsorted(self.keys, h), max(len(self.keys) - 1, 0))
             found = self.keys[at] == h if len(self.keys) else np.zeros(len(h), bool)
-            flat = np.flatnonzero(found)
-            row, rank, begin = flat // len(begins), self.rank_of_key[at[flat]], begins[flat % len(begins)]
+            flat, rank = flat[found], self.rank_of_key[at[found]]
+            row, begin = flat % n, begins[flat // n]
+            none = np.ones(n, bool)
+            none[row[begin == end - 1]] = False
+            none = np.flatnonzero(none)  # a character without a piece
             ok = np.isfinite(total[begin, row])
             if self.merging:
                 ok &= self.built[rank]
                 some = np.flatnonzero(ok & (begin > 0))
                 ok[some] = self.compatible(last[begin[some], row[some]], rank[some])
             row, rank, begin = row[ok], rank[ok], begin[ok]
-            value = total[begin, row] + (0.0 if self.merging else self.score[rank])  # when merging one way only is possible
-            order = np.lexsort((begin, -value, row))  # a word's best way first, of equal ones the longest piece
-            row, rank, begin, value = row[order], rank[order], begin[order], value[order]
-            best = np.flatnonzero(np.diff(row, prepend=-1) != 0)
-            row = row[best]
-            total[end, row], last[end, row], back[end, row] = value[best], rank[best], begin[best]
-            none = np.flatnonzero(~found.reshape(n, -1)[:, -1])  # a character without a piece
+            if self.merging:  # one way only is possible
+                value = total[begin, row]
+            else:
+                value = total[begin, row] + self.score[rank]
+                order = np.lexsort((begin, -value, row))  # a word's best way first, of equal ones the longest piece
+                row, rank, begin, value = row[order], rank[order], begin[order], value[order]
+                best = np.flatnonzero(np.diff(row, prepend=-1) != 0)
+                row, rank, begin, value = row[best], rank[best], begin[best], value[best]
+            total[end, row], last[end, row], back[end, row] = value, rank, begin
             value = total[end - 1, none] + (0.0 if self.merging else worst)
             better = value > total[end, none]
             none = none[better]
             total[end, none], last[end, none], back[end, none] = value[better], -1, end - 1
-        out: list[list[bytes]] = [[] for _ in range(n)]
-        place = np.full(n, length)
-        shown = self.id_bytes
-        while True:
-            at = np.flatnonzero(place > 0)
-            if not len(at):
-                break
-            ranks, begins = last[place[at], at], back[place[at], at]
-            for w, r, b in zip(at.tolist(), ranks.tolist(), begins.tolist(), strict=True):
-                out[w].append(shown[r] if r >= 0 else self._bytes(words[w][b]))
-            place[at] = begins
-        return [b"".join(reversed(x)) for x in out]
+        # the ways back of all words, a piece a step
+        steps, place = [], np.full(n, length)
+        at = np.arange(n)
+        size = np.zeros(n, np.int64)
+        while len(at):
+            rank, begin = last[place[at], at], back[place[at], at]
+            steps.append((at, rank, begin))
+            many = np.ones(len(at), np.int64)
+            for k in np.flatnonzero(rank < 0).tolist():
+                many[k] = len(self._bytes(words[at[k]][begin[k]]))
+            size[at] += many
+            place[at] = begin
+            at = at[begin > 0]
+        ids = np.zeros(int(size.sum()), self.kind)
+        end = np.cumsum(size)
+        for at, rank, begin in steps:
+            known = rank >= 0
+            end[at[known]] -= 1
+            ids[end[at[known]]] = self.ids[rank[known]]
+            for k in np.flatnonzero(~known).tolist():
+                some = self._bytes(words[at[k]][begin[k]])
+                end[at[k]] -= len(some)
+                ids[end[at[k]] : end[at[k]] + len(some)] = some
+        return ids, size
 
     @property
     def kind(self) -> str:
         return "<u2" if len(self.raw) < 1 << 16 else "<u4"
 
-    def _bytes(self, character: str) -> bytes:
-        ids = self.byte_id[list(character.encode("utf-8", "surrogatepass"))]
-        return np.array([self.unknown] if (ids < 0).any() else ids, self.kind).tobytes()
+    def _bytes(self, character: str) -> np.ndarray:
+        """Ids of a character without a piece."""
+        ids = self.of_character.get(character)
+        if ids is None:
+            ids = self.byte_id[list(character.encode("utf-8", "surrogatepass"))]
+            ids = np.array([self.unknown], np.int64) if (ids < 0).any() else ids
+            self.of_character[character] = ids  # as many as there are characters
+        return ids
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of every text, little-endian uint32."""
@@ -313,18 +348,28 @@ class Segmenter(Decoder):
             out += self._encode(texts[low:high])
         return out
 
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.known_ids, self.known_ends = np.zeros(0, self.kind), np.zeros(1, np.int64)
+
     def _encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        known: dict[str, bytes] = self.__dict__.setdefault("known", {})
         split = [self.words(t) if t else [] for t in texts]
-        new = list(set().union(*split).difference(known)) if split else []
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set().union(*split))
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self._forget()
+            new = set().union(*split)
+        new = list(new)
         # a word that keeps its own blank signs (or has none) is marked by one more
-        full = [w[1:] if w[:1] == BLANK else w if self.crosses else BLANK + w for w in new]
-        known.update(zip(new, self.segment(full), strict=True))
-        get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), self.kind).astype("<u4").tobytes() for ws in split]
+        ids, begins = self.segment([w[1:] if w[:1] == BLANK else w if self.crosses else BLANK + w for w in new])
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.known_ends = np.concatenate((self.known_ends, begins[1:] + len(self.known_ids)))
+        self.known_ids = np.concatenate((self.known_ids, ids))
+        words = np.concatenate(([0], np.cumsum([len(ws) for ws in split], dtype=np.int64)))
+        at = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(words[-1]))
+        sizes = self.known_ends[at + 1] - self.known_ends[at]
+        ends = (4 * np.concatenate(([0], np.cumsum(sizes))))[words].tolist()
+        whole = _taken(self.known_ids, self.known_ends[at], sizes).astype("<u4").tobytes()
+        return [whole[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def _segmenter(path: str) -> Segmenter:

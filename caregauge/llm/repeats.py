@@ -272,7 +272,8 @@ def _occurrences(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         settled = np.zeros(len(name), bool)
         settled[order] = np.repeat(shared, ends - begins)
         herald = order[begins[shared]]
-        key = np.where(settled, _mix((name + number).view(np.uint64)).view(np.int64), name)
+        spread = _name((name + number).view(np.uint64), part.column(0).to_numpy().view(np.uint64)[row]).view(np.int64)
+        key = np.where(settled, spread, name)
         at = np.concatenate((row, row[herald]))
         yield pa.RecordBatch.from_arrays(
             [
@@ -359,7 +360,7 @@ def _candidates(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             least = np.repeat(o[row[order[group]]], np.diff(np.append(group, len(order))))
             settled = np.zeros(len(row), bool)
             settled[order] = o[row[order]] > least
-            k1 = np.where(settled, _mix(k1 + start.astype(np.uint64)), k1)
+            k1 = np.where(settled, _name(k1 + start.astype(np.uint64), o[row].view(np.uint64)), k1)
             yield pa.RecordBatch.from_arrays(
                 [_signed(k1), _signed(k2), pa.array(o[row]), pa.array(th[row]), pa.array(start - begins[row], pa.int32()), pa.array(settled)],
                 ["k1", "k2", "o", "th", "start", "settled"],

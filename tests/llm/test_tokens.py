@@ -103,6 +103,24 @@ def test_segmenter_equals_the_library():
         assert segmenter.decode(ids) == (text or "").replace(pieces.BLANK, " ")
 
 
+def test_long_single_words_equal_the_library():
+    """Words that are cut, words that can't be, words of the same length in one batch, unknown characters."""
+    segmenter, library = pieces.Segmenter(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = ["e" * 3000, "the" * 900, "x" * 47 + "\u4e00" * 40, "ab\U0001f600" * 200, "-" * 49, "tion" * 12, "tion" * 13, "\u0416\u0378" * 100]
+    texts += [f"{w} {w}{w} again" for w in texts]
+    for text, ids in zip(texts, segmenter.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text)
+
+
+def test_memo_that_overflows(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 5)
+    monkeypatch.setattr(pieces, "TEXT_CHARS", 40)
+    segmenter, library = pieces.Segmenter(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = [f"word{k} and word{k % 3} \U0001f600{k}" for k in range(30)]
+    for text, ids in zip(texts, segmenter.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text)
+
+
 def test_unigram_viterbi_equals_the_library(tmp_path):
     """The same pieces and scores read as a unigram model."""
     proto = sentencepiece.SentencePieceProcessor(model_file=MODEL).serialized_model_proto()
