@@ -231,6 +231,36 @@ def enrollment_gaps(
     )
 
 
+def enrollment_gaps_of(
+    member_time: DataFrame,
+    periods: Sequence[tuple[datetime.date, datetime.date]],
+    key: str = "member_id",
+) -> DataFrame:
+    """``enrollment_gaps`` of several periods from one pass: ``largest_gap_0``, ``gap_count_0``, …
+
+    The reach of all earlier spans tells how far a period was covered before a span, as what ends
+    before the period reaches no further than the day before it.
+    """
+    covers = F.coalesce(F.col("cover_medical") != "N", F.lit(True))
+    starts = member_time.select(
+        key,
+        F.when(covers, day_number("date_start")).alias(START),
+        F.when(covers, day_number("date_end")).alias(END),
+    )
+    spans = with_reach(starts.groupBy(key, START).agg(F.max(END).alias(END)), key)
+    gaps = []
+    for number, (start, end) in enumerate(periods):
+        first, last = ((day - datetime.date(1970, 1, 1)).days for day in (start, end))
+        inside = f"({END} >= {first} AND {START} <= {last})"
+        gap = f"(CASE WHEN {inside} THEN greatest({START}, {first}) - greatest(coalesce(_reach, {first - 1}), {first - 1}) - 1 END)"
+        trailing = f"({last} - coalesce(max(CASE WHEN {inside} THEN least({END}, {last}) END), {first - 1}))"
+        gaps += [
+            f"greatest(max({gap}), {trailing}) AS largest_gap_{number}",
+            f"count_if({gap} > 0) + int({trailing} > 0) AS gap_count_{number}",
+        ]
+    return spans.groupBy(key).agg(*map(F.expr, gaps))
+
+
 def flag_gaps(gaps: DataFrame, max_length: int = 0, max_count: int = 0) -> DataFrame:
     """``enrollment_gap_excluded`` = Y when a gap is too long or there are too many."""
     too_much = (F.col("largest_gap") > max_length) | (F.col("gap_count") > max_count)

@@ -12,11 +12,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caregauge.functions import code_columns, icd_version, strip_dots
+from caregauge.sources.scratch import stored
 
 # Code systems and the claim column they are matched on.
 CHANNEL_SYSTEMS = {
@@ -29,6 +31,8 @@ CHANNEL_SYSTEMS = {
 
 #: Tags that one mask word holds.
 WORD_BITS = 62
+#: Copies of a frequent code's lookup row.
+COPIES = 64
 MASK = "tags"
 ORDINAL = "icd_ordinal"
 
@@ -199,8 +203,107 @@ def _texts(*values: str) -> str:
     return ", ".join(f"'{value}'" for value in escaped)
 
 
+def _word(number: int) -> str:
+    return MASK if number == 0 else f"{MASK}_{number + 1}"
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """How claim rows are matched: ``codes`` (channel, version, code, mask words), and what to match."""
+
+    codes: DataFrame
+    words: tuple[str, ...]
+    row_channels: tuple[str, ...]
+    icd_channels: tuple[tuple[str, bool], ...]  # (channel, versioned)
+    principal: Mapping[str, int]  # by word: bits that count in first position only
+
+    def tagged(self, claims: DataFrame, keep: Sequence[str], frequent: Sequence[str] = ()) -> DataFrame:
+        """``keep``, the words and the ICD position of every claim row and ICD code.
+
+        Null codes match nothing and must not meet in one partition of a shuffled join:
+        their key is a hash of the row. Codes of ``frequent`` meet copies of their lookup
+        row, each of which takes a share of the claims.
+        """
+        slots = [
+            IcdSlot(channel, name, "_version" if versioned else "''", ordinal)
+            for channel, versioned in self.icd_channels
+            for ordinal, name in enumerate(code_columns(claims, channel), start=1)
+        ]
+        hashed = dict.fromkeys((*keep, *self.row_channels, *(slot.column for slot in slots)))
+        spread = f"xxhash64({', '.join(hashed)})"
+
+        def salted(side: DataFrame, code: str) -> DataFrame:
+            copies = f"sequence(0, CASE WHEN {code} IN ({_texts(*frequent)}) THEN {COPIES - 1} ELSE 0 END)"
+            return side.selectExpr("*", f"explode({copies}) AS _salt")
+
+        def salt(code: str, row: str) -> str:
+            return f"CASE WHEN {code} IN ({_texts(*frequent)}) THEN int(pmod({row}, {COPIES})) ELSE 0 END AS _salt"
+
+        tagged = claims
+        if self.row_channels:
+            tagged = tagged.selectExpr("*", f"{spread} AS _row")
+        for channel in self.row_channels:
+            side = self.codes.where(f"channel = '{channel}'").selectExpr(
+                "code AS _code", *[f"{word} AS _{channel}_{word}" for word in self.words]
+            )
+            key = f"coalesce({channel}, concat('-', _row)) AS _code"
+            on = ["_code"]
+            tagged = tagged.selectExpr("*", key, *([salt(channel, "_row")] if frequent else []))
+            if frequent:
+                side, on = salted(side, "_code"), ["_code", "_salt"]
+            tagged = tagged.join(side, on, "left").drop(*on)
+        row_words = {
+            word: " | ".join(f"coalesce(_{channel}_{word}, 0L)" for channel in self.row_channels) or "0L"
+            for word in self.words
+        }
+        if not slots:
+            return tagged.selectExpr(*keep, *[f"{mask} AS {word}" for word, mask in row_words.items()], f"0 AS {ORDINAL}")
+        # Slot 0 is the row itself; each further slot is one ICD column, matched on (channel,
+        # version, code) and kept if it matches. Slot 0 matches nothing: its code is a hash that spreads these
+        # rows evenly, should the join be shuffled.
+        columns = ", ".join(slot.column for slot in slots)
+        codes = tagged.selectExpr(
+            *keep,
+            "icdversion AS _version",
+            *[f"{mask} AS _row_{word}" for word, mask in row_words.items()],
+            *([f"{spread} AS _row"] if frequent else []),
+            f"posexplode(array(concat('-', {spread}), {columns})) AS (_slot, code)",
+        ).where("code IS NOT NULL")
+
+        def per_slot(values: Iterable[str], otherwise: str) -> str:
+            branches = (f"WHEN {i} THEN {value}" for i, value in enumerate(values, start=1))
+            return f"CASE _slot {' '.join(branches)} ELSE {otherwise} END"
+
+        keyed = codes.selectExpr(
+            *keep,
+            *[f"_row_{word}" for word in self.words],
+            "code",
+            per_slot((f"'{slot.channel}'" for slot in slots), "'-'") + " AS channel",
+            per_slot((slot.version for slot in slots), "'-'") + " AS version",
+            per_slot((str(slot.ordinal) for slot in slots), "0") + f" AS {ORDINAL}",
+            *([salt("code", "_row")] if frequent else []),
+        )
+        side = self.codes.where("channel LIKE 'icd%'").selectExpr(
+            "channel", "version", "code", *[f"{word} AS _code_{word}" for word in self.words]
+        )
+        on = ["channel", "version", "code"]
+        if frequent:
+            side, on = salted(side, "code"), [*on, "_salt"]
+
+        def of_code(word: str) -> str:
+            mask = f"coalesce(_code_{word}, 0L)"
+            if bits := self.principal.get(word):
+                mask = f"(CASE WHEN {ORDINAL} = 1 THEN {mask} ELSE {mask} & ~{bits}L END)"
+            return f"_row_{word} | {mask} AS {word}"
+
+        met = f"channel = '-' OR _code_{self.words[0]} IS NOT NULL"
+        return (
+            keyed.join(side, on, "left").where(met).selectExpr(*keep, *map(of_code, self.words), ORDINAL)
+        )
+
+
 class CodeBook:
-    """The code rules of a measure, each tag being one bit of a mask.
+    """The code rules of a measure, each tag being one bit of a mask of as many words as needed.
 
     Its many small expressions are written as SQL text: each one then costs a
     single call into the JVM while the plan is built.
@@ -209,36 +312,60 @@ class CodeBook:
     def __init__(self, *rules: CodeRule, version: str = "icd") -> None:
         self.rules = rules
         self.version = version
-        self._bits = {
-            tag: 1 << i for i, tag in enumerate(dict.fromkeys(rule.tag for rule in rules))
-        }
-        if len(self._bits) > WORD_BITS:
-            raise ValueError(f"a code book holds at most {WORD_BITS} tags; use several books")
-        self._principal = sum({self._bits[rule.tag] for rule in rules if rule.principal})
+        tags = list(dict.fromkeys(rule.tag for rule in rules))
+        self._place = {tag: (_word(i // WORD_BITS), 1 << i % WORD_BITS) for i, tag in enumerate(tags)}
+        self.words = tuple(dict.fromkeys(word for word, _ in self._place.values()))
+        self.width = min(len(tags), WORD_BITS)
 
     def sql(self, tag: str) -> str:
         """SQL condition: the tagged row satisfies ``tag``."""
-        return f"({MASK} & {self._bits[tag]}L) != 0"
+        word, bit = self._place[tag]
+        return f"({word} & {bit}L) != 0"
+
+    def any_sql(self) -> str:
+        """SQL condition: the tagged row satisfies some rule."""
+        return "(" + " OR ".join(f"{word} != 0" for word in self.words) + ")"
 
     def has(self, tag: str) -> Column:
         """The tagged row satisfies ``tag``."""
         return F.expr(self.sql(tag))
 
+    def merged(self) -> list[Column]:
+        """Aggregates: the tags of all rows of a group."""
+        return [F.bit_or(word).alias(word) for word in self.words]
+
     def lookup(self, reference: DataFrame) -> DataFrame:
-        """(channel, version, code) → mask, one row each."""
-        entries = ", ".join(
-            f"CASE WHEN {rule.selects()} THEN named_struct('channel', '{rule.channel}', "
-            f"'version', {rule.version()}, 'mask', {self._bits[rule.tag]}L) END"
-            for rule in self.rules
-        )
+        """(channel, version, code) → mask words, one row each."""
+
+        def entry(rule: CodeRule) -> str:
+            word, bit = self._place[rule.tag]
+            words = ", ".join(f"'{w}', {bit if w == word else 0}L" for w in self.words)
+            return (
+                f"CASE WHEN {rule.selects()} THEN named_struct('channel', '{rule.channel}', "
+                f"'version', {rule.version()}, {words}) END"
+            )
+
         # The condition outside of the CASE reaches the scan of the code table.
         used = " OR ".join(dict.fromkeys(f"({rule.selects()})" for rule in self.rules))
         return (
             normalise_value_sets(reference, self.version)
             .where(used)
-            .selectExpr("code", f"inline(array_compact(array({entries})))")
+            .selectExpr("code", f"inline(array_compact(array({', '.join(map(entry, self.rules))})))")
             .groupBy("channel", "version", "code")
-            .agg(F.bit_or("mask").alias("mask"))
+            .agg(*self.merged())
+        )
+
+    def matching(self, reference: DataFrame) -> Lookup:
+        principal: dict[str, int] = {}
+        for tag in dict.fromkeys(rule.tag for rule in self.rules if rule.principal):
+            word, bit = self._place[tag]
+            principal[word] = principal.get(word, 0) | bit
+        return Lookup(
+            self.lookup(reference),
+            self.words,
+            tuple(dict.fromkeys(r.channel for r in self.rules if not r.is_icd)),
+            tuple(dict.fromkeys((r.channel, r.versioned) for r in self.rules if r.is_icd)),
+            principal,
         )
 
     def tag(
@@ -247,76 +374,127 @@ class CodeBook:
         reference: DataFrame,
         keep: Sequence[str],
         also: Column | None = None,
+        frequent: Sequence[str] = (),
     ) -> DataFrame:
-        """Claim rows that satisfy a rule: ``keep``, the mask and the ICD position.
+        """Claim rows that satisfy a rule: ``keep``, the mask words and the ICD position.
 
-        A row is repeated for each of its ICD codes (its other codes' bits ride
-        along, so conditions across columns of one row stay testable), plus once
-        without any ICD code (position 0). ``also`` keeps further rows.
+        A row is repeated for each of its ICD codes that matches (the bits of its other
+        columns ride along, so conditions across columns of one row stay testable), plus
+        once without any ICD code (position 0). ``also`` keeps further rows. ``frequent``:
+        codes of so many claims that one task should not match them all (see
+        ``frequent_codes``); they only matter where the code table is too large to broadcast.
         """
-        wanted = F.expr(f"{MASK} != 0")
+        wanted = F.expr(self.any_sql())
         if also is not None:
             wanted = wanted | also
-        lookup = self.lookup(reference)
-        tagged = claims
-        masks = []
-        for channel in dict.fromkeys(r.channel for r in self.rules if not r.is_icd):
-            side = lookup.where(f"channel = '{channel}'").selectExpr(
-                f"code AS {channel}", f"mask AS _{channel}_mask"
-            )
-            tagged = tagged.join(side, channel, "left")
-            masks.append(f"coalesce(_{channel}_mask, 0L)")
-        row_mask = " | ".join(masks) or "0L"
-        slots = self._icd_slots(claims)
-        if not slots:
-            return tagged.selectExpr(*keep, f"{row_mask} AS {MASK}", f"0 AS {ORDINAL}").where(
-                wanted
-            )
-        # Slot 0 is the row itself; each further slot is one ICD column, matched on
-        # (channel, version, code). Slot 0 matches nothing: its code is a hash that spreads
-        # these rows evenly, should the join be shuffled.
-        spread = f"concat('-', xxhash64({', '.join(keep)}))"
-        columns = ", ".join(slot.column for slot in slots)
-        codes = tagged.selectExpr(
-            *keep,
-            "icdversion AS _version",
-            f"{row_mask} AS _row_mask",
-            f"posexplode(array({spread}, {columns})) AS (_slot, code)",
-        ).where("code IS NOT NULL")
+        return self.matching(reference).tagged(claims, keep, frequent).where(wanted)
 
-        def per_slot(values: Iterable[str], otherwise: str) -> str:
-            branches = (f"WHEN {i} THEN {value}" for i, value in enumerate(values, start=1))
-            return f"CASE _slot {' '.join(branches)} ELSE {otherwise} END"
 
-        keyed = codes.selectExpr(
-            *keep,
-            "_row_mask",
-            "code",
-            per_slot((f"'{slot.channel}'" for slot in slots), "'-'") + " AS channel",
-            per_slot((slot.version for slot in slots), "'-'") + " AS version",
-            per_slot((str(slot.ordinal) for slot in slots), "0") + f" AS {ORDINAL}",
-        )
-        code_mask = "coalesce(mask, 0L)"
-        if self._principal:
-            code_mask = (
-                f"(CASE WHEN {ORDINAL} = 1 THEN {code_mask} "
-                f"ELSE {code_mask} & ~{self._principal}L END)"
-            )
-        return (
-            keyed.join(
-                lookup.where("channel LIKE 'icd%'"), ["channel", "version", "code"], "left"
+def frequent_codes(claims: DataFrame, channels: Sequence[str], share: float = 0.01) -> list[str]:
+    """Codes that stand in at least ``share`` of the rows of a column, from one aggregate.
+
+    ``channels``: columns, or stems of numbered ones. At most 1 / ``share`` codes of each
+    column come back.
+    """
+    columns = [name for c in channels for name in ([c] if c in claims.columns else code_columns(claims, c))]
+    pairs = ", ".join(f"named_struct('at', {i}, 'code', {name})" for i, name in enumerate(columns))
+    counted = claims.selectExpr(f"inline(array({pairs}))").groupBy("at", "code").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("at"))
+    rows = counted.withColumn("total", total).where((F.col("n") >= share * F.col("total")) & F.col("code").isNotNull())
+    return sorted({row["code"] for row in rows.select("code").collect()})
+
+
+@dataclass(frozen=True, eq=False)
+class ClaimNeed:
+    """What a measure reads of the claims: lines that satisfy ``rows`` (none: all) and a rule of
+    ``book`` or else ``also``; ``columns`` are carried and must hold what both conditions read."""
+
+    book: CodeBook
+    codes: DataFrame
+    columns: tuple[str, ...]
+    rows: Column | None = None
+    also: Column | None = None
+
+    def tag(self, claims: DataFrame) -> DataFrame:
+        """These rows from a pass of their own."""
+        claims = claims if self.rows is None else claims.where(self.rows)
+        return self.book.tag(claims, self.codes, self.columns, self.also)
+
+
+class SharedTags:
+    """Claims tagged once for several needs, and each need's rows of them.
+
+    The rules of all books are one lookup. Every book has a stretch of bits in some shared word
+    (books of several words have words of their own).
+    """
+
+    def __init__(self, claims: DataFrame, needs: Sequence[ClaimNeed], frequent: Sequence[str] = ()) -> None:
+        self._at: dict[CodeBook, list[tuple[int, int]]] = {}  # book → (shared word, first bit) of its words
+        used: list[int] = []
+        firsts = {need.book: need for need in needs}
+        for book in firsts:
+            places = []
+            for k in range(len(book.words)):
+                bits = book.width if len(book.words) == 1 else WORD_BITS
+                at = next((i for i, n in enumerate(used) if n + bits <= WORD_BITS), len(used))
+                used += [0] * (at == len(used))
+                places.append((at, used[at]))
+                used[at] += bits
+            self._at[book] = places
+        words = tuple(f"_shared_{i}" for i in range(len(used)))
+        lookups, principal = [], dict.fromkeys(words, 0)
+        row_channels: dict[str, None] = {}
+        icd_channels: dict[tuple[str, bool], None] = {}
+        for book, need in firsts.items():
+            own = book.matching(need.codes)
+            row_channels |= dict.fromkeys(own.row_channels)
+            icd_channels |= dict.fromkeys(own.icd_channels)
+            parts: dict[int, str] = {}
+            for (at, low), word in zip(self._at[book], own.words, strict=True):
+                parts[at] = f"shiftleft({word}, {low})"
+                principal[words[at]] |= own.principal.get(word, 0) << low
+            lookups.append(
+                own.codes.selectExpr(
+                    "channel", "version", "code", *[f"{parts.get(i, '0L')} AS {w}" for i, w in enumerate(words)]
+                )
             )
-            .selectExpr(*keep, f"_row_mask | {code_mask} AS {MASK}", ORDINAL)
-            .where(wanted)
+        codes = (
+            reduce(DataFrame.unionByName, lookups)
+            .groupBy("channel", "version", "code")
+            .agg(*[F.bit_or(w).alias(w) for w in words])
         )
-
-    def _icd_slots(self, claims: DataFrame) -> list[IcdSlot]:
-        kinds = dict.fromkeys((r.channel, r.versioned) for r in self.rules if r.is_icd)
-        return [
-            IcdSlot(channel, name, "_version" if versioned else "''", ordinal)
-            for channel, versioned in kinds
-            for ordinal, name in enumerate(code_columns(claims, channel), start=1)
-        ]
+        codes = stored(codes, "shared-codes")  # read by a join for each code column
+        lookup = Lookup(codes, words, tuple(row_channels), tuple(icd_channels), principal)
+        columns = [c for c in dict.fromkeys(c for need in needs for c in need.columns) if c in claims.columns]
+        read = [need.rows for need in needs]
+        if all(condition is not None for condition in read):
+            claims = claims.where(reduce(or_, read))
+        self._words = words
+        tagged = lookup.tagged(claims, columns, frequent)
+        self._rows = tagged.where(reduce(or_, [self._wanted(need) for need in needs]))
+
+    def _own(self, book: CodeBook) -> dict[str, str]:
+        """SQL of the book's words over the shared ones."""
+        if len(book.words) > 1:
+            return {w: self._words[at] for w, (at, _) in zip(book.words, self._at[book], strict=True)}
+        at, low = self._at[book][0]
+        return {book.words[0]: f"(shiftrightunsigned({self._words[at]}, {low}) & {(1 << book.width) - 1}L)"}
+
+    def _wanted(self, need: ClaimNeed) -> Column:
+        wanted = F.expr(" OR ".join(f"{sql} != 0" for sql in self._own(need.book).values()))
+        if need.also is not None:
+            wanted = wanted | need.also
+        return wanted if need.rows is None else wanted & need.rows
+
+    def stored(self) -> SharedTags:
+        """Written once to the shared scratch folder; every need then reads it there."""
+        self._rows = stored(self._rows, "tagged-claims")
+        return self
+
+    def rows(self, need: ClaimNeed) -> DataFrame:
+        """As ``need.tag``: its columns, its book's words and the ICD position."""
+        own = [f"{sql} AS {word}" for word, sql in self._own(need.book).items()]
+        return self._rows.where(self._wanted(need)).selectExpr(*need.columns, *own, ORDINAL)
 
 
 def claim_value_sets(
@@ -327,27 +505,17 @@ def claim_value_sets(
 ) -> DataFrame:
     """Sorted names of the value sets each claim touches, over all code columns."""
     wanted = sorted(set(value_sets))
-    parts = []
-    for low in range(0, len(wanted), WORD_BITS):  # one word of tags at a time
-        some = wanted[low : low + WORD_BITS]
-        book = CodeBook(
-            *[
-                CodeRule(name, channel, (name,), systems)
-                for name in some
-                for channel, systems in CHANNEL_SYSTEMS.items()
-            ],
-            version="padded",
-        )
-        found = book.tag(claims, reference, list(key)).groupBy(*key).agg(F.bit_or(MASK).alias(MASK))
-        names = ", ".join(f"CASE WHEN {book.sql(name)} THEN {_texts(name)} END" for name in some)
-        parts.append(found.selectExpr(*key, f"array_compact(array({names})) AS value_set_names"))
-    if len(parts) == 1:
-        return parts[0]
-    # One row a word and claim: a handful to bring together.
-    stacked = reduce(DataFrame.unionByName, parts)
-    return stacked.groupBy(*key).agg(
-        F.sort_array(F.flatten(F.collect_list("value_set_names"))).alias("value_set_names")
+    book = CodeBook(
+        *[
+            CodeRule(name, channel, (name,), systems)
+            for name in wanted
+            for channel, systems in CHANNEL_SYSTEMS.items()
+        ],
+        version="padded",
     )
+    found = book.tag(claims, reference, list(key)).groupBy(*key).agg(*book.merged())
+    names = ", ".join(f"CASE WHEN {book.sql(name)} THEN {_texts(name)} END" for name in wanted)
+    return found.selectExpr(*key, f"array_compact(array({names})) AS value_set_names")
 
 
 def codes_unique_to(reference: DataFrame, wanted: str, other: str) -> DataFrame:

@@ -12,12 +12,13 @@ from caregauge.operators.episodes import day_timeline, first_episode, within_day
 from caregauge.operators.intervals import coverage_around
 from caregauge.operators.output import measure_rows
 from caregauge.operators.valuesets import (
+    ClaimNeed,
     CodeBook,
     CodeRule,
     require,
 )
 from caregauge.plans.base import QualityMeasure
-from caregauge.plans.common import fills_of, on_list, visit_rules
+from caregauge.plans.common import FillNeed, drug_fills, on_list, tagged_claims, visit_rules
 from caregauge.sources.tables import table
 
 # Value sets, drug list and drug descriptions of the measure.
@@ -91,17 +92,34 @@ class AAB(QualityMeasure):
     member that carries visits, diagnoses, admissions and antibiotic fills.
     """
 
-    def timeline(self, dfs_input, first: datetime.date, last: datetime.date) -> DataFrame:
-        """Per member and day: what happened, and the look-back/-ahead flags."""
-        has = BRONCHITIS_BOOK.has
+    def claims_needed(self, dfs_input, performance_yearstart):
+        first, last = performance_yearstart, self.last_day(performance_yearstart)
         # Reach of the frames below: a year back, a week ahead.
-        claims = table(dfs_input, "claims").where(
-            F.col("fromdate").between(F.date_sub(F.lit(first), 365), F.date_add(F.lit(last), 7))
-            | F.col("admitdate").between(F.lit(first), F.date_add(F.lit(last), 1))
-        )
-        tagged = BRONCHITIS_BOOK.tag(
-            claims, table(dfs_input, "reference"), ["member_id", "fromdate", "admitdate"]
+        near = F.col("fromdate").between(
+            F.date_sub(F.lit(first), 365), F.date_add(F.lit(last), 7)
+        ) | F.col("admitdate").between(F.lit(first), F.date_add(F.lit(last), 1))
+        columns = ("member_id", "fromdate", "admitdate")
+        return ClaimNeed(BRONCHITIS_BOOK, table(dfs_input, "reference"), columns, near)
+
+    def fills_needed(self, performance_yearstart):
+        first, last = performance_yearstart, self.last_day(performance_yearstart)
+        # Filled in reach of the frames, or supplied until the first visit day.
+        near = (F.col("fromdate") <= F.date_add(F.lit(last), 3)) & (
+            (F.col("fromdate") >= F.date_sub(F.lit(first), 30))
+            | (add_days("fromdate", F.col("dayssupply")) >= F.lit(first))
         )
+        return [FillNeed(on_list(ANTIBIOTIC_LIST) & F.col("description").isin(*ANTIBIOTICS), near)]
+
+    @staticmethod
+    def last_day(performance_yearstart: datetime.date) -> datetime.date:
+        """The last day of an index visit."""
+        py = performance_yearstart
+        return py.replace(year=py.year + 1) - datetime.timedelta(days=8)
+
+    def timeline(self, dfs_input, performance_yearstart: datetime.date) -> DataFrame:
+        """Per member and day: what happened, and the look-back/-ahead flags."""
+        has = BRONCHITIS_BOOK.has
+        tagged = tagged_claims(dfs_input, self.claims_needed(dfs_input, performance_yearstart))
         no = F.lit(False)
         visit_day = F.struct(
             F.col("fromdate").alias("day"),
@@ -117,18 +135,7 @@ class AAB(QualityMeasure):
             no.alias("competing"),
             has("admission").alias("admitted"),
         )
-        fills = fills_of(
-            table(dfs_input, "rx_claims").where(
-                # Filled in reach of the frames, or supplied until the first visit day.
-                (F.col("fromdate") <= F.date_add(F.lit(last), 3))
-                & (
-                    (F.col("fromdate") >= F.date_sub(F.lit(first), 30))
-                    | (add_days("fromdate", F.col("dayssupply")) >= F.lit(first))
-                )
-            ),
-            table(dfs_input, "ndc"),
-            on_list(ANTIBIOTIC_LIST) & F.col("description").isin(*ANTIBIOTICS),
-        ).select(
+        fills = drug_fills(dfs_input, self.fills_needed(performance_yearstart)[0]).select(
             "member_id",
             F.col("fromdate").alias("day"),
             F.lit(True).alias("antibiotic"),
@@ -161,7 +168,7 @@ class AAB(QualityMeasure):
         py = performance_yearstart
         if check:
             check_references(table(dfs_input, "reference"), table(dfs_input, "ndc"))
-        last = py.replace(year=py.year + 1) - datetime.timedelta(days=8)
+        last = self.last_day(py)
         # A disqualified visit still stands for its member when none qualifies.
         qualified = ~(
             F.col("negative_condition")
@@ -170,7 +177,7 @@ class AAB(QualityMeasure):
             | F.col("competing_diagnosis")
         )
         events = (
-            self.timeline(dfs_input, py, last)
+            self.timeline(dfs_input, py)
             .where(
                 F.col("index")
                 & ~F.col("then_admitted")

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caregauge.functions import year_end
-from caregauge.operators.intervals import enrollment_gaps, flag_gaps
+from caregauge.operators.intervals import enrollment_gaps_of
 from caregauge.operators.output import RESULT_COLUMNS, check_result
-from caregauge.operators.valuesets import CodeBook, CodeRule
+from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
-from caregauge.plans.common import HCPCS
+from caregauge.plans.common import HCPCS, tagged_claims
 from caregauge.sources.catalogue import medicare_wellness_codes
 from caregauge.sources.tables import table
 
@@ -54,13 +54,12 @@ class Variant:
         return self.first, min(self.last, self.known_until)
 
 
-def wellness(dfs_input, variants: Mapping[str, Variant]) -> DataFrame:
-    """Result rows of several variants from one pass over the claims.
+def visits_needed(dfs_input, variants: Mapping[str, Variant]) -> ClaimNeed:
+    """The claim rows of several variants.
 
     The table ``reference_awv`` is optional; without it the built-in Medicare codes
     are used.
     """
-    covered = table(dfs_input, "member_time").where(F.col("cover_medical") == "Y")
     columns = ["value_set_name", "code", "code_system"]
     core = table(dfs_input, "reference").select(*columns)
     medicare = dfs_input.get("reference_awv")
@@ -69,12 +68,16 @@ def wellness(dfs_input, variants: Mapping[str, Variant]) -> DataFrame:
     codes = core.where(F.col("value_set_name") == WELL_CARE).unionByName(
         medicare.select(*columns)
     )
-    claims = table(dfs_input, "claims").where(
-        F.col("fromdate").between(
-            F.lit(min(v.first for v in variants.values())),
-            F.lit(max(v.last for v in variants.values())),
-        )
+    period = F.col("fromdate").between(
+        F.lit(min(v.first for v in variants.values())),
+        F.lit(max(v.last for v in variants.values())),
     )
+    return ClaimNeed(VISIT_BOOK, codes, ("member_id", "fromdate"), period)
+
+
+def wellness(dfs_input, variants: Mapping[str, Variant]) -> DataFrame:
+    """Result rows of several variants from one pass over the claims and one over the spans."""
+    covered = table(dfs_input, "member_time").where(F.col("cover_medical") == "Y")
     last_visits = {
         f"last_{i}": F.max(
             F.expr(
@@ -86,17 +89,19 @@ def wellness(dfs_input, variants: Mapping[str, Variant]) -> DataFrame:
         for i, v in enumerate(variants.values())
     }
     visits = (
-        VISIT_BOOK.tag(claims, codes, ["member_id", "fromdate"])
+        tagged_claims(dfs_input, visits_needed(dfs_input, variants))
         .groupBy("member_id")
         .agg(*[value.alias(name) for name, value in last_visits.items()])
     )
-    members = table(dfs_input, "member").select("member_id")
     rules = dict.fromkeys((v.period, v.max_gaps, v.max_gap_length) for v in variants.values())
-    for number, (period, gaps, length) in enumerate(rules):
-        flags = flag_gaps(enrollment_gaps(covered, *period), length, gaps)
-        members = members.join(
-            flags.withColumnRenamed("enrollment_gap_excluded", f"gap_{number}"), "member_id"
-        )
+    periods = list(dict.fromkeys(period for period, _, _ in rules))
+    gapped = [
+        f"CASE WHEN largest_gap_{periods.index(period)} > {length} "
+        f"OR gap_count_{periods.index(period)} > {gaps} THEN 'Y' ELSE 'N' END AS gap_{number}"
+        for number, (period, gaps, length) in enumerate(rules)
+    ]
+    flags = enrollment_gaps_of(covered, periods).selectExpr("member_id", *gapped)
+    members = table(dfs_input, "member").select("member_id").join(flags, "member_id")
     numbers = {rule: i for i, rule in enumerate(rules)}
     rows = ", ".join(
         f"named_struct('comp_quality_short', '{name}', "
@@ -155,9 +160,9 @@ class AWV(QualityMeasure):
         return wellness(dfs_input, {"AWV": variant}).drop("comp_quality_short")
 
 
-def wellness_results(
-    dfs_input, performance_yearstart: datetime.date, date_latestpaid: datetime.date
-) -> DataFrame:
+def reported_variants(
+    performance_yearstart: datetime.date, date_latestpaid: datetime.date
+) -> Mapping[str, Variant]:
     """The four reported variants: both code sets by calendar year and by rolling year."""
     year = (performance_yearstart, year_end(performance_yearstart))
     leap_day = (date_latestpaid.month, date_latestpaid.day) == (2, 29)
@@ -166,14 +171,17 @@ def wellness_results(
     )
     rolling = (year_before, date_latestpaid)
     whole, medicare = "refs_well_care_whole", "reference_awv"
-    return check_result(
-        wellness(
-            dfs_input,
-            {
-                "AWV: Combined": Variant(whole, *year, year_end(performance_yearstart)),
-                "AWV: Combined Rolling": Variant(whole, *rolling, date_latestpaid),
-                "AWV: Medicare": Variant(medicare, *year, date_latestpaid),
-                "AWV: Medicare Rolling": Variant(medicare, *rolling, date_latestpaid),
-            },
-        )
-    ).select(*RESULT_COLUMNS)
+    return {
+        "AWV: Combined": Variant(whole, *year, year_end(performance_yearstart)),
+        "AWV: Combined Rolling": Variant(whole, *rolling, date_latestpaid),
+        "AWV: Medicare": Variant(medicare, *year, date_latestpaid),
+        "AWV: Medicare Rolling": Variant(medicare, *rolling, date_latestpaid),
+    }
+
+
+def wellness_results(
+    dfs_input, performance_yearstart: datetime.date, date_latestpaid: datetime.date
+) -> DataFrame:
+    """Result rows of the four reported variants."""
+    variants = reported_variants(performance_yearstart, date_latestpaid)
+    return check_result(wellness(dfs_input, variants)).select(*RESULT_COLUMNS)

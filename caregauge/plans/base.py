@@ -9,6 +9,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 
 from caregauge.operators.output import check_result
+from caregauge.operators.valuesets import ClaimNeed
+from caregauge.plans.common import FillNeed
 
 
 class QualityMeasure(ABC):
@@ -30,6 +32,16 @@ class QualityMeasure(ABC):
         if unknown:
             raise ValueError(f"{type(self).__name__} has no fixes named {sorted(unknown)}")
 
+    def claims_needed(
+        self, dfs_input: Mapping[str, DataFrame], performance_yearstart: datetime.date
+    ) -> ClaimNeed | None:
+        """The tagged claim rows that the measure reads, so that measures can share a pass."""
+        return None
+
+    def fills_needed(self, performance_yearstart: datetime.date) -> list[FillNeed]:
+        """The pharmacy fills that the measure reads."""
+        return []
+
     @abstractmethod
     def _calc_measure(
         self,

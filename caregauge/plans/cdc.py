@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from caregauge.functions import age_on, in_year, in_years, inside_years, year_end
 from caregauge.operators.intervals import continuously_enrolled
 from caregauge.operators.output import measure_rows
-from caregauge.operators.valuesets import CodeBook, CodeRule
+from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
 from caregauge.plans.common import (
+    FillNeed,
     attach,
-    fills_of,
+    drug_fills,
     flag,
     member_flags,
     on_list,
+    tagged_claims,
     two_or_more,
     visit_rules,
 )
@@ -63,18 +65,27 @@ DAYS_BETWEEN_ENUCLEATIONS = 14
 class CDC(QualityMeasure):
     """Three rates over members aged 18–75 with diabetes and continuous cover."""
 
+    def claims_needed(self, dfs_input, performance_yearstart):
+        py = performance_yearstart
+        return ClaimNeed(
+            DIABETES_BOOK,
+            table(dfs_input, "reference"),
+            ("member_id", "fromdate", "specialty", "modifier", "modifier2"),
+            in_years("fromdate", py),
+            also=in_year("fromdate", py) & (F.col("specialty") == NEPHROLOGY),
+        )
+
+    def fills_needed(self, performance_yearstart):
+        lists = on_list("Diabetes Medications", "ACE Inhibitor/ARB Medications")
+        return [FillNeed(lists, in_years("fromdate", performance_yearstart))]
+
     def _calc_measure(self, dfs_input, performance_yearstart):
         py = performance_yearstart
         has = DIABETES_BOOK.has
-        claims = table(dfs_input, "claims").where(in_years("fromdate", py))
         this_year = in_year("fromdate", py)
-        nephrologist = this_year & (F.col("specialty") == NEPHROLOGY)
-        rows = DIABETES_BOOK.tag(
-            claims,
-            table(dfs_input, "reference"),
-            ["member_id", "fromdate", "specialty", "modifier", "modifier2"],
-            also=nephrologist,
-        )
+        need = self.claims_needed(dfs_input, py)
+        nephrologist = need.also
+        rows = tagged_claims(dfs_input, need)
         nonacute_date = F.when(has("nonacute") & has("diabetes"), F.col("fromdate"))
         seen_by_eye_doctor = has("retinal") & F.col("specialty").isin(*EYE_SPECIALTIES)
         both_eyes = has("enucleation") & (
@@ -102,11 +113,7 @@ class CDC(QualityMeasure):
             ).alias("eye_exam"),
         )
         drugs = member_flags(
-            fills_of(
-                table(dfs_input, "rx_claims").where(in_years("fromdate", py)),
-                table(dfs_input, "ndc"),
-                on_list("Diabetes Medications", "ACE Inhibitor/ARB Medications"),
-            ),
+            drug_fills(dfs_input, self.fills_needed(py)[0]),
             {
                 "diabetes_drug": on_list("Diabetes Medications"),
                 "kidney_drug": on_list("ACE Inhibitor/ARB Medications") & this_year,

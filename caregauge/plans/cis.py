@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from caregauge.functions import year_end
 from caregauge.operators.intervals import enrolled_holes
 from caregauge.operators.output import RESULT_COLUMNS, measure_rows
-from caregauge.operators.valuesets import CodeBook, CodeRule
+from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
-from caregauge.plans.common import attach, flag
+from caregauge.plans.common import attach, flag, tagged_claims
 from caregauge.sources.tables import table
 
 
@@ -66,6 +66,12 @@ class CIS(QualityMeasure):
 
     FIXES = frozenset({"cis_exclusion", "newborn_hep_b"})
 
+    def claims_needed(self, dfs_input, performance_yearstart):
+        until = F.col("fromdate") <= F.lit(year_end(performance_yearstart))
+        return ClaimNeed(
+            CHILD_BOOK, table(dfs_input, "reference"), ("member_id", "fromdate"), until
+        )
+
     def _calc_measure(self, dfs_input, performance_yearstart):
         member = table(dfs_input, "member")
         children = member.select(
@@ -92,17 +98,13 @@ class CIS(QualityMeasure):
             .where(~gapped if "cis_exclusion" in self.fixes else gapped)
             .select("member_id", "dob", "second_birthday")
         )
-        # One row per child, day and code group, then only the children's rows.
+        # Only the children's rows, then one per child and day. Where the children are too many to
+        # broadcast, the semi-join's exchange by member also serves the aggregate.
         tagged = (
-            CHILD_BOOK.tag(
-                table(dfs_input, "claims").where(
-                    F.col("fromdate") <= F.lit(year_end(performance_yearstart))
-                ),
-                table(dfs_input, "reference"),
-                ["member_id", "fromdate"],
-            )
+            tagged_claims(dfs_input, self.claims_needed(dfs_input, performance_yearstart))
+            .join(children.select("member_id"), "member_id", "left_semi")
             .groupBy("member_id", "fromdate")
-            .agg(F.bit_or("tags").alias("tags"))
+            .agg(*CHILD_BOOK.merged())
         )
         # Every eligible child stays, with or without claims.
         tagged = eligible.join(tagged, "member_id", "left")

@@ -3,15 +3,69 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caregauge.operators.valuesets import CodeRule
+from caregauge.operators.valuesets import ClaimNeed, CodeRule
+from caregauge.sources.tables import table
 
 HCPCS = ("CPT", "HCPCS")
 
 
+#: Names under which shared passes stand among the input tables.
+SHARED_TAGS, SHARED_FILLS = "shared tagged claims", "shared fills"
+LISTED = "_listed"
+
+
+def tagged_claims(dfs_input: Mapping[str, DataFrame], need: ClaimNeed) -> DataFrame:
+    """Rows of ``need``: out of a shared pass if there is one, else from a pass of its own."""
+    if SHARED_TAGS in dfs_input:
+        return dfs_input[SHARED_TAGS].rows(need)
+    return need.tag(table(dfs_input, "claims"))
+
+
+@dataclass(frozen=True, eq=False)
+class FillNeed:
+    """Fills of the drugs that ``chosen`` selects from the drug list, of those that ``rows`` keeps."""
+
+    chosen: Column
+    rows: Column | None = None
+
+    @property
+    def condition(self) -> Column:
+        return self.chosen if self.rows is None else self.chosen & self.rows
+
+
+def listed_fills(rx_claims: DataFrame, ndc: DataFrame, chosen: Column) -> DataFrame:
+    """Fills with each different row of the drug list once; ``_listed``: how often it stands there."""
+    listed = ndc.where(chosen).groupBy(*ndc.columns).agg(F.count("*").alias(LISTED))
+    clashing = set(rx_claims.columns) & set(ndc.columns) - {"ndc_code"}
+    return rx_claims.join(listed.drop(*clashing), F.col("ndc") == F.col("ndc_code"))
+
+
+def drug_fills(dfs_input: Mapping[str, DataFrame], need: FillNeed) -> DataFrame:
+    """Fills of ``need``, one row for each row of the drug list that names their code."""
+    if SHARED_FILLS in dfs_input:
+        rows = dfs_input[SHARED_FILLS].where(need.condition)
+        return rows.withColumn(LISTED, F.explode(F.sequence(F.lit(1).cast("long"), LISTED))).drop(LISTED)
+    rx_claims = table(dfs_input, "rx_claims")
+    if need.rows is not None:
+        rx_claims = rx_claims.where(need.rows)
+    return fills_of(rx_claims, table(dfs_input, "ndc"), need.chosen)
+
+
+def drug_list_fills(dfs_input: Mapping[str, DataFrame], need: FillNeed) -> DataFrame:
+    """As ``listed_fills``, out of a shared pass if there is one."""
+    if SHARED_FILLS in dfs_input:
+        return dfs_input[SHARED_FILLS].where(need.condition)
+    rx_claims = table(dfs_input, "rx_claims")
+    if need.rows is not None:
+        rx_claims = rx_claims.where(need.rows)
+    return listed_fills(rx_claims, table(dfs_input, "ndc"), need.chosen)
+
+
 def fills_of(rx_claims: DataFrame, ndc: DataFrame, chosen: Column) -> DataFrame:
     """Pharmacy fills of the drugs that ``chosen`` selects from the drug list."""
     return rx_claims.join(

@@ -11,9 +11,9 @@ from caregauge.functions import in_year, in_years, year_end
 from caregauge.operators.intervals import enrollment_gaps
 from caregauge.operators.output import measure_rows
 from caregauge.operators.supply import dispensing_events, proportion_days_covered
-from caregauge.operators.valuesets import CodeBook, CodeRule
+from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
-from caregauge.plans.common import attach, flag
+from caregauge.plans.common import FillNeed, attach, drug_list_fills, flag, tagged_claims
 from caregauge.sources.tables import table
 
 # Drug descriptions and name patterns of the measure.
@@ -55,6 +55,12 @@ class MMA(QualityMeasure):
 
     FIXES = frozenset({"pdc_clamp", "duplicate_fills"})
 
+    def claims_needed(self, dfs_input, performance_yearstart):
+        return ClaimNeed(ASTHMA_BOOK, table(dfs_input, "reference"), ("member_id", "fromdate"))
+
+    def fills_needed(self, performance_yearstart):
+        return [FillNeed(F.col("description").isin(*CONTROLLERS, *RELIEVERS))]
+
     def _fills(self, dfs_input) -> DataFrame:
         """Asthma fills, those of one drug code, day and supply as one row.
 
@@ -64,15 +70,10 @@ class MMA(QualityMeasure):
         (day, drug) each repeat every fill there. Injected fills count once for each
         distinct row of the fill table.
         """
-        ndc = table(dfs_input, "ndc").where(F.col("description").isin(*CONTROLLERS, *RELIEVERS))
-        listed = ndc.groupBy(*ndc.columns).agg(F.count("*").alias("_listed"))
-        rx = table(dfs_input, "rx_claims")
-        code = F.col("ndc") == F.col("ndc_code")
-        fills = (
-            rx.groupBy(*rx.columns)
-            .agg(F.count("*").alias("_copies"))
-            .join(listed.drop(*(set(rx.columns) & set(ndc.columns) - {"ndc_code"})), code)
-        )
+        ndc, rx = table(dfs_input, "ndc"), table(dfs_input, "rx_claims")
+        # Only fills of the listed drugs are shuffled to be counted.
+        asthma = drug_list_fills(dfs_input, self.fills_needed(None)[0])
+        fills = asthma.groupBy(*asthma.columns).agg(F.count("*").alias("_copies"))
         claim = Window.partitionBy("member_id", "fromdate", "dayssupply", "drug_id", "claimid")
         same_day = Window.partitionBy("member_id", "fromdate", "drug_id")
         oral = F.when(F.col("route") == "oral", dispensing_events())
@@ -127,9 +128,7 @@ class MMA(QualityMeasure):
         """Member-level facts from one pass over the claims (reduced per day first)."""
         has = ASTHMA_BOOK.has
         seen = has("asthma") & (has("ed") | has("acute") | has("ambulatory"))
-        rows = ASTHMA_BOOK.tag(
-            table(dfs_input, "claims"), table(dfs_input, "reference"), ["member_id", "fromdate"]
-        )
+        rows = tagged_claims(dfs_input, self.claims_needed(dfs_input, py))
         daily = rows.groupBy("member_id", "fromdate").agg(
             F.bool_or(seen).alias("asthma_visit"),
             F.bool_or(has("asthma") & has("ambulatory")).alias("ambulatory_visit"),

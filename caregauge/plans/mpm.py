@@ -8,9 +8,18 @@ from caregauge.functions import age_on, year_end
 from caregauge.operators.intervals import continuously_enrolled
 from caregauge.operators.output import measure_rows
 from caregauge.operators.supply import treatment_days
-from caregauge.operators.valuesets import CodeBook, CodeRule
+from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
-from caregauge.plans.common import attach, fills_of, flag, marked, member_flags, on_list
+from caregauge.plans.common import (
+    FillNeed,
+    attach,
+    drug_fills,
+    flag,
+    marked,
+    member_flags,
+    on_list,
+    tagged_claims,
+)
 from caregauge.sources.tables import table
 
 MONITORING = CodeBook(
@@ -26,16 +35,24 @@ class MPM3(QualityMeasure):
     Numerator: a lab panel, or both a potassium and a creatinine test, in the year.
     """
 
+    def claims_needed(self, dfs_input, performance_yearstart):
+        this_year = F.col("fromdate").between(
+            F.lit(performance_yearstart), F.lit(year_end(performance_yearstart))
+        )
+        return ClaimNeed(
+            MONITORING, table(dfs_input, "reference"), ("member_id", "fromdate"), this_year
+        )
+
+    def fills_needed(self, performance_yearstart):
+        this_year = F.col("fromdate").between(
+            F.lit(performance_yearstart), F.lit(year_end(performance_yearstart))
+        )
+        return [FillNeed(on_list("Diuretic Medications"), this_year)]
+
     def _calc_measure(self, dfs_input, performance_yearstart):
         final = year_end(performance_yearstart)
         member = table(dfs_input, "member")
-        diuretics = fills_of(
-            table(dfs_input, "rx_claims").where(
-                F.col("fromdate").between(F.lit(performance_yearstart), F.lit(final))
-            ),
-            table(dfs_input, "ndc"),
-            on_list("Diuretic Medications"),
-        )
+        diuretics = drug_fills(dfs_input, self.fills_needed(performance_yearstart)[0])
         treated = treatment_days(diuretics, final).where("treatment_days >= 180")
         spans = table(dfs_input, "member_time").where(
             (F.col("date_start") >= F.lit(performance_yearstart))
@@ -43,11 +60,8 @@ class MPM3(QualityMeasure):
             & (F.col("cover_medical") == "Y")
             & (F.col("cover_rx") == "Y")
         )
-        claims = table(dfs_input, "claims").where(
-            F.col("fromdate").between(F.lit(performance_yearstart), F.lit(final))
-        )
         tests = member_flags(
-            MONITORING.tag(claims, table(dfs_input, "reference"), ["member_id"]),
+            tagged_claims(dfs_input, self.claims_needed(dfs_input, performance_yearstart)),
             {tag: MONITORING.has(tag) for tag in ("panel", "potassium", "creatinine")},
         )
         people = member.groupBy("member_id").agg(

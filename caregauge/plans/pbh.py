@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from caregauge.functions import age_on, year_end
@@ -11,9 +12,9 @@ from caregauge.operators.episodes import direct_transfers, first_episode
 from caregauge.operators.intervals import enrolled_holes
 from caregauge.operators.output import measure_rows
 from caregauge.operators.supply import covered_days_after_index
-from caregauge.operators.valuesets import CodeBook, CodeRule, codes_unique_to
+from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule, codes_unique_to
 from caregauge.plans.base import QualityMeasure
-from caregauge.plans.common import attach, fills_of, on_list
+from caregauge.plans.common import FillNeed, attach, drug_fills, on_list, tagged_claims
 from caregauge.sources.tables import table
 
 FOLLOW_UP_DAYS = 180
@@ -32,24 +33,31 @@ class PBH(QualityMeasure):
     Numerator: at least 135 of the following 180 days covered by beta-blockers.
     """
 
-    def _calc_measure(self, dfs_input, performance_yearstart):
+    @staticmethod
+    def window(performance_yearstart: datetime.date) -> tuple[Column, Column]:
+        """First and last day of an index discharge."""
         year = performance_yearstart.year
-        reference = table(dfs_input, "reference")
-        claims = table(dfs_input, "claims")
-        member = table(dfs_input, "member")
+        return F.lit(datetime.date(year - 1, 7, 1)), F.lit(datetime.date(year, 6, 30))
 
+    def claims_needed(self, dfs_input, performance_yearstart):
+        reference = table(dfs_input, "reference")
         # A stay is acute when its code belongs to the acute set alone.
         acute_codes = codes_unique_to(reference, "Inpatient Stay", "Nonacute Inpatient Stay")
         codes = acute_codes.withColumn("value_set_name", F.lit(ACUTE_STAY)).unionByName(reference)
-        window = F.lit(datetime.date(year - 1, 7, 1)), F.lit(datetime.date(year, 6, 30))
-        in_window = F.col("dischdate").between(*window)
+        window = self.window(performance_yearstart)
         # A stay matters when it ends in the window or begins the day after an end there.
-        near = in_window | F.col("admitdate").between(
+        near = F.col("dischdate").between(*window) | F.col("admitdate").between(
             F.date_add(window[0], 1), F.date_add(window[1], 1)
         )
-        lines = STAY_BOOK.tag(
-            claims.where(near), codes, ["member_id", "claimid", "admitdate", "dischdate"]
-        )
+        return ClaimNeed(STAY_BOOK, codes, ("member_id", "claimid", "admitdate", "dischdate"), near)
+
+    def fills_needed(self, performance_yearstart):
+        return [FillNeed(on_list("Beta-Blocker Medications"))]
+
+    def _calc_measure(self, dfs_input, performance_yearstart):
+        member = table(dfs_input, "member")
+        in_window = F.col("dischdate").between(*self.window(performance_yearstart))
+        lines = tagged_claims(dfs_input, self.claims_needed(dfs_input, performance_yearstart))
         index = first_episode(
             direct_transfers(
                 lines,
@@ -80,11 +88,7 @@ class PBH(QualityMeasure):
             )
             .where(~F.col("late") & (F.col("holes") <= 1))
         )
-        fills = fills_of(
-            table(dfs_input, "rx_claims"),
-            table(dfs_input, "ndc"),
-            on_list("Beta-Blocker Medications"),
-        )
+        fills = drug_fills(dfs_input, self.fills_needed(performance_yearstart)[0])
         covered = covered_days_after_index(fills, eligible, FOLLOW_UP_DAYS)
         facts = attach(member.select("member_id").distinct(), covered)
         return measure_rows(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import functools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +18,14 @@ from caregauge.operators.intervals import coverage_around
 from caregauge.operators.output import RESULT_COLUMNS
 from caregauge.operators.valuesets import (
     CHANNEL_SYSTEMS,
-    MASK,
     ORDINAL,
+    ClaimNeed,
     CodeBook,
     CodeRule,
     require_value_sets,
 )
 from caregauge.plans.base import QualityMeasure
+from caregauge.plans.common import tagged_claims
 from caregauge.sources.tables import table
 
 # Value sets that must have codes.
@@ -45,6 +47,7 @@ DIAGNOSIS = " (diagnosis)"
 TRANSPLANTS = ("Kidney Transplant", "Bone Marrow Transplant")
 
 
+@functools.cache
 def stay_book(any_position: tuple[str, ...]) -> CodeBook:
     """Rules of a stay's lines; diagnoses count in first position unless listed."""
     rules = []
@@ -70,26 +73,31 @@ class PCR(QualityMeasure):
 
     FIXES = frozenset({"value_set_names"})
 
-    def stays(self, dfs_input, performance_yearstart) -> DataFrame:
-        """Acute stays after merging transfers, with exclusion flags."""
-        repaired = "value_set_names" in self.fixes
-        book = stay_book(
-            ("Organ Transplant Other Than Kidney", *(TRANSPLANTS if repaired else ()))
-        )
-        claims = table(dfs_input, "claims").where(
-            F.col("dischdate") >= F.lit(performance_yearstart)
-        )
-        rows = book.tag(
-            claims,
+    def claims_needed(self, dfs_input, performance_yearstart):
+        return ClaimNeed(
+            stay_book(
+                (
+                    "Organ Transplant Other Than Kidney",
+                    *(TRANSPLANTS if "value_set_names" in self.fixes else ()),
+                )
+            ),
             table(dfs_input, "reference"),
-            ["member_id", "claimid", "admitdate", "dischdate", "dischargestatus"],
+            ("member_id", "claimid", "admitdate", "dischdate", "dischargestatus"),
+            F.col("dischdate") >= F.lit(performance_yearstart),
             also=F.col(ORDINAL) == 0,  # every line counts for dates and discharge status
         )
+
+    def stays(self, dfs_input, performance_yearstart) -> DataFrame:
+        """Acute stays after merging transfers, with exclusion flags."""
+        repaired = "value_set_names" in self.fixes
+        need = self.claims_needed(dfs_input, performance_yearstart)
+        book = need.book
+        rows = tagged_claims(dfs_input, need)
         per_claim = rows.groupBy("member_id", "claimid").agg(
             F.min("admitdate").alias("admitdate"),
             F.max("dischdate").alias("dischdate"),
             F.bool_or(F.coalesce(F.col("dischargestatus") == DIED, F.lit(False))).alias("died"),
-            F.bit_or(MASK).alias(MASK),
+            *book.merged(),
         )
 
         def any_of(*names: str) -> Column:

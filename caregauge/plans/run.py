@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import datetime
+from collections import ChainMap
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 
 from caregauge.operators.output import combine_results
+from caregauge.operators.valuesets import SharedTags
 from caregauge.plans.aab import AAB
-from caregauge.plans.awv import wellness_results
+from caregauge.plans.awv import reported_variants, visits_needed, wellness_results
 from caregauge.plans.cdc import CDC
 from caregauge.plans.cis import CIS
+from caregauge.plans.common import SHARED_FILLS, SHARED_TAGS, listed_fills
 from caregauge.plans.mma import MMA
 from caregauge.plans.mpm import MPM3
 from caregauge.plans.pbh import PBH
@@ -19,22 +25,50 @@ from caregauge.plans.pcp import PCPFollowup
 from caregauge.plans.pcr import PCR
 from caregauge.plans.spc import SPC
 from caregauge.plans.spd import SPD
+from caregauge.sources.scratch import stored
+from caregauge.sources.tables import table
 
 # Reported follow-up cutoffs in days.
 FOLLOW_UP_CUTOFFS = (7, 14)
 ANNUAL_MEASURES = (MPM3, PBH, PCR, AAB, SPD, SPC, CDC, MMA, CIS)
 
 
+def shared_inputs(
+    dfs_input: Mapping[str, DataFrame],
+    performance_yearstart: datetime.date,
+    date_latestpaid: datetime.date,
+) -> Mapping[str, DataFrame]:
+    """The input tables, and what all measures read of claims and fills from one pass each.
+
+    Claims are tagged once with the rules of all measures, fills meet the drug list once; both are
+    written to the shared scratch folder, where each measure reads its rows.
+    """
+    measures = [measure() for measure in ANNUAL_MEASURES]
+    needs = [m.claims_needed(dfs_input, performance_yearstart) for m in measures]
+    variants = reported_variants(performance_yearstart, date_latestpaid)
+    needs.append(visits_needed(dfs_input, variants))
+    claims = table(dfs_input, "claims")
+    chosen = [need for m in measures for need in m.fills_needed(performance_yearstart)]
+    some_drug = reduce(or_, [need.chosen for need in chosen])
+    fills = listed_fills(table(dfs_input, "rx_claims"), table(dfs_input, "ndc"), some_drug)
+    fills = fills.where(reduce(or_, [need.condition for need in chosen]))
+    with ThreadPoolExecutor(2) as both:  # two independent writes
+        written = both.submit(stored, fills, "drug-fills")
+        tags = SharedTags(claims, [need for need in needs if need is not None]).stored()
+        return ChainMap({SHARED_TAGS: tags, SHARED_FILLS: written.result()}, dfs_input)
+
+
 def measure_results(
     dfs_input: Mapping[str, DataFrame],
     performance_yearstart: datetime.date,
     date_latestpaid: datetime.date,
     follow_up: Mapping[str, object] | None = None,
 ) -> Mapping[str, DataFrame]:
-    """Lazy result of every measure by name.
+    """Lazy result of every measure by name, over claims and fills that were read once.
 
     ``follow_up``: ``source`` and ``columns`` of the follow-up measure.
     """
+    dfs_input = shared_inputs(dfs_input, performance_yearstart, date_latestpaid)
     results = {
         measure.__name__: measure().calc_measure(dfs_input, performance_yearstart)
         for measure in ANNUAL_MEASURES

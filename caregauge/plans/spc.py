@@ -13,8 +13,10 @@ from caregauge.plans.statins import (
     HIGH_MODERATE,
     cardiovascular,
     claim_facts,
+    claims_needed,
     drug_facts,
     excluded_by_claims,
+    fills_needed,
     statin_adherence,
     two_year_spans,
 )
@@ -34,8 +36,16 @@ class SPC(QualityMeasure):
 
     FIXES = frozenset({"acute_setting", "pdc_clamp"})
 
+    STATINS = (HIGH_MODERATE,)
+
+    def claims_needed(self, dfs_input, performance_yearstart):
+        return claims_needed(dfs_input, performance_yearstart)
+
+    def fills_needed(self, performance_yearstart):
+        return fills_needed(performance_yearstart, self.STATINS)
+
     def _calc_measure(self, dfs_input, performance_yearstart):
-        statins = (HIGH_MODERATE,)
+        statins = self.STATINS
         age = age_on(year_end(performance_yearstart))
         gender = F.col("gender")
         members = table(dfs_input, "member").select(

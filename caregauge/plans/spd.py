@@ -14,8 +14,10 @@ from caregauge.plans.statins import (
     LOW,
     cardiovascular,
     claim_facts,
+    claims_needed,
     drug_facts,
     excluded_by_claims,
+    fills_needed,
     statin_adherence,
     two_year_spans,
 )
@@ -31,8 +33,16 @@ class SPD(QualityMeasure):
 
     FIXES = frozenset({"acute_setting", "pdc_clamp"})
 
+    STATINS = (HIGH_MODERATE, LOW)
+
+    def claims_needed(self, dfs_input, performance_yearstart):
+        return claims_needed(dfs_input, performance_yearstart)
+
+    def fills_needed(self, performance_yearstart):
+        return fills_needed(performance_yearstart, self.STATINS)
+
     def _calc_measure(self, dfs_input, performance_yearstart):
-        statins = (HIGH_MODERATE, LOW)
+        statins = self.STATINS
         members = table(dfs_input, "member").select(
             "member_id",
             F.col("gender").alias("member_gender"),

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from caregauge.functions import in_year, in_years, inside_years, year_end
 from caregauge.operators.supply import proportion_days_covered
-from caregauge.operators.valuesets import CodeBook, CodeRule
+from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule
 from caregauge.plans.common import (
+    FillNeed,
     HCPCS,
-    fills_of,
+    drug_fills,
     flag,
     member_flags,
     on_list,
+    tagged_claims,
     two_or_more,
     visit_rules,
 )
@@ -48,6 +50,26 @@ STATIN_BOOK = CodeBook(
 )
 
 
+def claims_needed(dfs_input, performance_yearstart: datetime.date) -> ClaimNeed:
+    """The claim rows of both measures."""
+    gender = ("gender",) if "gender" in table(dfs_input, "claims").columns else ()
+    return ClaimNeed(
+        STATIN_BOOK,
+        table(dfs_input, "reference"),
+        ("member_id", *gender, "fromdate", "todate"),
+        in_years("fromdate", performance_yearstart),
+    )
+
+
+def fills_needed(performance_yearstart: datetime.date, statins: tuple[str, ...]) -> list[FillNeed]:
+    """Fills of two years for the flags, statins of the year for the days covered."""
+    lists = on_list("Diabetes Medications", "Estrogen Agonists Medications", *statins)
+    return [
+        FillNeed(lists, in_years("fromdate", performance_yearstart)),
+        FillNeed(on_list(*statins), in_year("fromdate", performance_yearstart)),
+    ]
+
+
 def claim_facts(
     dfs_input, performance_yearstart: datetime.date, acute_setting: bool
 ) -> DataFrame:
@@ -58,13 +80,10 @@ def claim_facts(
     """
     py = performance_yearstart
     has = STATIN_BOOK.has
-    claims = table(dfs_input, "claims").where(in_years("fromdate", py))
-    gender = ["gender"] if "gender" in claims.columns else []
-    rows = STATIN_BOOK.tag(
-        claims, table(dfs_input, "reference"), ["member_id", *gender, "fromdate", "todate"]
-    )
+    need = claims_needed(dfs_input, py)
+    rows = tagged_claims(dfs_input, need)
     pregnancy = has("pregnancy")
-    if gender:
+    if "gender" in need.columns:
         pregnancy = pregnancy & (F.col("gender") == "F")
     in_both = inside_years("fromdate", "todate", py)
     this_year = inside_years("fromdate", "todate", py, 0, 0)
@@ -89,11 +108,7 @@ def claim_facts(
 def drug_facts(dfs_input, performance_yearstart: datetime.date, statins: tuple[str, ...]) -> DataFrame:
     """Member-level drug flags from one pass over two years of fills."""
     py = performance_yearstart
-    fills = fills_of(
-        table(dfs_input, "rx_claims").where(in_years("fromdate", py)),
-        table(dfs_input, "ndc"),
-        on_list("Diabetes Medications", "Estrogen Agonists Medications", *statins),
-    )
+    fills = drug_fills(dfs_input, fills_needed(py, statins)[0])
     return member_flags(
         fills,
         {
@@ -108,11 +123,7 @@ def statin_adherence(
     dfs_input, performance_yearstart: datetime.date, statins: tuple[str, ...], clamp: bool
 ) -> DataFrame:
     """Proportion of days covered by statins in the year."""
-    fills = fills_of(
-        table(dfs_input, "rx_claims").where(in_year("fromdate", performance_yearstart)),
-        table(dfs_input, "ndc"),
-        on_list(*statins),
-    )
+    fills = drug_fills(dfs_input, fills_needed(performance_yearstart, statins)[1])
     return proportion_days_covered(
         fills, year_end(performance_yearstart), clamp=clamp
     ).select("member_id", "pdc")

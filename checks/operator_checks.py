@@ -1254,7 +1254,7 @@ def lookback_exclusions(spark, sf_dir):
     last = datetime.date(1998, 12, 24)
     return (
         AAB()
-        .timeline(model.tables(spark, sf_dir), model.PY, last)
+        .timeline(model.tables(spark, sf_dir), model.PY)
         .where(
             F.col("index")
             & ~F.col("then_admitted")

@@ -6,6 +6,7 @@ from caregauge.operators.intervals import (
     continuously_enrolled,
     coverage_holes,
     enrollment_gaps,
+    enrollment_gaps_of,
     flag_gaps,
 )
 from tests.helpers import rows, table
@@ -88,3 +89,13 @@ def test_hole_limits_use_the_day_difference(spark):
     )
     # 2018-02-01 … 2018-03-18 is 45 days apart (46 inclusive) and still allowed.
     assert rows(continuously_enrolled(edge, 1, 45), "member_id") == [("d45",)]
+
+
+def test_several_periods_from_one_pass(spark):
+    """Equal to one pass a period: overlapping, one-day, far and reversed in order."""
+    day = datetime.date
+    periods = [PERIOD, (day(2017, 6, 1), day(2018, 1, 1)), (day(2018, 1, 3), day(2018, 1, 3)), (day(2030, 1, 1), day(2030, 1, 31)), (day(2016, 6, 1), day(2017, 7, 1))]
+    got = enrollment_gaps_of(spans(spark), periods)
+    for number, period in enumerate(periods):
+        one = rows(enrollment_gaps(spans(spark), *period), "member_id", "largest_gap", "gap_count")
+        assert rows(got, "member_id", f"largest_gap_{number}", f"gap_count_{number}") == one

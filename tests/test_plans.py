@@ -3,6 +3,9 @@
 import pytest
 
 import __spark_entry__
+from caregauge.operators import valuesets
+from caregauge.plans import run
+from caregauge.sources import scratch
 from checks import claim_model
 from checks.registry import ORACLES, QUERIES
 
@@ -13,7 +16,7 @@ WRITERS = {"src_schema_csv", "src_reference_catalogue", "combine_results"}
 # Scans of the line items, from which claims and pharmacy fills are derived.
 LINE_SCANS = {
     "measure_mpm3": 2, "measure_pbh": 2, "measure_pcr": 1, "measure_cis": 1, "measure_awv": 1,
-    "measure_aab": 2, "measure_spd": 3, "measure_spc": 3, "measure_cdc": 2, "measure_mma": 3,
+    "measure_aab": 2, "measure_spd": 3, "measure_spc": 3, "measure_cdc": 2, "measure_mma": 3, "run_all": 0,
     "value_set_match": 1, "elig_per_event": 0,
 }
 
@@ -48,3 +51,55 @@ def test_claim_tables_are_built_once(spark):
 
 def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(ALL) <= set(__spark_entry__.queries())
+
+
+def line_scans(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("FileScan parquet" in line and "l_orderkey" in line for line in plan.splitlines())
+
+
+def test_all_measures_read_claims_and_fills_once(spark, monkeypatch):
+    """What is written for all of them scans the line items twice, and their union not at all."""
+    scans = []
+
+    def counted(df, purpose):
+        scans.append(line_scans(df))
+        return scratch.stored(df, purpose)
+
+    monkeypatch.setattr(run, "stored", counted)
+    monkeypatch.setattr(valuesets, "stored", counted)
+    everything = run.run_all(claim_model.tables(spark, FOLDER), claim_model.PY, claim_model.LATEST_PAID)
+    assert sum(scans) == 2 and line_scans(everything) == 0
+
+
+def below_first_exchange(plan: str, scan: str) -> list[str]:
+    """Operators between each scan of ``scan`` and the exchange above it, lowest first."""
+    lines, found = plan.splitlines(), []
+    for at, line in enumerate(lines):
+        if "FileScan parquet" in line and scan in line:
+            above, depth = [], line.index("FileScan")
+            for other in reversed(lines[:at]):
+                column = len(other) - len(other.lstrip(" :+-*(0123456789)"))
+                if column < depth:
+                    depth = column
+                    above.append(other.strip(" :+-"))
+                    if "Exchange" in other:
+                        break
+            found.append(" / ".join(above))
+    return found
+
+
+def test_asthma_fills_are_picked_before_any_exchange(spark):
+    """Only fills of listed drugs are shuffled: each scan of lines meets the drug list first."""
+    fills = [path for path in below_first_exchange(plan_of(spark, "measure_mma"), "l_orderkey") if "ndc" in path]
+    assert fills and all("Join" in path and "drug_id" in path for path in fills)
+
+
+def test_only_childrens_claims_are_aggregated(spark):
+    path = [p for p in below_first_exchange(plan_of(spark, "measure_cis"), "l_orderkey")]
+    assert path and all("LeftSemi" in p for p in path)
+
+
+def test_wellness_reads_spans_once(spark):
+    plan = plan_of(spark, "measure_awv")
+    assert sum("date_start" in line and "Generate inline" in line for line in plan.splitlines()) == 1

@@ -4,10 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from caregauge.operators.valuesets import (
+    ClaimNeed,
     CodeBook,
     CodeRule,
+    SharedTags,
     claim_value_sets,
     codes_unique_to,
+    frequent_codes,
     normalise_value_sets,
     require,
     require_code_systems,
@@ -202,3 +205,77 @@ def test_codes_unique_to(spark):
         """,
     )
     assert rows(codes_unique_to(sets, "A", "B"), "code") == [("only_a",)]
+
+
+def largest_share(df) -> float:
+    """Rows of the fullest partition over those of an even one."""
+    sizes = df.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    return sizes.max() / (sizes.sum() / 8)
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins by exchange, whose partitions stay as they are."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in zip(names, ("-1", "false", "-1"), strict=True):
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("icd", [False, True])
+def test_null_and_frequent_codes_are_spread(spark, reference, shuffled, icd):
+    """95 % of the rows without a code; then one code in half of the rows."""
+    rules = [CodeRule("other", "revcode", ("Visit",)), CodeRule("visit", "hcpcs", ("Visit",))]  # the last join shows
+    rules += [CodeRule("diabetes", "icddiag", ("Diabetes",))] * icd
+    book = CodeBook(*rules)
+    base = ["cast(id as string) member_id", "'10' icdversion", "cast(null as string) revcode", "cast(null as string) icddiag1"]
+    ids = spark.range(0, 20_000, 1, 3)
+    nulls = ids.selectExpr(*base, "CASE WHEN id % 20 = 0 THEN concat('X', id % 400) END AS hcpcs")
+    tagged = book.tag(nulls, reference, ["member_id"], also=F.lit(True))
+    assert tagged.count() == 20_000 and largest_share(tagged) < 2
+    hot = ids.selectExpr(*base, "CASE WHEN id % 2 = 0 THEN 'V1' ELSE concat('X', id) END AS hcpcs")
+    if icd:
+        hot = hot.withColumn("icddiag1", F.expr("CASE WHEN hcpcs = 'V1' THEN 'E119' ELSE concat('Y', hcpcs) END"))
+    frequent = frequent_codes(hot, ["hcpcs", "icddiag"])
+    assert frequent == ["E119"] * icd + ["V1"]
+    for codes in (frequent, ()):
+        tagged = book.tag(hot, reference, ["member_id"], also=F.lit(True), frequent=codes)
+        assert tagged.where(book.has("visit")).select("member_id").distinct().count() == 10_000
+        assert tagged.where("tags != 0").count() == 10_000 * (1 + icd)
+        assert (largest_share(tagged) < 2) == bool(codes)
+
+
+def test_more_tags_than_a_word_holds(spark, claims):
+    """200 tags: the first, one at the edge of each word, the last."""
+    many = spark.createDataFrame([(f"S{i}", "V1" if i % 50 == 12 else f"Z{i}", "CPT") for i in range(200)] + [("D", "E11.9", "ICD10CM")], "value_set_name string, code string, code_system string")
+    book = CodeBook(*[CodeRule(f"S{i}", "hcpcs", (f"S{i}",)) for i in range(200)], CodeRule("D", "icddiag", ("D",), principal=True))
+    assert len(book.words) == 4
+    for i in (0, 12, 61, 62, 63, 112, 123, 124, 162, 199):
+        assert members(book, claims, many, f"S{i}") == ({"both", "visit_only"} if i % 50 == 12 else set())
+    assert members(book, claims, many, "D") == {"both"}
+
+
+def test_shared_pass_equals_own_passes(spark, claims, reference):
+    """Books of several styles, code tables, conditions and widths in one pass."""
+    claims = claims.withColumn("day", F.lit(3)).withColumn("unused", F.lit(0))
+    other = reference.withColumn("value_set_name", F.concat(F.lit("my "), "value_set_name"))
+    wide = [CodeRule(f"w{i}", "hcpcs", ("Visit",) if i == 70 else ("None",)) for i in range(80)]
+    needs = [
+        ClaimNeed(CodeBook(CodeRule("visit", "hcpcs", ("Visit",)), CodeRule("dm", "icddiag", ("Diabetes",), principal=True)), reference, ("member_id",)),
+        ClaimNeed(CodeBook(CodeRule("dm", "icddiag", ("Diabetes",)), version="digits"), reference, ("member_id", "day"), F.col("day") > 2),
+        ClaimNeed(CodeBook(CodeRule("dm", "icddiag", ("Diabetes",), versioned=False), version="padded"), reference, ("claimid", "member_id"), F.col("claimid") != "c1"),
+        ClaimNeed(CodeBook(CodeRule("kidney", "icdproc", ("my Kidney",)), CodeRule("x", "revcode", ("my Visit",))), other, ("member_id",), also=F.col("icd_ordinal") == 0),
+        ClaimNeed(CodeBook(*wide, CodeRule("dm", "icddiag", ("Diabetes",))), reference, ("member_id",), F.col("claimid").isin("c1", "c2", "c3")),
+        ClaimNeed(CodeBook(CodeRule("none", "hcpcs", ("None",))), reference, ("member_id",), F.col("day") > 5),
+    ]
+    needs = [ClaimNeed(n.book, n.codes, (*n.columns, "claimid", "day"), n.rows, n.also) if n.rows is not None else n for n in needs]
+    needs = [ClaimNeed(n.book, n.codes, tuple(dict.fromkeys(n.columns)), n.rows, n.also) for n in needs]
+    shared = SharedTags(claims, needs).stored()
+    for need in needs:
+        # an own pass keeps no row of an ICD code that only another book knows
+        wanted = [*need.columns, *need.book.words]
+        assert set(rows(shared.rows(need), *wanted)) == set(rows(need.tag(claims), *wanted))
+    assert rows(shared.rows(needs[3]), "member_id") and not rows(shared.rows(needs[5]), "member_id")
