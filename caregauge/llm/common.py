@@ -67,12 +67,11 @@ def smallest_hashes(rows: DataFrame, group: str, most: int, groups: int) -> list
     """(group, doc_id) of the ``most`` rows of each ``group`` value whose ``doc_id`` has the smallest hash.
 
     A count of each value gives a hash bound that about twice as many rows pass; only these come to
-    the driver, which ranks them. So what moves is bounded by ``most`` and ``groups`` (an error if
-    there are more), whatever the table's size.
+    the driver, which ranks them. So what moves is bounded by ``most`` and ``groups``, whatever the
+    table's size. Of more values than ``groups`` the most frequent count, of equally frequent
+    ones the first in order.
     """
-    sizes = rows.groupBy(group).agg(F.count("*")).limit(groups + 1).collect()
-    if len(sizes) > groups:
-        raise ValueError(f"more than {groups} values of {group}")
+    sizes = rows.groupBy(group).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), group).limit(groups).collect()
     h = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
     bounds = [x for k, n in sizes for x in (F.lit(k), F.lit(min(2**63 - 1, (2**63 - 1) * (2 * most + 100) // n)))]
     if not bounds:

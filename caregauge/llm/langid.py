@@ -2,7 +2,7 @@
 
 For each language a suffix automaton is built of a bounded sample of labelled text. A text is cut
 into phrases, each the longest piece that occurs in the sample; a phrase costs the logarithm of
-the sample's length. The language that needs the fewest bits (phrases times cost) wins.
+the longest sample's length, whatever the language. The language that needs the fewest bits (phrases times cost) wins.
 
 Only letters tell languages apart: everything between letters counts as one blank, and case is
 folded. Every letter of every sample is a symbol of its own. Each automaton is turned into a sparse
@@ -11,7 +11,8 @@ whether a phrase ends and the symbol begins the next one. All pieces of a batch
 text) walk through the tables of all languages side by side, one numpy step a symbol, over the whole text.
 
 Defined results: null texts and texts without a letter give ``und`` with score 0; so does every
-text when nothing was learned; ties go to the language that comes first in order; an empty table
+text when nothing was learned; of more than MAX_LANGUAGES values of ``lang`` those of the most
+documents are learned (of equally many the first in order); ties go to the language that comes first in order; an empty table
 gives an empty result; repeated rows are predicted alike; other columns are ignored.
 """
 
@@ -42,7 +43,7 @@ SAMPLE_DOCUMENTS = 64
 MAX_LANGUAGES = 200
 #: Gaps that are tried for a row of several transitions before it goes to the end.
 TRIED = 64
-#: Symbols that a walk covers; a phrase never goes beyond.
+#: Symbols that a walk covers; the next walk of the text goes on with its state.
 CHUNK = 512
 #: Code points of a batch that walk side by side.
 BATCH_CHARS = 2_000_000
@@ -69,6 +70,9 @@ def letters(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     table = worker_state("language letters", _lower)
     points, starts = codepoints(texts), text_starts(texts)
     low = np.where(points < 0x10000, table[np.minimum(points, 0xFFFF)], points)
+    for point in np.unique(points[points >= 0x10000]).tolist():  # emoji and other signs are no letters
+        if not chr(point).isalpha():
+            low[points == point] = 32
     low[starts[1:] - 1] = 0
     keep = np.ones(len(low), bool)
     keep[1:] = (low[1:] != 32) | ((low[:-1] != 32) & (low[:-1] != 0))
@@ -159,7 +163,9 @@ class CrossParser:
         self.symbol = np.full(0x110000, len(often), np.int32)  # what no sample has
         self.symbol[often] = np.arange(len(often), dtype=np.int32)
         tables = [parse_table(automaton(self.symbol[x].tolist()), len(often) + 1) for x in folded.values()]
-        self.cost = np.array([np.log2(len(x) + 1.0) for x in folded.values()])
+        # The longest sample's cost for all: a short sample must not make its phrases cheap.
+        longest = max(map(len, folded.values()), default=0)
+        self.cost = np.full(len(folded), np.log2(longest + 1.0))
         begins = np.cumsum([0, *[len(owner) for owner, _ in tables]])
         self.begin = begins[:-1].astype(np.int32)
         none = np.zeros(0, np.int32)
@@ -182,10 +188,26 @@ class CrossParser:
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = starts[owner] + nth * CHUNK
         size = np.minimum(lengths[owner] - nth * CHUNK, CHUNK)
+        first = np.repeat(self.begin[:, None], len(begin), axis=1)
+        last, count = first.copy(), np.zeros(first.shape, np.int32)
+        lanes = np.arange(len(begin))
+        while len(lanes):
+            last[:, lanes], count[:, lanes] = self._walk(symbols, begin[lanes], size[lanes], first[:, lanes])
+            # A lane goes on with the phrase under way at the end of the one before; walks that started
+            # with another state are walked again, after the second round few.
+            follows = np.flatnonzero(nth > 0)
+            lanes = follows[(first[:, follows] != last[:, follows - 1]).any(axis=0)]
+            first[:, lanes] = last[:, lanes - 1]
+        ends = np.append(nth[1:] == 0, True) if len(nth) else np.zeros(0, bool)
+        count += ends & (last != self.begin[:, None])  # the phrase under way at the end of the text
+        return np.stack([np.bincount(owner, weights=row, minlength=len(texts)) for row in count], axis=1)
+
+    def _walk(self, symbols: np.ndarray, begin: np.ndarray, size: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(states, phrases that ended) of all languages and lanes after walks from the states ``first``."""
         order = np.argsort(-size, kind="stable")  # lanes still walking come first
-        begin, size, owner = begin[order], size[order], owner[order]
+        begin, size = begin[order], size[order]
         walking = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right") if len(size) else []
-        state = np.repeat(self.begin[:, None], len(begin), axis=1)
+        state = first[:, order]
         count = np.zeros(state.shape, np.int32)
         for t, n in enumerate(walking):
             symbol, now = symbols[begin[:n] + t], state[:, :n]
@@ -193,8 +215,8 @@ class CrossParser:
             moved = np.where(self.owner[place] == now, self.entry[place], self.entry[self.begin[:, None] + symbol] + 1)
             count[:, :n] += moved & 3
             state[:, :n] = moved >> 2
-        count += state != self.begin[:, None]  # the phrase under way
-        return np.stack([np.bincount(owner, weights=row, minlength=len(texts)) for row in count], axis=1)
+        back = np.argsort(order)
+        return state[:, back], count[:, back]
 
 
 def learned(documents: DataFrame, parts: int, held_out: int) -> dict[str, str]:
