@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,9 @@ FULL_TEXT, FULL_MARKS = 200.0, 4.0
 HELD = 0.9
 #: Share of the page's plain text that named parts of one path, and all named parts, may hold.
 NAMED_PATH, NAMED_ALL = 0.25, 0.5
+#: The same for a part of comments, consent or a sidebar where an h1, main or article stands outside
+#: it, and where none does.
+SIDE_MOST, SIDE_ALONE = 0.9, 0.5
 
 # Fixed values of HTML: elements without an end tag, elements that are part of a line, elements
 # whose content is not markup, and which open elements a start tag closes.
@@ -60,6 +64,9 @@ BESIDE_WORDS = frozenset(
     "header masthead comment comments disqus reply replies share sharing social related recommended newsletter "
     "subscribe subscription signup login popup modal overlay pagination pager search toolbar complementary contentinfo".split()
 )
+# Names of readers' and the site's own matter, and words that tell a state of a wrapper.
+SIDE_WORDS = frozenset("comment comments disqus replies cookie cookies consent gdpr sidebar".split())
+STATE_WORDS = frozenset("has with no without open closed enabled disabled count left right full".split())
 KEPT_TAGS = frozenset(("html", "body", "main", "article"))
 
 _TAG = re.compile(
@@ -72,8 +79,8 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 
-#: What an element's names say: nothing, one word of a name, a whole name.
-PLAIN, PART, WHOLE = 0, 1, 2
+#: What an element's names say: nothing, one word of a name, a whole name, matter of readers or the site.
+PLAIN, PART, WHOLE, SIDE = 0, 1, 2, 3
 
 
 def _named(name: str, attributes: str) -> tuple[int, str]:
@@ -84,6 +91,9 @@ def _named(name: str, attributes: str) -> tuple[int, str]:
     named = " ".join(x for m in _NAMES.findall(attributes) for x in m if x)
     if any(w.lower() in BESIDE_WORDS for w in _WORDS.findall(named)):
         mark = WHOLE if any(x.lower() in BESIDE_WORDS for x in named.split()) else PART
+        parts = ([w.lower() for w in _WORDS.findall(x)] for x in named.split())
+        if any(SIDE_WORDS.intersection(p) and not STATE_WORDS.intersection(p) for p in parts):
+            mark = SIDE
     return mark, named
 
 
@@ -121,6 +131,7 @@ def blocks(page: str) -> tuple[list[tuple[int, str, int]], Elements]:
     out: list[tuple[int, str, int]] = []
     elements = Elements()
     stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, element, beside
+    open_: Counter[str] = Counter()  # names on the stack, so that stray end tags cost nothing
     words: list[str] = []
     link, linked, at = False, 0, 0
 
@@ -158,17 +169,20 @@ def blocks(page: str) -> tuple[list[tuple[int, str, int]], Elements]:
         end_block()
         if end:
             link = False
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0)
-            if depth:
-                del stack[depth:]
+            while open_[name]:
+                closed = stack.pop()[0]
+                open_[closed] -= 1
+                if closed == name:
+                    break
             continue
         closes = CLOSES.get(name, {"p"})
         while len(stack) > 1 and stack[-1][0] in closes:
-            stack.pop()
+            open_[stack.pop()[0]] -= 1
         if name == "hr" or rest.endswith("/"):
             continue
         mark, named = _named(name, rest)
         _, parent, within = stack[-1]
+        open_[name] += 1
         stack.append((name, elements.add(name, named, parent, mark), within or name in BESIDE_TAGS))
     if at < len(page) and not stack[-1][2]:
         words.append(page[at:])
@@ -192,9 +206,17 @@ def _beside(elements: Elements, at: np.ndarray, plain: np.ndarray) -> np.ndarray
     share: dict[int, float] = {}
     for k in marked:
         share[elements.path[k]] = share.get(elements.path[k], 0.0) + text[k]
+    head = np.array([x == "h1" for x in elements.name]) & (text > 0)
+    heads = elements.totals(np.flatnonzero(head), np.ones(int(head.sum())))
     outright, little = set(), set()
     for k in marked:
-        if elements.mark[k] == WHOLE and mains[0] and not mains[k] and not in_main[k]:
+        if elements.mark[k] == SIDE and not heads[k] and not mains[k]:
+            # It goes whatever its size, where the page shows that its article is elsewhere.
+            most = SIDE_MOST if heads[0] or mains[0] else SIDE_ALONE
+            if text[k] <= most * text[0]:
+                outright.add(k)
+                continue
+        if elements.mark[k] >= WHOLE and mains[0] and not mains[k] and not in_main[k]:
             outright.add(k)
         elif text[0] and share[elements.path[k]] <= NAMED_PATH * text[0]:
             little.add(k)
