@@ -40,6 +40,7 @@ class Layout:
     name: str
     paths: tuple[str, ...]
     turns: str
+    without: str | None = None  # a field beside which it would be one of two answers
 
     @property
     def fingerprint(self) -> str:
@@ -54,11 +55,11 @@ def _named(role: str, field: str) -> str:
     return f"named_struct('role', '{role}', 'text', {field})"
 
 
-def _exchange(name: str, question: str, answer: str, more: str | None = None) -> Layout:
+def _exchange(name: str, question: str, answer: str, more: str | None = None, without: str | None = None) -> Layout:
     """Layout of one question and one answer; ``more``: a field that extends the question."""
     asked = f"concat_ws('\\n\\n', {question}, nullif({more}, ''))" if more else question
     paths = (question, answer, *((more,) if more else ()))
-    return Layout(name, paths, f"array({_named('user', asked)}, {_named('assistant', answer)})")
+    return Layout(name, paths, f"array({_named('user', asked)}, {_named('assistant', answer)})", without)
 
 
 def _messages(name: str, field: str, role: str, text: str) -> Layout:
@@ -67,18 +68,25 @@ def _messages(name: str, field: str, role: str, text: str) -> Layout:
 
 
 TURN_ROWS = Layout("turn rows", ("conv_id", "turn", "role", "text"), "array(named_struct('role', role, 'text', text))")
+PARTS = Layout(
+    "messages of parts",
+    ("messages[].role", "messages[].content[].text"),
+    "transform(messages, m -> named_struct('role', m.role, 'text', concat_ws('\\n', m.content.text)))",
+)
+#: In order of preference: a record or table with the fields of several is of the first.
 LAYOUTS = (
     TURN_ROWS,
-    _exchange("prompt and response", "prompt", "response"),
-    _exchange("prompt and completion", "prompt", "completion"),
-    _exchange("question and answer", "question", "answer"),
-    _exchange("instruction", "instruction", "output"),
-    _exchange("instruction with input", "instruction", "output", "input"),
     _messages("messages", "messages", "role", "content"),
+    PARTS,
     _messages("conversations", "conversations", "from", "value"),
+    _exchange("instruction with input", "instruction", "output", "input"),
+    _exchange("instruction", "instruction", "output"),
+    _exchange("prompt and response", "prompt", "response", without="completion"),
+    _exchange("prompt and completion", "prompt", "completion", without="response"),
+    _exchange("question and answer", "question", "answer"),
 )
-BY_FINGERPRINT = {layout.fingerprint: layout for layout in LAYOUTS}
-KNOWN_PATHS = {path for layout in LAYOUTS for path in layout.paths}
+#: A field whose text, if any, is a turn before all others.
+SYSTEM = "system"
 
 
 def field_paths(kind: DataType, prefix: str = "") -> list[str]:
@@ -92,11 +100,12 @@ def field_paths(kind: DataType, prefix: str = "") -> list[str]:
 
 
 def layout_of(schema: StructType) -> Layout:
-    """The layout of a table; fields that no layout knows don't matter."""
-    found = BY_FINGERPRINT.get(fingerprint(p for p in field_paths(schema) if p in KNOWN_PATHS))
-    if found is None:
-        raise ValueError(f"no layout has the field paths {sorted(field_paths(schema))}")
-    return found
+    """The layout of a table: the first whose paths are there; other fields don't matter."""
+    given = set(field_paths(schema))
+    for layout in LAYOUTS:
+        if fingerprint(given.intersection(layout.paths)) == layout.fingerprint and layout.without not in given:
+            return layout
+    raise ValueError(f"no layout has the field paths {sorted(given)}")
 
 
 def _canonical(turns: Column) -> Column:
@@ -111,6 +120,11 @@ def _canonical(turns: Column) -> Column:
     )
 
 
+def _with_system(said: Column, turns: Column) -> Column:
+    first = F.array(F.struct(F.lit("system").alias("role"), said.alias("text")))
+    return F.when(said != "", F.concat(first, turns)).otherwise(turns)
+
+
 def _pairs(messages: Column, role: str, text: str) -> Column:
     return F.transform(messages, lambda m: F.struct(m[role].alias("role"), m[text].alias("text")))
 
@@ -121,7 +135,10 @@ def turns_of_table(df: DataFrame, key: str) -> DataFrame:
     if layout is TURN_ROWS:
         kept = F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
         return df.select(F.col(key), F.col("turn").cast("long").alias("position"), *kept)
-    turns = df.select(F.col(key).alias("_key"), F.posexplode(_canonical(F.expr(layout.turns))).alias("position", "t"))
+    made = _canonical(F.expr(layout.turns))
+    if SYSTEM in field_paths(df.schema):
+        made = _with_system(F.col(SYSTEM).cast("string"), made)
+    turns = df.select(F.col(key).alias("_key"), F.posexplode(made).alias("position", "t"))
     return turns.select(F.col("_key").alias(key), F.col("position").cast("long"), "t.role", "t.text")
 
 
@@ -136,45 +153,79 @@ def _has(value: Column, path: str) -> Column:
     if not leaf:
         return F.coalesce(~_shape(value, f"$.{head}").isin("OBJECT", "ARRAY"), F.lit(False))
     elements = F.try_variant_get(value, f"$.{head}", "array<variant>")
+    inner, _, part = leaf.partition("[].")
+    if part:
+        parts = F.exists(elements, lambda m: F.exists(_parts(m, inner), lambda p: _shape(p, f"$.{part}").isNotNull()))
+        return F.coalesce(parts, F.lit(False))
     nested = F.exists(elements, lambda m: F.coalesce(_shape(m, f"$.{leaf}").isin("OBJECT", "ARRAY"), F.lit(False)))
     found = F.exists(elements, lambda m: _shape(m, f"$.{leaf}").isNotNull())
     return F.coalesce((F.size(elements) == 0) | (found & ~nested), F.lit(False))
 
 
+def _parts(value: Column, field: str) -> Column:
+    return F.try_variant_get(value, f"$.{field}", "array<variant>")
+
+
+def _text_of_parts(message: Column) -> Column:
+    """Texts of a message's parts, one below the other; its plain content if it has no parts."""
+    texts = F.transform(_parts(message, "content"), lambda p: F.try_variant_get(p, "$.text", "string"))
+    return F.coalesce(F.array_join(texts, "\n"), F.try_variant_get(message, "$.content", "string"))
+
+
 def turns_of_records(df: DataFrame, key: str, record: str) -> DataFrame:
     """(key, layout, turns) of a column of JSON records, each in a layout of its own."""
     rows = df.select(F.col(key).alias("_key"), F.try_parse_json(F.col(record)).alias("_value"))
-    # Those of the layouts' field paths that the record has; other fields don't matter.
+    # The field paths that the record has; of each layout's own the hash must be the layout's.
     paths = sorted({path for layout in LAYOUTS[1:] for path in layout.paths})
-    shown = F.concat_ws("\n", *[F.when(_has(F.col("_value"), path), F.lit(path)) for path in paths])
-    rows = rows.withColumn("_print", F.substring(F.sha2(shown, 256), 1, 16))
-    name, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
+    rows = rows.withColumn("_has", F.array(*[_has(F.col("_value"), path) for path in paths]))
+    has = {path: F.col("_has")[i] for i, path in enumerate(paths)}
+    lists = {layout.paths[0].partition("[].")[0] for layout in LAYOUTS[1:] if "[]." in layout.paths[0]}
+    filled = {head: F.coalesce(F.size(_parts(F.col("_value"), head)) > 0, F.lit(False)) for head in lists}
+    chosen, empty, made_by = [], [], {}
     for layout in LAYOUTS[1:]:
-        struct: dict[str, list[str]] = {}
-        for path in sorted(layout.paths):
-            head, _, leaf = path.partition("[].")
-            struct.setdefault(head, []).extend([leaf] * bool(leaf))
-        same = F.col("_print") == layout.fingerprint
-        cast = ", ".join(
-            f"`{head}`: ARRAY<STRUCT<{', '.join(f'`{x}`: STRING' for x in leaves)}>>" if leaves else f"`{head}`: STRING"
-            for head, leaves in struct.items()
+        shown = F.concat_ws("\n", *[F.when(has[path], F.lit(path)) for path in sorted(layout.paths)])
+        same = F.substring(F.sha2(shown, 256), 1, 16) == layout.fingerprint
+        if layout.without:
+            same &= ~has[layout.without]
+        head, _, leaf = layout.paths[0].partition("[].")
+        if not leaf:
+            chosen.append(F.when(same, layout.name))
+        else:  # a list without messages only counts where nothing else is found
+            chosen.append(F.when(same & filled[head], layout.name))
+            empty.append(F.when(same, layout.name))
+        made_by[layout.name] = _turns_of_record(layout)
+    rows = rows.withColumn("layout", F.coalesce(*chosen, *empty))
+    turns = F.lit(None).cast("array<struct<role:string,text:string>>")
+    for name, made in made_by.items():
+        turns = F.when(F.col("layout") == name, _canonical(made)).otherwise(turns)
+    turns = _with_system(F.try_variant_get("_value", f"$.{SYSTEM}", "string"), turns)
+    return rows.select(F.col("_key").alias(key), "layout", turns.alias("turns"))
+
+
+def _turns_of_record(layout: Layout) -> Column:
+    """(role, text) pairs of a JSON value ``_value`` of the layout."""
+    if layout is PARTS:
+        return F.transform(
+            _parts(F.col("_value"), "messages"),
+            lambda m: F.struct(F.try_variant_get(m, "$.role", "string").alias("role"), _text_of_parts(m).alias("text")),
         )
-        value = F.when(same, F.try_variant_get("_value", "$", f"STRUCT<{cast}>"))
-        fields = {head: value[head] for head in struct}
-        if any(struct.values()):
-            (head, leaves) = next(iter(struct.items()))
-            role, text = (p.partition("[].")[2] for p in layout.paths)
-            made = _pairs(fields[head], role, text)
-        else:
-            question, answer, *more = layout.paths
-            asked = F.concat_ws("\n\n", fields[question], F.nullif(fields[more[0]], F.lit(""))) if more else fields[question]
-            made = F.array(
-                F.struct(F.lit("user").alias("role"), asked.alias("text")),
-                F.struct(F.lit("assistant").alias("role"), fields[answer].alias("text")),
-            )
-        name = F.when(same, F.lit(layout.name)).otherwise(name)
-        turns = F.when(same, _canonical(made)).otherwise(turns)
-    return rows.select(F.col("_key").alias(key), name.alias("layout"), turns.alias("turns"))
+    struct: dict[str, list[str]] = {}
+    for path in sorted(layout.paths):
+        head, _, leaf = path.partition("[].")
+        struct.setdefault(head, []).extend([leaf] * bool(leaf))
+    fields = {}
+    for head, leaves in struct.items():
+        cast = f"ARRAY<STRUCT<{', '.join(f'`{x}`: STRING' for x in leaves)}>>" if leaves else "STRING"
+        fields[head] = F.try_variant_get("_value", f"$.{head}", cast)
+    if any(struct.values()):
+        role, text = (p.partition("[].")[2] for p in layout.paths)
+        return _pairs(fields[next(iter(struct))], role, text)
+    question, answer, *more = layout.paths
+    asked = F.concat_ws("\n\n", fields[question], F.nullif(fields[more[0]], F.lit(""))) if more else fields[question]
+    return F.array(
+        F.struct(F.lit("user").alias("role"), asked.alias("text")),
+        F.struct(F.lit("assistant").alias("role"), fields[answer].alias("text")),
+    )
 
 
 def escape(text: Column) -> Column:
@@ -195,10 +246,11 @@ def _role(header: Column) -> Column:
 
 
 def formatted(turns: DataFrame, key: str) -> DataFrame:
-    """One row per conversation: (key, formatted, loss_spans).
+    """One row per conversation: (key, formatted, loss_spans, loss_turns).
 
     ``turns`` has (key, position, role, text). ``loss_spans``: array of (begin, length) in code
-    points of ``formatted``, one for each assistant text. Where a turn begins is a running sum
+    points of ``formatted``, one for each assistant text; ``loss_turns``: numbers of the turns that
+    these lie in. Where a turn begins is a running sum
     over the conversation, so no expression walks over all turns for each turn.
     """
     head = F.concat(F.lit(BEGIN), _header(F.col("role")), F.lit("\n"))
@@ -223,22 +275,33 @@ def formatted(turns: DataFrame, key: str) -> DataFrame:
         key,
         F.concat_ws("", F.col("_turns.shown")).alias("formatted"),
         F.array_compact(F.col("_turns.loss")).alias("loss_spans"),
+        F.array_compact(F.transform("_turns", lambda t, i: F.when(t["loss"].isNotNull(), i))).alias("loss_turns"),
     )
 
 
 def parsed(rows: DataFrame) -> DataFrame:
-    """``rows`` of :func:`formatted` with ``turns`` read back from the text and ``loss_text``."""
+    """``rows`` of :func:`formatted` with ``turns`` read back from the text and ``loss_text``.
+
+    The text is split once. A span is cut out of its turn's piece, not of the whole text, whose
+    characters would have to be counted from the start for every span.
+    """
     pieces = F.slice(F.split("formatted", r"\Q" + BEGIN + r"\E"), 2, 1 << 30)
     tail = len(END) + 1
 
+    def header(piece: Column) -> Column:
+        return F.substring_index(piece, "\n", 1)
+
     def turn(piece: Column) -> Column:
-        header = F.substring_index(piece, "\n", 1)
-        begin = F.char_length(header) + 2
+        begin = F.char_length(header(piece)) + 2
         body = F.substring(piece, begin, F.char_length(piece) - tail - begin + 1)
-        return F.struct(_role(header).alias("role"), unescape(body).alias("text"))
+        return F.struct(_role(header(piece)).alias("role"), unescape(body).alias("text"))
+
+    def masked(span: Column, number: Column) -> Column:
+        piece = F.col("_pieces")[number]
+        return unescape(F.substring(piece, F.char_length(header(piece)) + 2, span["length"].cast("int")))
 
-    masked = F.transform(
-        "loss_spans",
-        lambda s: unescape(F.substring(F.col("formatted"), s["begin"].cast("int") + 1, s["length"].cast("int"))),
+    split = rows.withColumn("_pieces", pieces)
+    loss = F.zip_with("loss_spans", "loss_turns", masked)
+    return split.select(
+        *rows.columns, F.transform("_pieces", turn).alias("turns"), F.concat_ws("", loss).alias("loss_text")
     )
-    return rows.withColumn("turns", F.transform(pieces, turn)).withColumn("loss_text", F.concat_ws("", masked))

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,40 @@ def test_records_with_further_fields(spark):
         assert (got[k]["layout"], found) == (layout, turns), record
 
 
+def test_records_of_several_layouts(spark):
+    """The first layout in order of preference; lists without messages last; parts; system turns."""
+    said, asked = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], [("user", "q"), ("assistant", "a")]
+    parts = [{"role": "user", "content": [{"type": "text", "text": "q1"}, {"type": "image", "url": "u"}, {"type": "text", "text": "q2"}]}, {"role": "assistant", "content": "a"}]
+    cases = [
+        ({"prompt": "p", "prompt_id": "i", "messages": said}, "messages", asked),
+        ({"messages": parts}, "messages of parts", [("user", "q1\nq2"), ("assistant", "a")]),
+        ({"instruction": "q", "input": "", "output": "a", "prompt": "x"}, "instruction with input", asked),
+        ({"question": "q", "answer": "a", "input": "i"}, "question and answer", asked),
+        ({"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}], "messages": []}, "conversations", asked),
+        ({"messages": [], "prompt": "q", "response": "a"}, "prompt and response", asked),
+        ({"system": "s", "instruction": "q", "output": "a"}, "instruction", [("system", "s"), *asked]),
+        ({"system": None, "messages": said}, "messages", asked), ({"system": "s"}, None, None),
+    ]
+    rows = [(k, json.dumps(r)) for k, (r, _, _) in enumerate(cases)]
+    got = {r["id"]: r for r in chat.turns_of_records(spark.createDataFrame(rows, "id long, record string"), "id", "record").collect()}
+    for k, (record, layout, turns) in enumerate(cases):
+        found = got[k]["turns"] if got[k]["turns"] is None else [tuple(t) for t in got[k]["turns"]]
+        assert (got[k]["layout"], found) == (layout, turns), record
+
+
+def test_tables_of_several_layouts(spark):
+    df = spark.sql("SELECT 1 id, 's' system, 'p' prompt, array(named_struct('role', 'human', 'content', array(named_struct('text', 'q')))) messages")
+    assert [tuple(r)[1:] for r in chat.turns_of_table(df, "id").orderBy("position").collect()] == [(0, "system", "s"), (1, "user", "q")]
+
+
+def test_many_turns_take_linear_time(spark):
+    """20,000 turns of one conversation took a minute when spans were cut out of the whole text."""
+    rows = spark.range(20_000).selectExpr("1L conv_id", "int(id) turn", "if(id % 2 = 0, 'user', 'assistant') role", "repeat('some text | ', 10) text")
+    begin = time.monotonic()
+    got = chat.parsed(chat.formatted(chat.turns_of_table(rows, "conv_id"), "conv_id")).selectExpr("size(turns) n", "length(loss_text) loss").first()
+    assert tuple(got) == (20_000, 10_000 * 120) and time.monotonic() - begin < 15
+
+
 def test_empty_table(turns):
     assert chat.formatted(chat.turns_of_table(turns.limit(0), "conv_id"), "conv_id").collect() == []
 

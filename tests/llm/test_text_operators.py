@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -173,6 +174,40 @@ def test_long_texts_are_walked_in_chunks():
     assert (one[0] == two[1]).all() and one[0, 0] < one[0, 1] and two[0, 1] < two[0, 0]
 
 
+@pytest.mark.parametrize("small", ["abc", "the and of that is", "zq xk jw " * 30, None])
+def test_a_small_sample_takes_no_document(spark, small):
+    """A language of 3, 30 or 300 characters beside full ones changes no other prediction."""
+    df = table(spark, SF, "documents").where("text IS NOT NULL")
+    samples = langid.learned(df, 5, 0)
+    texts = [r["text"] for r in df.select("text").collect()]
+    full = langid.CrossParser(samples)
+    more = langid.CrossParser({**samples, "xx": small or texts[0][:300]})
+    assert [full.languages[k] for k in full.bits(texts).argmin(axis=1)] == [more.languages[k] for k in more.bits(texts).argmin(axis=1)]
+
+
+def test_phrases_go_on_over_walks(monkeypatch):
+    text = " ".join(" ".join(random.Random(k).choices(["ab", "abra", "cad", "bra", "dab", "é"], k=2000)) for k in range(3))
+    parser = langid.CrossParser({"x": "abra cadabra dab bra", "y": "cad cad abra"})
+    whole = [text, text[:700], "ab", text[:100]]
+    monkeypatch.setattr(langid, "CHUNK", 10**6)
+    want = parser._phrases(whole)
+    for chunk in (3, 64, 512):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        assert (parser._phrases(whole) == want).all()
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    rows = [(k, f"wort {k} " * 5, ["de", "en", "fr"][k % 3] if k < 90 else f"junk{k}") for k in range(130)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(langid.learned(df, 5, 0)) == ["de", "en", "fr"]
+
+
+def test_signs_beyond_the_basic_plane_are_no_letters():
+    points, _ = langid.letters(["a\U0001f600b \U00010400\U0001d5d4"])
+    assert "".join(map(chr, points)) == "a b \U00010400\U0001d5d4\0"
+
+
 def test_language_of_held_out_documents(spark):
     documents = table(spark, SF, "documents")
     got = langid.predicted(documents, langid.learned(documents, 5, 0), ("doc_id", "lang")).where("crc32(cast(doc_id as string)) % 5 = 0").collect()
@@ -246,6 +281,34 @@ def test_heading_before_very_long_paragraphs():
     assert html_text.main_text(page) == f"Title {LONG * 600}".strip()
 
 
+SAID = "".join(f"<p>Paragraph {k} tells, with commas and stops, of the matter at hand; it goes on for a while.</p>" for k in range(8))
+REPLIES = "".join(f"<div class='c'><b>User{k}</b> <span>May {k}</span><p>I think that this is fine, really; well said, thanks. It is so.</p></div>" for k in range(7))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<h1>Title</h1><div class='post'>{SAID}</div><div class='comments'>{REPLIES}</div>",
+        f"<div class='post'>{SAID}</div><div class='comments'>{REPLIES}</div>",
+        f"<article><h1>Title</h1>{SAID}<section id='comments'>{REPLIES}</section></article>",
+        f"<main><h1>Title</h1>{SAID}<div class='comments-area'>{REPLIES}</div></main>",
+        f"<div class='cookie-consent'>{REPLIES}</div><article><h1>Title</h1><p>Paragraph of a short article.</p></article>",
+        f"<div class='wrap'><h1>Title</h1>{SAID}</div><div class='sidebar'>{REPLIES}</div>",
+        f"<div class='content has-sidebar'>{SAID}</div>",
+        f"<div class='comments'><h1>Comments on the law</h1>{SAID}</div>",
+    ],
+)
+def test_readers_and_side_matter_go_whatever_their_size(page):
+    text = html_text.main_text(f"<html><body>{page}</body></html>")
+    assert "I think" not in text and text.count("Paragraph") == page.count("Paragraph")
+
+
+def test_deep_page_with_stray_end_tags_takes_linear_time():
+    begin = time.monotonic()
+    assert html_text.main_text("<div>" * 40_000 + "</x>" * 40_000 + "text") == "text"
+    assert time.monotonic() - begin < 4
+
+
 def test_hostile_page_takes_linear_time():
     assert html_text.main_text("<p " * 200_000) is not None
     assert html_text.main_text('<a "' * 100_000) is not None
