@@ -3,6 +3,7 @@
 from caregauge.plans.aab import AAB
 from caregauge.plans.awv import AWV, wellness_results
 from caregauge.plans.base import QualityMeasure
+from caregauge.plans.batch import run_batch
 from caregauge.plans.cdc import CDC
 from caregauge.plans.cis import CIS
 from caregauge.plans.mma import MMA
@@ -16,5 +17,5 @@ from caregauge.plans.spd import SPD
 
 __all__ = [
     "AAB", "AWV", "CDC", "CIS", "MMA", "MPM3", "PBH", "PCPFollowup", "PCR", "QualityMeasure",
-    "SPC", "SPD", "run_all", "wellness_results",
+    "SPC", "SPD", "run_all", "run_batch", "wellness_results",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections import ChainMap
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
@@ -15,6 +15,7 @@ from caregauge.operators.output import combine_results
 from caregauge.operators.valuesets import SharedTags
 from caregauge.plans.aab import AAB
 from caregauge.plans.awv import reported_variants, visits_needed, wellness_results
+from caregauge.plans.base import QualityMeasure
 from caregauge.plans.cdc import CDC
 from caregauge.plans.cis import CIS
 from caregauge.plans.common import SHARED_FILLS, SHARED_TAGS, listed_fills
@@ -58,27 +59,40 @@ def shared_inputs(
         return ChainMap({SHARED_TAGS: tags, SHARED_FILLS: written.result()}, dfs_input)
 
 
-def measure_results(
-    dfs_input: Mapping[str, DataFrame],
+def measure_calls(
     performance_yearstart: datetime.date,
     date_latestpaid: datetime.date,
     follow_up: Mapping[str, object] | None = None,
-) -> Mapping[str, DataFrame]:
-    """Lazy result of every measure by name, over claims and fills that were read once.
+) -> Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
+    """What makes the result of every measure out of the input tables, by name.
 
     ``follow_up``: ``source`` and ``columns`` of the follow-up measure.
     """
-    dfs_input = shared_inputs(dfs_input, performance_yearstart, date_latestpaid)
-    results = {
-        measure.__name__: measure().calc_measure(dfs_input, performance_yearstart)
-        for measure in ANNUAL_MEASURES
+    py = performance_yearstart
+
+    def annual(measure: type[QualityMeasure]):
+        return lambda inputs: measure().calc_measure(inputs, py)
+
+    def follow(cutoff: int):
+        return lambda inputs: PCPFollowup().calc_measure(inputs, py, cutoff=cutoff, **(follow_up or {}))
+
+    return {
+        **{measure.__name__: annual(measure) for measure in ANNUAL_MEASURES},
+        **{f"PCP{cutoff}": follow(cutoff) for cutoff in FOLLOW_UP_CUTOFFS},
+        "AWV": lambda inputs: wellness_results(inputs, py, date_latestpaid),
     }
-    for cutoff in FOLLOW_UP_CUTOFFS:
-        results[f"PCP{cutoff}"] = PCPFollowup().calc_measure(
-            dfs_input, performance_yearstart, cutoff=cutoff, **(follow_up or {})
-        )
-    results["AWV"] = wellness_results(dfs_input, performance_yearstart, date_latestpaid)
-    return results
+
+
+def measure_results(
+    dfs_input: Mapping[str, DataFrame],
+    performance_yearstart: datetime.date,
+    date_latestpaid: datetime.date,
+    follow_up: Mapping[str, object] | None = None,
+) -> Mapping[str, DataFrame]:
+    """Lazy result of every measure by name, over claims and fills that were read once."""
+    inputs = shared_inputs(dfs_input, performance_yearstart, date_latestpaid)
+    calls = measure_calls(performance_yearstart, date_latestpaid, follow_up)
+    return {name: call(inputs) for name, call in calls.items()}
 
 
 def run_all(
@@ -89,8 +103,7 @@ def run_all(
 ) -> DataFrame:
     """One stacked result of all measures, rows with a denominator only.
 
-    On a cluster write each entry of ``measure_results`` with ``save_result`` and stack
-    the files; a lost executor then costs one measure's work at most.
+    On a cluster use ``run_batch``, which writes each measure and can be started again.
     """
     return combine_results(
         list(measure_results(dfs_input, performance_yearstart, date_latestpaid, follow_up).values())

@@ -21,6 +21,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from caregauge.sources.tables import names_in
+
 _TYPES: dict[str, DataType] = {
     "string": StringType(),
     "integer": IntegerType(),
@@ -75,10 +77,7 @@ def read_reference_csv(spark: SparkSession, path: str, schema: StructType) -> Da
 
 def _data_names(spark: SparkSession, folder: str) -> dict[str, str]:
     """Lower-cased stem → path of every ``*.csv`` (file or folder) in a folder."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in system.listStatus(path)]
+    names = names_in(spark, folder)
     return {name[:-4].lower(): f"{folder}/{name}" for name in names if name.endswith(".csv")}
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Names under which callers hand in the same table.
 ALIASES = {
@@ -38,13 +40,20 @@ def save_result(result: DataFrame, folder: str, name: str) -> str:
     return path
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files of a folder, and of its folders that hold files.
+
+    Spark's own listing, so it works wherever Spark reads, with or without a JVM beside Python.
+    """
+    folder = folder.rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.regexp_extract("path", re.escape(folder) + "/([^/]+)", 1)
+    return sorted(row[0] for row in files.select(name).distinct().collect())
+
+
 def load_results(spark: SparkSession, folder: str) -> list[DataFrame]:
     """Every ``*results*`` parquet table of a folder."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(status.getPath().getName() for status in system.listStatus(path))
-    return [spark.read.parquet(f"{folder}/{name}") for name in names if "results" in name]
+    return [spark.read.parquet(f"{folder}/{name}") for name in names_in(spark, folder) if "results" in name]
 
 
 def stack(results: list[DataFrame]) -> DataFrame:
