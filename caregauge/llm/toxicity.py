@@ -7,6 +7,9 @@ text without accents is matched beside it. The lexicon holds word beginnings (a
 exception phrases (a word, or a word with the next or the one before it) that cancel a match.
 The summed weights and their share of the text's words go through a logistic curve.
 
+Shares are rates within each label, and both labels weigh the same in the curve, so neither the
+lexicon's thresholds nor the score depend on how many rows of each label the sample holds.
+
 Defined results: null texts score like empty texts; whole texts are read; overlapping entries of
 one word count once, the heaviest; repeated rows score alike; where a label has no example every
 score is that of an empty lexicon; an empty table gives an empty result; other columns are ignored.
@@ -34,11 +37,16 @@ from caregauge.llm.common import (
     text_starts,
     worker_state,
 )
+from caregauge.sources.scratch import stored
 
-#: Bounds of the learned sample and of the lexicon.
+#: Bound of the learned sample, for each label.
 SAMPLE_DOCUMENTS = 4000
-MAX_STEMS = 20_000
-MAX_EXCEPTIONS = 5_000
+#: Parts of the written sample.
+SAMPLE_PARTS = 32
+#: An entry is this many times as frequent in one label's documents as in the other's, in so many documents at least.
+TIMES, LEAST = 4, 3
+#: Beginnings or phrases that a task counts before it hands them on.
+COUNTED = 500_000
 #: Word beginnings of these lengths are tried.
 SHORTEST, LONGEST = 3, 12
 BATCH_CHARS = 1_000_000
@@ -139,6 +147,7 @@ def matches(texts: Sequence[str], model: dict, machine) -> tuple[list[tuple[int,
     points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
     word = (points != 32) & (points != 0)
     begins = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+    ends = np.flatnonzero(word[:-1] & ~word[1:]) + 1
     words = np.diff(np.searchsorted(begins, starts))
     best: dict[int, float] = {}
     if model["stems"]:
@@ -147,15 +156,18 @@ def matches(texts: Sequence[str], model: dict, machine) -> tuple[list[tuple[int,
             for end, (size, weight) in machine.iter(text):
                 begin = end - size + 1
                 best[begin] = max(best.get(begin, -math.inf), weight)
-    found = []
     at = np.fromiter(best, np.int64, len(best))
     owner = np.searchsorted(starts, at, side="right") - 1
-    for begin, k in zip(at.tolist(), owner.tolist(), strict=True):
-        low, high = int(starts[k]), int(starts[k + 1]) - 1
-        stop = joined.find(" ", begin, high)
-        after = joined[stop : min(high, stop + 64)].split(None, 1)
-        before = joined[max(low, begin - 64) : begin].rsplit(None, 1)
-        found.append((k, before[-1] if before else "", joined[begin:stop], after[0] if after else "", best[begin]))
+    nth = np.searchsorted(begins, at)
+    first, last = np.searchsorted(begins, starts[owner]), np.searchsorted(begins, starts[owner + 1]) - 1
+
+    def said(k: int) -> str:
+        return joined[begins[k] : ends[k]]
+
+    found = [
+        (k, said(n - 1) if n > low else "", said(n), said(n + 1) if n < high else "", best[begin])
+        for begin, k, n, low, high in zip(*(x.tolist() for x in (at, owner, nth, first, last)), strict=True)
+    ]
     return found, words
 
 
@@ -179,12 +191,14 @@ def _measures(texts: Sequence[str | None], model: dict, machine) -> np.ndarray:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression with a small penalty by Newton steps; the last weight is the constant."""
+    """Logistic regression, each label weighing the same, with a small penalty by Newton steps; the
+    last weight is the constant."""
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum()) * len(y)
     x, w = np.column_stack((x, np.ones(len(y)))), np.zeros(x.shape[1] + 1)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w))
-        w = w + np.linalg.solve(curve, x.T @ (y - p) - 0.05 * w)
+        curve = (x * (share * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(w))
+        w = w + np.linalg.solve(curve, x.T @ (share * (y - p)) - 0.05 * w)
     return w
 
 
@@ -192,52 +206,68 @@ def _beginnings(text: str) -> set[str]:
     return {w[:n] for w in set(folded_words(text)) for n in range(SHORTEST, min(LONGEST, len(w)) + 1)}
 
 
+def _counts(rows: DataFrame, said_by, kind: str, label_of: dict[int, int]) -> DataFrame:
+    """(``kind``, toxic, clean): documents or places of each string that ``said_by(ids, texts)`` yields
+    as (id, string); counted within a task first, which hands its counts on when they are many."""
+
+    def batches(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+
+        def handed_on() -> pa.RecordBatch:
+            keys = list(seen[0].keys() | seen[1].keys())
+            counts = [pa.array([seen[y][x] for x in keys], pa.int64()) for y in (1, 0)]
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *counts], [kind, "toxic", "clean"])
+
+        for piece in pieces:
+            for doc_id, strings in said_by(piece.column(0).to_pylist(), [t or "" for t in piece.column(1).to_pylist()]):
+                seen[label_of[doc_id]].update(strings)
+                if len(seen[0]) + len(seen[1]) > COUNTED:
+                    yield handed_on()
+                    seen = (Counter(), Counter())
+        yield handed_on()
+
+    counted = rows.mapInArrow(batches, f"{kind} string, toxic long, clean long").groupBy(kind)
+    return counted.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
 def learned(documents: DataFrame, labels: DataFrame, parts: int, held_out: int) -> dict:
     """Lexicon, exceptions and curve from a bounded sample of labelled rows outside the held-out fold.
 
-    Beginnings of toxic documents are counted over documents of both labels. Candidates are those
-    whose binomial evidence outweighs the number of beginnings tried, also when toxic documents
-    with the same word before count once, so that copies of a document are no evidence of their
-    own; of those, ones for which no shorter one says the same are taken.
+    The sample's texts are read once and written. Beginnings are counted over documents of both
+    labels. Candidates are those TIMES as frequent in toxic documents whose binomial evidence
+    outweighs the number of beginnings tried, also when toxic documents with the same word before
+    count once, so that copies of a document are no evidence of their own; of those, ones for which
+    no shorter one says the same are taken. Spark sifts the counts: only candidates come to the
+    driver, each of which stands in many documents of the sample.
     """
     label_of = labelled_ids(labels, "toxic", parts, held_out, SAMPLE_DOCUMENTS)
-    toxic = {k: v for k, v in label_of.items() if v == 1}
-    n_toxic, n_clean = len(toxic), len(label_of) - len(toxic)
+    n_toxic = sum(label_of.values())
+    n_clean = len(label_of) - n_toxic
     empty = {"stems": {}, "exceptions": frozenset(), "curve": np.array([0.0, 0.0, -4.0])}
     if not n_toxic or not n_clean:
         return empty
-
-    def counted(rows: DataFrame, among: frozenset[str] | None) -> DataFrame:
-        """Documents that have each beginning; counted within a task first."""
-
-        def batches(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: Counter[str] = Counter()
-            for piece in pieces:
-                for text in piece.column(1).to_pylist():
-                    found = _beginnings(text or "")
-                    seen.update(found if among is None else found & among)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["stem", "n"]
-            )
-
-        return rows.mapInArrow(batches, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
-
-    tried = counted(sample_rows(documents, toxic), None)
-    often = tried.where("n >= 3").orderBy(F.desc("n"), "stem").limit(50 * MAX_STEMS)
-    hits = {r["stem"]: r["n"] for r in often.collect()}
-    clean = {k: v for k, v in label_of.items() if v == 0}
-    misses = {r["stem"]: r["n"] for r in counted(sample_rows(documents, clean), frozenset(hits)).collect()}
+    rows = stored(sample_rows(documents, label_of).repartition(SAMPLE_PARTS, "doc_id"), "toxicity_sample")
     base = n_toxic / (n_toxic + n_clean)
-    need = math.log(len(hits) + 1) + 1
+
+    def begun(ids: list[int], texts: list[str]) -> Iterator[tuple[int, set[str]]]:
+        return zip(ids, map(_beginnings, texts), strict=True)
+
+    tried = stored(_counts(rows, begun, "stem", label_of).where(F.col("toxic") >= LEAST), "toxicity_stems")
+    need = math.log(tried.count() + 1) + 1
 
     def evidence(t: int, c: int) -> float:
-        rate = t / (t + c)
-        if rate <= max(base, 0.8):
+        """Log-likelihood ratio of the beginning's own rate against the sample's; none if it is no sign of toxicity."""
+        if t * n_clean <= TIMES * c * n_toxic:
             return -math.inf
+        rate = t / (t + c)
         return t * math.log(rate / base) + (c * math.log((1 - rate) / (1 - base)) if c else 0.0)
 
-    passed = {stem: evidence(t, misses.get(stem, 0)) for stem, t in hits.items()}
-    tried_stems = frozenset(sorted((x for x, e in passed.items() if e >= need), key=lambda x: (-passed[x], x))[:MAX_STEMS])
+    hit, miss = F.col("toxic"), F.col("clean")
+    share = hit / (hit + miss)
+    gain = hit * F.log(share / base) + F.when(miss > 0, miss * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    passed = tried.where((hit * n_clean > TIMES * miss * n_toxic) & (gain >= need)).collect()
+    hits, misses = {r["stem"]: r["toxic"] for r in passed}, {r["stem"]: r["clean"] for r in passed}
+    tried_stems = frozenset(hits)
 
     def standing(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Candidates of toxic documents with a hash of the word before their first place."""
@@ -254,18 +284,19 @@ def learned(documents: DataFrame, labels: DataFrame, parts: int, held_out: int)
             [pa.array([x for x, _ in seen], pa.string()), pa.array([h for _, h in seen], pa.int64())], ["stem", "before"]
         )
 
-    contexts = sample_rows(documents, toxic).mapInArrow(standing, "stem string, before long").groupBy("stem")
+    toxic = [k for k, y in label_of.items() if y]
+    contexts = rows.where(F.col("doc_id").isin(toxic)).mapInArrow(standing, "stem string, before long").groupBy("stem")
     apart = {r["stem"]: r["n"] for r in contexts.agg(F.count_distinct("before").alias("n")).collect()}
     weight: dict[str, float] = {}
     for stem in sorted(tried_stems, key=lambda x: (len(x), x)):
-        t, c = hits[stem], misses.get(stem, 0)
+        t, c = hits[stem], misses[stem]
         if evidence(apart.get(stem, 1), c) < need:
             continue
         odds = math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
         shorter = max((weight[stem[:n]] for n in range(SHORTEST, len(stem)) if stem[:n] in weight), default=-math.inf)
         if odds > shorter + 0.7:
             weight[stem] = round(odds, 4)
-    # as long as possible: a stem goes on as long as one letter follows in nearly all its documents
+    # as long as possible: a stem goes on to a candidate as long as one letter follows in nearly all its documents
     onward: dict[str, tuple[int, str]] = {}
     for stem, n in hits.items():
         onward[stem[:-1]] = max(onward.get(stem[:-1], (0, "")), (n, stem))
@@ -276,23 +307,14 @@ def learned(documents: DataFrame, labels: DataFrame, parts: int, held_out: int)
         stems[stem] = max(odds, stems.get(stem, odds))
     model = {"stems": stems, "exceptions": frozenset(), "curve": empty["curve"]}
 
-    def matched(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def matched(ids: list[int], texts: list[str]) -> Iterator[tuple[int, tuple[str, ...]]]:
         machine = _matcher(model)
-        seen: Counter[tuple[str, int]] = Counter()
-        for piece in pieces:
-            ids, texts = piece.column(0).to_pylist(), [t or "" for t in piece.column(1).to_pylist()]
-            for k, before, word, after, _ in matches(texts, model, machine)[0]:
-                seen.update((p, label_of[ids[k]]) for p in phrases(before, word, after))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p for p, _ in seen], pa.string()), pa.array([y for _, y in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())],
-            ["phrase", "y", "n"],
-        )
+        for low, high in groups_of(texts, [len(x) for x in texts], BATCH_CHARS):
+            for k, before, word, after, _ in matches(texts[low:high], model, machine)[0]:
+                yield ids[low + k], phrases(before, word, after)
 
-    rows = sample_rows(documents, label_of)
-    count = F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0))
-    said = rows.mapInArrow(matched, "phrase string, y long, n long").groupBy("phrase").agg(count.alias("clean"), F.sum("n").alias("n"))
-    harmless = said.where("clean >= 3 and clean > 0.8 * n").orderBy(F.desc("clean"), "phrase").limit(MAX_EXCEPTIONS)
-    model["exceptions"] = frozenset(r["phrase"] for r in harmless.collect())
+    harmless = _counts(rows, matched, "phrase", label_of).where((miss >= LEAST) & (miss * n_toxic > TIMES * hit * n_clean))
+    model["exceptions"] = frozenset(r["phrase"] for r in harmless.select("phrase").collect())
 
     def measured(pieces: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _matcher(model)

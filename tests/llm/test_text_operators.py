@@ -129,6 +129,35 @@ def test_toxicity_of_held_out_documents(spark):
     assert sum((s >= 0.5) == bool(y) for y, s in held) >= 0.95 * len(held)
 
 
+def test_toxicity_does_not_depend_on_the_labels_ratio(spark):
+    """The same rates of a word under each label: the same lexicon and nearly the same scores, whatever the ratio."""
+    rng = random.Random(21)
+    plain = ["".join(rng.choice("bcdfgklmnprs") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
+    said = lambda: " ".join(rng.choices(plain, k=30))
+    toxic = [f"{said()} vermin {said()}" for _ in range(60)]
+    clean = [f"{said()} vermin control {said()}" if k % 30 == 0 else said() for k in range(1200)]
+    models = []
+    for n in (60, 1200):
+        texts = toxic + clean[:n]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        labels = spark.createDataFrame([(k, int(k < 60)) for k in range(len(texts))], "doc_id long, toxic int")
+        models.append(toxicity.learned(docs, labels, 5, 9))
+    asked = spark.createDataFrame([(1, toxic[0]), (2, clean[1]), (3, None)], "doc_id long, text string")
+    scores = [[r["score"] for r in toxicity.scored(asked, m).orderBy("doc_id").collect()] for m in models]
+    assert [[x >= 0.5 for x in row] for row in scores] == [[True, False, False]] * 2
+    assert np.allclose(*scores, atol=0.1)
+    assert [set(m["stems"]) for m in models] == [{"vermin"}] * 2
+    assert "vermin control" in models[1]["exceptions"]
+
+
+def test_toxicity_neighbours_are_whole_words():
+    model = {"stems": {"trash": 4.0}, "exceptions": frozenset(), "curve": np.zeros(3)}
+    long = "x" * 200
+    found, words = toxicity.matches([f"{long} trash {long}y", "trash", "no", "a trash"], model, toxicity._matcher(model))
+    assert [(k, b, w, a) for k, b, w, a, _ in found] == [(0, long, "trash", long + "y"), (1, "", "trash", ""), (3, "a", "trash", "")]
+    assert words.tolist() == [3, 1, 1, 2]
+
+
 def phrases(text: str, sample: str) -> int:
     """Cross-parsing by looking pieces up in the sample."""
     at = count = 0
