@@ -8,7 +8,8 @@ the lists whose centroids are within a distance ratio of the nearest one, and ta
 there. The ratio is fitted: for a bounded sample of queries the true neighbours among all vectors are
 found by brute force, and the ratio is the one within which the wanted share of them lies.
 
-Every vector is in a list. Long lists are cut into blocks read by tasks of their own. Sample,
+Every vector is in a list. Long lists are cut into blocks, and their queries dealt to shares, which meet in
+tasks of their own. Sample,
 centroids and graph are bounded by parameters, not by the data.
 
 Defined results: vectors that are null, all zero, or hold null or non-finite components take no
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caregauge.llm.common import bounded_batches
-from caregauge.llm.vectors import by_block, candidates, found_rows, ranked, sides, valid_vectors
+from caregauge.llm.vectors import by_block, candidates, different, first_places, found_rows, ranked, sides, valid_vectors
 from caregauge.sources.scratch import stored
 
 #: Vectors for each centroid, centroids, and sampled vectors for each centroid, at most.
@@ -47,8 +48,10 @@ REPLICAS = 4
 #: Share of the true neighbours that the fitted ratio reaches, and queries that it is fitted on.
 RECALL = 0.95
 FIT_QUERIES = 128
-#: Rows of a list that one task reads.
+#: Rows of a list and its queries that meet in one task; distances that the task holds at once.
 LIST_BLOCK = 8192
+QUERY_BLOCK = 8192
+DISTANCES = 4 << 20
 
 
 def balanced_centroids(sample: np.ndarray, count: int) -> np.ndarray:
@@ -152,37 +155,40 @@ def probed_lists(
 
 
 def fitted_ratio(pool: DataFrame, asked: list[tuple[int, list[float]]], k: int, centroids: np.ndarray, graph: np.ndarray) -> float:
-    """Distance ratio within which the lists hold RECALL of the true neighbours of the queries ``asked``."""
+    """Distance ratio within which the lists hold RECALL of the true neighbours of the queries ``asked`` (id, vector)."""
     if not asked:
         return 1.0
-    keys, q = np.array([a for a, _ in asked]), np.array([v for _, v in asked])
+    own, q = np.array([a for a, _ in asked]), np.array([v for _, v in asked])
     width = q.shape[1]
 
     def closest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The task's k + 1 nearest of every query; no more than that is held."""
+        """The task's k nearest of every query; no more than that is held."""
         d, ids, near = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64), np.zeros((len(q), 0, width))
         for part in parts:
             x, at = _matrix(part.column(1), width)
             if not len(x):
                 continue
+            here = part.column(0).to_numpy()[at]
             rough = (x**2).sum(axis=1)[None, :] - 2 * q @ x.T
-            best = np.argpartition(rough, min(k, len(x) - 1), axis=1)[:, : k + 1]
-            d = np.concatenate((d, np.sqrt(((x[best] - q[:, None]) ** 2).sum(axis=2))), axis=1)
-            ids = np.concatenate((ids, part.column(0).to_numpy()[at][best]), axis=1)
+            rough[own[:, None] == here[None, :]] = np.inf
+            best = np.argpartition(rough, min(k, len(x)) - 1, axis=1)[:, :k]
+            far = np.isinf(np.take_along_axis(rough, best, axis=1))
+            d = np.concatenate((d, np.where(far, np.inf, np.sqrt(((x[best] - q[:, None]) ** 2).sum(axis=2)))), axis=1)
+            ids = np.concatenate((ids, here[best]), axis=1)
             near = np.concatenate((near, x[best]), axis=1)
-            keep = np.argsort(d, axis=1, kind="stable")[:, : k + 1]
+            keep = np.argsort(d, axis=1, kind="stable")[:, :k]
             d, ids = np.take_along_axis(d, keep, axis=1), np.take_along_axis(ids, keep, axis=1)
             near = np.take_along_axis(near, keep[:, :, None], axis=1)
         vs = pa.ListArray.from_arrays(pa.array(np.arange(d.size + 1, dtype=np.int32) * width), pa.array(near.ravel()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(keys, d.shape[1])), pa.array(ids.ravel()), vs, pa.array(d.ravel())], ["qkey", "vec_id", "v", "d"]
+            [pa.array(np.repeat(np.arange(len(q)), d.shape[1])), pa.array(ids.ravel()), vs, pa.array(d.ravel())], ["qkey", "vec_id", "v", "d"]
         )
 
     order = Window.partitionBy("qkey").orderBy("d", "vec_id")
     true = (
         pool.select("vec_id", "v")
         .mapInArrow(closest, "qkey long, vec_id long, v array<double>, d double")
-        .where("qkey <> vec_id")
+        .where(F.col("d") < float("inf"))
         .withColumn("_nth", F.row_number().over(order))
         .where(F.col("_nth") <= k)
         .select("qkey", "v")
@@ -190,10 +196,9 @@ def fitted_ratio(pool: DataFrame, asked: list[tuple[int, list[float]]], k: int,
     )
     if not true:
         return 1.0
-    of = {key: n for n, key in enumerate(keys.tolist())}
     distance = search_graph(q, centroids, graph, QUERY_BEAM)
     row, to, _ = chosen_lists(search_graph(np.array([r["v"] for r in true]), centroids, graph, BEAM))
-    query = np.array([of[r["qkey"]] for r in true])[row]
+    query = np.array([r["qkey"] for r in true])[row]
     nearest_one = np.maximum(distance.min(axis=1), 1e-300)
     needed = np.full(len(true), np.inf)
     np.minimum.at(needed, row, np.sqrt(distance[query, to] / nearest_one[query]))
@@ -208,6 +213,23 @@ def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy()[begin[at][:, None] + np.arange(width)], at
 
 
+def sampled(pool: DataFrame, rows: int, wanted: int) -> np.ndarray:
+    """About ``wanted`` of the ``rows`` vectors, those with the smallest hashes, in the order of these.
+
+    A bound on the hash picks them in each task, so the driver gets no more than the sample, in
+    floats of four bytes. Vectors of another length than the commonest are left out.
+    """
+    h = F.shiftrightunsigned(F.xxhash64("vec_id", "v"), 1)
+    bound = min(2**63 - 1, (2**63 - 1) * (wanted + 1000) // max(rows, 1))
+    got = pool.where(h <= bound).select(h.alias("h"), "vec_id", F.col("v").cast("array<float>").alias("v")).toArrow()
+    if not len(got):
+        return np.zeros((1, 1))
+    got = got.sort_by([("h", "ascending"), ("vec_id", "ascending")])
+    vectors = got.column("v").combine_chunks()
+    sizes = Counter(vectors.value_lengths().to_pylist())
+    return _matrix(vectors, min((-n, w) for w, n in sizes.items())[1])[0].astype(float)
+
+
 def nearest(df: DataFrame, is_query, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every query row, by Euclidean distance."""
     spark = df.sparkSession
@@ -216,9 +238,9 @@ def nearest(df: DataFrame, is_query, k: int, key: str = "vec_id", vector: str =
     pool = stored(candidates(vectors, k + 1), "candidates")
     rows = pool.count()
     lists = min(MAX_CENTROIDS, max(1, math.ceil(rows / LIST_ROWS)))
-    sample = [r["v"] for r in pool.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(SAMPLE_PER_CENTROID * lists).select("v").collect()]
-    width = min((-n, w) for w, n in Counter(map(len, sample)).items())[1] if sample else 1
-    centroids = balanced_centroids(np.array([v for v in sample if len(v) == width] or [[0.0]]), lists)
+    sample = sampled(pool, rows, SAMPLE_PER_CENTROID * lists)
+    width = sample.shape[1]
+    centroids = balanced_centroids(sample, lists)
     edges = nearest_graph(centroids)
     given = spark.sparkContext.broadcast((centroids, edges))
 
@@ -240,10 +262,10 @@ def nearest(df: DataFrame, is_query, k: int, key: str = "vec_id", vector: str =
         firsts[r["list"]], blocks[r["list"]] = r["firsts"], math.ceil(r["n"] / LIST_BLOCK)
 
     asked = vectors.where(is_query).where(F.size("v") == width).distinct()
-    prints = stored(asked.groupBy("v").agg(F.min("vec_id").alias("qkey")), "queries")
+    prints = different(asked)
     queries = asked.join(prints, "v").select(F.col("vec_id").alias("query_id"), "qkey")
-    few = prints.orderBy(F.xxhash64("qkey"), "qkey").limit(FIT_QUERIES).collect()
-    ratio = fitted_ratio(pool, [(r["qkey"], r["v"]) for r in few], k, centroids, edges)
+    few = prints.orderBy(F.xxhash64("v"), "first").limit(FIT_QUERIES).collect()
+    ratio = fitted_ratio(pool, [(r["first"], r["v"]) for r in few], k, centroids, edges)
 
     def probed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, graph = given.value
@@ -253,38 +275,49 @@ def nearest(df: DataFrame, is_query, k: int, key: str = "vec_id", vector: str =
                 q = x[low : low + 512]
                 chosen = probed_lists(search_graph(q, centres, graph, QUERY_BEAM), centres, q, firsts, k, ratio)
                 source, target = np.repeat(at[low : low + 512], [len(c) for c in chosen]), np.concatenate(chosen)
-                source, target = np.repeat(source, blocks[target]), np.repeat(target, blocks[target])
-                block = np.arange(len(target)) - np.maximum.accumulate(
-                    np.where(np.concatenate(([True], (np.diff(source) != 0) | (np.diff(target) != 0))), np.arange(len(target)), 0)
-                )
-                took = part.take(pa.array(source))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(target.astype(np.int32)), pa.array(block.astype(np.int32)), *took.columns], ["list", "b", "qkey", "v"]
+                    [pa.array(target.astype(np.int32)), part.column(0).take(pa.array(source))], ["list", "qkey"]
                 )
 
-    probes = prints.select("qkey", "v").repartition("qkey").mapInArrow(probed, "list int, b int, qkey long, v array<double>")
-    cut = spark.createDataFrame([(k_, int(n)) for k_, n in enumerate(blocks) if n], "list int, blocks int")
-    held = postings.join(F.broadcast(cut), "list")  # a row a centroid
-    held = held.select("list", F.pmod(F.xxhash64("vec_id", "v"), "blocks").cast("int").alias("b"), F.lit(None).cast("long").alias("qkey"), "vec_id", "v")
-    both = held.unionByName(probes.select("list", "b", "qkey", F.lit(None).cast("long").alias("vec_id"), "v"))
+    # which lists a query reads is written without its vector, so that lists of many queries are known
+    probes = stored(prints.select("qkey", "v").repartition("qkey").mapInArrow(probed, "list int, qkey long"), "probes")
+    shares = {r["list"]: math.ceil(r["n"] / QUERY_BLOCK) for r in probes.groupBy("list").agg(F.count("*").alias("n")).collect()}
+    cut = [(k_, int(n), shares[k_]) for k_, n in enumerate(blocks) if n and k_ in shares]  # a row a centroid
+    cut = F.broadcast(spark.createDataFrame(cut, "list int, blocks int, shares int"))
+
+    def all_of(n: str):
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    block, share = F.pmod(F.xxhash64("vec_id", "v"), "blocks").cast("int"), F.pmod(F.xxhash64("qkey"), "shares").cast("int")
+    held = postings.join(cut, "list").select("list", "vec_id", "v", F.explode(F.transform(all_of("shares"), lambda s: block * F.col("shares") + s)).alias("b"))
+    asks = probes.join(cut, "list").select("list", "qkey", F.explode(F.transform(all_of("blocks"), lambda b: b * F.col("shares") + share)).alias("b"))
+    asks = asks.join(prints.select("qkey", "v"), "qkey")
+    both = held.select("list", "b", F.lit(None).cast("long").alias("qkey"), "vec_id", "v").unionByName(
+        asks.select("list", "b", "qkey", F.lit(None).cast("long").alias("vec_id"), "v")
+    )
 
     def scan(rows: pa.Table) -> pa.RecordBatch:
         out = []
         for keys, q, ids, c in sides(rows):
-            rough = (c**2).sum(axis=1)[None, :] - 2 * q @ c.T
-            most = min(len(c), k + 1 + 8)
-            best = np.argpartition(rough, most - 1, axis=1)[:, :most]
-            for key, point, at in zip(keys, q, best, strict=True):
-                d = np.sqrt(((c[at] - point) ** 2).sum(axis=1))
-                order = np.lexsort((ids[at], d))[: k + 1]
-                out.append((np.full(len(order), key), ids[at][order], d[order]))
+            size, own = (c**2).sum(axis=1), (q**2).sum(axis=1)
+            step = max(1, DISTANCES // len(c))
+            for low in range(0, len(q), step):
+                rough = size[None, :] - 2 * q[low : low + step] @ c.T
+                # with room for rounding, so that ties at the boundary are all met
+                most = np.partition(rough, min(k, len(c) - 1), axis=1)[:, min(k, len(c) - 1)] + 1e-12 * (size.max() + own[low : low + step])
+                for n, (row, bound) in enumerate(zip(rough, most, strict=True), low):
+                    at = np.flatnonzero(row <= bound)
+                    if len(np.unique(ids[at])) <= k and len(at) < len(c):  # an id with several vectors
+                        at = np.arange(len(c))
+                    d = np.sqrt(((c[at] - q[n]) ** 2).sum(axis=1))
+                    order = np.lexsort((ids[at], d))
+                    order = order[first_places(ids[at][order], k + 1)]
+                    out.append((np.full(len(order), keys[n]), ids[at][order], d[order]))
         return found_rows(out, pa.float64())
 
     found = (
         both.repartition("list", "b")
         .sortWithinPartitions("list", "b")
         .mapInArrow(by_block(scan), "qkey long, vec_id long, score double")
-        .groupBy("qkey", "vec_id")
-        .agg(F.min("score").alias("score"))
     )
-    return ranked(queries, found, k, F.col("score"))
+    return ranked(queries, found, k, largest=False)

@@ -11,8 +11,10 @@ Negative weights work on complemented slices, so that only sums of non-negative
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do
 rows without an id or with no component; vectors of another length than a query's are no
-candidates of it; equal rows count once, and rows with the query's id are its own; an empty table
-gives an empty result; other columns are ignored. Scores must fit 62 bits, which is checked.
+candidates of it; equal rows count once, and rows with the query's id are its own; an id with several
+vectors counts with its best; an empty table gives an empty result; other columns are ignored.
+Quantised components saturate at 2**61. Rows of a block are picked exactly at any size; a score that a
+long can't hold is given as the nearest long, and among such scores the smaller id comes first.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from caregauge.llm.vectors import (
     block_of,
     by_block,
     candidates,
+    different,
     found_rows,
     parts_for,
     ranked,
@@ -37,10 +40,12 @@ from caregauge.llm.vectors import (
 )
 from caregauge.sources.scratch import stored
 
-#: Candidates and queries that meet in one task.
-BLOCK_ROWS = 16_384
-QUERY_ROWS = 512
+#: Candidates and queries that meet in one task, and components of each that it holds: wide vectors come in fewer rows.
+BLOCK_ROWS, BLOCK_CELLS = 16_384, 1 << 20
+QUERY_ROWS, QUERY_CELLS = 512, 1 << 18
 SCALE = 256
+#: Quantised components saturate here, so that differences fit a long.
+LARGEST = 2**61
 
 
 def build_index(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -50,9 +55,11 @@ def build_index(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     digits = max(int(offset.max()).bit_length(), 1)
     padded = np.zeros((-(-len(values) // 64) * 64, values.shape[1]), np.uint64)
     padded[: len(values)] = offset
-    bits = (padded[:, :, None] >> np.arange(digits, dtype=np.uint64) & 1).astype(np.uint8)
-    packed = np.packbits(bits, axis=0, bitorder="little")
-    return np.ascontiguousarray(packed.transpose(1, 2, 0)).view(np.uint64), least, len(values)
+    slices = np.empty((values.shape[1], digits, len(padded) // 64), np.uint64)
+    for d in range(digits):
+        bits = (padded >> np.uint64(d) & np.uint64(1)).astype(np.uint8)
+        slices[:, d] = np.ascontiguousarray(np.packbits(bits, axis=0, bitorder="little").T).view(np.uint64)
+    return slices, least, len(values)
 
 
 def add_slices(slices: np.ndarray, weights: np.ndarray) -> list[np.ndarray]:
@@ -115,24 +122,36 @@ def _rows(bitmap: np.ndarray, rows: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little")[:rows])
 
 
-def best_of_block(values: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row numbers, scores) of every query's best ``k`` rows of a block of integer vectors."""
-    bound = np.abs(values).max(initial=0).astype(float) * np.abs(queries).max(initial=0) * values.shape[1]
-    if bound >= 2.0**62:
-        raise ValueError("scores may not fit 62 bits")
+def best_of_block(
+    ids: np.ndarray, values: np.ndarray, queries: np.ndarray, k: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row numbers, scores) of rows of a block that hold the best ``k`` ids of every query."""
     slices, _, rows = build_index(values)
     flipped = ~slices
+    largest = np.abs(values).max(axis=0).astype(float)
+    repeated = len(np.unique(ids)) < rows
     for query in queries:
         up = np.where((query < 0)[:, None, None], flipped, slices)
-        best = top_rows(add_slices(up, np.abs(query)), k, rows)
-        yield best, values[best] @ query
+        score, take = add_slices(up, np.abs(query)), k
+        best = top_rows(score, take, rows)
+        while repeated and take < rows and len(np.unique(ids[best])) < k:
+            take *= 2
+            best = top_rows(score, take, rows)
+        yield best, _products(values[best], query, float(largest @ np.abs(query.astype(float))))
+
+
+def _products(values: np.ndarray, query: np.ndarray, bound: float) -> np.ndarray:
+    """Inner products, in Python's integers where ``bound`` says that longs may not hold them."""
+    if bound < 2.0**62:
+        return values @ query
+    exact = values.astype(object) @ query.astype(object)
+    return np.array([max(-(2**63), min(2**63 - 1, x)) for x in exact], np.int64)
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, v: array<bigint>): floor(scale * x) of every component."""
-    exact = F.forall("v", lambda x: F.abs(x) < float(2**31))
-    checked = F.when(exact, F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))))
-    return vectors.select("vec_id", F.coalesce(checked, F.raise_error(F.lit("component beyond 2**31"))).alias("v"))
+    """(vec_id, v: array<bigint>): floor(scale * x) of every component, within LARGEST."""
+    bound = F.lit(float(LARGEST))
+    return vectors.select("vec_id", F.transform("v", lambda x: F.floor(F.least(F.greatest(x * float(scale), -bound), bound))).alias("v"))
 
 
 def top_k(
@@ -146,10 +165,12 @@ def top_k(
     bounded_batches(df.sparkSession)
     vectors = stored(quantised(valid_vectors(df, key, vector, False), scale), "vectors")
     asked = vectors.where(is_query).distinct()
-    prints = stored(asked.groupBy("v").agg(F.min("vec_id").alias("qkey")), "queries")
+    prints = different(asked)
     queries = asked.join(prints, "v").select(F.col("vec_id").alias("query_id"), "qkey")
     pool = stored(candidates(vectors, k + 1), "candidates")
-    blocks, query_blocks = parts_for(pool.count(), BLOCK_ROWS), parts_for(prints.count(), QUERY_ROWS)
+    rows, width = pool.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    blocks = parts_for(rows, min(BLOCK_ROWS, max(64, BLOCK_CELLS // width)))
+    query_blocks = parts_for(prints.count(), min(QUERY_ROWS, max(1, QUERY_CELLS // width)))
 
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -161,9 +182,9 @@ def top_k(
     def block(rows: pa.Table) -> pa.RecordBatch:
         out = []
         for keys, asked_for, ids, values in sides(rows):
-            for key, (best, score) in zip(keys, best_of_block(values, asked_for, k + 1), strict=True):
+            for key, (best, score) in zip(keys, best_of_block(ids, values, asked_for, k + 1), strict=True):
                 out.append((np.full(len(best), key), ids[best], score))
         return found_rows(out, pa.int64())
 
     found = dealt.mapInArrow(by_block(block), "qkey long, vec_id long, score long")
-    return ranked(queries, found, k, F.col("score").desc())
+    return ranked(queries, found, k, largest=True)

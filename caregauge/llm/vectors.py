@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caregauge.sources.scratch import stored
+
 
 def valid_vectors(df: DataFrame, key: str, vector: str, nonzero: bool) -> DataFrame:
     """(vec_id: long, v: array<double>) of the rows that take part: an id, some components, all finite.
@@ -51,13 +53,34 @@ def parts_for(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))
 
 
-def ranked(queries: DataFrame, found: DataFrame, k: int, best_first: Column) -> DataFrame:
-    """(query_id, rank, vec_id, score) from ``found`` (qkey, vec_id, score) and ``queries`` (query_id, qkey)."""
-    # of a query's vector k + 1 rows suffice, as only the query's own id falls away
-    best = Window.partitionBy("qkey").orderBy(best_first, F.col("vec_id"))
+def different(asked: DataFrame) -> DataFrame:
+    """(v, first, qkey): each different vector of ``asked`` once, its smallest id and a number of its own.
+
+    An id may have several vectors, so ids can't number them. The numbers are fixed by writing them.
+    """
+    once = asked.groupBy("v").agg(F.min("vec_id").alias("first"))
+    return stored(once.withColumn("qkey", F.monotonically_increasing_id()), "queries")
+
+
+def first_places(ids: np.ndarray, most: int) -> np.ndarray:
+    """Places at which the first ``most`` different ``ids`` appear."""
+    return np.sort(np.unique(ids, return_index=True)[1])[:most]
+
+
+def ranked(queries: DataFrame, found: DataFrame, k: int, largest: bool) -> DataFrame:
+    """(query_id, rank, vec_id, score) from ``found`` (qkey, vec_id, score) and ``queries`` (query_id, qkey).
+
+    Of an id's several scores the best counts, on either side. Both exchanges serve an aggregate and a window.
+    """
+    top = (F.max if largest else F.min)("score").alias("score")
+    best_first = F.col("score").desc() if largest else F.col("score")
+    # of a query's vector k + 1 ids suffice, as only the query's own id falls away
+    best = Window.partitionBy("qkey").orderBy(best_first, "vec_id")
+    found = found.repartition("qkey").groupBy("qkey", "vec_id").agg(top)
     found = found.withColumn("_nth", F.row_number().over(best)).where(F.col("_nth") <= k + 1).drop("_nth")
     joined = queries.join(found, "qkey").where("query_id <> vec_id")
-    order = Window.partitionBy("query_id").orderBy(best_first, F.col("vec_id"))
+    joined = joined.repartition("query_id").groupBy("query_id", "vec_id").agg(top)
+    order = Window.partitionBy("query_id").orderBy(best_first, "vec_id")
     rank = F.row_number().over(order)
     return (
         joined.withColumn("rank", rank)

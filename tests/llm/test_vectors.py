@@ -78,10 +78,75 @@ def test_top_rows_with_ties():
     assert [sorted(bitslice.top_rows(slices, k, 6).tolist()) for k in (1, 2, 4, 6, 9)] == [[1], [1, 2], [0, 1, 2, 4], [0, 1, 2, 3, 4, 5], [0, 1, 2, 3, 4, 5]]
 
 
-def test_scores_beyond_62_bits_are_refused():
-    big = np.full((2, 3), 2**31, np.int64)
-    with pytest.raises(ValueError, match="62 bits"):
-        list(bitslice.best_of_block(big, big, 1))
+def test_scores_at_any_size():
+    """Blocks with components up to the saturation bound are picked as Python's integers say."""
+    rng = np.random.default_rng(6)
+    for most in (2**40, bitslice.LARGEST):
+        values = rng.integers(-300, 300, (100, 5))
+        values[17], values[40] = most, -most
+        queries = np.concatenate((rng.integers(-300, 300, (4, 5)), values[[17, 40]]))
+        got = bitslice.best_of_block(np.arange(100), values, queries, 6)
+        for query, (best, score) in zip(queries, got, strict=True):
+            exact = [sum(int(a) * int(b) for a, b in zip(v, query, strict=True)) for v in values]
+            want = sorted(range(100), key=lambda i: (-exact[i], i))[:6]
+            assert sorted(best.tolist()) == sorted(want)
+            assert score.tolist() == [max(-(2**63), min(2**63 - 1, exact[i])) for i in best]
+
+
+def test_one_large_component_ends_no_query(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(20)] + [(20, [3e9, 0.0]), (21, [1e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in bitslice.top_k(df, "vec_id = 1", 3).orderBy("rank").collect()]
+    assert got == [(1, 1, 21, 256 * 2**61 if 256 * 2**61 < 2**63 else 2**63 - 1), (1, 2, 20, 256 * 256 * 3 * 10**9), (1, 3, 19, 256 * 256 * 20)]
+
+
+def test_wide_vectors_come_in_small_blocks():
+    import tracemalloc
+
+    rows = bitslice.BLOCK_CELLS // 768
+    values = np.random.default_rng(8).integers(-1024, 1024, (rows, 768))
+    tracemalloc.start()
+    next(bitslice.best_of_block(np.arange(rows), values, values[:1], 6))
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
+@pytest.fixture(scope="module")
+def several(spark):
+    """An id with 40 vectors beside each query, queries with two vectors, and other rows."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(60)]
+    rows += [(1000, [float(x) for x in np.array(rows[0][1]) + rng.normal(size=4) * 0.01]) for _ in range(40)]
+    rows += [(20, [float(x) for x in np.array(rows[0][1]) * 1.5]), (20, rows[40][1])]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("blocks", [16, 10_000])
+@pytest.mark.parametrize("name", ["top_k", "nearest"])
+def test_an_id_with_several_vectors_counts_once(several, monkeypatch, name, blocks):
+    monkeypatch.setattr(bitslice, "BLOCK_ROWS", blocks)
+    monkeypatch.setattr(ann, "LIST_BLOCK", blocks)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 2)
+    rows = [(r["vec_id"], np.array(r["embedding"])) for r in several.collect()]
+    operator, score, sign = (bitslice.top_k, product, -1) if name == "top_k" else (ann.nearest, distance, 1)
+    want = set()
+    for q in (0, 20, 40):
+        best: dict[int, float] = {}
+        for i, v in rows:
+            if i != q:
+                for own in (x for j, x in rows if j == q):
+                    s = sign * score(own, v)
+                    best[i] = min(best.get(i, s), s)
+        want |= {(q, rank, i) for rank, (s, i) in enumerate(sorted((s, i) for i, s in best.items())[:10], 1)}
+    assert {tuple(r)[:3] for r in operator(several, "vec_id in (0, 20, 40)", 10).collect()} == want
+
+
+def test_queries_of_a_list_are_dealt_to_shares(odd, monkeypatch):
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(ann, "LIST_BLOCK", 20)
+    monkeypatch.setattr(ann, "DISTANCES", 50)
+    want = brute_force({i: v for i, v in vectors_of(odd, False).items() if len(v) == 5}, lambda i: i % 5 == 0, 10, distance, False)
+    assert {tuple(r)[:3] for r in ann.nearest(odd, "vec_id % 5 = 0", 10).collect()} == {x[:3] for x in want}
 
 
 def distance(a, b):
