@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caregauge import functions as cf
 from caregauge.operators import episodes, intervals, output, supply, valuesets
 from caregauge.plans import AAB, CDC, PCR, PCPFollowup
 from caregauge.plans.common import fills_of, member_flags, on_list, visit_rules
-from caregauge.sources import catalogue, reference, tables
+from caregauge.sources import catalogue, clustered, reference, tables
 from caregauge.sources.scratch import scratch_folder
 from checks import claim_model as model
 from checks.claim_model import read
@@ -167,6 +168,50 @@ def src_reference_catalogue(spark, sf_dir):
     )
 
 
+def _reference_rows(spark, sf_dir, name: str, compiled: bool):
+    """A whole table through schema file, CSV and, if asked for, the compiled form."""
+    folder = scratch_folder(spark, "reference-rows")
+    source = read(spark, sf_dir, name)
+    source.write.csv(f"{folder}/data/{name}.csv", header=True, escape='"')
+    spark.createDataFrame(
+        [(field.name, field.dataType.simpleString().replace("bigint", "long"), "true") for field in source.schema.fields],
+        "name string, datatype string, nullable string",
+    ).coalesce(1).write.csv(f"{folder}/schemas/{name}.csv", header=True)
+    if compiled:
+        imported = reference.import_references(spark, f"{folder}/data", f"{folder}/schemas")
+        reference.compile_references(imported, f"{folder}/compiled")
+    return reference.load_reference(spark, name, f"{folder}/compiled", f"{folder}/data", f"{folder}/schemas")
+
+
+@check("src_reference_part", "SELECT * FROM part")
+def src_reference_part(spark, sf_dir):
+    return _reference_rows(spark, sf_dir, "part", compiled=True)
+
+
+@check("src_reference_supplier", "SELECT * FROM supplier")
+def src_reference_supplier(spark, sf_dir):
+    return _reference_rows(spark, sf_dir, "supplier", compiled=False)
+
+
+@check(
+    "src_clustered_table",
+    """SELECT o_custkey, o_orderkey, count(*) OVER w AS orders_so_far, round(sum(o_totalprice) OVER (PARTITION BY o_custkey), 2) AS spent
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)""",
+)
+def src_clustered_table(spark, sf_dir):
+    """Orders in buckets of their customer: both windows start from the scan."""
+    folder = scratch_folder(spark, "clustered")
+    name = "clustered_" + folder.rsplit("-", 1)[-1]
+    orders = clustered.save_clustered(read(spark, sf_dir, "orders"), folder, name, 8, "o_custkey")
+    customer = Window.partitionBy("o_custkey")
+    return orders.select(
+        "o_custkey",
+        "o_orderkey",
+        F.count("*").over(customer.orderBy("o_orderkey")).alias("orders_so_far"),
+        F.round(F.sum("o_totalprice").over(customer), 2).alias("spent"),
+    )
+
+
 @check(
     "combine_results",
     "SELECT * FROM ("

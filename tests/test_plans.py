@@ -12,7 +12,10 @@ from checks.registry import ORACLES, QUERIES
 FOLDER = "/root/testdata/sf0.001"
 ALL = sorted(QUERIES)
 # Writes files before it returns its plan; its plan is checked by the parity test.
-WRITERS = {"src_schema_csv", "src_reference_catalogue", "combine_results"}
+WRITERS = {
+    "src_schema_csv", "src_reference_catalogue", "src_reference_part", "src_reference_supplier", "src_clustered_table",
+    "combine_results", "combine_all_results",
+}
 # Scans of the line items, from which claims and pharmacy fills are derived.
 LINE_SCANS = {
     "measure_mpm3": 2, "measure_pbh": 2, "measure_pcr": 1, "measure_cis": 1, "measure_awv": 1,
