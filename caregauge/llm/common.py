@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caregauge.sources.scratch import scratch_folder
+
 #: Rows and bytes of an Arrow batch: bounds what a Python worker holds at once.
 BATCH_ROWS = 2000
 BATCH_BYTES = 16 << 20
@@ -32,6 +35,22 @@ def fold(doc_id: str, parts: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts, F.lit(-1))
 
 
+def stored_in_buckets(df: DataFrame, purpose: str, key: str) -> DataFrame:
+    """As ``stored``, in buckets of ``key``: joins and counts by it need no exchange of these rows.
+
+    There are as many buckets as shuffle partitions. Meant for keys that one task writes all rows of,
+    so that every task writes one file and no row is moved.
+    """
+    spark = df.sparkSession
+    name = f"scratch_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("compression", "zstd")
+    writer = writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    writer.option("path", f"{scratch_folder(spark, purpose)}.parquet").saveAsTable(name)
+    rows = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay, and ``rows`` reads them
+    return rows
+
+
 def worker_state(key: str, make: Callable[[], object]) -> object:
     """An object that a Python worker makes once and keeps for its later tasks."""
     kept = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))

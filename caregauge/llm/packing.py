@@ -9,7 +9,8 @@ end and cut at the capacity, and the last stretch at powers of two, so nothing i
 
 Only the histogram of lengths meets at one place. A document finds its window by its rank among
 the documents of its length: the rank within the task's block plus an offset from the counts of
-the blocks before.
+the blocks before. A block has at most CAPACITY offsets; they are sent to its ids, which stay in the
+buckets that the encoding tasks wrote.
 
 Defined results: a null text is an empty one, whose only id is END_ID; null and repeated ids and
 repeated rows are documents of their own; an empty table gives an empty result; other columns
@@ -28,8 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caregauge.llm.common import bounded_batches, worker_state
-from caregauge.sources.scratch import stored
+from caregauge.llm.common import bounded_batches, stored_in_buckets, worker_state
 
 CAPACITY = 2048
 END_ID = 1
@@ -234,14 +234,17 @@ def packed(documents: DataFrame, path: str, capacity: int = CAPACITY, keep: str
 
     Sequence ids of whole windows lie above those of shared sequences, apart by block.
     """
-    tokens = stored(tokenised(documents, path, capacity, keep), "tokens")
+    # A block's rows come from one task, so the buckets cost no exchange; ids stay where they were written.
+    tokens = stored_in_buckets(tokenised(documents, path, capacity, keep), "tokens", "block")
     counts = tokens.groupBy("tail", "block").agg(F.count("*").alias("n"))
     histogram = counts.groupBy("tail").agg(F.sum("n").alias("n")).collect()  # at most ``capacity`` rows
     plan = plan_windows({r["tail"]: r["n"] for r in histogram}, capacity)
     before = Window.partitionBy("tail").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("tail", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    rows = tokens.join(offsets, ["tail", "block"]).select(
-        "doc_id", "block", "full_before", "tail", (F.col("rank") + F.col("offset")).alias("rank"), "doc_tokens", "ids"
+    offsets = counts.select("block", F.struct("tail", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")).alias("entry"))
+    by_block = offsets.groupBy("block").agg(F.map_from_entries(F.collect_list("entry")).alias("offsets"))
+    rank = (F.col("rank") + F.element_at("offsets", F.col("tail"))).alias("rank")
+    rows = tokens.join(by_block.hint("shuffle_hash"), "block").select(
+        "doc_id", "block", "full_before", "tail", rank, "doc_tokens", "ids"
     )
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 

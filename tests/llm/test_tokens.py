@@ -66,6 +66,21 @@ def test_every_id_lies_in_one_piece(docs, capacity):
     check_packed(got, [(r["doc_id"], r["text"]) for r in docs.collect()], capacity)
 
 
+def test_no_ids_are_shuffled(docs):
+    """The offsets come to the ids: no exchange or sort lies above the scan that reads ids."""
+    lines = packing.packed(docs, BPE)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-*(0123456789)")) for line in lines]
+    (at,) = [k for k, line in enumerate(lines) if "FileScan parquet" in line and "ids#" in line]
+    assert "SelectedBucketsCount" in lines[at]
+    depth, above = depths[at], []
+    for k in range(at - 1, -1, -1):
+        if depths[k] < depth:
+            depth = depths[k]
+            above.append(lines[k].lstrip(" :+-*(0123456789)"))
+    assert any(line.startswith("ShuffledHashJoin") for line in above)
+    assert not any(line.startswith(("Exchange", "Sort")) for line in above)
+
+
 def test_packing_of_nothing(docs):
     assert packing.packed(docs.limit(0), BPE).collect() == []
 
