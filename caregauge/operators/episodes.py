@@ -9,12 +9,13 @@ the work grows with the square of a member's claims.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caregauge.functions import day_number
+from caregauge.functions import as_date, day_number
 
 
 def first_episode(
@@ -57,6 +58,42 @@ def within_days(flag: str, first: int | None, last: int, key: str = "member_id")
     return F.max(flag).over(frame)
 
 
+def distinct_stays(
+    stays: DataFrame, any_flags: Sequence[str], last_admission: datetime.date | None = None
+) -> DataFrame:
+    """One row per (member_id, admitdate, dischdate): the largest ``claimid``, flags or-ed.
+
+    Of a member's stays admitted after ``last_admission``, if given, only the first one is
+    left, which a stay before may be transferred to; the others meet no stay admitted until
+    then. They leave in this grouping, on the map side, so windows over a member don't grow
+    with the years that follow.
+    """
+    late = F.lit(False)
+    if last_admission is not None:
+        late = F.coalesce(F.col("admitdate") > F.lit(last_admission), late)
+    # Largest for the earliest stay: of late stays the maxima below read only that one.
+    earliest = ((-day_number("admitdate")).alias("a"), (-day_number("dischdate")).alias("d"))
+
+    def of_earliest(name: str) -> Column:
+        return F.max(F.struct(*earliest, F.col(name).alias("value"))).alias(name)
+
+    return (
+        stays.groupBy(
+            "member_id",
+            late.alias("_late"),
+            F.when(~late, F.col("admitdate")).alias("_admit"),
+            F.when(~late, F.col("dischdate")).alias("_disch"),
+        )
+        .agg(*[of_earliest(name) for name in ("claimid", *any_flags)])
+        .select(
+            "member_id",
+            as_date(-F.col("claimid.a")).alias("admitdate"),
+            as_date(-F.col("claimid.d")).alias("dischdate"),
+            *[F.col(f"{name}.value").alias(name) for name in ("claimid", *any_flags)],
+        )
+    )
+
+
 def merge_transfers(
     stays: DataFrame, any_flags: Sequence[str], lone_flags: Sequence[str] = ()
 ) -> DataFrame:

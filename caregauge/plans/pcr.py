@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from caregauge.functions import age_on, year_end
 from caregauge.operators.episodes import (
+    distinct_stays,
     flag_planned_next,
     flag_readmissions,
     merge_transfers,
@@ -44,6 +45,7 @@ REQUIRED = (
 )
 DIED = "20"
 DIAGNOSIS = " (diagnosis)"
+READMITTED = 30  # days from discharge to the readmission
 TRANSPLANTS = ("Kidney Transplant", "Bone Marrow Transplant")
 
 
@@ -63,12 +65,24 @@ def stay_book(any_position: tuple[str, ...]) -> CodeBook:
     return CodeBook(*rules, version="padded")
 
 
+def last_index_discharge(performance_yearstart: datetime.date) -> datetime.date:
+    return datetime.date(performance_yearstart.year, 12, 1)
+
+
+def last_admission(performance_yearstart: datetime.date) -> datetime.date:
+    """Last day on which a readmission or the next planned stay of an index stay can begin."""
+    return last_index_discharge(performance_yearstart) + datetime.timedelta(days=READMITTED)
+
+
 class PCR(QualityMeasure):
     """Counts of index stays (denominator) and of those followed by a readmission.
 
     Fix ``value_set_names``: rehabilitation counts as planned care, and kidney and
     bone marrow transplant diagnoses count in any position. As published, three
     misspelt names keep these rules from ever applying.
+
+    Stays of later years leave before the windows. A stay that ends more than 30 days
+    before it begins, admitted after the year, is no index stay.
     """
 
     FIXES = frozenset({"value_set_names"})
@@ -87,8 +101,13 @@ class PCR(QualityMeasure):
             also=F.col(ORDINAL) == 0,  # every line counts for dates and discharge status
         )
 
-    def stays(self, dfs_input, performance_yearstart) -> DataFrame:
-        """Acute stays after merging transfers, with exclusion flags."""
+    def stays(
+        self, dfs_input, performance_yearstart, admitted_until: datetime.date | None = None
+    ) -> DataFrame:
+        """Acute stays after merging transfers, with exclusion flags.
+
+        With ``admitted_until``, stays admitted later are not all there.
+        """
         repaired = "value_set_names" in self.fixes
         need = self.claims_needed(dfs_input, performance_yearstart)
         book = need.book
@@ -113,7 +132,7 @@ class PCR(QualityMeasure):
         planned = any_of(*always_planned) | (
             any_of("Potentially Planned Procedures") & ~any_of("Acute Condition")
         )
-        stays = (
+        stays = distinct_stays(
             per_claim.where(any_of("Inpatient Stay") & ~any_of("Nonacute Inpatient Stay"))
             .select(
                 "member_id",
@@ -122,26 +141,26 @@ class PCR(QualityMeasure):
                 "dischdate",
                 (F.col("died") | any_of("Pregnancy", "Perinatal Conditions")).alias("exclude_base"),
                 planned.alias("planned_flag"),
-            )
-            .groupBy("member_id", "admitdate", "dischdate")
-            .agg(
-                F.max("claimid").alias("claimid"),
-                F.bool_or("exclude_base").alias("exclude_base"),
-                F.bool_or("planned_flag").alias("planned_flag"),
-            )
+            ),
+            ["exclude_base", "planned_flag"],
+            admitted_until,
+        )
+        return flag_planned_next(
+            merge_transfers(stays, ["exclude_base"], ["planned_flag"]), READMITTED
         )
-        return flag_planned_next(merge_transfers(stays, ["exclude_base"], ["planned_flag"]))
 
     def index_stays(self, dfs_input, performance_yearstart) -> DataFrame:
         """Index stays with enough enrollment around them and their readmission flag."""
-        last_discharge = datetime.date(performance_yearstart.year, 12, 1)
+        last_discharge = last_index_discharge(performance_yearstart)
+        until = last_admission(performance_yearstart)
         candidates = flag_readmissions(
-            self.stays(dfs_input, performance_yearstart), ~F.col("exclude_base")
+            self.stays(dfs_input, performance_yearstart, until), ~F.col("exclude_base"), READMITTED
         ).where(
             (F.col("admitdate") != F.col("dischdate"))
             & ~F.col("exclude_base")
             & ~F.col("exclude_planned")
             & F.col("dischdate").between(F.lit(performance_yearstart), F.lit(last_discharge))
+            & (F.col("admitdate") <= F.lit(until))
         )
 
         def period(name: str, before: int, after: int) -> Column:

@@ -7,35 +7,11 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    DataType,
-    DateType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import StructType
 
+from caregauge.sources.schemas import reference_schema, struct_of
 from caregauge.sources.tables import names_in
 
-_TYPES: dict[str, DataType] = {
-    "string": StringType(),
-    "integer": IntegerType(),
-    "int": IntegerType(),
-    "long": LongType(),
-    "bigint": LongType(),
-    "float": FloatType(),
-    "double": DoubleType(),
-    "date": DateType(),
-    "timestamp": TimestampType(),
-    "boolean": BooleanType(),
-}
-
 
 def schema_from_csv(spark: SparkSession, path: str) -> StructType:
     """Schema described by a CSV with the columns name, datatype, nullable.
@@ -50,16 +26,7 @@ def schema_from_csv(spark: SparkSession, path: str) -> StructType:
         ignoreLeadingWhiteSpace=True,
         ignoreTrailingWhiteSpace=True,
     ).collect()
-    return StructType(
-        [
-            StructField(
-                row["name"].strip(),
-                _TYPES[row["datatype"].strip().lower()],
-                row["nullable"].strip().lower() == "true",
-            )
-            for row in rows
-        ]
-    )
+    return struct_of(rows)
 
 
 def read_reference_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -81,14 +48,19 @@ def _data_names(spark: SparkSession, folder: str) -> dict[str, str]:
     return {name[:-4].lower(): f"{folder}/{name}" for name in names if name.endswith(".csv")}
 
 
+def _schema_of(spark: SparkSession, name: str, schema_folder: str | None) -> StructType:
+    """Schema file of the folder, or without one the built-in schema of that name."""
+    if schema_folder is None:
+        return reference_schema(name)
+    return schema_from_csv(spark, f"{schema_folder}/{name}.csv")
+
+
 def import_references(
-    spark: SparkSession, data_folder: str, schema_folder: str
+    spark: SparkSession, data_folder: str, schema_folder: str | None = None
 ) -> Mapping[str, DataFrame]:
-    """Every CSV of ``data_folder`` with the schema file of the same name."""
+    """Every CSV of ``data_folder`` with the schema file of the same name, or the built-in schema."""
     return {
-        name: read_reference_csv(
-            spark, path, schema_from_csv(spark, f"{schema_folder}/{name}.csv")
-        )
+        name: read_reference_csv(spark, path, _schema_of(spark, name, schema_folder))
         for name, path in sorted(_data_names(spark, data_folder).items())
     }
 
@@ -100,9 +72,13 @@ def compile_references(references: Mapping[str, DataFrame], folder: str) -> None
 
 
 def load_reference(
-    spark: SparkSession, name: str, compiled_folder: str, data_folder: str, schema_folder: str
+    spark: SparkSession,
+    name: str,
+    compiled_folder: str,
+    data_folder: str,
+    schema_folder: str | None = None,
 ) -> DataFrame:
-    """The compiled table if there is one, else the CSV."""
+    """The compiled table if there is one, else the CSV (without schema folder: built-in schema)."""
     try:
         return spark.read.parquet(f"{compiled_folder}/{name}.parquet")
     except AnalysisException as error:
@@ -111,7 +87,7 @@ def load_reference(
     return read_reference_csv(
         spark,
         f"{data_folder}/{name}.csv",
-        schema_from_csv(spark, f"{schema_folder}/{name}.csv"),
+        _schema_of(spark, name, schema_folder),
     )
 
 

@@ -11,7 +11,7 @@ from caregauge import functions as cf
 from caregauge.operators import episodes, intervals, output, supply, valuesets
 from caregauge.plans import AAB, CDC, PCR, PCPFollowup
 from caregauge.plans.common import fills_of, member_flags, on_list, visit_rules
-from caregauge.sources import catalogue, clustered, reference, tables
+from caregauge.sources import catalogue, clustered, reference, schemas, tables
 from caregauge.sources.scratch import scratch_folder
 from checks import claim_model as model
 from checks.claim_model import read
@@ -193,6 +193,34 @@ def src_reference_supplier(spark, sf_dir):
     return _reference_rows(spark, sf_dir, "supplier", compiled=False)
 
 
+@check(
+    "src_reference_builtin",
+    """SELECT 'codes' AS table_name, p_brand AS name, 'P' || p_partkey AS code, p_name AS definition, p_type AS system FROM part
+UNION ALL SELECT 'ndc_codes', p_type, 'P' || p_partkey, p_name, CAST(p_size AS VARCHAR) FROM part""",
+)
+def src_reference_builtin(spark, sf_dir):
+    """Parts as a code table and as a drug table: files with prefixed names, built-in schemas, compiled form."""
+    folder = scratch_folder(spark, "reference-builtin")
+    code = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
+    filled = {
+        "codes": {"value_set_name": F.col("p_brand"), "code": code, "definition": F.col("p_name"), "code_system": F.col("p_type")},
+        "ndc_codes": {"medication_list": F.col("p_type"), "ndc_code": code, "brand_name": F.col("p_name"), "form": F.col("p_size").cast("string")},
+    }
+    for name, columns in filled.items():
+        read(spark, sf_dir, "part").select(
+            *[columns.get(column, F.lit("-")).alias(column) for column, _, _ in schemas.REFERENCE_SCHEMAS[name]]
+        ).write.csv(f"{folder}/data/retail_{name}.csv", header=True, escape='"')
+    reference.compile_references(reference.import_references(spark, f"{folder}/data"), f"{folder}/compiled")
+    return tables.stack(
+        [
+            reference.load_reference(spark, f"retail_{name}", f"{folder}/compiled", f"{folder}/data").select(
+                F.lit(name).alias("table_name"), *[F.col(column).alias(to) for column, to in zip(columns, ("name", "code", "definition", "system"), strict=True)]
+            )
+            for name, columns in filled.items()
+        ]
+    )
+
+
 @check(
     "src_clustered_table",
     """SELECT o_custkey, o_orderkey, count(*) OVER w AS orders_so_far, round(sum(o_totalprice) OVER (PARTITION BY o_custkey), 2) AS spent

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caregauge.operators.episodes import (
     day_timeline,
     direct_transfers,
+    distinct_stays,
     far_apart,
     first_episode,
     flag_planned_next,
@@ -106,6 +107,38 @@ def test_readmissions_against_pairs(spark):
     assert sorted(map(tuple, found.select("transfer_claimid", "has_readmit").collect())) == expected
 
 
+def test_stays_of_later_years_change_nothing_before(spark):
+    """All flags of stays admitted until the bound, with and without the later stays."""
+    rng = random.Random(11)
+    zero, bound = datetime.date(2018, 1, 1), datetime.date(2018, 12, 31)
+    data = []
+    for i in range(1500):
+        admit = zero + datetime.timedelta(days=rng.choice((rng.randint(300, 420), rng.randint(0, 1000))))
+        discharge = admit + datetime.timedelta(days=rng.randint(0, 40))
+        data += [(f"m{rng.randint(0, 40)}", f"c{i}{j}", admit, discharge, rng.random() < 0.2, rng.random() < 0.3) for j in range(rng.choice((1, 1, 2)))]
+    data += [("none", "x", None, zero, True, False), ("none", "y", None, zero, False, False), ("late", "z", bound + datetime.timedelta(days=9), bound + datetime.timedelta(days=9), False, True)]
+    claims = spark.createDataFrame(
+        data, "member_id string, claimid string, admitdate date, dischdate date, exclude_base boolean, planned_flag boolean"
+    )
+    flags = ["exclude_base", "planned_flag"]
+    plain = claims.groupBy("member_id", "admitdate", "dischdate").agg(
+        F.max("claimid").alias("claimid"), *[F.bool_or(name).alias(name) for name in flags]
+    )
+    columns = ("member_id", "admitdate", "dischdate", "claimid", *flags)
+    assert rows(distinct_stays(claims, flags), *columns) == rows(plain, *columns)
+    cut = distinct_stays(claims, flags, bound)
+    assert {row["n"] for row in cut.where(F.col("admitdate") > bound).groupBy("member_id").agg(F.count("*").alias("n")).collect()} == {1}
+
+    def flagged(stays):
+        merged = flag_planned_next(merge_transfers(stays, ["exclude_base"], ["planned_flag"]))
+        found = flag_readmissions(merged, ~F.col("exclude_base"))
+        found = found.where((F.col("admitdate") <= bound) & (F.col("dischdate") <= bound - datetime.timedelta(days=30)))
+        return rows(found, "member_id", "transfer_claimid", "admitdate", "dischdate", "is_transfer", *flags, "exclude_planned", "has_readmit")
+
+    expected = flagged(plain)
+    assert flagged(cut) == expected and len(expected) > 300
+
+
 def test_frames_on_the_day_timeline(spark):
     events = table(
         spark,

@@ -13,7 +13,8 @@ FOLDER = "/root/testdata/sf0.001"
 ALL = sorted(QUERIES)
 # Writes files before it returns its plan; its plan is checked by the parity test.
 WRITERS = {
-    "src_schema_csv", "src_reference_catalogue", "src_reference_part", "src_reference_supplier", "src_clustered_table",
+    "src_schema_csv", "src_reference_catalogue", "src_reference_part", "src_reference_supplier", "src_reference_builtin",
+    "src_clustered_table",
     "combine_results", "combine_all_results",
 }
 # Scans of the line items, from which claims and pharmacy fills are derived.

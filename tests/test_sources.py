@@ -11,6 +11,8 @@ from caregauge.sources.reference import (
     read_reference_csv,
     schema_from_csv,
 )
+from caregauge.sources.catalogue import measure_catalogue, medicare_wellness_codes
+from caregauge.sources.schemas import REFERENCE_SCHEMAS, reference_schema, write_schemas
 from caregauge.sources.scratch import scratch_folder
 from caregauge.sources.tables import load_results, load_tables, save_result, stack, table
 
@@ -88,3 +90,28 @@ def test_scratch_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_builtin_schemas_without_schema_files(spark, tmp_path):
+    data = tmp_path / "data"
+    data.mkdir()
+    names = [name for name, _, _ in REFERENCE_SCHEMAS["codes"]]
+    (data / "own_codes.csv").write_text(",".join(names) + "\nED,1,2018,99281,,CPT,,\n")
+    (data / "own_ndc_codes.csv").write_text(",".join(name for name, _, _ in REFERENCE_SCHEMAS["ndc_codes"]) + "\n")
+    loaded = import_references(spark, str(data))
+    assert {name: table_.columns[:2] for name, table_ in loaded.items()} == {
+        "own_codes": ["value_set_name", "value_set_oid"], "own_ndc_codes": ["medication_list", "ndc_code"],
+    }
+    assert loaded["own_codes"].select("value_set_name", "code", "definition").collect() == [("ED", "99281", None)]
+    again = load_reference(spark, "own_codes", str(tmp_path / "none"), str(data))
+    assert again.collect() == loaded["own_codes"].collect()
+    with pytest.raises(KeyError, match="prices"):
+        reference_schema("prices")
+
+
+def test_builtin_schemas_as_files(spark, tmp_path):
+    write_schemas(spark, str(tmp_path))
+    for name in REFERENCE_SCHEMAS:
+        assert schema_from_csv(spark, f"{tmp_path}/{name}.csv") == reference_schema(name)
+    for rows, name in ((measure_catalogue, "ref_quality_measures"), (medicare_wellness_codes, "reference_awv")):
+        assert [(f.name, f.dataType) for f in rows(spark).schema] == [(f.name, f.dataType) for f in reference_schema(name)]
