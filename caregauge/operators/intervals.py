@@ -27,6 +27,15 @@ def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def dealt_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` by ``keys`` in as many tasks as there are shuffle partitions, before a step that makes more rows.
+
+    Adaptive execution joins partitions by the bytes they have before that step, and so gives
+    one task rows that no longer fit its memory after it.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def furthest_end_per_start(
     df: DataFrame, keys: str | Sequence[str], start: str, end: str
 ) -> DataFrame:
@@ -162,11 +171,10 @@ def priority_windows(
         .agg(F.max("_reach").alias("_reach"))
     )
     ordered = Window.partitionBy(*keys).orderBy("_day")
-    fragments = (
-        df.select(*keys, F.explode(F.array(day_number(start), day_number(end) + 1)).alias("_day"))
-        .distinct()
-        .withColumn("_last", F.lead("_day").over(ordered) - 1)
+    fragments = dealt_out(
+        df.select(*keys, F.explode(F.array(day_number(start), day_number(end) + 1)).alias("_day")).distinct(), keys
     )
+    fragments = fragments.withColumn("_last", F.lead("_day").over(ordered) - 1)
     # Each level of a key looks at each fragment of the key: its furthest reach so far.
     levels = starts.select(*[F.col(name).alias(f"_k{i}") for i, name in enumerate(keys)], "_level").distinct()
     same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_k{i}")) for i, name in enumerate(keys)))

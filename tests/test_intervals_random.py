@@ -235,3 +235,10 @@ def test_coverage_around(spark):
     assert {
         (r["member_id"], r["event"]): (r["gap_count"], r["gap_days"]) for r in found.collect()
     } == model
+
+
+def test_priority_windows_are_dealt_out_before_the_grid(spark):
+    """A plain exchange is joined by its bytes, and one task then holds every level of all fragments."""
+    spans = spark.sql("SELECT 1L k, DATE'2020-01-01' date_start, DATE'2020-02-01' date_end, 1 level, 'x' payload")
+    plan = priority_windows(spans, "k", ["payload"], "level")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k#" in plan and "8), REPARTITION_BY_NUM" in plan
