@@ -35,6 +35,8 @@ REMEMBERED = 300_000
 BATCH_CHARS = 400_000
 #: Code points of texts that are cut into words at once.
 TEXT_CHARS = 1_000_000
+#: Rows and bytes of an Arrow batch: a worker that encodes and one that decodes run for every core.
+ROWS, BYTES = 600, 4 << 20
 #: Words longer than this are cut where no piece can lie across, if such places exist.
 LONG = 48
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -103,9 +105,10 @@ class Decoder:
 
 
 def _model(path: str):
+    """The model, once in a worker: Spark gives a worker encoding and decoding tasks by turns."""
     import sentencepiece
 
-    return sentencepiece.SentencePieceProcessor(model_file=path)
+    return worker_state(f"model {path}", lambda: sentencepiece.SentencePieceProcessor(model_file=path))
 
 
 class Segmenter(Decoder):
@@ -378,7 +381,7 @@ def _segmenter(path: str) -> Segmenter:
 
 def encoded(df: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep`` columns and ``ids`` (little-endian uint32) of every row's whole text."""
-    bounded_batches(df.sparkSession)
+    bounded_batches(df.sparkSession, ROWS, BYTES)
     rows = df.select(*keep, F.col(text).alias("_text"))
     schema = rows.drop("_text").withColumn("ids", F.lit(b"")).schema
     names = schema.names
@@ -394,7 +397,7 @@ def encoded(df: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text:
 
 def decoded(df: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
     """``keep`` columns and ``text`` of every row's ids."""
-    bounded_batches(df.sparkSession)
+    bounded_batches(df.sparkSession, ROWS, BYTES)
     rows = df.select(*keep, F.col(ids).alias("_ids"))
     schema = rows.drop("_ids").withColumn("text", F.lit("")).schema
     names = schema.names

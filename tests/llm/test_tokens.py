@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -171,3 +172,13 @@ def test_digests_of_the_packing_query(spark):
             r = got[row["doc_id"], at]
             assert r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes()) and r["doc_tokens"] == len(ids)
             at += r["length"]
+
+
+def test_workers_hold_one_model_and_small_batches(spark):
+    """Encoding and decoding workers stand side by side on every core of an executor."""
+    assert pieces._model(MODEL) is pieces._model(MODEL)
+    rows = spark.createDataFrame([(k, "a text") for k in range(700)], "doc_id long, text string").coalesce(1)
+    ids = pieces.encoded(rows, MODEL)
+    sizes = ids.mapInArrow(lambda parts: (p.slice(0, 1).select(["doc_id"]).set_column(0, "doc_id", pa.array([p.num_rows])) for p in parts), "doc_id long")
+    assert max(r[0] for r in sizes.collect()) <= 600
+    assert pieces.decoded(ids, MODEL).where("text = 'a text'").count() == 700
