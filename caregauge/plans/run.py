@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 
@@ -29,8 +30,10 @@ from caregauge.plans.spd import SPD
 from caregauge.sources.scratch import stored
 from caregauge.sources.tables import table
 
-# Reported follow-up cutoffs in days.
+T = TypeVar("T")
+# Reported follow-up cutoffs in days, measures written at a time.
 FOLLOW_UP_CUTOFFS = (7, 14)
+MEASURES_AT_ONCE = 4
 ANNUAL_MEASURES = (MPM3, PBH, PCR, AAB, SPD, SPC, CDC, MMA, CIS)
 
 
@@ -83,6 +86,13 @@ def measure_calls(
     }
 
 
+def of_each(results: Mapping[str, DataFrame], write: Callable[[str, DataFrame], T]) -> list[T]:
+    """What ``write(name, result)`` returns for each measure; a few run at a time, so that the last
+    tasks of one don't leave cores idle."""
+    with ThreadPoolExecutor(MEASURES_AT_ONCE) as pool:
+        return list(pool.map(write, results.keys(), results.values()))
+
+
 def measure_results(
     dfs_input: Mapping[str, DataFrame],
     performance_yearstart: datetime.date,
@@ -103,8 +113,9 @@ def run_all(
 ) -> DataFrame:
     """One stacked result of all measures, rows with a denominator only.
 
-    On a cluster use ``run_batch``, which writes each measure and can be started again.
+    Each measure is written to the shared scratch folder by jobs of its own: in one plan, Spark
+    runs a partition of every measure in one task, whose memory is then the sum of all.
+    ``run_batch`` does the same and can be started again.
     """
-    return combine_results(
-        list(measure_results(dfs_input, performance_yearstart, date_latestpaid, follow_up).values())
-    )
+    results = measure_results(dfs_input, performance_yearstart, date_latestpaid, follow_up)
+    return combine_results(of_each(results, lambda name, result: stored(result, f"rows-{name}")))

@@ -107,3 +107,10 @@ def test_only_childrens_claims_are_aggregated(spark):
 def test_wellness_reads_spans_once(spark):
     plan = plan_of(spark, "measure_awv")
     assert sum("date_start" in line and "Generate inline" in line for line in plan.splitlines()) == 1
+
+
+def test_no_task_runs_several_measures(spark):
+    """Stacked plans of the measures would be one stage, and a task of it a partition of each."""
+    stacked = plan_of(spark, "run_all")
+    assert "FileScan" in stacked
+    assert not any(word in stacked for word in ("Join", "Window", "Aggregate", "Exchange"))
