@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caregauge.functions import in_year, in_years, year_end
-from caregauge.operators.intervals import enrollment_gaps
+from caregauge.operators.intervals import dealt_out, enrollment_gaps
 from caregauge.operators.output import measure_rows
 from caregauge.operators.supply import dispensing_events, proportion_days_covered
 from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule
@@ -74,8 +74,11 @@ class MMA(QualityMeasure):
         # Only fills of the listed drugs are shuffled to be counted.
         asthma = drug_list_fills(dfs_input, self.fills_needed(None)[0])
         fills = asthma.groupBy(*asthma.columns).agg(F.count("*").alias("_copies"))
-        claim = Window.partitionBy("member_id", "fromdate", "dayssupply", "drug_id", "claimid")
-        same_day = Window.partitionBy("member_id", "fromdate", "drug_id")
+        day = ("member_id", "fromdate", "drug_id")
+        # Both windows and the grouping below stay within these tasks, which adaptive execution doesn't join.
+        fills = dealt_out(fills, day)
+        claim = Window.partitionBy(*day, "dayssupply", "claimid")
+        same_day = Window.partitionBy(*day)
         oral = F.when(F.col("route") == "oral", dispensing_events())
         times = F.coalesce(F.max(oral).over(claim), F.lit(0)) + F.coalesce(
             F.max(F.col("route") == "inhalation").over(same_day), F.lit(False)

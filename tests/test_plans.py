@@ -114,3 +114,10 @@ def test_no_task_runs_several_measures(spark):
     stacked = plan_of(spark, "run_all")
     assert "FileScan" in stacked
     assert not any(word in stacked for word in ("Join", "Window", "Aggregate", "Exchange"))
+
+
+def test_asthma_fills_are_dealt_out_before_the_windows(spark):
+    """A plain exchange is joined by its bytes, and a task then sorts what it read twice."""
+    plan = plan_of(spark, "measure_mma")
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line and "fromdate#" in line and "drug_id#" in line]
+    assert dealt and all("8), REPARTITION_BY_NUM" in line for line in dealt)
