@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,13 +89,12 @@ def member_flags(rows: DataFrame, flags: Mapping[str, Column]) -> DataFrame:
 def two_or_more(*values: Column) -> Column:
     """Aggregate: at least two distinct non-null combinations of the values.
 
-    Smallest and largest differ exactly when there are two, so no distinct set is
-    kept per group.
+    There are two exactly when some value's smallest and largest differ, so no distinct
+    set is kept per group, and plain dates and numbers need no sorted rows as structs would.
     """
-    present = F.struct(*values)
-    for value in values:
-        present = F.when(value.isNotNull(), present)
-    return F.coalesce(F.min(present) != F.max(present), F.lit(False))
+    whole = reduce(and_, [value.isNotNull() for value in values])
+    present = [F.when(whole, value) for value in values]
+    return F.coalesce(reduce(or_, [F.min(p) != F.max(p) for p in present]), F.lit(False))
 
 
 def flag(name: str) -> Column:

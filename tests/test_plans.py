@@ -1,10 +1,12 @@
 """Shape of the physical plans: what must not happen at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from caregauge.operators import valuesets
 from caregauge.plans import run
+from caregauge.plans.common import two_or_more
 from caregauge.sources import scratch
 from checks import claim_model
 from checks.registry import ORACLES, QUERIES
@@ -121,3 +123,17 @@ def test_asthma_fills_are_dealt_out_before_the_windows(spark):
     plan = plan_of(spark, "measure_mma")
     dealt = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line and "fromdate#" in line and "drug_id#" in line]
     assert dealt and all("8), REPARTITION_BY_NUM" in line for line in dealt)
+
+
+def test_dates_are_compared_without_sorting(spark):
+    """Smallest and largest dates fit a hash aggregate; structs of them would sort all claims of a task."""
+    values = [F.col("a"), F.col("b")]
+    rows = spark.sql(
+        "SELECT k, CAST(a AS DATE) a, CAST(b AS DATE) b FROM VALUES ('same', '2020-01-01', '2020-01-02'), ('same', '2020-01-01', '2020-01-02'), "
+        "('first', '2020-01-01', '2020-01-02'), ('first', '2020-01-03', '2020-01-02'), ('second', '2020-01-01', '2020-01-02'), "
+        "('second', '2020-01-01', '2020-01-03'), ('null', '2020-01-01', '2020-01-02'), ('null', '2020-01-03', NULL), ('none', NULL, NULL) AS v(k, a, b)"
+    )
+    found = rows.groupBy("k").agg(two_or_more(*values).alias("two"))
+    assert dict(found.collect()) == {"same": False, "first": True, "second": True, "null": False, "none": False}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
