@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from caregauge import plans
 from caregauge.operators import output
-from caregauge.plans.run import measure_calls, shared_inputs
+from caregauge.plans.run import measure_results, of_each
 from caregauge.sources import catalogue, reference, tables
 from caregauge.sources.scratch import scratch_folder
 from checks import claim_model as model
@@ -73,9 +73,8 @@ def run_all(spark, sf_dir):
 def combine_all_results(spark, sf_dir):
     """Every measure's result written, found again by its name and stacked."""
     folder = scratch_folder(spark, "all-results")
-    inputs = shared_inputs(model.tables(spark, sf_dir), model.PY, model.LATEST_PAID)
-    for name, call in measure_calls(model.PY, model.LATEST_PAID, None).items():
-        tables.save_result(call(inputs), folder, name)
+    results = measure_results(model.tables(spark, sf_dir), model.PY, model.LATEST_PAID)
+    of_each(results, lambda name, result: tables.save_result(result, folder, name))
     return output.combine_results(tables.load_results(spark, folder))
 
 
