@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from caregauge.llm import ann, bitslice, chat, html_text, langid, negatives, packing, pieces, quality, repeats, simhash, toxicity, whitening
 from caregauge.llm.common import fold, table
+from caregauge.sources.scratch import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,19 +147,24 @@ QUALIFY rank <= 10
 
 @query
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encodes every text, decodes the ids again and compares."""
+    """Encodes every text, decodes the ids again and compares digests of both texts.
+
+    The ids are stored in between: a task has one Python worker then, never one that waits for another.
+    """
     model = public_tokenizers.path("piece_bpe_32k.model")
-    documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    said = F.sha2(F.replace(text, F.lit(pieces.BLANK), F.lit(" ")), 256)
+    documents = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), said.alias("said"))
     kept = ("doc_id", "n_ids", "ids_crc32")
-    ids = pieces.encoded(documents, model, ("doc_id", "text")).select(
+    ids = pieces.encoded(documents, model, ("doc_id", "said")).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_ids"),
         F.crc32("ids").alias("ids_crc32"),
-        F.replace("text", F.lit(pieces.BLANK), F.lit(" ")).alias("said"),
+        "said",
         "ids",
     )
-    back = pieces.decoded(ids, model, (*kept, "said"))
-    same = F.col("said") == F.col("text")
+    back = pieces.decoded(stored(ids, "pieces"), model, (*kept, "said"))
+    same = F.col("said") == F.sha2("text", 256)
     return back.select(*kept, F.char_length("text").cast("long").alias("decoded_chars"), same.alias("lossless"))
 
 

@@ -182,3 +182,18 @@ def test_workers_hold_one_model_and_small_batches(spark):
     sizes = ids.mapInArrow(lambda parts: (p.slice(0, 1).select(["doc_id"]).set_column(0, "doc_id", pa.array([p.num_rows])) for p in parts), "doc_id long")
     assert max(r[0] for r in sizes.collect()) <= 600
     assert pieces.decoded(ids, MODEL).where("text = 'a text'").count() == 700
+
+
+def test_sentencepiece_query_has_one_worker_a_task(docs, spark, tmp_path):
+    """Encoding and decoding stand in jobs of their own, and every row comes back with its text."""
+    from caregauge.llm.queries import QUERIES
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op2_sentencepiece"](spark, str(tmp_path))
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    want = []
+    for r in docs.collect():
+        ids = np.array(library.encode(r["text"] or ""), "<u4")
+        want.append((str(r["doc_id"]), len(ids), zlib.crc32(ids.tobytes()), len(r["text"] or ""), True))
+    assert sorted((str(r["doc_id"]), *r[1:]) for r in found.collect()) == sorted(want)
