@@ -158,6 +158,9 @@ def similar_pairs(nodes: DataFrame) -> DataFrame:
     Cells with one member are left out after a count. A cell of many members is cut into blocks
     that meet pairwise in tasks of their own; a task returns a spanning forest of what it verified,
     so that a group of n near copies gives at most n - 1 links a task and never all its pairs.
+
+    The cells are merged with their counts, never broadcast: Spark sizes them as the file of ``nodes``,
+    though a row of it becomes 26 on average.
     """
     placed = nodes.select("fp", F.explode(_cells(F.col("fp"))).alias("at")).select("fp", "at.cell", "at.home")
     shared = (
@@ -169,7 +172,8 @@ def similar_pairs(nodes: DataFrame) -> DataFrame:
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("long")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1))
     dealt = (
-        placed.join(shared, "cell")
+        placed.hint("merge")
+        .join(shared, "cell")
         .select("cell", "fp", mine.alias("mine"), other.alias("other"))
         .select("cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "fp")
         .repartition("cell", "i", "j")
@@ -183,6 +187,9 @@ def near_duplicates(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -
 
     The first column of ``keep`` is the id; ``component_id`` is its smallest value among all
     documents that links of at most MAX_BITS differing bits reach.
+
+    The fingerprints of all rows are merged with the names, never broadcast: the file that Spark sizes them
+    by hardly grows with exact copies, the rows do.
     """
     bounded_batches(documents.sparkSession)
     key = keep[0]
@@ -193,6 +200,6 @@ def near_duplicates(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    return prints.join(named.select("fp", "component_id"), "fp").select(
+    return prints.hint("merge").join(named.select("fp", "component_id"), "fp").select(
         *keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -9,6 +9,7 @@ import xxhash
 import corpus_pipeline
 from caregauge.llm import components, packing, simhash
 from caregauge.llm.common import table
+from caregauge.sources.scratch import stored
 
 SF = "/root/testdata/sf0.01"
 
@@ -99,6 +100,20 @@ def test_a_group_of_near_copies_gives_few_links(spark):
     assert simhash.similar_pairs(nodes).count() < 40 * len(fps)
 
 
+def test_what_spark_sizes_too_low_is_not_broadcast(spark):
+    """The cells are many times the rows of the file they are made of; fingerprints of copies are more rows than their file tells."""
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    docs = spark.createDataFrame([(k, f"text {k % 50} of {k % 50 * 7919} words") for k in range(200)], "doc_id long, text string")
+    nodes = stored(simhash.fingerprints(docs).select("fp").distinct(), "nodes")
+    pairs, found = plan(simhash.similar_pairs(nodes)), plan(simhash.near_duplicates(docs))
+    assert "Generate explode" in pairs and "Broadcast" not in pairs
+    last_join = next(line for line in found.splitlines() if "Join" in line)
+    assert "SortMergeJoin [fp" in last_join, last_join
+
+
 def test_odd_rows_of_documents(spark):
     rows = [(k, t, "fp", 1) for k, t in enumerate(TEXTS)] + [(4, "a b c", "fp", 1), (None, "a b c", "fp", 1), (99, "  ", "fp", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp string, root long")
