@@ -425,7 +425,8 @@ class SharedTags:
     """Claims tagged once for several needs, and each need's rows of them.
 
     The rules of all books are one lookup. Every book has a stretch of bits in some shared word
-    (books of several words have words of their own).
+    (books of several words have words of their own). A row says which books want it, and holds of the
+    columns and bits only what these books read: the rest would take as much disk again.
     """
 
     def __init__(self, claims: DataFrame, needs: Sequence[ClaimNeed], frequent: Sequence[str] = ()) -> None:
@@ -471,7 +472,48 @@ class SharedTags:
             claims = claims.where(reduce(or_, read))
         self._words = words
         tagged = lookup.tagged(claims, columns, frequent)
-        self._rows = tagged.where(reduce(or_, [self._wanted(need) for need in needs]))
+        self._number = {book: i for i, book in enumerate(firsts)}
+        flags = [
+            F.when(reduce(or_, [self._wanted(need) for need in needs if need.book is book]), 1 << i % WORD_BITS).otherwise(0)
+            for book, i in self._number.items()
+        ]
+        names = [f"_for_{k}" for k in range(-(-len(flags) // WORD_BITS))]
+        marked = tagged.withColumns(
+            {
+                name: reduce(Column.bitwiseOR, flags[k * WORD_BITS : (k + 1) * WORD_BITS]).cast("long")
+                for k, name in enumerate(names)
+            }
+        )
+        # As a condition it would be worked out twice, and with what follows in one method that is too
+        # long to be compiled: a step with a lambda is not generated into its neighbours' code.
+        some = " OR ".join(f"x.{name} != 0" for name in names)
+        marked = marked.selectExpr("*", f"explode(filter(array(struct({', '.join(names)})), x -> {some})) AS _wanted")
+        marked = marked.drop(*names).selectExpr("*", *[f"_wanted.{name} AS {name}" for name in names])
+        kept = [self._column({n.book for n in needs if c in n.columns}, c) for c in columns]
+        self._rows = marked.selectExpr(*kept, *map(self._bits, words), ORDINAL, *names)
+
+    def _flagged(self, book: CodeBook) -> str:
+        """SQL condition: some need of the book wants the row."""
+        i = self._number[book]
+        return f"(_for_{i // WORD_BITS} & {1 << i % WORD_BITS}L) != 0"
+
+    def _column(self, books: set[CodeBook], name: str) -> str:
+        """SQL of a column that ``books`` read."""
+        if len(books) == len(self._number):
+            return name
+        return f"CASE WHEN {' OR '.join(self._flagged(b) for b in self._number if b in books)} THEN {name} END AS {name}"
+
+    def _bits(self, word: str) -> str:
+        """SQL of a shared word, without the bits of books that don't want the row."""
+        parts = []
+        for book, places in self._at.items():
+            bits = book.width if len(places) == 1 else WORD_BITS
+            parts += [
+                f"CASE WHEN {self._flagged(book)} THEN {word} & {(1 << bits) - 1 << low}L ELSE 0L END"
+                for at, low in places
+                if self._words[at] == word
+            ]
+        return f"{' | '.join(parts)} AS {word}"
 
     def _own(self, book: CodeBook) -> dict[str, str]:
         """SQL of the book's words over the shared ones."""
@@ -494,7 +536,8 @@ class SharedTags:
     def rows(self, need: ClaimNeed) -> DataFrame:
         """As ``need.tag``: its columns, its book's words and the ICD position."""
         own = [f"{sql} AS {word}" for word, sql in self._own(need.book).items()]
-        return self._rows.where(self._wanted(need)).selectExpr(*need.columns, *own, ORDINAL)
+        rows = self._rows.where(self._flagged(need.book)).where(self._wanted(need))
+        return rows.selectExpr(*need.columns, *own, ORDINAL)
 
 
 def claim_value_sets(

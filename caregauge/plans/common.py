@@ -18,6 +18,8 @@ HCPCS = ("CPT", "HCPCS")
 
 #: Names under which shared passes stand among the input tables.
 SHARED_TAGS, SHARED_FILLS = "shared tagged claims", "shared fills"
+#: The asthma fills as counted for ``MMA``, which reads them twice.
+COUNTED_FILLS = "counted asthma fills"
 LISTED = "_listed"
 
 

@@ -13,7 +13,7 @@ from caregauge.operators.output import measure_rows
 from caregauge.operators.supply import dispensing_events, proportion_days_covered
 from caregauge.operators.valuesets import ClaimNeed, CodeBook, CodeRule
 from caregauge.plans.base import QualityMeasure
-from caregauge.plans.common import FillNeed, attach, drug_list_fills, flag, tagged_claims
+from caregauge.plans.common import COUNTED_FILLS, FillNeed, attach, drug_list_fills, flag, tagged_claims
 from caregauge.sources.tables import table
 
 # Drug descriptions and name patterns of the measure.
@@ -61,7 +61,7 @@ class MMA(QualityMeasure):
     def fills_needed(self, performance_yearstart):
         return [FillNeed(F.col("description").isin(*CONTROLLERS, *RELIEVERS))]
 
-    def _fills(self, dfs_input) -> DataFrame:
+    def counted_fills(self, dfs_input) -> DataFrame:
         """Asthma fills, those of one drug code, day and supply as one row.
 
         ``same`` is their number in the fill table, ``rows`` how many rows of the event
@@ -175,7 +175,7 @@ class MMA(QualityMeasure):
         enrolled = enrollment_gaps(covered, py, final).where(
             ~((F.col("largest_gap") >= 45) & (F.col("gap_count") > 1))
         )
-        fills = self._fills(dfs_input)
+        fills = dfs_input[COUNTED_FILLS] if COUNTED_FILLS in dfs_input else self.counted_fills(dfs_input)
         facts = attach(
             members.join(enrolled.select("member_id"), "member_id", "left_semi"),
             self._claim_facts(dfs_input, py),

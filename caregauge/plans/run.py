@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime
 from collections import ChainMap
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
 from typing import TypeVar
@@ -19,7 +18,7 @@ from caregauge.plans.awv import reported_variants, visits_needed, wellness_resul
 from caregauge.plans.base import QualityMeasure
 from caregauge.plans.cdc import CDC
 from caregauge.plans.cis import CIS
-from caregauge.plans.common import SHARED_FILLS, SHARED_TAGS, listed_fills
+from caregauge.plans.common import COUNTED_FILLS, SHARED_FILLS, SHARED_TAGS, listed_fills
 from caregauge.plans.mma import MMA
 from caregauge.plans.mpm import MPM3
 from caregauge.plans.pbh import PBH
@@ -27,13 +26,12 @@ from caregauge.plans.pcp import PCPFollowup
 from caregauge.plans.pcr import PCR
 from caregauge.plans.spc import SPC
 from caregauge.plans.spd import SPD
-from caregauge.sources.scratch import stored
+from caregauge.sources.scratch import shuffles_dropped, stored
 from caregauge.sources.tables import table
 
 T = TypeVar("T")
-# Reported follow-up cutoffs in days, measures written at a time.
+# Reported follow-up cutoffs in days.
 FOLLOW_UP_CUTOFFS = (7, 14)
-MEASURES_AT_ONCE = 4
 ANNUAL_MEASURES = (MPM3, PBH, PCR, AAB, SPD, SPC, CDC, MMA, CIS)
 
 
@@ -45,7 +43,8 @@ def shared_inputs(
     """The input tables, and what all measures read of claims and fills from one pass each.
 
     Claims are tagged once with the rules of all measures, fills meet the drug list once; both are
-    written to the shared scratch folder, where each measure reads its rows.
+    written to the shared scratch folder, where each measure reads its rows. So are the counted asthma
+    fills. The writes come one after the other, so that the shuffles of one are gone when the next begins.
     """
     measures = [measure() for measure in ANNUAL_MEASURES]
     needs = [m.claims_needed(dfs_input, performance_yearstart) for m in measures]
@@ -56,10 +55,11 @@ def shared_inputs(
     some_drug = reduce(or_, [need.chosen for need in chosen])
     fills = listed_fills(table(dfs_input, "rx_claims"), table(dfs_input, "ndc"), some_drug)
     fills = fills.where(reduce(or_, [need.condition for need in chosen]))
-    with ThreadPoolExecutor(2) as both:  # two independent writes
-        written = both.submit(stored, fills, "drug-fills")
-        tags = SharedTags(claims, [need for need in needs if need is not None]).stored()
-        return ChainMap({SHARED_TAGS: tags, SHARED_FILLS: written.result()}, dfs_input)
+    with shuffles_dropped(claims.sparkSession):
+        inputs = ChainMap({SHARED_FILLS: stored(fills, "drug-fills")}, dfs_input)
+        inputs[COUNTED_FILLS] = stored(MMA().counted_fills(inputs), "counted-fills")
+        inputs[SHARED_TAGS] = SharedTags(claims, [need for need in needs if need is not None]).stored()
+    return inputs
 
 
 def measure_calls(
@@ -87,10 +87,10 @@ def measure_calls(
 
 
 def of_each(results: Mapping[str, DataFrame], write: Callable[[str, DataFrame], T]) -> list[T]:
-    """What ``write(name, result)`` returns for each measure; a few run at a time, so that the last
-    tasks of one don't leave cores idle."""
-    with ThreadPoolExecutor(MEASURES_AT_ONCE) as pool:
-        return list(pool.map(write, results.keys(), results.values()))
+    """What ``write(name, result)`` returns for each measure. One runs at a time, and its shuffles are gone
+    when the next begins, so that the disk holds those of one measure only."""
+    with shuffles_dropped(next(iter(results.values())).sparkSession):
+        return [write(name, result) for name, result in results.items()]
 
 
 def measure_results(

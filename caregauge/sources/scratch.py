@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders of the runs under way, the innermost last.
 _runs: list[str] = []
 
@@ -53,6 +54,23 @@ def scratch_run(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that run meanwhile go when their query ends.
+
+    Else they stay until the driver happens to collect its garbage, and a job of many writes keeps them all.
+    """
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written below the shared scratch folder and read back.
 

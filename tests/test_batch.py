@@ -1,5 +1,7 @@
 """The restartable job and the life of its scratch tables."""
 
+import time
+
 import pytest
 
 from caregauge.plans import batch, run
@@ -94,3 +96,19 @@ def test_folders_of_one_machine_are_refused(settings, folder):
     else:
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch._base(session)
+
+
+def test_the_shuffles_of_a_measure_go_with_its_write(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    counts = spark.range(2000).selectExpr("id % 7 AS k").groupBy("k").count()
+    before, setting = shuffles(), spark.conf.get(scratch.DROP_SHUFFLES, None)
+    written = run.of_each({"a": counts, "b": counts.where("k > 2")}, lambda name, result: stored(result, name))
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(scratch.DROP_SHUFFLES, None) == setting
+    assert [df.count() for df in written] == [7, 4]

@@ -279,3 +279,16 @@ def test_shared_pass_equals_own_passes(spark, claims, reference):
         wanted = [*need.columns, *need.book.words]
         assert set(rows(shared.rows(need), *wanted)) == set(rows(need.tag(claims), *wanted))
     assert rows(shared.rows(needs[3]), "member_id") and not rows(shared.rows(needs[5]), "member_id")
+
+
+def test_shared_rows_hold_only_what_their_needs_read(claims, reference):
+    """A column that one need reads is empty, and its bits are none, where that need doesn't want the row."""
+    visit = ClaimNeed(CodeBook(CodeRule("visit", "hcpcs", ("Visit",))), reference, ("member_id", "claimid"), F.col("claimid") == "c1")
+    dm = ClaimNeed(CodeBook(CodeRule("dm", "icddiag", ("Diabetes",))), reference, ("member_id",))
+    shared = SharedTags(claims, [visit, dm]).stored()
+    assert set(rows(shared._rows, "claimid")) == {("c1",), (None,)}
+    assert shared._rows.where("claimid IS NULL AND _shared_0 & 1 != 0").isEmpty()
+    for need in (visit, dm):
+        wanted = [*need.columns, *need.book.words]
+        assert rows(shared.rows(need), *wanted)
+        assert set(rows(shared.rows(need), *wanted)) == set(rows(need.tag(claims), *wanted))
